@@ -17,10 +17,14 @@ from ..operators.reshape import explode_list, unpivot
 CLASS_TYPES = {"email": "EmailPersonIdentity", "phone": "PhonePersonIdentity", "linkedin": "LinkedinPersonIdentity",
                "github": "SocialPersonIdentity"}
 
-_NONE = F.lit(None).cast("string")
 
+def _none() -> Column:
+    return F.lit(None).cast("string")
 
-def _cell(kind: str, value: Column, scope: Column, favourite: Column, source: str = "", reason: Column = _NONE) -> dict:
+
+def _cell(kind: str, value: Column, scope: Column, favourite: Column, source: str = "",
+          reason: Column | None = None) -> dict:
+    reason = _none() if reason is None else reason
     return {"type": F.lit(kind), "value": value, "identity_type_type": scope, "favourite": favourite,
             "source_field": F.lit(source), "inactive_reason": reason}
 
@@ -42,7 +46,7 @@ def build_person_identities(raw: DataFrame, people: DataFrame, ctx: RunContext,
               F.when(~F.col("has_company") & private, "personal").otherwise("corporate"),
               ~F.col("has_company") & private, "email",
               F.when(F.col("email_status") == 2, "unsubscribed")),
-        _cell("linkedin", F.when(profile.contains("linkedin.com"), F.lower(profile)), _NONE, F.lit(False), "linkedin"),
+        _cell("linkedin", F.when(profile.contains("linkedin.com"), F.lower(profile)), _none(), F.lit(False), "linkedin"),
     ]
     for field in ("phone", "phone2", "mobile", "workphone"):
         number = phone_norm(field)
@@ -90,7 +94,7 @@ def build_routed_identities(raw: DataFrame, people: DataFrame, ctx: RunContext)
     rows = raw.select("id", "person_id", kind.alias("type"), normal.alias("value")).where("value IS NOT NULL")
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
     scope = F.when((F.col("type") == "email") & ~is_personal_email("value"), "corporate").otherwise("personal")
-    rows = rows.withColumns({"identity_type_type": scope, "favourite": F.lit(False), "inactive_reason": _NONE})
+    rows = rows.withColumns({"identity_type_type": scope, "favourite": F.lit(False), "inactive_reason": _none()})
     return _person_output(keep_first(rows, ["type", "value"], [F.col("id").asc()]), ctx)
 
 
