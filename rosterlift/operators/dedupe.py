@@ -56,9 +56,9 @@ def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], row_
 
 def on_first_holder_only(df: DataFrame, value: str, order: Sequence[Column], row_id: Sequence[str]) -> DataFrame:
     """A value that must be unique stays on its first holder and becomes NULL on the others."""
-    flagged = flag_first(df.where(F.col(value).isNotNull()), [value], order, row_id, "_holder")
-    firsts = flagged.where("_holder").select(*row_id, F.col(value).alias("_kept"))
-    return df.join(firsts, list(row_id), "left").withColumn(value, F.col("_kept")).drop("_kept")
+    holders = keep_first(df.where(F.col(value).isNotNull()), [value], order)
+    kept = holders.select(*row_id, F.col(value).alias("_kept"))
+    return df.join(kept, list(row_id), "left").withColumn(value, F.col("_kept")).drop("_kept")
 
 
 def two_stage(df: DataFrame, first: tuple[Sequence[Key], Sequence[Column]],

@@ -38,20 +38,24 @@ def fk_map(df: DataFrame, key: Key, ref: DataFrame, value: str, name: str, ref_k
 
 
 def drop_orphans(df: DataFrame, key: Key, ref: DataFrame, ref_key: str = "id") -> DataFrame:
-    """Rows whose key exists in ``ref``; nothing is added."""
+    """Rows whose key exists in ``ref``; nothing is added. ``ref`` has one row per key."""
     keys = ref.select(F.col(ref_key).alias("_fk"))
     return df.join(keys, _c(key) == F.col("_fk"), "left_semi")
 
 
 def exclude(df: DataFrame, key: Key, ref: DataFrame, ref_key: str = "id") -> DataFrame:
     """Rows whose key does not exist in ``ref``. A row without a key stays."""
-    keys = ref.select(F.col(ref_key).alias("_fk")).where("_fk IS NOT NULL")
+    keys = ref.select(F.col(ref_key).alias("_fk")).where("_fk IS NOT NULL").distinct()
     return df.join(keys, _c(key) == F.col("_fk"), "left_anti")
 
 
 def keep_any(df: DataFrame, key: Key, *refs: tuple[DataFrame, str]) -> DataFrame:
-    """Rows whose key exists in at least one of the relations."""
-    keys = reduce(DataFrame.union, [r.select(F.col(k).alias("_fk")) for r, k in refs])
+    """Rows whose key exists in at least one of the relations.
+
+    Activity tables repeat their keys; they are reduced to distinct keys before the join, since a semi join cannot
+    split a hot key of its right side.
+    """
+    keys = reduce(DataFrame.union, [r.select(F.col(k).alias("_fk")) for r, k in refs]).distinct()
     return df.join(keys, _c(key) == F.col("_fk"), "left_semi")
 
 

@@ -58,19 +58,22 @@ def one_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
 
 
 def uniqueness(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
-    """Repeated values of several columns from one scan and one grouping on (column, value).
+    """Repeated values of several columns or column pairs, from one scan and one grouping on (check, values).
 
-    ``n_bad`` is rows minus distinct values. Counting starts before the shuffle, so a value repeated on a third of
-    the rows is one row per partition.
+    ``n_bad`` is rows minus distinct values for a column, and the number of repeated pairs for a pair. Counting
+    starts before the shuffle, so a value repeated on a third of the rows is one row per partition.
     """
     cells = []
     for i, check in enumerate(checks):
-        value = F.col(check.column).cast("string")
-        cells.append(F.struct(F.lit(i).alias("i"), (F.lower(value) if check.ignore_case else value).alias("v")))
+        values = [F.col(c).cast("string") for c in check.column.split(",")]
+        values = [F.lower(v) for v in values] if check.ignore_case else values
+        whole = reduce(lambda a, b: a & b, [v.isNotNull() for v in values])
+        cells.append(F.struct(F.lit(i).alias("i"), F.when(whole, F.array(*values)).alias("v")))
     groups = df.select(F.inline(F.array(*cells))).where("v IS NOT NULL").groupBy("i", "v").count()
-    extra = groups.groupBy("i").agg(F.sum(F.col("count") - 1).alias("n"))
+    extra = groups.groupBy("i").agg(F.struct(F.sum(F.col("count") - 1).alias("unique"),
+                                             F.count_if(F.col("count") > 1).alias("pairs")).alias("n"))
     by_check = extra.agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("_m"))
-    lines = [_line(table, c, F.coalesce(F.try_element_at("_m", F.lit(i)), F.lit(0)), F.lit(0))
+    lines = [_line(table, c, F.coalesce(F.try_element_at("_m", F.lit(i))[c.kind], F.lit(0)), F.lit(0))
              for i, c in enumerate(checks)]
     return by_check.select(F.inline(F.array(*lines)))
 
@@ -110,26 +113,22 @@ def missing_positions(df: DataFrame, attribute: str, position: str, most: int =
 
 def evaluate(df: DataFrame, table: str, rules: Mapping[str, Any] | None = None,
              global_rules: Mapping[str, Any] | None = None) -> DataFrame:
-    """The report of one table: table_name, column_name, rule, severity, n_bad, passed."""
+    """The report of one table: table_name, column_name, rule, severity, n_bad, passed.
+
+    The table is read once for all counted rules and once for all uniqueness rules; check a stored table rather than
+    a long plan.
+    """
     if rules is None:
         rules = CONTRACTS.get(matching_contract(table) or "", {})
     checks = compile_checks(table, df.schema, rules, GLOBAL_RULES if global_rules is None else global_rules)
     parts = []
     if any(c.kind in ONE_PASS for c in checks):
         parts.append(one_pass(df, table, checks))
-    unique = [c for c in checks if c.kind == "unique"]
-    if unique:
-        parts.append(uniqueness(df, table, unique))
-    for check in checks:
-        if check.kind == "positions":
-            attribute, position = check.column.split(",")
-            bad = position_gaps(df, attribute, position).agg(F.count(F.lit(1)).alias("_n"))
-        elif check.kind == "pairs":
-            pairs = check.column.split(",")
-            bad = (df.dropna(subset=pairs).groupBy(*pairs).count().where("count > 1")
-                   .agg(F.count(F.lit(1)).alias("_n")))
-        else:
-            continue
+    grouped = [c for c in checks if c.kind in ("unique", "pairs")]
+    if grouped:
+        parts.append(uniqueness(df, table, grouped))
+    for check in (c for c in checks if c.kind == "positions"):
+        bad = position_gaps(df, *check.column.split(",")).agg(F.count(F.lit(1)).alias("_n"))
         parts.append(bad.select(F.inline(F.array(_line(table, check, F.col("_n"), F.lit(0))))))
     return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], REPORT_SCHEMA)
 
