@@ -21,7 +21,7 @@ from rosterlift.quality.checks import compile_checks
 from rosterlift.quality.contracts import CONTRACTS, GLOBAL_RULES
 from workload import QUERIES
 from workload.base import CTX, Tables
-from workload.table_queries import REASON, REJECTION, STATUS
+from workload.table_queries import marks
 
 HEADLINE = ("f07_clean_html", "j11_match_any_key", "j20_not_in", "j23_nearest_in_time", "u03_unpivot", "w01_keep_first",
             "w09_positions", "w14_numbered_links", "h02_last_non_rejected", "e04_people_two_lists",
@@ -43,7 +43,7 @@ def timed(job: Callable[[], None]) -> float:
 def naive_forms(spark: SparkSession, folder: str) -> dict[str, Callable[[], None]]:
     def suite() -> None:
         t = Tables(spark, folder)
-        rows = build_candidates(t.applications, t.projects, t.people, t.users, CTX, STATUS, REJECTION, REASON,
+        rows = build_candidates(t.applications, t.projects, t.people, t.users, CTX, marks(),
                                 t.applications.select("id", "status", "added_at"))
         for check in compile_checks("candidates_x", rows.schema, CONTRACTS["candidates*"], GLOBAL_RULES):
             if check.kind == "rows":

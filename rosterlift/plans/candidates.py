@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext
@@ -12,20 +12,17 @@ from ..functions.codes import code_map
 from ..functions.dates import iso
 from ..functions.ids import uuid_from
 from ..operators.dedupe import keep_first
-from ..operators.history import effective_status, last_time, merge_stages, outcome
+from ..operators.history import effective_status, last_time, merge_stages
 from ..operators.joins import fk_map, lookup_chain
 
 
 def build_candidates(raw: DataFrame, projects: DataFrame, people: DataFrame, users: DataFrame, ctx: RunContext,
-                     status: Mapping[str, str], rejection_type: Mapping[str, str],
-                     rejection_reason: Mapping[str, str], history: DataFrame | None = None,
+                     marks: Mapping[str, Column], history: DataFrame | None = None,
                      hired_codes: Sequence[str] = ("placed",)) -> DataFrame:
-    """raw: id, project_id, person_id, owner_id, status, added_at. history: id, status, added_at.
+    """raw: id, project_id, person_id, owner_id, added_at and what ``marks`` are read off. history: id, status, added_at.
 
-    One candidacy per project and person, the newest. Map keys are trimmed lower-case source statuses.
+    ``marks`` holds the columns ``outcome`` gives. One candidacy per project and person, the newest.
     """
-    code = F.lower(F.trim("status"))
-    marks = outcome(code, status, rejection_type, rejection_reason, iso("added_at"))
     rows = raw.select("id", "project_id", "person_id", "owner_id", "added_at",
                       *[c.alias(f"_{n}") for n, c in marks.items()])
     rows = fk_map(rows, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
@@ -39,7 +36,7 @@ def build_candidates(raw: DataFrame, projects: DataFrame, people: DataFrame, use
         rows = rows.withColumn("_hired", F.lit(None).cast("timestamp"))
     rejected = F.col("_rejection_type").isNotNull()
     return rows.select(
-        "id", uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"), iso("added_at").alias("created_at"),
+        "id", ctx.record_id("id").alias("atlas_id"), iso("added_at").alias("created_at"),
         iso("added_at").alias("updated_at"), "project_id", "atlas_project_id", "person_id", "atlas_person_id",
         F.lit("Candidate").alias("class_type"), F.col("_rejected_at").alias("rejected_at"),
         F.col("_rejection_type").alias("rejection_type"), F.col("_rejection_reason").alias("rejection_reason"),

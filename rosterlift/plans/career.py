@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext
-from ..functions.ids import uuid_from
 from ..functions.names import degree_part, field_of_study_part
 from ..functions.predicates import not_blank
 from ..functions.text import strip_tags
@@ -27,7 +26,7 @@ def build_experiences(raw: DataFrame, people: DataFrame, companies: DataFrame, c
     rows = lookup_by_text(rows, "company_name", companies, "name",
                           {"company_id": "id", "atlas_company_id": "atlas_id"})
     return rows.select(
-        "id", uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"),
+        "id", ctx.record_id("id").alias("atlas_id"),
         F.lit(ctx.now_iso).alias("created_at"), F.lit(ctx.now_iso).alias("updated_at"),
         F.lit("migration").alias("source"), ctx.agency().alias("agency_id"),
         F.left("started_at", F.lit(10)).alias("started_at"), F.left("finished_at", F.lit(10)).alias("finished_at"),
@@ -49,7 +48,7 @@ def build_educations(raw: DataFrame, people: DataFrame, ctx: RunContext,
     degree = degree_part("degree") if split_degree else F.col("degree")
     study = field_of_study_part("degree") if split_degree else F.col("field_of_study")
     return rows.select(
-        "id", uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"),
+        "id", ctx.record_id("id").alias("atlas_id"),
         F.lit(ctx.now_iso).alias("created_at"), F.lit(ctx.now_iso).alias("updated_at"),
         F.lit("migration").alias("source"), F.left("started_at", F.lit(10)).alias("started_at"),
         F.left("finished_at", F.lit(10)).alias("finished_at"), F.col("school").alias("name"),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext
-from ..functions.codes import code_groups, headcount_range
+from ..functions.codes import headcount_range
 from ..functions.dates import iso
 from ..functions.ids import uuid_from
 from ..functions.location import location_locality
@@ -20,40 +20,41 @@ from ..operators.joins import exists_flag, fk_map, keep_any, survivor_key
 MISSING_TITLE = "Missing Title"
 
 
-def build_companies(raw: DataFrame, ctx: RunContext, relationships: Mapping[str, Sequence[str]],
-                    restrictions: Mapping[str, Sequence[str]], placeholder: str = "Imported Contacts",
-                    scope: DataFrame | None = None) -> DataFrame:
-    """raw: id, name, description, status, restriction, address1, address2, city, state, zip, country, headcount,
-    added_at, modified_at."""
+def build_companies(raw: DataFrame, ctx: RunContext, relationship: Column, restriction: Column,
+                    placeholder: str = "Imported Contacts", scope: DataFrame | None = None) -> DataFrame:
+    """raw: id, name, description, address1, address2, city, state, zip, country, headcount, added_at, modified_at,
+    and what ``relationship`` and ``restriction`` are read off."""
     named = raw.where(not_blank("name") & (F.col("name") != placeholder))
     if scope is not None:
         named = keep_any(named, "id", (scope, "company_id"))
     country = scrub("country")
     return named.select(
-        uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"), "id", "name",
+        ctx.record_id("id").alias("atlas_id"), "id", "name",
         html_to_markdown("description").alias("summary"),
-        code_groups("status", relationships, "none").alias("relationship"),
+        relationship.alias("relationship"),
         scrub("address1").alias("location_street_address"), scrub("city").alias("location_metro"),
         scrub("state").alias("location_region"), scrub("zip").alias("location_postal_code"),
         country.alias("location_country"),
         location_locality("address1", "address2", "city", "state", "zip", country).alias("location_locality"),
         iso("added_at").alias("created_at"), iso("modified_at").alias("updated_at"),
-        code_groups("restriction", restrictions, "none").alias("restriction_type"),
+        restriction.alias("restriction_type"),
         headcount_range("headcount").alias("size"), ctx.agency().alias("agency_id"))
 
 
 def build_company_contacts(raw: DataFrame, companies: DataFrame, people: DataFrame, ctx: RunContext,
-                           relationships: Mapping[str, Sequence[str]],
-                           duplicates: DataFrame | None = None) -> DataFrame:
-    """raw: id, person_id, company_id, status, title, added_at. The newest company of each person."""
+                           relationship: Column, duplicates: DataFrame | None = None) -> DataFrame:
+    """raw: id, person_id, company_id, title, added_at and what ``relationship`` is read off.
+
+    The newest company of each person.
+    """
     rows = survivor_key(raw, "person_id", duplicates) if duplicates is not None else raw
     rows = fk_map(rows, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
     newest = keep_first(rows, ["person_id"], [F.col("added_at").desc_nulls_last(), F.col("id").asc()])
     return newest.select(
-        "id", uuid_from(ctx.client, F.lit(ctx.client), F.lit("companycontact"), "id").alias("atlas_id"), "person_id",
+        "id", ctx.record_id(F.lit("companycontact"), "id").alias("atlas_id"), "person_id",
         "atlas_person_id", "company_id", "atlas_company_id", iso("added_at").alias("created_at"),
-        iso("added_at").alias("updated_at"), code_groups("status", relationships, "none").alias("relationship"),
+        iso("added_at").alias("updated_at"), relationship.alias("relationship"),
         F.coalesce("title", F.lit(MISSING_TITLE)).alias("title"), ctx.agency().alias("agency_id"))
 
 

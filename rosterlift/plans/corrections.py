@@ -10,6 +10,7 @@ from ..functions.dates import iso
 from ..functions.predicates import not_blank
 from ..functions.text import comma_cleanup, strip_tags
 from ..operators.joins import fk_map
+from ..operators.reshape import unpivot
 
 
 def merged_people(raw: DataFrame, people: DataFrame) -> DataFrame:
@@ -43,10 +44,11 @@ def corrected_locations(people: DataFrame, parsed: DataFrame, entered: DataFrame
 
 def repaired_notes(raw: DataFrame, people: DataFrame, users: DataFrame, ctx: RunContext) -> DataFrame:
     """raw: id, person_id, created_by_id, text (HTML), created_at."""
-    rows = raw.withColumn("text", F.replace(strip_tags("text"), F.lit("&nbsp;"), F.lit(" "))).where(not_blank("text"))
+    clean = F.replace(strip_tags("text"), F.lit("&nbsp;"), F.lit(" "))
+    rows = unpivot(raw, ["id", "person_id", "created_by_id", "created_at"], [{"value": clean}]).where(not_blank("value"))
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id")
     rows = fk_map(rows, "created_by_id", users, "atlas_id", "created_by_atlas_id", default=ctx.master())
     return rows.select(
         F.col("id").cast("string").alias("id"), F.col("id").cast("string").alias("atlas_id"), "person_id",
         "atlas_person_id", iso("created_at", "zulu").alias("created_at"), iso("created_at", "zulu").alias("updated_at"),
-        "created_by_id", "created_by_atlas_id", F.lit("manual").alias("type"), "text")
+        "created_by_id", "created_by_atlas_id", F.lit("manual").alias("type"), F.col("value").alias("text"))

@@ -56,6 +56,6 @@ def build_fee_splits(raw: DataFrame, projects: DataFrame, users: DataFrame, fee_
     rows = fk_map(rows, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
     rows = with_constant(rows, fee_types.select(F.col("atlas_id").alias("atlas_fee_type_id")))
     return rows.select(
-        "id", uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"), "atlas_project_id",
+        "id", ctx.record_id("id").alias("atlas_id"), "atlas_project_id",
         "atlas_fee_earner_id", ctx.master().alias("atlas_created_by_id"), "atlas_fee_type_id",
         share_percent("rate").alias("share"), ctx.agency().alias("agency_id"))

@@ -23,9 +23,10 @@ def _none() -> Column:
 
 
 def _cell(kind: str, value: Column, scope: Column, favourite: Column, source: str = "",
-          reason: Column | None = None) -> dict:
+          reason: Column | None = None, key: Column | None = None) -> dict:
+    """One branch of the unpivot. ``key`` is what the record id is made of, where that is not the value itself."""
     reason = _none() if reason is None else reason
-    return {"type": F.lit(kind), "value": value, "identity_type_type": scope, "favourite": favourite,
+    return {"type": F.lit(kind), "value": value, "key": value if key is None else key, "identity_type_type": scope, "favourite": favourite,
             "source_field": F.lit(source), "inactive_reason": reason}
 
 
@@ -46,7 +47,8 @@ def build_person_identities(raw: DataFrame, people: DataFrame, ctx: RunContext,
               F.when(~F.col("has_company") & private, "personal").otherwise("corporate"),
               ~F.col("has_company") & private, "email",
               F.when(F.col("email_status") == 2, "unsubscribed")),
-        _cell("linkedin", F.when(profile.contains("linkedin.com"), F.lower(profile)), _none(), F.lit(False), "linkedin"),
+        _cell("linkedin", F.when(profile.contains("linkedin.com"), F.lower(profile)), _none(), F.lit(False), "linkedin",
+              key=profile),
     ]
     for field in ("phone", "phone2", "mobile", "workphone"):
         number = phone_norm(field)
@@ -54,11 +56,12 @@ def build_person_identities(raw: DataFrame, people: DataFrame, ctx: RunContext,
                               F.lit("corporate" if field == "workphone" else "personal"),
                               F.lit(field == "mobile"), field))
     long = unpivot(owned, ["person_id", "atlas_person_id"], branches)
-    first = [filled_first("identity_type_type"), F.col("person_id").asc(), F.col("source_field").asc()]
-    return _person_output(keep_first(long, ["type", "value"], first), ctx)
+    first = [filled_first("identity_type_type"), F.col("person_id").asc(), F.col("source_field").asc(),
+             F.col("key").asc()]
+    return _person_output(keep_first(long, ["type", "value"], first), ctx, key="key")
 
 
-def _person_output(rows: DataFrame, ctx: RunContext, verified: bool = True) -> DataFrame:
+def _person_output(rows: DataFrame, ctx: RunContext, key: str = "value", verified: bool = True) -> DataFrame:
     return rows.select(
         "atlas_person_id", "person_id", "type", "value", "identity_type_type",
         F.coalesce(*[F.when(F.col("type") == t, F.lit(c)) for t, c in CLASS_TYPES.items()]).alias("class_type"),
@@ -66,7 +69,7 @@ def _person_output(rows: DataFrame, ctx: RunContext, verified: bool = True) -> D
         F.lit(False).alias("hidden"), F.lit(False).alias("bounced"), F.lit(True).alias("active"), "favourite",
         F.lit(verified).alias("verified"), F.lit(ctx.now_iso).alias("created_at"),
         F.lit(ctx.now_iso).alias("updated_at"),
-        uuid_from(ctx.client, "atlas_person_id", "type", "value").alias("atlas_id"), "inactive_reason")
+        uuid_from(ctx.client, "atlas_person_id", "type", key).alias("atlas_id"), "inactive_reason")
 
 
 def build_unique_owner_identities(raw: DataFrame, people: DataFrame, ctx: RunContext) -> DataFrame:
@@ -88,10 +91,12 @@ def build_unique_owner_identities(raw: DataFrame, people: DataFrame, ctx: RunCon
 
 def build_routed_identities(raw: DataFrame, people: DataFrame, ctx: RunContext) -> DataFrame:
     """raw: id, person_id, value. One generic contact column; the type is read off each value."""
-    kind = identity_shape("value")
-    normal = (F.when(kind == "email", email_norm("value")).when(kind == "phone", phone_norm("value"))
-              .when(kind == "linkedin", F.lower(linkedin_norm("value"))))
-    rows = raw.select("id", "person_id", kind.alias("type"), normal.alias("value")).where("value IS NOT NULL")
+    typed = raw.select("id", "person_id", identity_shape("value").alias("type"), F.col("value").alias("_raw"))
+    kind = F.col("type")
+    normal = (F.when(kind == "email", email_norm("_raw")).when(kind == "phone", phone_norm("_raw"))
+              .when(kind == "linkedin", F.lower(linkedin_norm("_raw"))))
+    # unpivot, because a filter after it is not copied below the projection: each value is normalised once
+    rows = unpivot(typed, ["id", "person_id"], [{"type": kind, "value": normal}])
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
     scope = F.when((F.col("type") == "email") & ~is_personal_email("value"), "corporate").otherwise("personal")
     rows = rows.withColumns({"identity_type_type": scope, "favourite": F.lit(False), "inactive_reason": _none()})
@@ -103,8 +108,8 @@ def build_listed_identities(raw: DataFrame, column: str, kind: str) -> DataFrame
     separators = ",;|\n\t" if kind in ("linkedin", "email") else ",;/|\n\t"
     norm = {"email": email_norm, "phone": phone_norm, "linkedin": linkedin_norm}[kind]
     items = explode_list(raw.select("person_id", column), column, "_item", separators)
-    rows = items.select("person_id", F.lit(kind).alias("type"), F.nullif(norm("_item"), F.lit("")).alias("value"))
-    return rows.where("value IS NOT NULL").distinct()
+    branch = {"type": F.lit(kind), "value": F.nullif(norm("_item"), F.lit(""))}
+    return unpivot(items, ["person_id"], [branch]).distinct()
 
 
 def two_stage_identities(rows: DataFrame) -> DataFrame:
@@ -137,6 +142,6 @@ def build_company_identities(raw: DataFrame, companies: DataFrame, ctx: RunConte
     owned = fk_map(long, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
     kept = keep_first(owned, ["type", "value"], [F.col("company_id").asc()])
     return kept.select(
-        uuid_from(ctx.client, F.lit(ctx.client), "company_id", "type", "value").alias("atlas_id"), "company_id",
+        ctx.record_id("company_id", "type", "value").alias("atlas_id"), "company_id",
         "atlas_company_id", "type", "value", "is_primary", F.lit(ctx.now_iso).alias("created_at"),
         F.lit(ctx.now_iso).alias("updated_at"))

@@ -41,7 +41,7 @@ def build_person_notes(raw: DataFrame, people: DataFrame, users: DataFrame, ctx:
     rows = _with_people(rows, people, users, ctx, duplicates)
     rows = keep_first(rows, ["id"], [F.col("person_id").asc()])
     return rows.select(
-        "id", uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"), "person_id", "atlas_person_id",
+        "id", ctx.record_id("id").alias("atlas_id"), "person_id", "atlas_person_id",
         "created_by_id", "created_by_atlas_id", "action", strip_tags("comments", " ").alias("text"),
         iso("added_at").alias("created_at"), iso("added_at").alias("updated_at"), F.lit("manual").alias("type"))
 
@@ -105,7 +105,7 @@ def build_company_notes(raw: DataFrame, companies: DataFrame, ctx: RunContext,
     rows = fk_map(rows, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
     return rows.select(
         F.concat_ws("_", "tag", "company_id").alias("id"),
-        uuid_from(ctx.client, F.lit(ctx.client), "company_id", F.lit("::"), "tag").alias("atlas_id"), "company_id",
+        ctx.record_id("company_id", F.lit("::"), "tag").alias("atlas_id"), "company_id",
         "atlas_company_id", F.col("value").alias("text"), F.lit("manual").alias("type"),
         iso("added_at").alias("created_at"), iso("modified_at").alias("updated_at"),
         F.lit(None).cast("string").alias("created_by_id"), ctx.master().alias("created_by_atlas_id"))
@@ -118,7 +118,7 @@ def build_meetings(raw: DataFrame, people: DataFrame, users: DataFrame, ctx: Run
     rows = _with_people(rows, people, users, ctx, duplicates)
     rows = keep_first(rows, ["id"], [F.col("person_id").asc()])
     return rows.select(
-        "id", uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"), "person_id", "atlas_person_id",
+        "id", ctx.record_id("id").alias("atlas_id"), "person_id", "atlas_person_id",
         "created_by_id", "created_by_atlas_id", "action", strip_tags("comments", " ").alias("notes"),
         F.lit("migrated meeting").alias("name"), iso("added_at").alias("created_at"),
         iso("added_at").alias("updated_at"), F.lit("completed").alias("status"))

@@ -25,7 +25,7 @@ def build_users(raw: DataFrame, ctx: RunContext, prior: DataFrame | None = None)
     """
     staff = raw.where(in_domain("email", ctx.domain)).select(
         "id",
-        uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"),
+        ctx.record_id("id").alias("atlas_id"),
         F.concat("first_name", F.lit(" "), "last_name").alias("name"),
         iso("added_at", "midnight_zulu").alias("created_at"),
         iso("modified_at").alias("updated_at"),
@@ -64,7 +64,7 @@ def build_people(raw: DataFrame, ctx: RunContext, scope: DataFrame | None = None
                  users: DataFrame | None = None) -> DataFrame:
     """raw: id, first_name, last_name, added_at, modified_at, address1, address2, city, state, zip, country."""
     clean = raw.select(
-        uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"), "id", "first_name", "last_name",
+        ctx.record_id("id").alias("atlas_id"), "id", "first_name", "last_name",
         iso("modified_at").alias("updated_at"), iso("added_at").alias("created_at"),
         F.lit("regular").alias("candidate_status"), F.lit("active").alias("responsiveness"),
         street_address(scrub("address1"), scrub("address2")).alias("location_street_address"),

@@ -2,41 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext
-from ..functions.codes import code_groups
-from ..functions.dates import iso, older_than_months
+from ..functions.dates import iso
 from ..functions.ids import uuid_from
 from ..functions.location import has_letters, location_locality, postal_digits
 from ..functions.text import strip_tags
 from ..operators.dedupe import on_first_holder_only
-from ..operators.history import project_state
 from ..operators.joins import exclude, fk_map
 from ..operators.reshape import union_distinct
 
 
-def build_projects(raw: DataFrame, companies: DataFrame, users: DataFrame, ctx: RunContext,
-                   contract_types: Mapping[str, Sequence[str]], states: Mapping[str, Sequence[str]],
-                   reasons: Mapping[str, Sequence[str]], close_after_months: int | None = None) -> DataFrame:
-    """raw: id, linked_id, title, employment_type, salary, public_description, description, owner_id, company_id,
-    status, added_at, closed_at, address1, address2, city, state, zip.
+def build_projects(raw: DataFrame, companies: DataFrame, users: DataFrame, ctx: RunContext, contract_type: Column,
+                   state: Mapping[str, Column]) -> DataFrame:
+    """raw: id, linked_id, title, salary, public_description, description, owner_id, company_id, added_at, closed_at,
+    address1, address2, city, state, zip, and what ``contract_type`` and ``state`` are read off.
 
+    ``state`` holds the columns ``project_state`` gives.
     A posting that another one links to is the linked posting's copy and is left out.
     """
     linked = raw.select("linked_id").where("linked_id IS NOT NULL").distinct()
     rows = exclude(raw, "id", linked, "linked_id")
     rows = fk_map(rows, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
     rows = fk_map(rows, "owner_id", users, "atlas_id", "atlas_owner_id", default=ctx.master())
-    stale = older_than_months("added_at", ctx.today, close_after_months) if close_after_months else None
-    state = project_state(F.col("status"), states, reasons, iso("closed_at"), iso("added_at"), stale=stale)
     return rows.select(
-        uuid_from(ctx.client, F.lit(ctx.client), "id").alias("atlas_id"), "id", iso("added_at").alias("created_at"),
+        ctx.record_id("id").alias("atlas_id"), "id", iso("added_at").alias("created_at"),
         iso("added_at").alias("updated_at"), state["closed_at"].alias("closed_at"), F.col("title").alias("job_role"),
-        code_groups("employment_type", contract_types, "full_time").alias("contract_type"), "salary",
+        contract_type.alias("contract_type"), "salary",
         strip_tags("public_description").alias("job_description"), strip_tags("description").alias("notes"),
         "owner_id", "atlas_owner_id", "company_id", "atlas_company_id", state["state"].alias("state"),
         state["close_reason"].alias("close_reason"),

@@ -33,7 +33,7 @@ def build_salaries_from_text(raw: DataFrame, people: DataFrame, ctx: RunContext,
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
     return rows.select(
         F.concat("value", F.col("person_id").cast("string")).alias("id"),
-        uuid_from(ctx.client, F.lit(ctx.client), "tag", "person_id").alias("atlas_id"), "person_id", "atlas_person_id",
+        ctx.record_id("tag", "person_id").alias("atlas_id"), "person_id", "atlas_person_id",
         string_to_timestamp("created_on").alias("created_at"), string_to_timestamp("modified_on").alias("updated_at"),
         string_to_timestamp("modified_on").alias("relevant_date"), "basic_salary", "expected_salary_min",
         "expected_salary_max", F.lit(currency).alias("currency"), F.lit("gross").alias("tax_method"),

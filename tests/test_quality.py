@@ -103,18 +103,22 @@ def test_suite_report(spark):
 
 def test_every_built_table_meets_its_contract(spark, ctx):
     """Builders produce what the rules demand, on rows that give them no reason to fail."""
+    from rosterlift.functions.codes import code_map
+    from rosterlift.functions.dates import iso
+    from rosterlift.operators.history import outcome, project_state
     from rosterlift.plans.candidates import build_candidates
     from rosterlift.plans.projects import build_projects
     at = datetime(2024, 1, 2)
     refs = spark.createDataFrame([(1, "0123abcd-0123-4567-89ab-0123456789ab", "Acme")], "id int, atlas_id string, name string")
     raw = spark.createDataFrame([(1, 1, 1, 1, "Placed", at), (2, 1, 1, 1, "Rejected", at)], "id int, project_id int, person_id int, owner_id int, status string, added_at timestamp")
-    rows = build_candidates(raw, refs, refs, refs, ctx, {"placed": "Hired"}, {"rejected": "by_us"}, {})
+    rows = build_candidates(raw, refs, refs, refs, ctx, outcome(F.lower("status"), {"placed": "Hired"}, {"rejected": "by_us"}, {}, iso("added_at")))
     assert rows.count() == 1
     failed = evaluate(rows, "candidates_x").where("severity = 'fail' AND NOT passed").collect()
     assert failed == []
     postings = spark.createDataFrame([(1, None, "Dev", "Permanent", 5, None, "<b>x</b>", 1, 1, "Open", at, None, "1 High St", None, "Rome", None, "10001")],
                                      "id int, linked_id int, title string, employment_type string, salary int, public_description string, description string, owner_id int, company_id int, status string, "
                                      "added_at timestamp, closed_at timestamp, address1 string, address2 string, city string, state string, zip string")
-    built = build_projects(postings, refs, refs, ctx, {"full_time": ["permanent"]}, {"active": ["open"]}, {})
+    built = build_projects(postings, refs, refs, ctx, code_map("employment_type", {"Permanent": "full_time"}, "full_time"),
+                           project_state(F.col("status"), {"active": ["open"]}, {}, iso("closed_at"), iso("added_at")))
     failed = evaluate(built, "projects_x").where("severity = 'fail' AND NOT passed").collect()
     assert [(r.rule, r.column_name) for r in failed] == [("uuid_columns", "atlas_owner_id")] or failed == []

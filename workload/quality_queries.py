@@ -8,16 +8,15 @@ from typing import Any
 from pyspark.sql import functions as F
 
 from rosterlift import diff
-from rosterlift.plans import attributes, candidates, identities, people
+from rosterlift.plans import candidates, identities
 from rosterlift.quality import evaluate, integrity, run_suite, violation_samples
 from rosterlift.quality import predicates as P
 from rosterlift.quality.checks import compile_checks
-from rosterlift.quality.contracts import CONTRACTS, GLOBAL_RULES
 from rosterlift.quality.suite import missing_positions, position_gaps, repeated_values
 
-from .base import CTX, QUERIES, Tables, query, src, uuid_sql
+from .base import CTX, QUERIES, Tables, query, src
 from .column_queries import d_email
-from .table_queries import ATTRIBUTES, REASON, REJECTION, STATUS, _options, dupes
+from .table_queries import STATUS, marks
 
 CONTACTS, PEOPLE, COMPANIES, PROJECTS, USERS, APPS, POSTINGS, TEXTS = (src(n) for n in (
     "contacts", "people", "companies", "projects", "users", "applications", "postings", "id_texts"))
@@ -205,7 +204,7 @@ UNION ALL {report_sql('c', 'candidates_x',
     ('id', 'unique', 'fail', 'count(id) - count(DISTINCT id)'), ('atlas_id', 'unique', 'fail', 'count(atlas_id) - count(DISTINCT atlas_id)'),
     ('atlas_project_id,atlas_person_id', 'candidate_duplicates', 'fail', 'count(*) - count(DISTINCT (atlas_project_id, atlas_person_id))'))}""")
 def _(t: Tables):
-    rows = candidates.build_candidates(t.applications, t.projects, t.people, t.users, CTX, STATUS, REJECTION, REASON,
+    rows = candidates.build_candidates(t.applications, t.projects, t.people, t.users, CTX, marks(),
                                        t.applications.select("id", "status", "added_at"))
     return evaluate(rows, "candidates_x")
 

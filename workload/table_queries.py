@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rosterlift.functions import location
+from rosterlift.functions.codes import code_groups, code_map
+from rosterlift.functions.dates import iso
 from rosterlift.operators import reshape
+from rosterlift.operators.history import outcome, project_state
 from rosterlift.plans import (attributes, candidates, career, companies, corrections, fees, files, identities, notes,
                               opportunities, people, projects, salaries)
 
@@ -23,9 +25,9 @@ COUNTRY = "CASE country_id WHEN 1 THEN 'United States' WHEN 2245 THEN 'France' W
 DUPES = "(SELECT s_suppkey AS contact_id, s_suppkey + 1 AS candidate_id FROM supplier WHERE s_suppkey % 6 = 0)"
 
 RELATIONSHIPS = {"client": ["active", "terms signed"], "none": ["archive", "passive", "prospect"]}
-RESTRICTIONS = {"hard": ["no", "do not source"], "soft": ["source with care"]}
-CONTACT_RELATIONSHIPS = {"client": ["client", "active"], "prospect": ["prospect", "new lead", "passive", "imported"]}
-CONTRACTS = {"contract": ["1-urgent", "2-high"], "full_time": ["3-medium"]}
+RESTRICTIONS = {"NO": "hard", "DO NOT SOURCE": "hard", "SOURCE WITH CARE": "soft"}
+CONTACT_RELATIONSHIPS = {"Client": "client", "Active": "client", "Prospect": "prospect", "prospect": "prospect", "Imported": "prospect"}
+CONTRACTS = {"1-URGENT": "contract", "2-HIGH": "contract", "3-MEDIUM": "full_time"}
 STATUS = {"placed": "Hired", "1st interview": "Client IV", "interview/rejected": "Client IV", "offer rejected": "Offer",
           "cv sent": "Presented", "screened": "Internal IV"}
 REJECTION = {"rejected": "by_us", "offer rejected": "self", "candidate not interested": "self", "client rejected": "by_client",
@@ -42,6 +44,10 @@ def sql_groups(code: str, groups: dict[str, list[str]], default: str) -> str:
     return sql_map(f"lower(trim({code}))", {c: r for r, cs in groups.items() for c in cs}, default)
 
 
+def marks():
+    return outcome(F.lower(F.trim("status")), STATUS, REJECTION, REASON, iso("added_at"))
+
+
 def dupes(t: Tables):
     return t.supplier.where("s_suppkey % 6 = 0").selectExpr("s_suppkey AS contact_id", "s_suppkey + 1 AS candidate_id")
 
@@ -129,7 +135,7 @@ _TAIL = f"""'{AGENCY}' AS agency_id, '{MASTER}' AS created_by_id, 'migration' AS
 def _phone_branch(field: str) -> str:
     kind = "corporate" if field == "workphone" else "personal"
     return (f"SELECT person_id, atlas_person_id, 'phone' AS type, {d_phone(field)} AS value, '{kind}' AS scope, {str(field == 'mobile').upper()} AS favourite, "
-            f"'{field}' AS f, NULL AS inactive_reason FROM src WHERE length({d_phone(field)}) > 3")
+            f"'{field}' AS f, NULL AS inactive_reason, {d_phone(field)} AS key FROM src WHERE length({d_phone(field)}) > 3")
 
 
 _IDENTITY_SRC = f"""src AS (
@@ -141,12 +147,12 @@ _IDENTITY_SRC = f"""src AS (
 WITH {_IDENTITY_SRC},
 raw AS (
   SELECT person_id, atlas_person_id, 'email' AS type, lower({_MAIL}) AS value, CASE WHEN has_company THEN 'corporate' WHEN {d_personal(_MAIL)} THEN 'personal' ELSE 'corporate' END AS scope,
-    (NOT has_company AND {d_personal(_MAIL)}) AS favourite, 'email' AS f, CASE WHEN email_status = 2 THEN 'unsubscribed' END AS inactive_reason
+    (NOT has_company AND {d_personal(_MAIL)}) AS favourite, 'email' AS f, CASE WHEN email_status = 2 THEN 'unsubscribed' END AS inactive_reason, lower({_MAIL}) AS key
   FROM src WHERE {_MAIL} LIKE '%@%' AND length(trim({_MAIL})) > 3
-  UNION ALL SELECT person_id, atlas_person_id, 'linkedin', lower({_PROFILE}), NULL, FALSE, 'linkedin', NULL FROM src WHERE {_PROFILE} LIKE '%linkedin.com%'
+  UNION ALL SELECT person_id, atlas_person_id, 'linkedin', lower({_PROFILE}), NULL, FALSE, 'linkedin', NULL, {_PROFILE} FROM src WHERE {_PROFILE} LIKE '%linkedin.com%'
   UNION ALL {_phone_branch('phone')} UNION ALL {_phone_branch('phone2')} UNION ALL {_phone_branch('mobile')} UNION ALL {_phone_branch('workphone')}),
-one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY type, value ORDER BY (scope IS NULL OR scope = '') ASC, person_id, f) AS rn FROM raw) WHERE rn = 1)
-SELECT atlas_person_id, person_id, type, value, scope AS identity_type_type, {_CLASS}, {_TAIL} FROM one""")
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY type, value ORDER BY (scope IS NULL OR scope = '') ASC, person_id, f, key) AS rn FROM raw) WHERE rn = 1)
+SELECT atlas_person_id, person_id, type, value, scope AS identity_type_type, {_CLASS}, {_TAIL.replace(uuid_sql('atlas_person_id', 'type', 'value'), uuid_sql('atlas_person_id', 'type', 'key'))} FROM one""")
 def _(t: Tables):
     raw = t.contacts.withColumn("person_id", F.col("id"))
     return identities.build_person_identities(raw, t.people, CTX, dupes(t))
@@ -206,7 +212,7 @@ FROM {CONTACTS} WHERE name <> 'Prince' AND name IS NOT NULL AND trim(name) <> ''
 def _(t: Tables):
     from rosterlift.functions.codes import country_name
     raw = t.contacts.withColumnRenamed("html", "description").withColumn("country", country_name("country_id"))
-    return companies.build_companies(raw, CTX, RELATIONSHIPS, RESTRICTIONS, "Prince", t.orders.selectExpr("o_custkey AS company_id"))
+    return companies.build_companies(raw, CTX, code_groups("status", RELATIONSHIPS, "none"), code_map("restriction", RESTRICTIONS, "none"), "Prince", t.orders.selectExpr("o_custkey AS company_id"))
 
 
 @query("e09_company_identities", f"""
@@ -230,11 +236,11 @@ WITH b AS (SELECT bh.id, p.id AS person_id, p.atlas_id AS atlas_person_id, bh.co
   UNION ALL SELECT bh.id, p.id, p.atlas_id, bh.company_id, c.atlas_id, bh.status, bh.title, bh.added_at FROM {_CLIENTS} bh JOIN {COMPANIES} c ON c.id = bh.company_id
     JOIN {PEOPLE} p ON p.id = bh.person_id WHERE bh.person_id NOT IN (SELECT contact_id FROM {DUPES}))
 SELECT id, {id_sql("'companycontact'", 'id')} AS atlas_id, person_id, atlas_person_id, company_id, atlas_company_id, {d_iso('added_at')} AS created_at, {d_iso('added_at')} AS updated_at,
-  {sql_groups('status', CONTACT_RELATIONSHIPS, 'none')} AS relationship, coalesce(title, 'Missing Title') AS title, '{AGENCY}' AS agency_id
+  {sql_map('status', CONTACT_RELATIONSHIPS, 'none')} AS relationship, coalesce(title, 'Missing Title') AS title, '{AGENCY}' AS agency_id
 FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY added_at DESC, id) AS rn FROM b) WHERE rn = 1""")
 def _(t: Tables):
     raw = t.contacts.selectExpr("id", "CAST(owner_id * 4 AS BIGINT) AS person_id", "id AS company_id", "status", "nullif(city, '') AS title", "added_at")
-    return companies.build_company_contacts(raw, t.companies, t.people, CTX, CONTACT_RELATIONSHIPS, dupes(t))
+    return companies.build_company_contacts(raw, t.companies, t.people, CTX, code_map("status", CONTACT_RELATIONSHIPS, "none"), dupes(t))
 
 
 _LINKS = "(SELECT DISTINCT l.l_suppkey AS person_id, o.o_custkey AS company_id FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)"
@@ -336,19 +342,19 @@ WITH f AS (SELECT * FROM {POSTINGS} WHERE id NOT IN (SELECT DISTINCT linked_id F
 s AS (SELECT f.*, c.atlas_id AS atlas_company_id, coalesce(u.atlas_id, '{MASTER}') AS atlas_owner_id, CASE WHEN f.added_at IS NULL THEN 'closed' ELSE {_STATE.replace('status', 'f.status')} END AS st
       FROM f JOIN {COMPANIES} c ON c.id = f.company_id LEFT JOIN {USERS} u ON u.id = f.owner_id)
 SELECT {id_sql('id')} AS atlas_id, id, {d_iso('added_at')} AS created_at, {d_iso('added_at')} AS updated_at, CASE WHEN st = 'closed' THEN coalesce({d_iso('closed_at')}, {d_iso('added_at')}) END AS closed_at,
-  title AS job_role, {sql_groups('employment_type', CONTRACTS, 'full_time')} AS contract_type, salary, {d_tags('public_description')} AS job_description, {d_tags('description')} AS notes,
+  title AS job_role, {sql_map('employment_type', CONTRACTS, 'full_time')} AS contract_type, salary, {d_tags('public_description')} AS job_description, {d_tags('description')} AS notes,
   owner_id, atlas_owner_id, company_id, atlas_company_id, st AS state, CASE WHEN st = 'closed' THEN {sql_groups('status', CLOSE_REASONS, 'worked_lost')} END AS close_reason,
   {d_locality('address1', 'address2', 'city', 'state', 'zip')} AS location_locality, {_letters('address1')} AS location_street_address, {_letters('city')} AS location_metro,
   {_letters('state')} AS location_region, CASE WHEN regexp_matches(trim(zip), '^[0-9]{{3,}}$') THEN trim(zip) END AS location_postal_code, id AS job_number, 'project' AS class_type FROM s""")
 def _(t: Tables):
-    return projects.build_projects(t.postings, t.companies, t.users, CTX, CONTRACTS, PROJECT_STATES, CLOSE_REASONS)
+    return projects.build_projects(t.postings, t.companies, t.users, CTX, code_map("employment_type", CONTRACTS, "full_time"),
+                                   project_state(F.col("status"), PROJECT_STATES, CLOSE_REASONS, iso("closed_at"), iso("added_at")))
 
 
 @query("e14_unique_job_numbers", f"""
 SELECT id, CASE WHEN row_number() OVER (PARTITION BY job_number ORDER BY created_at, id) = 1 THEN job_number END AS job_number
 FROM (SELECT id, id % 900 AS job_number, {d_iso('added_at')} AS created_at FROM {POSTINGS})""")
 def _(t: Tables):
-    from rosterlift.functions.dates import iso
     rows = t.postings.select("id", (F.col("id") % 900).alias("job_number"), iso("added_at").alias("created_at"))
     return projects.unique_job_numbers(rows).select("id", "job_number")
 
@@ -391,7 +397,7 @@ SELECT id, {id_sql('id')} AS atlas_id, {d_iso('added_at')} AS created_at, {d_iso
   CASE WHEN kind IS NOT NULL THEN owner_id END AS rejected_by_id, CASE WHEN kind IS NOT NULL THEN atlas_owner_id END AS atlas_rejected_by_id, owner_id, atlas_owner_id, st AS status,
   {d_iso('hired')} AS hired_at FROM w WHERE rn = 1""")
 def _(t: Tables):
-    return candidates.build_candidates(t.applications, t.projects, t.people, t.users, CTX, STATUS, REJECTION, REASON,
+    return candidates.build_candidates(t.applications, t.projects, t.people, t.users, CTX, marks(),
                                        t.applications.select("id", "status", "added_at"))
 
 
@@ -687,7 +693,7 @@ JOIN (SELECT *, {id_sql('id')} AS atlas_id FROM (SELECT *, row_number() OVER (PA
       WHERE project_id IN (SELECT id FROM {PROJECTS}) AND person_id IN (SELECT id FROM {PEOPLE})) WHERE rn = 1) c ON c.project_id = f.project_id AND c.person_id = f.candidate_id""")
 def _(t: Tables):
     paid = fees.build_project_fees(_placed(t), t.people, t.projects, fees.build_fee_types(t.spark, CTX), CTX)
-    held = candidates.build_candidates(t.applications, t.projects, t.people, t.users, CTX, STATUS, REJECTION, REASON)
+    held = candidates.build_candidates(t.applications, t.projects, t.people, t.users, CTX, marks())
     return candidates.build_placements(paid, held)
 
 
