@@ -1,6 +1,6 @@
-from .sinks import overwrite_table
+from .sinks import Outputs, overwrite_table
 from .tables import (SEEDS, SourceMap, TableReader, constant_row, empty_relation, literal_relation, read_seed,
                      read_shards, union_shards)
 
-__all__ = ["SEEDS", "SourceMap", "TableReader", "constant_row", "empty_relation", "literal_relation",
+__all__ = ["Outputs", "SEEDS", "SourceMap", "TableReader", "constant_row", "empty_relation", "literal_relation",
            "overwrite_table", "read_seed", "read_shards", "union_shards"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -17,3 +18,24 @@ def overwrite_table(df: DataFrame, path: str, cluster_by: Sequence[str] = (), fi
         ranged = df.repartitionByRange(files, *cluster_by) if files else df.repartitionByRange(*cluster_by)
         df = ranged.sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").parquet(path)
+
+
+@dataclass
+class Outputs:
+    """The tables of a run, in the order they were built.
+
+    With a folder each table is written when it is added, and what builds on it reads the stored rows: nothing is
+    computed twice, and a lost executor costs one table's work at most. Without one the tables stay lazy.
+    """
+
+    folder: str | None = None
+    cluster_by: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+
+    def add(self, name: str, df: DataFrame) -> DataFrame:
+        if self.folder is not None:
+            path = f"{self.folder}/{name}"
+            overwrite_table(df, path, self.cluster_by.get(name, ()))
+            df = df.sparkSession.read.schema(df.schema).parquet(path)
+        self.tables[name] = df
+        return df

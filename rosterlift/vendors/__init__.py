@@ -1,7 +1,7 @@
 """Mapping configurations: how each vendor's export feeds the builders.
 
-``tables(read, ctx)`` of a vendor returns its canonical tables by name, lazily; ``read`` gives a source table by name
-(a ``TableReader``, or any function of that shape).
+``tables(read, ctx, out)`` of a vendor adds its canonical tables to ``out`` by name; ``read`` gives a source table by
+name (a ``TableReader``, or any function of that shape).
 """
 
 from __future__ import annotations
@@ -12,12 +12,16 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from ..context import RunContext
+from ..sources.sinks import Outputs
 from . import bullhorn, ezekia, recruit_crm
 
-VENDORS: dict[str, Callable[..., dict[str, DataFrame]]] = {
+VENDORS: dict[str, Callable[..., None]] = {
     "bullhorn": bullhorn.tables, "ezekia": ezekia.tables, "recruit_crm": recruit_crm.tables}
 
 
-def migrate(vendor: str, read: Callable[[str], DataFrame], ctx: RunContext, **options: Any) -> dict[str, DataFrame]:
-    """Every canonical table a vendor's export gives."""
-    return VENDORS[vendor](read, ctx, **options)
+def migrate(vendor: str, read: Callable[[str], DataFrame], ctx: RunContext, folder: str | None = None,
+            **options: Any) -> dict[str, DataFrame]:
+    """Every canonical table a vendor's export gives; stored as ``folder/<table>`` when a folder is given."""
+    out = Outputs(folder)
+    VENDORS[vendor](read, ctx, out, **options)
+    return out.tables

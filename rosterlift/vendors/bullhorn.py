@@ -23,6 +23,7 @@ from ..plans.identities import build_company_identities, build_person_identities
 from ..plans.notes import build_meetings, build_person_notes
 from ..plans.people import build_people, build_users, duplicate_people, import_scope
 from ..plans.projects import build_project_company_contacts, build_projects
+from ..sources.sinks import Outputs
 from ..sources.tables import SourceMap
 
 _ADDED, _MODIFIED = "try_cast(dateadded AS timestamp)", "try_cast(datelastmodified AS timestamp)"
@@ -127,52 +128,48 @@ def company_scope(read: Callable[[str], DataFrame]) -> DataFrame:
                         "company_id")
 
 
-def tables(read: Callable[[str], DataFrame], ctx: RunContext, prior_users: DataFrame | None = None,
-           scoped: bool = True) -> dict[str, DataFrame]:
+def tables(read: Callable[[str], DataFrame], ctx: RunContext, out: Outputs, prior_users: DataFrame | None = None,
+           scoped: bool = True) -> None:
     """``scoped`` keeps only people and companies with some activity."""
-    contacts, comments = CONTACTS.read(read), COMMENTS.read(read)
+    comments = COMMENTS.read(read)
     user_ids = read("bh_usercontact").select(F.col("userid").alias("id"))
-    people_scope = import_scope(user_ids, "id", [(read("bh_usercomment"), "userid"), (read("bh_client"), "userid")],
-                                "person_id")
-    companies_scope = company_scope(read)
-    dupes = duplicate_people(LINKED.read(read), read("bh_client"), "userid")
-
-    users = build_users(USERS.read(read), ctx, prior_users)
-    people = build_people(PEOPLE.read(read).withColumn("country", country_name("country_id")), ctx,
-                          people_scope if scoped else None, dupes, users)
-    companies = build_companies(
+    seen = [(read("bh_usercomment"), "userid"), (read("bh_client"), "userid")]
+    people_scope = out.add("people_to_import", import_scope(user_ids, "id", seen, "person_id"))
+    companies_scope = out.add("companies_to_import", company_scope(read))
+    dupes = out.add("people_dupes", duplicate_people(LINKED.read(read), read("bh_client"), "userid"))
+
+    users = out.add("users", build_users(USERS.read(read), ctx, prior_users))
+    people = out.add("people", build_people(
+        PEOPLE.read(read).withColumn("country", country_name("country_id")), ctx, people_scope if scoped else None,
+        dupes, users))
+    companies = out.add("companies", build_companies(
         COMPANIES.read(read).withColumn("country", country_name("country_id")), ctx,
         code_groups("status", COMPANY_STATUS, "none"), code_map("restriction", RESTRICTIONS, "none"),
-        scope=companies_scope if scoped else None)
-    titled = contacts.join(read("bh_usercontact").select(F.col("userid").alias("person_id"),
-                                                         F.col("occupation").alias("title")), "person_id")
-    company_contacts = build_company_contacts(titled, companies, people, ctx, code_map("status", CONTACT_STATUS, "none"),
-                                              dupes)
-    projects = build_projects(
+        scope=companies_scope if scoped else None))
+    titles = read("bh_usercontact").select("userid", F.col("occupation"))
+    titled = fk_map(CONTACTS.read(read), "person_id", titles, "occupation", "title", "userid", policy="exclude")
+    contacts = out.add("company_contacts", build_company_contacts(
+        titled, companies, people, ctx, code_map("status", CONTACT_STATUS, "none"), dupes))
+    projects = out.add("projects", build_projects(
         PROJECTS.read(read), companies, users, ctx, code_map("employment_type", CONTRACT_TYPES, "full_time"),
-        project_state(F.col("status"), PROJECT_STATES, CLOSE_REASONS, iso("closed_at"), iso("added_at")))
+        project_state(F.col("status"), PROJECT_STATES, CLOSE_REASONS, iso("closed_at"), iso("added_at"))))
     marks = outcome(F.lower(F.trim("status")), _by_code(CANDIDATE_STATUS), _by_code(REJECTION_TYPES), REJECTION_REASONS,
                     iso("added_at"), default_status=None)
-    candidates = build_candidates(CANDIDATES.read(read), projects, people, users, ctx, marks, HISTORY.read(read))
-    fee_types = build_fee_types(read("bh_usercontact").sparkSession, ctx)
-    fees = build_project_fees(PLACEMENTS.read(read), people, projects, fee_types, ctx)
-    return {
-        "users": users, "people_to_import": people_scope, "companies_to_import": companies_scope, "people_dupes": dupes,
-        "people": people, "person_identities": build_person_identities(IDENTITIES.read(read), people, ctx, dupes),
-        "companies": companies,
-        "company_identities": build_company_identities(COMPANY_IDENTITIES.read(read), companies, ctx),
-        "company_contacts": company_contacts,
-        "person_notes": build_person_notes(comments, people, users, ctx, dupes),
-        "company_notes": company_notes(COMPANY_NOTES.read(read), companies, ctx),
-        "experiences": build_experiences(EXPERIENCES.read(read), people, companies, ctx, dupes),
-        "educations": build_educations(EDUCATIONS.read(read), people, ctx, dupes),
-        "projects": projects,
-        "project_company_contacts": build_project_company_contacts(PROJECT_CONTACTS.read(read), company_contacts, projects),
-        "candidates": candidates, "meetings": build_meetings(comments, people, users, ctx, dupes),
-        "fee_types": fee_types, "project_fees": fees, "placements": build_placements(fees, candidates),
-        "project_fee_splits": build_fee_splits(commissions(read), projects, users, fee_types, ctx),
-        "file_person_mapping": build_file_mapping(files(read), people),
-    }
+    candidates = out.add("candidates", build_candidates(
+        CANDIDATES.read(read), projects, people, users, ctx, marks, HISTORY.read(read)))
+    fee_types = out.add("fee_types", build_fee_types(comments.sparkSession, ctx))
+    fees = out.add("project_fees", build_project_fees(PLACEMENTS.read(read), people, projects, fee_types, ctx))
+    out.add("placements", build_placements(fees, candidates))
+    out.add("project_fee_splits", build_fee_splits(commissions(read), projects, users, fee_types, ctx))
+    out.add("person_identities", build_person_identities(IDENTITIES.read(read), people, ctx, dupes))
+    out.add("company_identities", build_company_identities(COMPANY_IDENTITIES.read(read), companies, ctx))
+    out.add("person_notes", build_person_notes(comments, people, users, ctx, dupes))
+    out.add("company_notes", company_notes(COMPANY_NOTES.read(read), companies, ctx))
+    out.add("meetings", build_meetings(comments, people, users, ctx, dupes))
+    out.add("experiences", build_experiences(EXPERIENCES.read(read), people, companies, ctx, dupes))
+    out.add("educations", build_educations(EDUCATIONS.read(read), people, ctx, dupes))
+    out.add("project_company_contacts", build_project_company_contacts(PROJECT_CONTACTS.read(read), contacts, projects))
+    out.add("file_person_mapping", build_file_mapping(files(read), people))
 
 
 def company_notes(raw: DataFrame, companies: DataFrame, ctx: RunContext) -> DataFrame:

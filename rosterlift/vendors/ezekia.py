@@ -24,6 +24,7 @@ from ..plans.candidates import build_candidates_from_history
 from ..plans.identities import CLASS_TYPES
 from ..plans.notes import build_channel_meetings, build_email_notes
 from ..plans.salaries import build_salaries_with_bonus
+from ..sources.sinks import Outputs
 
 # What the vendor's status tags mean.
 STATUS = {
@@ -235,36 +236,43 @@ def person_notes(read: Read, people: DataFrame, users: DataFrame, ctx: RunContex
     return written.unionByName(build_email_notes(mails, links, people, users, ctx))
 
 
-def tables(read: Read, ctx: RunContext, prior_users: DataFrame,
-           fallback_company: str | None = None) -> dict[str, DataFrame]:
-    ours, staff = people(read, ctx), users(read, ctx, prior_users)
-    firms = companies(read, ctx)
-    jobs = projects(read, firms, staff, ctx, fallback_company)
-    contacts = company_contacts(read, ours, firms, ctx)
-    briefs = read("briefs_candidates")
-    owner = F.coalesce(F.nullif(F.trim(F.col("added_by").cast("string")), F.lit("")), F.lit("1"))
-    raw = briefs.select("id", F.col("brief_id").alias("project_id"), "person_id", owner.alias("owner"),
-                        _ts("created_at").alias("created_at"), _ts("updated_at").alias("updated_at"))
-    meetings = read("meetings").select(
+def meetings(read: Read) -> DataFrame:
+    return read("meetings").select(
         "id", F.col("user_id").cast("string").alias("created_by_id"), "channel_type", "channel_id",
         F.coalesce("details", "agenda", "note").alias("details"),
         F.coalesce(_ts("start_date"), _ts("start_date_utc")).alias("start_at"),
         F.coalesce(_ts("end_date_utc"), _ts("end_date")).alias("end_at"), _ts("created_at").alias("created_at"),
         _ts("updated_at").alias("updated_at"))
-    aspirations = read("people_aspirations").select(
+
+
+def salaries(read: Read) -> DataFrame:
+    """Permanent aspirations with the person and the notes of the aspiration they belong to."""
+    wishes = read("people_aspirations").select(
         F.col("id").alias("aspiration_id"), "person_id", F.col("summary").alias("notes"), F.col("base").alias("_base"),
         F.col("bonus").alias("_bonus"), _ts("created_at").alias("created_at"), _ts("updated_at").alias("updated_at"))
-    pay = read("aspirations_permanent").select("id", "aspiration_id", "base", "bonus", "currency").join(
-        aspirations, "aspiration_id")
-    pay = pay.withColumns({"base": F.coalesce("_base", "base"), "bonus": F.coalesce("bonus", "_bonus")})
-    return {
-        "users": staff, "people": ours, "person_identities": person_identities(read, ours, ctx), "companies": firms,
-        "company_identities": company_identities(read, firms, ctx), "company_contacts": contacts,
-        "company_notes": company_notes(read, firms, staff, ctx), "experiences": experiences(read, ours, firms, ctx),
-        "educations": educations(read, ours, ctx), "projects": jobs,
-        "candidates": build_candidates_from_history(raw, history(read), jobs, ours, staff, ctx, STATUS, REJECTION,
-                                                    NOT_STANDING),
-        "person_notes": person_notes(read, ours, staff, ctx),
-        "meetings": build_channel_meetings(meetings, raw, ours, staff, ctx),
-        "person_salaries": build_salaries_with_bonus(pay, ours, ctx),
-    }
+    pay = read("aspirations_permanent").select("id", "aspiration_id", "base", "bonus", "currency")
+    return pay.join(wishes, "aspiration_id").withColumns({
+        "base": F.coalesce("_base", "base"), "bonus": F.coalesce("bonus", "_bonus")})
+
+
+def tables(read: Read, ctx: RunContext, out: Outputs, prior_users: DataFrame,
+           fallback_company: str | None = None) -> None:
+    """``prior_users``: id, name, email, status of the staff the target knows."""
+    staff = out.add("users", users(read, ctx, prior_users))
+    ours, firms = out.add("people", people(read, ctx)), out.add("companies", companies(read, ctx))
+    jobs = out.add("projects", projects(read, firms, staff, ctx, fallback_company))
+    owner = F.coalesce(F.nullif(F.trim(F.col("added_by").cast("string")), F.lit("")), F.lit("1"))
+    candidacies = read("briefs_candidates").select(
+        "id", F.col("brief_id").alias("project_id"), "person_id", owner.alias("owner"),
+        _ts("created_at").alias("created_at"), _ts("updated_at").alias("updated_at"))
+    out.add("person_identities", person_identities(read, ours, ctx))
+    out.add("company_identities", company_identities(read, firms, ctx))
+    out.add("company_contacts", company_contacts(read, ours, firms, ctx))
+    out.add("company_notes", company_notes(read, firms, staff, ctx))
+    out.add("experiences", experiences(read, ours, firms, ctx))
+    out.add("educations", educations(read, ours, ctx))
+    out.add("candidates", build_candidates_from_history(candidacies, history(read), jobs, ours, staff, ctx, STATUS,
+                                                        REJECTION, NOT_STANDING))
+    out.add("person_notes", person_notes(read, ours, staff, ctx))
+    out.add("meetings", build_channel_meetings(meetings(read), candidacies, ours, staff, ctx))
+    out.add("person_salaries", build_salaries_with_bonus(salaries(read), ours, ctx))

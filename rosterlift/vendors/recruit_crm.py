@@ -21,6 +21,7 @@ from ..operators.numbering import number_within
 from ..operators.reshape import union_all, unpivot
 from ..plans.identities import CLASS_TYPES
 from ..plans.people import build_people_from_two_lists
+from ..sources.sinks import Outputs
 from ..sources.tables import SourceMap
 
 Read = Callable[[str], DataFrame]
@@ -275,28 +276,26 @@ def hotlist_values(links: DataFrame, link_key: str, owners: DataFrame, owner_key
         F.lit(ctx.midnight_iso).alias("created_at"), F.lit(ctx.midnight_iso).alias("updated_at"))
 
 
-def tables(read: Read, ctx: RunContext, users: DataFrame, work_history: DataFrame, education_history: DataFrame,
-           leads_lost_before: str | None = None) -> dict[str, DataFrame]:
+def tables(read: Read, ctx: RunContext, out: Outputs, users: DataFrame, work_history: DataFrame,
+           education_history: DataFrame, leads_lost_before: str | None = None) -> None:
     """``users``: the user mapping seed. The two histories are the united shards (``read_shards``)."""
-    people = build_people_from_two_lists(CANDIDATES.read(read), CONTACTS.read(read), ctx)
-    firms = companies(read, ctx)
-    jobs = projects(read, firms, users, ctx, leads_lost_before)
-    contacts = company_contacts(read, people, firms, ctx)
-    attributes = custom_attributes(read, ctx)
-    options = custom_attribute_options(read, attributes, ctx)
-    lists = {"person": [("candidate_hotlist_data", "candidate_slug", people, "candidate_id"),
-                        ("contact_hotlist_data", "contact_slug", people, "contact_id")],
-             "company": [("company_hotlist_data", "company_slug", firms, "id")]}
-    values = {entity: union_all(*[hotlist_values(read(t), k, owners, o, options, entity, ctx)
-                                  for t, k, owners, o in parts]) for entity, parts in lists.items()}
-    return {
-        "people": people, "person_identities": person_identities(read, people, ctx), "companies": firms,
-        "company_identities": company_identities(read, firms, ctx), "company_contacts": contacts,
-        "experiences": experiences(work_history, people, firms, ctx),
-        "educations": educations(education_history, people, ctx), "projects": jobs,
-        "project_company_contacts": project_company_contacts(read, people, contacts, jobs),
-        "candidates": candidates(read, people, jobs, users, ctx),
-        "person_notes": person_notes(read, people, users, ctx), "company_notes": company_notes(read, firms, users, ctx),
-        "custom_attributes": attributes, "custom_attribute_options": options,
-        "person_custom_attribute_values": values["person"], "company_custom_attribute_values": values["company"],
-    }
+    people = out.add("people", build_people_from_two_lists(CANDIDATES.read(read), CONTACTS.read(read), ctx))
+    firms = out.add("companies", companies(read, ctx))
+    jobs = out.add("projects", projects(read, firms, users, ctx, leads_lost_before))
+    contacts = out.add("company_contacts", company_contacts(read, people, firms, ctx))
+    attributes = out.add("custom_attributes", custom_attributes(read, ctx))
+    options = out.add("custom_attribute_options", custom_attribute_options(read, attributes, ctx))
+    memberships = {"person": [("candidate_hotlist_data", "candidate_slug", people, "candidate_id"),
+                              ("contact_hotlist_data", "contact_slug", people, "contact_id")],
+                   "company": [("company_hotlist_data", "company_slug", firms, "id")]}
+    for entity, parts in memberships.items():
+        out.add(f"{entity}_custom_attribute_values", union_all(*[
+            hotlist_values(read(t), key, owners, o, options, entity, ctx) for t, key, owners, o in parts]))
+    out.add("person_identities", person_identities(read, people, ctx))
+    out.add("company_identities", company_identities(read, firms, ctx))
+    out.add("experiences", experiences(work_history, people, firms, ctx))
+    out.add("educations", educations(education_history, people, ctx))
+    out.add("project_company_contacts", project_company_contacts(read, people, contacts, jobs))
+    out.add("candidates", candidates(read, people, jobs, users, ctx))
+    out.add("person_notes", person_notes(read, people, users, ctx))
+    out.add("company_notes", company_notes(read, firms, users, ctx))

@@ -61,9 +61,9 @@ BULLHORN = {
 }
 
 
-def test_bullhorn(export, ctx):
+def test_bullhorn(export, ctx, tmp_path):
     ctx = RunContext(ctx.client, ctx.agency_id, ctx.master_id, ctx.domain, ctx.run_ts, {"notes": ["note"], "meetings": ["interview"]})
-    got = migrate("bullhorn", export(BULLHORN), ctx)
+    got = migrate("bullhorn", export(BULLHORN), ctx, str(tmp_path))
     assert {(r.id, r.email) for r in got["users"].collect()} == {(4, "sue@corp.example.com"), (7, "kim@corp.example.com")}
     assert ids(got["people"]) == [1]  # 2 is a duplicate of 1, 3 a placeholder, 4 staff, 5 deleted, 6 without activity
     assert {(r.id, r.restriction_type, r.relationship) for r in got["companies"].collect()} == {(10, "hard", "client"), (11, "none", "none")}
@@ -125,9 +125,9 @@ EZEKIA = {
 }
 
 
-def test_ezekia(spark, export, ctx):
+def test_ezekia(spark, export, ctx, tmp_path):
     prior = spark.createDataFrame([("known-1", "Sue S", "sue@corp.example.com", "active")], "id string, name string, email string, status string")
-    got = migrate("ezekia", export(EZEKIA), ctx, prior_users=prior, fallback_company="none")
+    got = migrate("ezekia", export(EZEKIA), ctx, str(tmp_path), prior_users=prior, fallback_company="none")
     assert [tuple(r) for r in got["users"].collect()] == [("1", "known-1", "Sue S", "sue@corp.example.com", "active")]
     assert {r.id: r.location_locality for r in got["people"].collect()} == {1: "Rome", 2: None}
     assert {r.id: (r.company_size, r.relationship) for r in got["companies"].collect()} == {10: ("51-200", "client"), 11: (None, "none")}
@@ -169,14 +169,14 @@ RECRUIT_CRM = {
 }
 
 
-def test_recruit_crm(spark, export, ctx):
+def test_recruit_crm(spark, export, ctx, tmp_path):
     users = spark.createDataFrame([("s@x.com", "Sue", 7, "u-7")], "email string, name string, id long, atlas_id string")
     work = spark.createDataFrame([("a1", "2020-01-01", None, "Dev", None, " acme", "work_history_1_data"), ("a1", "2020-01-01", None, "Dev", None, "acme", "work_history_2_data"),
                                   ("a2", None, None, "Ops", None, "Else", "x")],
                                  "candidate_slug string, work_start_date string, work_end_date string, title string, description string, work_company_name string, source_table string")
     study = spark.createDataFrame([("a2", "MIT", "BSc", "Maths", None, "2000-01-01", None)],
                                   "candidate_slug string, institute_name string, educational_qualification string, educational_specialization string, education_description string, education_start_date string, education_end_date string")
-    got = migrate("recruit_crm", export(RECRUIT_CRM), ctx, users=users, work_history=work, education_history=study, leads_lost_before="2025-03-01T00:00:00")
+    got = migrate("recruit_crm", export(RECRUIT_CRM), ctx, str(tmp_path), users=users, work_history=work, education_history=study, leads_lost_before="2025-03-01T00:00:00")
     assert {(r.id, r.contact_id, r.location_locality) for r in got["people"].collect()} == {("a1", "c1", "Rome Italy"), ("a2", None, "Via 1"), ("ccc2", "c2", "Pisa PI")}
     assert {(r.person_id, r.type, r.value, r.identity_type_type) for r in got["person_identities"].collect()} == {
         ("a1", "email", "ann@x.com", "personal"), ("a1", "phone", "+441", "personal"), ("a1", "github", "github.com/ann", "personal"), ("a1", "linkedin", "linkedin.com/in/ann", "personal"),
@@ -200,5 +200,10 @@ def test_recruit_crm(spark, export, ctx):
         assert [(r.rule, r.column_name) for r in failed] == [], name
 
 
+def test_tables_stay_lazy_without_a_folder(export, ctx):
+    got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
+    assert ids(got["people"]) == [1, 6]
+
+
 def test_every_vendor_is_tested():
     assert {f"test_{v}" for v in VENDORS} <= set(globals())
