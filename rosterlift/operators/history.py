@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedupe import keep_first, priority
+from .joins import one_per_key
 
 
 def latest_status(df: DataFrame, keys: Sequence[str], status: str, ts: str, event_id: str) -> DataFrame:
@@ -59,7 +60,7 @@ def last_time(df: DataFrame, key: str, keep: Column, ts: str, name: str) -> Data
 
 def override_by_link(df: DataFrame, keys: Sequence[str], links: DataFrame, column: str, value: str) -> DataFrame:
     """Rows whose keys appear in ``links`` take ``value``; the others keep their own."""
-    marks = links.select(*keys).dropna().distinct().withColumn("_linked", F.lit(True))
+    marks = one_per_key(links.dropna(subset=list(keys)), [F.col(k) for k in keys]).withColumn("_linked", F.lit(True))
     joined = df.join(marks, list(keys), "left")
     return joined.withColumn(column, F.when(F.col("_linked"), value).otherwise(F.col(column))).drop("_linked")
 

@@ -20,6 +20,18 @@ def _c(value: Key) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def one_per_key(df: DataFrame, keys: Sequence[Column], *aggregates: Column) -> DataFrame:
+    """One row per key, for use as the looked-up side of a join; without aggregates the distinct keys.
+
+    The keys are grouped as one struct and taken apart afterwards. Spark then exchanges the small grouped side once
+    more for the join, and the join's inputs are plain exchanges, which is what lets it split a hot key of the other
+    side over many tasks. Grouping on the join keys themselves would save that exchange and lose the splitting.
+    """
+    packed = F.struct(*keys).alias("_keys")
+    grouped = df.groupBy(packed).agg(*aggregates) if aggregates else df.select(packed).distinct()
+    return grouped.select("_keys.*", *[c for c in grouped.columns if c != "_keys"])
+
+
 def fk_map(df: DataFrame, key: Key, ref: DataFrame, value: str, name: str, ref_key: str = "id",
            default: Column | str | None = None, policy: str = "default") -> DataFrame:
     """Add ``name``: the ``value`` of the referenced row.
@@ -45,7 +57,7 @@ def drop_orphans(df: DataFrame, key: Key, ref: DataFrame, ref_key: str = "id") -
 
 def exclude(df: DataFrame, key: Key, ref: DataFrame, ref_key: str = "id") -> DataFrame:
     """Rows whose key does not exist in ``ref``. A row without a key stays."""
-    keys = ref.select(F.col(ref_key).alias("_fk")).where("_fk IS NOT NULL").distinct()
+    keys = one_per_key(ref.where(F.col(ref_key).isNotNull()), [F.col(ref_key).alias("_fk")])
     return df.join(keys, _c(key) == F.col("_fk"), "left_anti")
 
 
@@ -55,13 +67,14 @@ def keep_any(df: DataFrame, key: Key, *refs: tuple[DataFrame, str]) -> DataFrame
     Activity tables repeat their keys; they are reduced to distinct keys before the join, since a semi join cannot
     split a hot key of its right side.
     """
-    keys = reduce(DataFrame.union, [r.select(F.col(k).alias("_fk")) for r, k in refs]).distinct()
+    keys = reduce(DataFrame.union, [r.select(F.col(k).alias("_fk")) for r, k in refs])
+    keys = one_per_key(keys, [F.col("_fk")])
     return df.join(keys, _c(key) == F.col("_fk"), "left_semi")
 
 
 def exists_flag(df: DataFrame, key: Key, ref: DataFrame, ref_key: str, name: str) -> DataFrame:
     """Whether the key exists in ``ref``, as a column."""
-    keys = ref.select(F.col(ref_key).alias("_fk")).where("_fk IS NOT NULL").distinct()
+    keys = one_per_key(ref.where(F.col(ref_key).isNotNull()), [F.col(ref_key).alias("_fk")])
     joined = df.join(keys, _c(key) == F.col("_fk"), "left")
     return joined.withColumn(name, F.col("_fk").isNotNull()).drop("_fk")
 
@@ -75,8 +88,8 @@ def lookup_by_text(df: DataFrame, key: Key, ref: DataFrame, ref_text: Key, value
         return F.nullif(F.lower(F.trim(_c(c).cast("string"))), F.lit(""))
 
     columns = list(values.values())
-    best = (ref.select(norm(ref_text).alias("_text"), F.struct(*columns).alias("_row")).where("_text IS NOT NULL")
-            .groupBy("_text").agg(F.min("_row").alias("_row")))
+    named = ref.select(norm(ref_text).alias("_text"), F.struct(*columns).alias("_row")).where("_text IS NOT NULL")
+    best = one_per_key(named, [F.col("_text")], F.min("_row").alias("_row"))
     joined = df.join(best, norm(key) == F.col("_text"), "left")
     return joined.select(*df.columns, *[F.col(f"_row.{src}").alias(new) for new, src in values.items()])
 
@@ -89,8 +102,8 @@ def lookup_chain(df: DataFrame, key: Key, ref: DataFrame, ref_keys: Sequence[Key
     """
     entries = F.explode(F.array(*[F.struct(F.lit(i).alias("rank"), _c(k).cast("string").alias("key"),
                                            F.col(value).alias("value")) for i, k in enumerate(ref_keys)]))
-    best = (ref.select(entries.alias("_e")).select("_e.*").where("key IS NOT NULL")
-            .groupBy(F.col("key").alias("_key")).agg(F.min(F.struct("rank", "value")).alias("_best")))
+    known = ref.select(entries.alias("_e")).select("_e.*").where("key IS NOT NULL")
+    best = one_per_key(known, [F.col("key").alias("_key")], F.min(F.struct("rank", "value")).alias("_best"))
     joined = df.join(best, _c(key).cast("string") == F.col("_key"), "left")
     found = F.col("_best.value") if default is None else F.coalesce(F.col("_best.value"), default)
     return joined.select(*df.columns, found.alias(name))
@@ -110,8 +123,8 @@ def match_any_key(left: DataFrame, left_id: str, right: DataFrame, right_id: str
         return (df.select(F.col(row_id).alias("_id"), F.explode(F.array(*cells)).alias("_k"))
                 .select("_id", "_k.kind", "_k.key").where("key IS NOT NULL"))
 
-    lookup = (long(right, right_id, [(k, r) for k, _, r in keys])
-              .groupBy("kind", "key").agg(F.min("_id").alias("_match")))
+    lookup = one_per_key(long(right, right_id, [(k, r) for k, _, r in keys]), [F.col("kind"), F.col("key")],
+                         F.min("_id").alias("_match"))
     probe = long(left, left_id, [(k, lft) for k, lft, _ in keys])
     return (probe.join(lookup, ["kind", "key"]).groupBy(F.col("_id").alias(left_id))
             .agg(F.min("_match").alias("match_id")))
@@ -126,8 +139,8 @@ def match_id_or_external(left: DataFrame, row_id: str, own_key: Key, external_ke
     by_id = (left.where(_c(own_key).isNotNull()).select(row_id, _c(own_key).alias("_k"))
              .join(right.select(F.col(right_id).alias("match_id")), F.col("_k") == F.col("match_id"))
              .select(row_id, "match_id"))
-    externals = (right.select(_c(right_external).alias("_x"), F.col(right_id).alias("_id")).where("_x IS NOT NULL")
-                 .groupBy("_x").agg(F.min("_id").alias("match_id")))
+    known = right.select(_c(right_external).alias("_x"), F.col(right_id).alias("_id")).where("_x IS NOT NULL")
+    externals = one_per_key(known, [F.col("_x")], F.min("_id").alias("match_id"))
     by_external = (left.where(_c(own_key).isNull()).select(row_id, _c(external_key).alias("_k"))
                    .join(externals, F.col("_k") == F.col("_x")).select(row_id, "match_id"))
     return by_id.unionByName(by_external)
@@ -136,7 +149,7 @@ def match_id_or_external(left: DataFrame, row_id: str, own_key: Key, external_ke
 def survivor_key(df: DataFrame, key: str, duplicates: DataFrame, duplicate: str = "contact_id",
                  survivor: str = "candidate_id") -> DataFrame:
     """Point rows of a duplicate person at the surviving one."""
-    mapping = duplicates.groupBy(F.col(duplicate).alias("_dup")).agg(F.min(survivor).alias("_survivor"))
+    mapping = one_per_key(duplicates, [F.col(duplicate).alias("_dup")], F.min(survivor).alias("_survivor"))
     joined = df.join(mapping, F.col(key) == F.col("_dup"), "left")
     return joined.withColumn(key, F.coalesce("_survivor", key)).drop("_dup", "_survivor")
 
@@ -166,17 +179,19 @@ def nearest_in_time(left: DataFrame, group: str, left_ts: str, right: DataFrame,
              .groupBy("_g", "_s").agg(F.max("_id").alias("_id"), F.max("_left").alias("_left"))
              .withColumn("_day", F.floor(F.col("_s") / 86400))
              .withColumn("_hit", F.when(F.col("_id").isNotNull(), F.struct("_s", "_id"))))
-    in_day = Window.partitionBy("_g", "_day").orderBy("_s")
+    def last_hit(value: str, keys: Sequence[str], order: Column, until: int) -> Column:
+        # the next hit is the last one in reverse order: only frames that grow take linear time
+        window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, until)
+        return F.last(value, True).over(window)
+
+    day = ["_g", "_day"]
     inside = marks.select(
-        "_g", "_day", "_s", "_left",
-        F.last("_hit", True).over(in_day.rowsBetween(Window.unboundedPreceding, 0)).alias("_prev"),
-        F.first("_hit", True).over(in_day.rowsBetween(0, Window.unboundedFollowing)).alias("_next")).where("_left")
+        "_g", "_day", "_s", "_left", last_hit("_hit", day, F.col("_s").asc(), 0).alias("_prev"),
+        last_hit("_hit", day, F.col("_s").desc(), 0).alias("_next")).where("_left")
     days = marks.groupBy("_g", "_day").agg(F.min("_hit").alias("_lo"), F.max("_hit").alias("_hi"))
-    over_days = Window.partitionBy("_g").orderBy("_day")
     across = days.select(
-        "_g", "_day",
-        F.last("_hi", True).over(over_days.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.first("_lo", True).over(over_days.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+        "_g", "_day", last_hit("_hi", ["_g"], F.col("_day").asc(), -1).alias("_before"),
+        last_hit("_lo", ["_g"], F.col("_day").desc(), -1).alias("_after"))
     found = inside.join(across, ["_g", "_day"])
     candidates = F.filter(F.array("_prev", "_next", "_before", "_after"), lambda h: h.isNotNull())
     ranked = F.transform(candidates, lambda h: F.struct((-F.abs(h["_s"] - F.col("_s"))).alias("closeness"),

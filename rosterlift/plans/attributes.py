@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..context import RunContext
 from ..functions.ids import uuid_from
 from ..functions.text import label_slug
-from ..operators.joins import fk_map
+from ..operators.joins import fk_map, one_per_key
 from ..operators.numbering import number_within
 from ..sources.tables import literal_relation
 
@@ -46,8 +46,8 @@ def build_attribute_values(held: DataFrame, options: DataFrame, attributes: Data
         return F.lower(column) if ignore_case else F.col(column)
 
     by_alias = attributes.select("alias", F.col("atlas_id").alias("atlas_custom_attribute_id"))
-    choices = (options.groupBy(F.col("atlas_attribute_id").alias("atlas_custom_attribute_id"), norm("value").alias("_v"))
-               .agg(F.min("atlas_id").alias("atlas_option_id")))
+    choices = one_per_key(options, [F.col("atlas_attribute_id").alias("atlas_custom_attribute_id"), norm("value").alias("_v")],
+                          F.min("atlas_id").alias("atlas_option_id"))
     rows = (held.where("value IS NOT NULL AND value <> ''").join(by_alias, "alias")
             .withColumn("_v", norm("value")).join(choices, ["atlas_custom_attribute_id", "_v"]))
     rows = fk_map(rows, "owner_id", owners, "atlas_id", "_owner", policy="exclude")

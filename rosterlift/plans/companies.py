@@ -15,7 +15,7 @@ from ..functions.location import location_locality
 from ..functions.predicates import not_blank
 from ..functions.text import html_to_markdown, scrub
 from ..operators.dedupe import keep_first
-from ..operators.joins import exists_flag, fk_map, keep_any, survivor_key
+from ..operators.joins import exists_flag, fk_map, keep_any, one_per_key, survivor_key
 
 MISSING_TITLE = "Missing Title"
 
@@ -66,7 +66,8 @@ def build_contacts_from_projects(links: DataFrame, positions: DataFrame, compani
     A contact employed at the company is a client; one company per person, those employing the person first.
     """
     pairs = links.select("person_id", "company_id").distinct()
-    held = (positions.where("is_active").groupBy("person_id", "company_id").agg(F.min("title").alias("title")))
+    held = one_per_key(positions.where("is_active"), [F.col("person_id"), F.col("company_id")],
+                       F.min("title").alias("title"))
     rows = pairs.join(held.withColumn("_held", F.lit(True)), ["person_id", "company_id"], "left")
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
     rows = fk_map(rows, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
@@ -98,7 +99,7 @@ def build_company_relationships(raw: DataFrame, companies: DataFrame, ctx: RunCo
                    policy="exclude")
     both = fk_map(child, "parent_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
     if users is not None:
-        by_name = users.groupBy(F.lower("name").alias("id")).agg(F.min("atlas_id").alias("atlas_id"))
+        by_name = one_per_key(users, [F.lower("name").alias("id")], F.min("atlas_id").alias("atlas_id"))
         both = fk_map(both, F.lower("created_by"), by_name, "atlas_id", "created_by_atlas_id",
                       default=ctx.master())
     else:

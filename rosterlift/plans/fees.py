@@ -10,7 +10,7 @@ from ..functions.dates import iso
 from ..functions.ids import uuid_from
 from ..functions.money import fee_amount, share_percent
 from ..functions.predicates import not_blank
-from ..operators.joins import fk_map, with_constant
+from ..operators.joins import fk_map, one_per_key, with_constant
 from ..sources.tables import constant_row
 
 
@@ -50,8 +50,8 @@ def build_project_fees(raw: DataFrame, people: DataFrame, projects: DataFrame, f
 def build_fee_splits(raw: DataFrame, projects: DataFrame, users: DataFrame, fee_types: DataFrame,
                      ctx: RunContext) -> DataFrame:
     """raw: id, project_id, email (of the earner), rate. Earners are found by their address."""
-    by_email = (users.select(F.nullif(F.lower(F.trim("email")), F.lit("")).alias("id"), "atlas_id")
-                .where("id IS NOT NULL").groupBy("id").agg(F.min("atlas_id").alias("atlas_id")))
+    address = F.nullif(F.lower(F.trim("email")), F.lit(""))
+    by_email = one_per_key(users.where(address.isNotNull()), [address.alias("id")], F.min("atlas_id").alias("atlas_id"))
     rows = fk_map(raw, F.lower(F.trim("email")), by_email, "atlas_id", "atlas_fee_earner_id", policy="exclude")
     rows = fk_map(rows, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
     rows = with_constant(rows, fee_types.select(F.col("atlas_id").alias("atlas_fee_type_id")))

@@ -18,7 +18,7 @@ from ..functions.ids import uuid_from
 from ..functions.predicates import not_blank
 from ..functions.text import clean_html
 from ..operators.dedupe import keep_first
-from ..operators.joins import fk_map
+from ..operators.joins import fk_map, one_per_key
 from ..operators.reshape import union_all
 from ..plans.candidates import build_candidates_from_history
 from ..plans.identities import CLASS_TYPES
@@ -192,8 +192,8 @@ def projects(read: Read, companies: DataFrame, users: DataFrame, ctx: RunContext
     rows = fk_map(rows, F.col("user_id").cast("string"), users, "atlas_id", "atlas_owner_id", default=ctx.master())
     rows = fk_map(rows, "client_id", companies, "atlas_id", "atlas_company_id",
                   default=F.lit(fallback_company).cast("string"))
-    ranges = (read("briefs_compensation_ranges").groupBy("brief_id")
-              .agg(F.min(F.struct("min", "max", "currency")).alias("_r")))
+    ranges = one_per_key(read("briefs_compensation_ranges"), [F.col("brief_id")],
+                         F.min(F.struct("min", "max", "currency")).alias("_r"))
     rows = fk_map(rows, "brief_id", ranges, "_r", "_r", "brief_id")
     ends = [F.col(f"_r.{c}").cast("string") for c in ("min", "max")]
     return rows.select(

@@ -16,7 +16,7 @@ from ..functions.location import prefer_filled
 from ..functions.predicates import not_blank
 from ..functions.text import clean_html
 from ..operators.dedupe import column_maxima, keep_first
-from ..operators.joins import fk_map, lookup_by_text, match_any_key
+from ..operators.joins import fk_map, lookup_by_text, match_any_key, one_per_key
 from ..operators.numbering import number_within
 from ..operators.reshape import union_all, unpivot
 from ..plans.identities import CLASS_TYPES
@@ -111,8 +111,7 @@ def company_identities(read: Read, companies: DataFrame, ctx: RunContext) -> Dat
 
 
 def company_contacts(read: Read, people: DataFrame, companies: DataFrame, ctx: RunContext) -> DataFrame:
-    by_contact = people.select(F.coalesce("contact_id", "id").alias("id"), "atlas_id")
-    by_contact = by_contact.groupBy("id").agg(F.min("atlas_id").alias("atlas_id"))
+    by_contact = one_per_key(people, [F.coalesce("contact_id", "id").alias("id")], F.min("atlas_id").alias("atlas_id"))
     rows = fk_map(read("contact_data"), "slug", by_contact, "atlas_id", "atlas_person_id", policy="exclude")
     rows = fk_map(rows, "company_slug", companies, "atlas_id", "atlas_company_id", policy="exclude")
     rows = keep_first(rows, ["slug"], [F.col("updated_on").desc_nulls_last(), F.col("company_slug").asc()])
@@ -156,11 +155,11 @@ def educations(shards: DataFrame, people: DataFrame, ctx: RunContext) -> DataFra
 def projects(read: Read, companies: DataFrame, users: DataFrame, ctx: RunContext,
              leads_lost_before: str | None = None) -> DataFrame:
     """Jobs with their description and latest note. Leads opened before a given day can be closed as lost."""
-    last = (read("assignment_data").groupBy("job_slug")
-            .agg(epoch_midnight(F.max(F.col("stage_date").try_cast("bigint"))).alias("assigned_at")))
-    texts = read("job_description_data").groupBy("job_slug").agg(F.min("job_description").alias("text"))
-    noted = (read("note_data").groupBy("related_to")
-             .agg(F.max_by("note", F.struct("created_on", "note_id")).alias("note")))
+    last = one_per_key(read("assignment_data"), [F.col("job_slug")],
+                       epoch_midnight(F.max(F.col("stage_date").try_cast("bigint"))).alias("assigned_at"))
+    texts = one_per_key(read("job_description_data"), [F.col("job_slug")], F.min("job_description").alias("text"))
+    noted = one_per_key(read("note_data"), [F.col("related_to")],
+                        F.max_by("note", F.struct("created_on", "note_id")).alias("note"))
     rows = read("job_data")
     for ref, value, key in ((last, "assigned_at", "job_slug"), (texts, "text", "job_slug"), (noted, "note", "related_to")):
         rows = fk_map(rows, "slug", ref, value, f"_{value}", key)
@@ -184,9 +183,10 @@ def projects(read: Read, companies: DataFrame, users: DataFrame, ctx: RunContext
 
 
 def project_company_contacts(read: Read, people: DataFrame, contacts: DataFrame, projects: DataFrame) -> DataFrame:
-    by_contact = people.where("contact_id IS NOT NULL").groupBy("contact_id").agg(F.min("atlas_id").alias("atlas_id"))
-    held = (contacts.groupBy("atlas_person_id")
-            .agg(F.min(F.struct("id", F.col("atlas_id").alias("aid"))).alias("_cc")))
+    by_contact = one_per_key(people.where("contact_id IS NOT NULL"), [F.col("contact_id")],
+                             F.min("atlas_id").alias("atlas_id"))
+    held = one_per_key(contacts, [F.col("atlas_person_id")],
+                       F.min(F.struct("id", F.col("atlas_id").alias("aid"))).alias("_cc"))
     rows = fk_map(read("job_data"), "contact_slug", by_contact, "atlas_id", "_person", "contact_id", policy="exclude")
     rows = fk_map(rows, "_person", held, "_cc", "_cc", "atlas_person_id", policy="exclude")
     rows = fk_map(rows, "slug", projects, "atlas_id", "atlas_project_id")
@@ -217,8 +217,8 @@ def _noted_by(rows: DataFrame, users: DataFrame, ctx: RunContext) -> DataFrame:
 
 def person_notes(read: Read, people: DataFrame, users: DataFrame, ctx: RunContext) -> DataFrame:
     """Call logs and notes on a person, one row per note id."""
-    by_key = (people.select(F.coalesce("contact_id", "candidate_id").alias("id"), "atlas_id").where("id IS NOT NULL")
-              .groupBy("id").agg(F.min("atlas_id").alias("atlas_id")))
+    key = F.coalesce("contact_id", "candidate_id")
+    by_key = one_per_key(people.where(key.isNotNull()), [key.alias("id")], F.min("atlas_id").alias("atlas_id"))
     person = F.coalesce("related_candidate", "related_contact").cast("string")
     authors = [F.col("created_by").alias("created_by_id"), F.col("updated_by").alias("updated_by_id")]
     calls = read("call_log_data").where(F.col("call_notes").isNotNull() & person.isNotNull()).select(
