@@ -22,7 +22,7 @@ def _none() -> Column:
     return F.lit(None).cast("string")
 
 
-def _cell(kind: str, value: Column, scope: Column, favourite: Column, source: str = "",
+def identity_cell(kind: str, value: Column, scope: Column, favourite: Column, source: str = "",
           reason: Column | None = None, key: Column | None = None) -> dict:
     """One branch of the unpivot. ``key`` is what the record id is made of, where that is not the value itself."""
     reason = _none() if reason is None else reason
@@ -43,25 +43,26 @@ def build_person_identities(raw: DataFrame, people: DataFrame, ctx: RunContext,
     private = is_personal_email(email)
     profile = F.coalesce(linkedin_norm("linkedin"), linkedin_norm("linkedin2"))
     branches = [
-        _cell("email", F.when(email.contains("@") & (F.length(F.trim(email)) > 3), F.lower(email)),
+        identity_cell("email", F.when(email.contains("@") & (F.length(F.trim(email)) > 3), F.lower(email)),
               F.when(~F.col("has_company") & private, "personal").otherwise("corporate"),
               ~F.col("has_company") & private, "email",
               F.when(F.col("email_status") == 2, "unsubscribed")),
-        _cell("linkedin", F.when(profile.contains("linkedin.com"), F.lower(profile)), _none(), F.lit(False), "linkedin",
+        identity_cell("linkedin", F.when(profile.contains("linkedin.com"), F.lower(profile)), _none(), F.lit(False), "linkedin",
               key=profile),
     ]
     for field in ("phone", "phone2", "mobile", "workphone"):
         number = phone_norm(field)
-        branches.append(_cell("phone", F.when(F.length(number) > 3, number),
+        branches.append(identity_cell("phone", F.when(F.length(number) > 3, number),
                               F.lit("corporate" if field == "workphone" else "personal"),
                               F.lit(field == "mobile"), field))
     long = unpivot(owned, ["person_id", "atlas_person_id"], branches)
     first = [filled_first("identity_type_type"), F.col("person_id").asc(), F.col("source_field").asc(),
              F.col("key").asc()]
-    return _person_output(keep_first(long, ["type", "value"], first), ctx, key="key")
+    return identity_table(keep_first(long, ["type", "value"], first), ctx, key="key")
 
 
-def _person_output(rows: DataFrame, ctx: RunContext, key: str = "value", verified: bool = True) -> DataFrame:
+def identity_table(rows: DataFrame, ctx: RunContext, key: str = "value", verified: bool = True) -> DataFrame:
+    """The output columns, from rows with their owner and the columns of ``identity_cell``."""
     return rows.select(
         "atlas_person_id", "person_id", "type", "value", "identity_type_type",
         F.coalesce(*[F.when(F.col("type") == t, F.lit(c)) for t, c in CLASS_TYPES.items()]).alias("class_type"),
@@ -75,10 +76,10 @@ def _person_output(rows: DataFrame, ctx: RunContext, key: str = "value", verifie
 def build_unique_owner_identities(raw: DataFrame, people: DataFrame, ctx: RunContext) -> DataFrame:
     """raw: person_id, email, phone, mobile, linkedin. Only values that one row of the whole export holds."""
     branches = [
-        _cell("email", F.when(F.trim("email") != "", F.col("email")), F.lit("personal"), F.lit(True)),
-        _cell("phone", phone_norm("phone"), F.lit("personal"), F.lit(False)),
-        _cell("phone", phone_norm("mobile"), F.lit("personal"), F.lit(False)),
-        _cell("linkedin", F.when(F.trim("linkedin") != "", strip_host("linkedin")), F.lit("personal"), F.lit(False)),
+        identity_cell("email", F.when(F.trim("email") != "", F.col("email")), F.lit("personal"), F.lit(True)),
+        identity_cell("phone", phone_norm("phone"), F.lit("personal"), F.lit(False)),
+        identity_cell("phone", phone_norm("mobile"), F.lit("personal"), F.lit(False)),
+        identity_cell("linkedin", F.when(F.trim("linkedin") != "", strip_host("linkedin")), F.lit("personal"), F.lit(False)),
     ]
     long = unpivot(raw, ["person_id"], branches)
     tagged = long.select(F.concat_ws("|", "type", "value").alias("key"),
@@ -86,7 +87,7 @@ def build_unique_owner_identities(raw: DataFrame, people: DataFrame, ctx: RunCon
                                   "inactive_reason").alias("row"))
     once = occurring_once(tagged, "key", "row").select("row.*")
     owned = fk_map(once, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
-    return _person_output(owned, ctx)
+    return identity_table(owned, ctx)
 
 
 def build_routed_identities(raw: DataFrame, people: DataFrame, ctx: RunContext) -> DataFrame:
@@ -100,7 +101,7 @@ def build_routed_identities(raw: DataFrame, people: DataFrame, ctx: RunContext)
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
     scope = F.when((F.col("type") == "email") & ~is_personal_email("value"), "corporate").otherwise("personal")
     rows = rows.withColumns({"identity_type_type": scope, "favourite": F.lit(False), "inactive_reason": _none()})
-    return _person_output(keep_first(rows, ["type", "value"], [F.col("id").asc()]), ctx)
+    return identity_table(keep_first(rows, ["type", "value"], [F.col("id").asc()]), ctx)
 
 
 def build_listed_identities(raw: DataFrame, column: str, kind: str) -> DataFrame:

@@ -92,23 +92,29 @@ def build_linked_notes(links: Sequence[DataFrame], notes: DataFrame, people: Dat
         F.col("note_id").alias("source_note_id"))
 
 
-def build_company_notes(raw: DataFrame, companies: DataFrame, ctx: RunContext,
-                        sections: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """raw: company_id, added_at, modified_at and one HTML column per section.
+def build_section_notes(raw: DataFrame, owners: DataFrame, ctx: RunContext, sections: Sequence[tuple[str, str, str]],
+                        entity: str, users: DataFrame | None = None) -> DataFrame:
+    """raw: the owner's id (``company_id``, ``person_id``), added_at, modified_at, one HTML column per section, and
+    created_by_id where ``users`` are given.
 
     ``sections``: (id tag, label, column). One scan gives one note per filled section, the label on its own line.
     """
-    texts = {tag: F.nullif(clean_html(F.col(column).cast("string")), F.lit("")) for tag, _, column in sections}
-    branches = [{"tag": F.lit(tag), "value": F.concat(F.lit(f"{label}:{CRLF}"), texts[tag])}
-                for tag, label, _ in sections]
-    rows = unpivot(raw, ["company_id", "added_at", "modified_at"], branches)
-    rows = fk_map(rows, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
+    owner, atlas_owner = f"{entity}_id", f"atlas_{entity}_id"
+    branches = []
+    for tag, label, column in sections:
+        body = F.nullif(clean_html(F.col(column).cast("string")), F.lit(""))
+        branches.append({"tag": F.lit(tag), "column": F.lit(column), "value": F.concat(F.lit(f"{label}:{CRLF}"), body)})
+    author = ["created_by_id"] if users is not None else []
+    rows = unpivot(raw, [owner, "added_at", "modified_at", *author], branches)
+    rows = fk_map(rows, owner, owners, "atlas_id", atlas_owner, policy="exclude")
+    if users is not None:
+        rows = fk_map(rows, "created_by_id", users, "atlas_id", "created_by_atlas_id", default=ctx.master())
+    else:
+        rows = rows.withColumns({"created_by_id": F.lit(None).cast("string"), "created_by_atlas_id": ctx.master()})
     return rows.select(
-        F.concat_ws("_", "tag", "company_id").alias("id"),
-        ctx.record_id("company_id", F.lit("::"), "tag").alias("atlas_id"), "company_id",
-        "atlas_company_id", F.col("value").alias("text"), F.lit("manual").alias("type"),
-        iso("added_at").alias("created_at"), iso("modified_at").alias("updated_at"),
-        F.lit(None).cast("string").alias("created_by_id"), ctx.master().alias("created_by_atlas_id"))
+        F.concat_ws("_", "tag", owner).alias("id"), ctx.record_id(owner, F.lit("::"), "column").alias("atlas_id"), owner,
+        atlas_owner, F.col("value").alias("text"), F.lit("manual").alias("type"), iso("added_at").alias("created_at"),
+        iso("modified_at").alias("updated_at"), "created_by_id", "created_by_atlas_id")
 
 
 def build_meetings(raw: DataFrame, people: DataFrame, users: DataFrame, ctx: RunContext,

@@ -200,6 +200,56 @@ def test_recruit_crm(spark, export, ctx, tmp_path):
         assert [(r.rule, r.column_name) for r in failed] == [], name
 
 
+UK, ISO = "02/01/2024 03:04:05", "2024-01-02 03:04:05"
+RECRUITLY = {
+    "users": ("user_id string, first_name string, surname string, email string, is_disabled string, createdon string, modifiedon string",
+              [("u1", "Sue", " ", "SUE@corp.example.com", "false", UK, ISO), ("u2", "Sue", "Old", "sue@corp.example.com", "true", "01/01/2020 00:00:00", ISO), ("u3", "X", "Y", "x@y.com", None, UK, UK)]),
+    "candidates": (
+        "candidate_id string, first_name string, surname string, internal_overview string, city string, region string, country string, postcode string, owner_id string, createdon string, modifiedon string, email string, "
+        "alternate_email string, home_phone string, work_phone string, mobile string, linkedin string, preferences string, reasons_for_leaving string, internal_notes string, current_salary string, expected_pay string, status string, "
+        "internal_cv_file_name string",
+        [("a1", " Ann ", "Lee", " o ", "Rome", "", None, "1", "u1", UK, ISO, "a@gmail.com", "a@firm", None, "0044 20 1", "+44 7", "https://linkedin.com/in/a", "<b>remote</b>", " ", None, "45000", "50,000 - 60,000", "Placed", "Ann CV.pdf"),
+         ("a2", "Al", "Po", None, None, None, None, None, "u9", ISO, UK, "A@gmail.com", None, None, None, "12", None, None, None, "x", "0.0", "NA", "Active", "pic.png")]),
+    "contacts": ("contact_id string, first_name string, surname string, description string, address_line string, city string, region string, country string, postcode string, owner_id string, createdon string, modifiedon string, "
+                 "email string, work_phone string, mobile string, company_id string, headline string",
+                 [("c1", "Cy", "Zed", None, "Via 1", None, None, None, None, "u1", UK, ISO, "cy@firm.com", None, None, "f1", " "), ("c2", "No", "Co", None, None, None, None, None, None, None, UK, UK, None, None, None, None, "CEO")]),
+    "companies": ("company_id string, company_name string, status string, company_type string, description string, address_line string, city string, region string, post_code string, country string, createdon string, modifiedon string, "
+                  "land_phone string, website string, linkedin string, internal_notes string, benefits_package string, terms_agreed string",
+                  [("f1", "Acme", None, "Prospect Co", "<b>x</b>", None, "Rome", None, None, None, UK, ISO, "020 1", "www.Acme.com", None, "<i>n</i>", None, "20%"), ("f2", " ", "live", None, None, None, None, None, None, None, UK, UK, None, None, None, None, None, None)]),
+    "jobs": ("job_id string, title string, job_description string, short_description string, company_id string, owner_id string, contact_id string, createdon string, modifiedon string, job_type string, archived string, job_location string, "
+             "job_reference_id string",
+             [("j1", "CTO", "<b>y</b>", "this is a DUMMY job", "f1", "u1", "c1", "02/05/2024 00:00:00", ISO, "Contract role", "false", " ", "R1"), ("j2", "CFO", None, None, "f1", "u9", None, "01/12/2023 00:00:00", ISO, None, None, "Rome", "R2"),
+              ("j3", "COO", None, None, "f9", "u1", "c1", UK, UK, None, None, None, "R3")]),
+    "job_pipelines": ("pipeline_id string, job_id string, candidate_id string, createdby string, createdon string, modifiedon string, pipeline_status string, is_rejected string, reject_reason string",
+                      [("p1", "j1", "a1", "u1", UK, ISO, "Interview", "false", None), ("p2", "j1", "a2", "u9", UK, ISO, "Offer", "True", "Withdrew"), ("p3", "j1", "a2", "u9", UK, "01/01/2020 00:00:00", "Applied", None, None)]),
+    "tasks": ("task_id string, subject string, message string, linked_to_records string, createdon string, modifiedon string",
+              [("t1", "Call ", "<p>now</p>", " COMPANY:f1", UK, UK), ("t2", "Call", " ", "COMPANY:f1", UK, UK), ("t3", "Invoice 1", "x", "COMPANY:f1", UK, UK), ("t4", "x", "y", "JOB:f1", UK, UK)]),
+    "attachments": ("linked_to string, attachment_name string", [("a1", "profile.DOCX"), ("f1", "terms.pdf"), ("a1", "pic.png")]),
+}
+
+
+def test_recruitly(export, ctx, tmp_path):
+    got = migrate("recruitly", export(RECRUITLY), ctx, str(tmp_path))
+    assert [(r.id, r.name.strip(), r.created_at, r.status) for r in got["users"].collect()] == [("u1", "Sue", "2024-01-02T00:00:00Z", "active")]
+    assert {(r.id, r.first_name, r.created_by_atlas_id == "master-0") for r in got["people"].collect()} == {("a1", "Ann", False), ("a2", "Al", True), ("c1", "Cy", False), ("c2", "No", True)}
+    assert {(r.person_id, r.type, r.value, r.identity_type_type, r.favourite) for r in got["person_identities"].collect()} == {
+        ("a1", "email", "a@gmail.com", "personal", True), ("a1", "phone", "+447", "personal", True), ("a1", "phone", "+44201", "corporate", False), ("a1", "linkedin", "linkedin.com/in/a", None, False),
+        ("c1", "email", "cy@firm.com", "corporate", False)}
+    assert [(r.id, r.relationship, r.summary) for r in got["companies"].collect()] == [("f1", "target", "**x**")]
+    assert {(r.type, r.value) for r in got["company_identities"].collect()} == {("phone", "0201"), ("website", "acme.com")}
+    assert [(r.id, r.relationship, r.title) for r in got["company_contacts"].collect()] == [("c1contactf1", "prospect", "Missing Title")]
+    assert {(r.id, r.state, r.contract_type, r.notes) for r in got["projects"].collect()} == {("j1", "active", "contract", None), ("j2", "closed", "full_time", None)}
+    assert [(r.project_id, r.company_contact_id) for r in got["project_company_contacts"].collect()] == [("j1", "c1contactf1")]
+    assert {(r.id, r.status, r.rejection_type, r.rejection_reason, r.hired_at) for r in got["candidates"].collect()} == {
+        ("p1", "Hired", None, None, "2024-01-02T03:04:05"), ("p2", "Offer", "self", "other", None)}
+    assert {(r.id, r.text) for r in got["person_notes"].collect()} == {("rect_pref_a1", "Preferences:\r\nremote"), ("rect_internal_a2", "Internal notes:\r\nx")}
+    assert {(r.id, r.text) for r in got["company_notes"].collect()} == {
+        ("rect_internal_f1", "Internal notes:\r\nn"), ("rect_terms_f1", "Terms agreed:\r\n20%"), ("rect_task_t1", "Task: Call\r\nnow"), ("rect_task_t2", "Task: Call")}
+    assert {(r.id, r.basic_salary, r.expected_salary_min, r.expected_salary_max) for r in got["person_salaries"].collect()} == {("Salary::a1", 45000, None, None), ("Salary_expected::a1", None, 50000, 60000)}
+    assert {(r.person_id, r.file_name, r.type) for r in got["file_person_mapping"].collect()} == {("a1", "internalcvs/Ann CV.pdf", "resume"), ("a1", "attachments/profile.DOCX", "resume")}
+    assert ids(got["company_map_files"], "company_id") == ["f1"]
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]

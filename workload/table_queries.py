@@ -504,14 +504,14 @@ _SECTIONS = [("internal", "Internal notes", "html"), ("benefits", "Benefits pack
 
 
 def _company_note(tag: str, label: str, column: str) -> str:
-    return (f"SELECT '{tag}_' || CAST(s.id AS VARCHAR) AS id, {id_sql('s.id', chr(39) + '::' + chr(39), chr(39) + tag + chr(39))} AS atlas_id, s.id AS company_id, c.atlas_id AS atlas_company_id, "
+    return (f"SELECT '{tag}_' || CAST(s.id AS VARCHAR) AS id, {id_sql('s.id', chr(39) + '::' + chr(39), chr(39) + column + chr(39))} AS atlas_id, s.id AS company_id, c.atlas_id AS atlas_company_id, "
             f"'{label}:' || chr(13) || chr(10) || nullif(trim({d_clean_html('s.' + column)}), '') AS text, 'manual' AS type, {d_iso('s.added_at')} AS created_at, {d_iso('s.modified_at')} AS updated_at, "
             f"NULL AS created_by_id, '{MASTER}' AS created_by_atlas_id FROM {CONTACTS} s JOIN {COMPANIES} c ON c.id = s.id WHERE nullif(trim({d_clean_html('s.' + column)}), '') IS NOT NULL")
 
 
 @query("e19_company_notes", " UNION ALL ".join(_company_note(*s) for s in _SECTIONS))
 def _(t: Tables):
-    return notes.build_company_notes(t.contacts.withColumn("company_id", F.col("id")), t.companies, CTX, _SECTIONS)
+    return notes.build_section_notes(t.contacts.withColumn("company_id", F.col("id")), t.companies, CTX, _SECTIONS, "company")
 
 
 @query("e20_meetings", _note_rows("lower(trim(action)) IN ('interview')") + _NOTE_TAIL
