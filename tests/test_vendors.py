@@ -223,7 +223,7 @@ RECRUITLY = {
     "job_pipelines": ("pipeline_id string, job_id string, candidate_id string, createdby string, createdon string, modifiedon string, pipeline_status string, is_rejected string, reject_reason string",
                       [("p1", "j1", "a1", "u1", UK, ISO, "Interview", "false", None), ("p2", "j1", "a2", "u9", UK, ISO, "Offer", "True", "Withdrew"), ("p3", "j1", "a2", "u9", UK, "01/01/2020 00:00:00", "Applied", None, None)]),
     "tasks": ("task_id string, subject string, message string, linked_to_records string, createdon string, modifiedon string",
-              [("t1", "Call ", "<p>now</p>", " COMPANY:f1", UK, UK), ("t2", "Call", " ", "COMPANY:f1", UK, UK), ("t3", "Invoice 1", "x", "COMPANY:f1", UK, UK), ("t4", "x", "y", "JOB:f1", UK, UK)]),
+              [("t1", "Call ", "<p>now</p>", "COMPANY:f1 ", UK, UK), ("t2", "Call", " ", "COMPANY:f1", UK, UK), ("t3", "Invoice 1", "x", "COMPANY:f1", UK, UK), ("t4", "x", "y", "JOB:f1", UK, UK)]),
     "attachments": ("linked_to string, attachment_name string", [("a1", "profile.DOCX"), ("f1", "terms.pdf"), ("a1", "pic.png")]),
 }
 
