@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 
 from ..context import RunContext
 from ..sources.sinks import Outputs
-from . import bullhorn, ezekia, recruit_crm, recruitly
+from . import bullhorn, ezekia, recruit_crm, recruitly, vincere
 
 VENDORS: dict[str, Callable[..., None]] = {
     "bullhorn": bullhorn.tables, "ezekia": ezekia.tables, "recruit_crm": recruit_crm.tables,
-    "recruitly": recruitly.tables}
+    "recruitly": recruitly.tables, "vincere": vincere.tables}
 
 
 def migrate(vendor: str, read: Callable[[str], DataFrame], ctx: RunContext, folder: str | None = None,

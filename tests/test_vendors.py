@@ -250,6 +250,55 @@ def test_recruitly(export, ctx, tmp_path):
     assert ids(got["company_map_files"], "company_id") == ["f1"]
 
 
+VINCERE = {
+    "public_user_account": ("id int, email string, name string, deleted_timestamp string", [(1, "sue@corp.example.com", "Sue S", None), (2, None, "No Mail", None), (3, "x@vincere.io", "Bot", None), (4, "old@x.y", "Old", AT), (5, "none", "Al Po", None)]),
+    "public_candidate": ("id int, external_id string, email string, email2 string, work_email string, phone string, phone2 string, work_phone string, linked_in_profile string, first_name string, last_name string, user_account_id int, "
+                         "insert_timestamp string, current_location_id int, personal_location_id int, note_backup string, deleted_reason string, deleted_timestamp string",
+                         [(1, "x1", "A@x.com", None, "work@x.com", "+44 2079460000", None, "12", "see https://www.linkedin.com/in/a/?q", "Ann", "Lee", 1, AT, None, 9, "<p>hi</p>", None, None),
+                          (2, None, None, None, None, None, None, None, None, "Gone", "G", 1, AT, None, None, None, "dup", None)]),
+    "public_contact": ("id int, external_id string, email string, personal_email string, phone string, linkedin string, first_name string, last_name string, user_account_id int, insert_timestamp string, current_location_id int, "
+                       "note_backup string, company_id int, job_title string, deleted_timestamp string",
+                       [(50, "x1", "a@x.com", "z@y.com", None, None, "Ann", "Lee", 1, AT, None, None, 10, None, None), (51, None, "no_email@x.com", None, "02079461111", None, "Cy", "Zed", 9, AT, 8, None, 10, "CEO", None),
+                        (52, None, None, None, None, None, "Del", "D", 1, AT, None, None, 10, None, AT)]),
+    "public_contact_location": ("contact_id int, company_location_id int", [(51, 71), (51, 70)]),
+    "public_company_location": ("id int, company_id int, address string, location_name string, country string, address_line1 string, city string, state string, location_types_array string",
+                                [(70, 10, None, "HQ, None Specified", "UK", None, "London", None, "[HEADQUARTER]"), (71, 10, "Via 1", None, None, None, None, None, "[OTHER]")]),
+    "public_common_location": ("id int, city string, country string", [(9, "Rome.", "Italy"), (8, None, "Spain")]),
+    "public_company": ("id int, name string, website string, url_linkedin string, insert_timestamp string", [(10, " Acme ", "https://www.acme.com", "https://linkedin.com/company/a", AT), (11, " ", "acme.com", None, AT)]),
+    "public_candidate_work_history": ("id int, candidate_id int, start_date string, end_date string, job_title string, company string, current_employer string", [(1, 1, "2020-01-01", "bad", "Dev", "d", "ACME"), (2, 1, "bad", None, "Dev", None, "Acme"), (3, 2, "2020-01-01", None, "Dev", None, "Acme")]),
+    "public_activity": ("id int, category string, content string, candidate_id int, contact_id int, user_account_id int, insert_timestamp string",
+                        [(1, "comment", "<p>a longer note</p>", 1, None, 1, AT), (2, "comment", "<b>short</b>", 1, None, 1, AT), (3, "comment", "on the contact", None, 51, 9, AT), (4, "task", "a longer note", 1, None, 1, AT)]),
+    "public_position_description": ("id int, name string, insert_timestamp string, updated_timestamp string, public_description string, active int, company_id int, creator_account_id int, contact_id int, forecast_annual_fee double",
+                                    [(100, "CTO", AT, None, "<p>x</p>", 1, 10, 1, 51, 5.0), (101, "CFO", AT, None, None, 2, 10, 9, 52, None), (102, "COO", "2020-01-01 00:00:00", None, None, 1, None, 1, None, None)]),
+    "public_job_status": ("id int, name string", [(1, "OPEN"), (2, "On Hold")]),
+    "public_position_candidate": ("id int, position_description_id int, candidate_id int, created_by int, associated_date string, applied_date string, sent_date string, interview1_date string, interview2_date string, interview3_date string, interview4_date string, interview5_date string, offer_date string, hire_date string, rejected_date string, "
+                                  "insert_timestamp string, modified_date string",
+                                  [(1, 100, 1, 1, AT, None, AT, None, AT, None, None, None, None, None, None, AT, AT), (2, 100, 1, 1, "2024-05-05", None, None, None, None, None, None, None, None, "2024-06-01", AT, AT, AT), (3, 101, 1, 9, AT, None, AT, None, None, None, None, None, None, None, AT, AT, AT)]),
+    "candidate_group": ("id int, name string", [(5, "Beta"), (6, "Alpha")]),
+    "candidate_functional_expertise": ("candidate_id int, functional_expertise_id int, sub_functional_expertise_id int", [(1, 5, 6), (1, 5, None), (2, 5, None)]),
+}
+
+
+def test_vincere(spark, export, ctx, tmp_path):
+    mapping = spark.createDataFrame([("sue@corp.example.com", "Sue", 1, "u-1")], "email string, name string, id long, atlas_id string")
+    got = migrate("vincere", export(VINCERE), ctx, str(tmp_path), user_mapping=mapping, closed_before="2023-01-01T00:00:00")
+    assert {(r.id, r.name, r.email) for r in got["users"].collect()} == {(1, "Sue", "sue@corp.example.com"), (5, "Al Po", "al.po@corp.example.com")}
+    assert {(r.id, r.company_contact_id, r.location_locality, r.overview) for r in got["people"].collect()} == {("1", 50, "Rome, Italy", "hi"), ("cont51", 51, "HQ, None Specified, Spain", None)}
+    assert {(r.person_id, r.type, r.value, r.identity_type_type, r.favourite) for r in got["person_identities"].collect()} == {
+        ("1", "email", "a@x.com", "personal", True), ("1", "email", "work@x.com", "personal", False), ("1", "email", "z@y.com", "corporate", False),
+        ("1", "phone", "+442079460000", "personal", True), ("1", "linkedin", "linkedin.com/in/a", "personal", False), ("cont51", "phone", "02079461111", "corporate", True)}
+    assert [(r.id, r.name, r.location_locality) for r in got["companies"].collect()] == [(10, "Acme", "HQ")]
+    assert {(r.type, r.value) for r in got["company_identities"].collect()} == {("website", "acme.com"), ("linkedin", "linkedin.com/company/a")}
+    assert {(r.id, r.person_id, r.title) for r in got["company_contacts"].collect()} == {(50, "1", "contact"), (51, "cont51", "CEO")}
+    assert [(r.id, r.company_id, r.finished_at) for r in got["experiences"].collect()] == [(1, 10, None)]
+    assert {(r.person_id, r.text.strip()) for r in got["person_notes"].collect()} == {("1", "a longer note"), ("cont51", "on the contact")}
+    assert {(r.id, r.state, r.close_reason, r.atlas_owner_id) for r in got["projects"].collect()} == {(100, "closed", "won", "u-1"), (101, "on_hold", "cancelled", "master-0"), (102, "closed", "cancelled", "u-1")}
+    assert [(r.project_id, r.company_contact_id) for r in got["project_company_contacts"].collect()] == [(100, "51")]
+    assert {(r.id, r.status, r.rejection_type, r.rejected_at) for r in got["candidates"].collect()} == {(2, "Hired", "by_us", "2024-01-02T00:00:00"), (3, "Presented", "by_us", "2024-01-02T00:00:00")}
+    assert {(r.value, r.position) for r in got["custom_attribute_options"].collect()} == {("Alpha", 1), ("Beta", 2)}
+    assert ids(got["person_custom_attribute_values"], "person_id") == ["1", "1"]
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]
