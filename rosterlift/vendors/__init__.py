@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame
 
 from ..context import RunContext
 from ..sources.sinks import Outputs
-from . import bullhorn, ezekia, recruit_crm, recruitly, vincere
+from . import bullhorn, ezekia, loxo, recruit_crm, recruitly, vincere
 
 VENDORS: dict[str, Callable[..., None]] = {
-    "bullhorn": bullhorn.tables, "ezekia": ezekia.tables, "recruit_crm": recruit_crm.tables,
+    "bullhorn": bullhorn.tables, "ezekia": ezekia.tables, "loxo": loxo.tables, "recruit_crm": recruit_crm.tables,
     "recruitly": recruitly.tables, "vincere": vincere.tables}
 
 

@@ -299,6 +299,55 @@ def test_vincere(spark, export, ctx, tmp_path):
     assert ids(got["person_custom_attribute_values"], "person_id") == ["1", "1"]
 
 
+LOXO = {
+    "people": ("id int, name string, `desc` string, created string, updated string, city string, state string, zip string, country string, comp_comp string, comp_notes string",
+               [(1, "Ann M Lee", "o", AT, AT, "Rome!", None, None, "Italy", "50000.4", "<b>n</b>"), (2, "Cy", None, "bad", None, None, None, None, None, " ", None)]),
+    "people_emails": ("root_id int, email string, type string", [(1, "A@gmail.com", "home"), (2, "a@gmail.com ", None), (2, "bad", None)]),
+    "people_phones": ("root_id int, phone string, type string", [(1, "0044 20 1", " Mobile"), (2, "12", None), (2, "+1 555", "Work")]),
+    "people_social": ("root_id int, value string", [(1, "https://www.linkedin.com/in/A"), (1, "http://Site.com/")]),
+    "companies": ("id int, name string, `desc` string, culture string, hidden string, url string, created string, updated string", [(10, "Acme", None, "<i>c</i>", None, "https://www.Acme.com", AT, AT), (11, "Hid", None, None, "True", None, AT, AT)]),
+    "companies_types": ("root_id int, row_index int, value string", [(10, 1, "Big Client"), (10, 2, "x")]),
+    "companies_addresses": ("root_id int, city string, state string, zip string, country string", [(10, "Rome", "", None, "Italy")]),
+    "people_types": ("root_id int, value string", [(2, "Contact"), (2, "Contact"), (1, "Candidate")]),
+    "people_experience": ("row_uid string, root_id int, companyid int, company string, title string, `desc` string, from_year int, from_month int, to_year int, to_month int, current string",
+                          [("e1", 1, 10, " Acme ", "Dev", "<p>d</p>", 2001, 2, 2003, 13, "false"), ("e2", 2, 10, "Acme", "CEO", None, 0, None, None, None, "true"), ("e3", 2, 10, "Acme", " ", None, None, None, None, None, "true")]),
+    "people_education": ("row_uid string, root_id int, school string, degree string, `desc` string, year int, month int", [("s1", 1, " MIT ", "BSc, Maths", None, 1999, 6), ("s2", 1, " ", None, None, None, None)]),
+    "jobs": ("id int, title string, company int, `desc` string, notes string, created string, updated string, status string, type string, address string, city string, state string, zip string, country string",
+             [(100, "CTO", 10, "<p>x</p>", None, AT, AT, "Inactive", "Part Time", None, "Rome", None, None, "Italy"), (101, "CFO", None, None, None, AT, AT, None, None, None, None, None, None, None)]),
+    "jobs_contacts": ("root_id int, value int", [(100, 2), (101, 2), (101, 1)]),
+    "activities": ("id int, person int, job int, type string, notes string, created string, updated string",
+                   [(1, 1, 100, "Sourced", "<b>hello</b>", AT, AT), (2, 1, 100, "Rejected", " ", AT, "2024-05-05"), (3, 2, 101, "Hired", "met", AT, AT), (4, 1, 999, "Hired", None, AT, AT)]),
+    "forms": ("id int, personid int, title string", [(5, 1, "Intake")]),
+    "forms_answers": ("root_id int, question string, text string", [(5, "b?", "two"), (5, "a?", " one "), (5, "c?", " ")]),
+    "people_resumes": ("root_id int, path string, filename string", [(1, "r/1.pdf", "x.PDF"), (1, "", "y.pdf")]),
+    "people_documents": ("root_id int, path string, filename string", [(1, "d/1", "my cv.docx")]),
+    "activities_documents": ("root_id int, path string, filename string", [(1, "a/1", "note.doc"), (4, "a/2", "x.png")]),
+    "companies_documents": ("root_id int, path string, filename string", [(10, "c/1", "terms"), (11, "c/2", "x")]),
+}
+
+
+def test_loxo(export, ctx, tmp_path):
+    ctx = RunContext(ctx.client, ctx.agency_id, ctx.master_id, ctx.domain, ctx.run_ts, {"notes": ["sourced"], "meetings": ["hired"]})
+    got = migrate("loxo", export(LOXO), ctx, str(tmp_path))
+    assert {(r.id, r.first_name, r.last_name, r.location_locality) for r in got["people"].collect()} == {(1, "Ann", "M Lee", "Rome"), (2, "Cy", None, "")}
+    assert {(r.person_id, r.type, r.value, r.identity_type_type, r.favourite) for r in got["person_identities"].collect()} == {
+        (1, "email", "a@gmail.com", "personal", True), (1, "phone", "+44201", "personal", True), (2, "phone", "+1555", "corporate", False),
+        (1, "linkedin", "linkedin.com/in/A", None, False), (1, "website", "site.com", None, False)}
+    assert [(r.id, r.relationship, r.summary.strip(), r.location_locality) for r in got["companies"].collect()] == [(10, "client", "c", "Rome, Italy")]
+    assert [(r.type, r.value) for r in got["company_identities"].collect()] == [("website", "acme.com")]
+    assert [(r.person_id, r.company_id, r.title) for r in got["company_contacts"].collect()] == [(2, "10", "CEO")]
+    assert {(r.id, r.started_at, r.finished_at) for r in got["experiences"].collect()} == {("e1", "2001-02-01", "2003-12-30"), ("e2", "2024-06-30", None)}
+    assert [(r.degree, r.field_of_study, r.finished_at) for r in got["educations"].collect()] == [("BSc", "Maths", "1999-06-30")]
+    assert {(r.id, r.state, r.close_reason, r.contract_type) for r in got["projects"].collect()} == {(100, "closed", "won", "part_time"), (101, "active", None, "full_time")}
+    assert ids(got["project_company_contacts"], "project_id") == [100, 101]
+    assert {(r.id, r.status, r.rejection_type, r.hired_at) for r in got["candidates"].collect()} == {(2, "Presented", "by_us", None), (3, "Hired", None, "2024-01-02T03:04:05")}
+    assert {(r.id, r.text.strip()) for r in got["person_notes"].collect()} == {("1", "hello"), ("form_5", "Intake\n\n- a?: one\n- b?: two")}
+    assert [(r.id, r.person_id) for r in got["meetings"].collect()] == [(3, 2)]
+    assert [(r.basic_salary, r.notes) for r in got["person_salaries"].collect()] == [(50000, "n")]
+    assert {(r.file_name, r.type) for r in got["file_person_mapping"].collect()} == {("r/1.pdf", "resume"), ("people/a/1", "other"), ("d/1", "resume")}
+    assert ids(got["company_map_files"], "company_id") == [10]
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]
