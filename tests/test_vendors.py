@@ -348,6 +348,57 @@ def test_loxo(export, ctx, tmp_path):
     assert ids(got["company_map_files"], "company_id") == [10]
 
 
+SEVEN20 = {
+    "user": ("id string, firstname string, lastname string, email string, isactive int", [("u1", "Sue", "S", "sue@corp.example.com", 1), ("u2", "X", "Y", "x@y.com", 1)]),
+    "recordtype": ("id string, name string", [("r1", "Candidate"), ("r2", "Client Contact")]),
+    "contact": ("id string, firstname string, lastname string, createddate string, lastmodifieddate string, mailingstreet string, mailingcity string, mailingstate string, mailingpostalcode string, mailingcountry string, "
+                "experience__c string, motivations__c string, needs__c string, alternative_activity__c string, sell__c string, createdbyid string, lastmodifiedbyid string, isdeleted int, seven20__related_candidate__c string, phone string, "
+                "mobilephone string, otherphone string, email string, seven20__linkedin__c string, plaunch__linkedin__c string, seven20__record_type_name__c string, recordtypeid string, title string, accountid string",
+                [("c1", "Ann", "Lee", AT, AT, "1 High", "Rome", None, None, "Italy", "ten years", " ", "car", None, None, "u1", "u9", 0, None, "020 7946", None, "123456", "a@gmail.com", None, "linkedin.com/in/a", "r1", None, None, None),
+                 ("c2", "Ann", "L", AT, AT, None, None, None, None, None, None, None, None, None, None, "u1", None, 0, "c1", None, "0044 7", None, "a@firm.com", None, None, "Client Contact", "r2", "CEO", "a1")]),
+    "account": ("id string, name string, description string, billingstreet string, billingcity string, billingstate string, billingpostalcode string, billingcountry string, seven20__status__c string, createddate string, lastmodifieddate string, "
+                "createdbyid string, numberofemployees int, phone string, website string, plaunch__linkedin__c string",
+                [("a1", "Acme", "<b>x</b>", None, "Rome", None, None, None, "Live", AT, AT, "u1", 5, "12345", "https://www.Acme.com/", None), ("a2", " ", None, None, None, None, None, None, None, AT, AT, None, None, None, None, None)]),
+    "task": ("id string, whoid string, createdbyid string, subject string, description string, createddate string, lastmodifieddate string",
+             [("t1", "c1", "u1", "Call", "<p>a note with more than thirty characters</p>", AT, AT), ("t2", "c2", "u9", "Client Meeting", "met", AT, AT), ("t3", "c1", "u1", "Email sent", "a note with more than thirty characters", AT, AT),
+              ("t4", "c1", "u1", "Call", "short", AT, AT)]),
+    "seven20__education_history__c": ("id string, seven20__school_name__c string, seven20__degree_subject__c string, seven20__measure_value__c string, seven20__comments__c string, seven20__start_date__c string, seven20__end_date__c string, "
+                                      "seven20__graduation_date__c string, createddate string, lastmodifieddate string, seven20__candidate__c string, isdeleted int",
+                                      [("s1", "MIT", "Maths", "1st", "<i>x</i>", "2000-01-01", None, "2004-01-01", AT, AT, "c2", 0), ("s2", "", None, None, None, None, None, None, AT, AT, "c1", 0)]),
+    "seven20__employment_history__c": ("id string, seven20__job_title__c string, seven20__account__c string, seven20__description__c string, seven20__start_date__c string, seven20__end_date__c string, createddate string, "
+                                       "lastmodifieddate string, seven20__candidate__c string, isdeleted int", [("e1", "Dev", "ACME", None, "2001-01-01", None, AT, AT, "c1", 0), ("e2", "Dev", "Acme", None, "", None, AT, AT, "c1", 0)]),
+    "seven20__job__c": ("id string, name string, seven20__client_description__c string, engagement_type__c string, seven20__job_closed__c int, seven20__status__c string, createddate string, lastmodifieddate string, "
+                        "target_max_base_salary__c double, seven20__total_value__c double, seven20__city__c string, seven20__country__c string, seven20__account__c string, ownerid string, isdeleted int, seven20__hiring_manager__c string",
+                        [("j1", "CTO", None, "Part Time", 0, "CV", AT, AT, 1.0, 2.0, "Rome", None, "a1", "u1", 0, "c1"), ("j2", "CFO", None, None, 1, "Interview", AT, AT, None, None, None, None, "a1", "u9", 0, None)]),
+    "seven20__job_lead__c": ("id string, name string, seven20__advert_description__c string, seven20__job_lead_status__c string, createddate string, lastmodifieddate string, seven20__account__c string, ownerid string, isdeleted int, "
+                             "seven20__hiring_manager__c string", [("l1", "Lead", None, "Open", "2020-01-01", AT, "a1", "u1", 0, "c9"), ("l2", "Done", None, "Converted", AT, AT, "a1", "u1", 0, None)]),
+    "seven20__placement__c": ("seven20__job__c string, seven20__application__c string", [("j1", "p1"), ("j1", "p1")]),
+    "seven20__application__c": ("id string, createddate string, lastmodifieddate string, seven20__stage__c string, seven20__rejected_reason__c string, seven20__date_in_stage__c string, ownerid string, seven20__candidate__c string, "
+                                "seven20__job__c string, isdeleted int", [("p1", AT, AT, "Shortlist", None, AT, "u1", "c1", "j1", 0), ("p2", AT, AT, "Offer", "Rejected Offer", AT, "u9", "c1", "j2", 0), ("p3", AT, AT, "Offer", None, AT, "u1", "c1", "j1", 1)]),
+}
+
+
+def test_seven20(export, ctx, tmp_path):
+    ctx = RunContext(ctx.client, ctx.agency_id, ctx.master_id, ctx.domain, ctx.run_ts, {"meetings": ["Client Meeting"]})
+    got = migrate("seven20", export(SEVEN20), ctx, str(tmp_path))
+    assert ids(got["users"]) == ["u1"]
+    person = got["people"].collect()
+    assert [(r.id, r.location_locality, r.overview, r.updated_by_atlas_id) for r in person] == [("c1", "1 High, Rome, Italy", "Experience: \r\nten years\r\n\r\nNeeds: \r\ncar", "master-0")]
+    assert {(r.person_id, r.type, r.value, r.identity_type_type) for r in got["person_identities"].collect()} == {
+        ("c1", "email", "a@gmail.com", "personal"), ("c1", "email", "a@firm.com", "corporate"), ("c1", "phone", "0207946", "personal"), ("c1", "phone", "123456", "corporate"),
+        ("c1", "linkedin", "linkedin.com/in/a", None)}
+    assert [(r.id, r.relationship, r.size, r.summary) for r in got["companies"].collect()] == [("a1", "client", "1-10", "x")]
+    assert [(r.type, r.value) for r in got["company_identities"].collect()] == [("website", "acme.com")]
+    assert [(r.id, r.person_id, r.relationship) for r in got["company_contacts"].collect()] == [("c2-a1", "c1", "client")]
+    assert ids(got["person_notes"]) == ["t1"] and [(r.id, r.person_id, r.created_by_atlas_id) for r in got["meetings"].collect()] == [("t2", "c1", "master-0")]
+    assert [(r.person_id, r.finished_at) for r in got["educations"].collect()] == [("c1", "2004-01-01")]
+    assert [(r.id, r.company_id) for r in got["experiences"].collect()] == [("e1", "a1")]
+    assert {(r.id, r.state, r.close_reason, r.contract_type) for r in got["projects"].collect()} == {
+        ("j1", "closed", "won", "contract"), ("j2", "closed", "worked_lost", "full_time"), ("l1", "closed", "lead_lost", "full_time")}
+    assert [(r.project_id, r.company_contact_id) for r in got["project_company_contacts"].collect()] == [("j1", "c2-a1")]
+    assert {(r.id, r.status, r.rejection_type, r.rejection_reason) for r in got["candidates"].collect()} == {("p1", "Hired", None, None), ("p2", "Offer", "self", "accepted_another_offer")}
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]
