@@ -75,11 +75,12 @@ def identity_table(rows: DataFrame, ctx: RunContext, key: str = "value", verifie
 
 def build_unique_owner_identities(raw: DataFrame, people: DataFrame, ctx: RunContext) -> DataFrame:
     """raw: person_id, email, phone, mobile, linkedin. Only values that one row of the whole export holds."""
+    own, yes = F.lit("personal"), F.lit(True)
+    work = F.when(is_personal_email("email"), "personal").otherwise("corporate")
     branches = [
-        identity_cell("email", F.when(F.trim("email") != "", F.col("email")), F.lit("personal"), F.lit(True)),
-        identity_cell("phone", phone_norm("phone"), F.lit("personal"), F.lit(False)),
-        identity_cell("phone", phone_norm("mobile"), F.lit("personal"), F.lit(False)),
-        identity_cell("linkedin", F.when(F.trim("linkedin") != "", strip_host("linkedin")), F.lit("personal"), F.lit(False)),
+        identity_cell("email", F.when(F.trim("email") != "", F.col("email")), work, yes),
+        identity_cell("phone", phone_norm("phone"), own, yes), identity_cell("phone", phone_norm("mobile"), own, yes),
+        identity_cell("linkedin", F.when(F.trim("linkedin") != "", strip_host("linkedin")), own, yes),
     ]
     long = unpivot(raw, ["person_id"], branches)
     tagged = long.select(F.concat_ws("|", "type", "value").alias("key"),
@@ -87,7 +88,7 @@ def build_unique_owner_identities(raw: DataFrame, people: DataFrame, ctx: RunCon
                                   "inactive_reason").alias("row"))
     once = occurring_once(tagged, "key", "row").select("row.*")
     owned = fk_map(once, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
-    return identity_table(owned, ctx)
+    return identity_table(owned, ctx).withColumn("atlas_id", uuid_from(ctx.client, "value"))
 
 
 def build_routed_identities(raw: DataFrame, people: DataFrame, ctx: RunContext) -> DataFrame:

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 
 from ..context import RunContext
 from ..sources.sinks import Outputs
-from . import bullhorn, ezekia, loxo, recruit_crm, recruitly, seven20, vincere
+from . import bullhorn, ezekia, jobadder, loxo, recruit_crm, recruitly, seven20, vincere
 
 VENDORS: dict[str, Callable[..., None]] = {
-    "bullhorn": bullhorn.tables, "ezekia": ezekia.tables, "loxo": loxo.tables, "recruit_crm": recruit_crm.tables,
+    "bullhorn": bullhorn.tables, "ezekia": ezekia.tables, "jobadder": jobadder.tables,
+    "loxo": loxo.tables, "recruit_crm": recruit_crm.tables,
     "recruitly": recruitly.tables, "seven20": seven20.tables,
     "vincere": vincere.tables}
 

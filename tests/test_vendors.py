@@ -399,6 +399,59 @@ def test_seven20(export, ctx, tmp_path):
     assert {(r.id, r.status, r.rejection_type, r.rejection_reason) for r in got["candidates"].collect()} == {("p1", "Hired", None, None), ("p2", "Offer", "self", "accepted_another_offer")}
 
 
+JOBADDER = {
+    "user": ("userid int, email string, displayname string, lastlogindate string", [(1, " SUE@x.com", "Sue", AT), (2, None, "Al", AT)]),
+    "contact": ("contactid int, firstname string, lastname string, email string, phone string, mobile string, linkedinurl string, datecreated string, dateupdated string, createdbyuserid int, updatedbyuserid int, companyaddressid int, "
+                "companyid int, position string, iscandidateonly boolean, previouscontactid int, deleted boolean",
+                [(1, "Ann ", "Lee", "a@gmail.com", "123", "0044 5", "https://www.linkedin.com/in/a", AT, None, 1, 9, None, 10, " ", False, None, False),
+                 (2, "Bob", " ", "b@firm.com", "1-2-3", None, None, AT, AT, 2, None, 70, 10, "CEO", True, 1, False), (3, "Del", "D", "a@gmail.com", None, None, None, AT, AT, 1, 1, None, 10, None, False, None, True)]),
+    "candidate": ("contactid int, addressline1 string, addressline2 string, addresssuburb string, addresspostcodesearch string, addresspostcode string, addressstate string, addresscountry string, addresscountrycode string, deleted boolean",
+                  [(1, "1 High", None, " ", "N1", "N1 1", None, None, "GB", False)]),
+    "candidateresumeparsing": ("contactid int, addressline1 string, addressline2 string, addresspostcode string, addressstate string, addresscountry string", [(1, "x", "Flat 2", "N9", "London", "UK"), (2, "y", None, None, None, "FR")]),
+    "companyaddress": ("addressid int, companyid int, name string, line1 string, suburb string, state string, country string, postcodesearch string, url string",
+                       [(70, 10, "Head Office", "5 Road", "Leeds", None, "UK", "LS1", "https://acme.com/"), (71, 10, "Branch", "6 Road", None, None, None, None, "acme.com")]),
+    "company": ("companyid int, name string, statusid int, datecreated string, dateupdated string, linkedinurl string, twitterurl string, deleted boolean",
+                [(10, " Acme ", 5452, AT, AT, "https://uk.linkedin.com/company/a", "https://twitter.com/a", False), (11, "Gone", 1, AT, AT, None, None, True)]),
+    "note": ("noteid int, text string, datecreated string, dateupdated string, createdbyuserid int, updatedbyuserid int, type string, source string, summary string, deleted boolean",
+             [(1, "<b>hi</b>&nbsp;all", AT, AT, 1, 9, "Phone call", "Note", "s", False), (2, " ", AT, AT, 1, 1, None, "Note", "s", False), (3, "firm", AT, AT, 9, 1, None, "Mail", None, False)]),
+    "contactnote": ("noteid int, contactid int", [(1, 1), (1, 2), (1, 1), (2, 1)]), "candidatenote": ("noteid int, contactid int", [(1, 1), (3, 1), (1, 9)]),
+    "companynote": ("noteid int, companyid int", [(3, 10), (3, 11), (3, 10)]),
+    "candidateemploymenthistory": ("employmentid int, contactid int, employer string, position string, startdate string, enddate string, description string", [(1, 1, " ACME", "Dev", "2020-01-01 00:00", None, "<b>x</b>"), (2, 1, "Acme", " ", "2020-01-01", None, None)]),
+    "candidateeducation": ("educationid int, contactid int, institution string, course string, enddate string", [(1, 1, "MIT", "Maths", "2001-01-01"), (2, 1, " ", None, None)]),
+    "joborder": ("joborderid int, contactid int, companyid int, locationid int, owneruserid int, jobtitle string, jobdescription string, datecreated string, dateupdated string, dateclosed string, numberofjobs int, feerate double, feeamount double, "
+                 "feecurrencycode string",
+                 [(100, 1, 10, 5, 1, "CTO", "<p>x</p>", AT, AT, AT, 1, 20.0, 5.0, "GBP"), (101, 2, 10, None, 9, "CFO", None, AT, None, None, 1, None, None, None), (102, 1, 11, None, 1, "COO", None, AT, AT, AT, 1, None, None, None)]),
+    "location": ("locationid int, name string", [(5, "Leeds")]), "placement": ("joborderid int", [(100,), (100,)]),
+    "jobapplication": ("applicationid int, joborderid int, contactid int, owneruserid int, statusid int, datecreated string, dateupdated string", [(1, 100, 1, 1, 1, AT, AT), (2, 100, 1, 9, 2, AT, AT), (3, 101, 2, 1, 3, AT, None)]),
+    "jobapplicationstatus": ("statusid int, name string, rejected boolean", [(1, "Offered", False), (2, "Unsuccessful", True), (3, "Been Placed", False)]),
+    "candidateattachment": ("attachmentid int, contactid int, type string", [(1, 1, "Resume"), (2, 1, "Photo")]), "attachment": ("candidateattachmentid int, storagename string, filename string", [(1, "a/b/c.pdf", "cv.pdf")]),
+}
+
+
+def test_jobadder(spark, export, ctx, tmp_path):
+    mapping = spark.createDataFrame([("sue@x.com", "Sue", 1, "u-1")], "email string, name string, id long, atlas_id string")
+    got = migrate("jobadder", export(JOBADDER), ctx, str(tmp_path), user_mapping=mapping)
+    assert {(r.id, r.atlas_id == "u-1") for r in got["users"].collect()} == {(1, True), (2, False)}
+    assert {(r.id, r.first_name, r.last_name, r.location_locality, r.has_candidate_record, r.updated_by_atlas_id) for r in got["people"].collect()} == {
+        (1, "Ann", "Lee", "1 High,Flat 2,London,N1,UK", True, "master-0"), (2, "Bob", None, "5 Road,,Leeds,LS1,UK", False, "master-0")}
+    assert {(r.person_id, r.type, r.value, r.identity_type_type) for r in got["person_identities"].collect()} == {
+        (1, "email", "a@gmail.com", "personal"), (2, "email", "b@firm.com", "corporate"), (1, "phone", "+445", "personal"), (1, "linkedin", "linkedin.com/in/a", "personal")}
+    assert [(r.id, r.name, r.relationship, r.location_locality) for r in got["companies"].collect()] == [(10, "Acme", "client", "5 Road Leeds  UK")]
+    assert {(r.type, r.value, r.is_primary) for r in got["company_identities"].collect()} == {("twitter", "x.com/a", False), ("linkedin", "linkedin.com/company/a", False), ("website", "acme.com", True)}
+    assert [(r.person_id, r.title) for r in got["company_contacts"].collect()] == [(1, "Contact")]
+    assert {(r.id, r.person_id, r.type, r.text) for r in got["person_notes"].collect()} == {("1_1", 1, "phone_call", "**hi** all"), ("1_2", 2, "phone_call", "**hi** all"), ("3_1", 1, "manual", "firm")}
+    assert [(r.id, r.company_id, r.created_by_atlas_id) for r in got["company_notes"].collect()] == [("3_1", 10, "master-0")]
+    assert [(r.id, r.company_id, r.description) for r in got["experiences"].collect()] == [(1, 10, "**x**")]
+    assert ids(got["educations"]) == [1]
+    assert {(r.id, r.state, r.close_reason, r.location_locality, r.fee_terms) for r in got["projects"].collect()} == {(100, "closed", "won", "Leeds", "20.0%"), (101, "active", None, None, None)}
+    assert [(r.project_id, r.company_contact_id) for r in got["project_company_contacts"].collect()] == [(100, 1)]
+    assert {(r.id, r.status, r.rejection_type, r.atlas_rejected_by_id) for r in got["candidates"].collect()} == {(2, "Client IV", "by_us", "master-0"), (3, "Hired", None, None)}
+    assert [(r.adjusted_file_id, r.filename) for r in got["mapping_resume"].collect()] == [("c.pdf", "cv.pdf")]
+    assert [(r.original_person_id, r.merge_person_id) for r in got["correction_mergepeople"].collect()] == [(1, 2)]
+    assert {(r.person_id, r.location_locality) for r in got["correction_peoplelocation"].collect()} == {(1, "1 High, Flat 2,  , N1 1, GB"), (2, "y, FR")}
+    assert sorted((r.id, r.person_id, r.text) for r in got["fix_contact_notes"].collect()) == [("1", 1, "hi all"), ("1", 1, "hi all"), ("1", 2, "hi all")]
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]

@@ -159,12 +159,13 @@ def _(t: Tables):
 
 
 @query("e07_unique_owner_identities", f"""
-WITH v AS (SELECT id AS person_id, 'email' AS type, email AS value, TRUE AS favourite FROM {CONTACTS} WHERE email IS NOT NULL AND trim(email) <> ''
-  UNION ALL SELECT id, 'phone', {d_phone('phone')}, FALSE FROM {CONTACTS} UNION ALL SELECT id, 'phone', {d_phone('mobile')}, FALSE FROM {CONTACTS}
-  UNION ALL SELECT id, 'linkedin', regexp_replace(linkedin, '^(https?://)?(www\\.)?', ''), FALSE FROM {CONTACTS} WHERE linkedin IS NOT NULL AND trim(linkedin) <> ''),
-once AS (SELECT type, value, min(person_id) AS person_id, min(favourite) AS favourite FROM v WHERE value IS NOT NULL GROUP BY type, value HAVING count(*) = 1),
-o AS (SELECT o.*, p.atlas_id AS atlas_person_id, NULL AS inactive_reason FROM once o JOIN {COMPANIES} p ON p.id = o.person_id)
-SELECT atlas_person_id, person_id, type, value, 'personal' AS identity_type_type, {_CLASS}, {_TAIL} FROM o""")
+WITH v AS (SELECT id AS person_id, 'email' AS type, email AS value FROM {CONTACTS} WHERE email IS NOT NULL AND trim(email) <> ''
+  UNION ALL SELECT id, 'phone', {d_phone('phone')} FROM {CONTACTS} UNION ALL SELECT id, 'phone', {d_phone('mobile')} FROM {CONTACTS}
+  UNION ALL SELECT id, 'linkedin', regexp_replace(linkedin, '^(https?://)?(www\\.)?', '') FROM {CONTACTS} WHERE linkedin IS NOT NULL AND trim(linkedin) <> ''),
+once AS (SELECT type, value, min(person_id) AS person_id FROM v WHERE value IS NOT NULL GROUP BY type, value HAVING count(*) = 1),
+o AS (SELECT o.*, p.atlas_id AS atlas_person_id, NULL AS inactive_reason, TRUE AS favourite FROM once o JOIN {COMPANIES} p ON p.id = o.person_id)
+SELECT atlas_person_id, person_id, type, value, CASE WHEN type <> 'email' OR {d_personal('value')} THEN 'personal' ELSE 'corporate' END AS identity_type_type, {_CLASS},
+  {_TAIL.replace(uuid_sql('atlas_person_id', 'type', 'value'), uuid_sql('value'))} FROM o""")
 def _(t: Tables):
     return identities.build_unique_owner_identities(t.contacts.withColumn("person_id", F.col("id")), t.companies, CTX)
 
