@@ -452,6 +452,40 @@ def test_jobadder(spark, export, ctx, tmp_path):
     assert sorted((r.id, r.person_id, r.text) for r in got["fix_contact_notes"].collect()) == [("1", 1, "hi all"), ("1", 1, "hi all"), ("1", 2, "hi all")]
 
 
+MANATAL = {
+    "candidate": ("id int, full_name string, created_at string, updated_at string, creator_id int, city string, country string, email string, phone_number string", [(1, "Ann M Lee (ex)", AT, AT, 7, "Rome", "Italy", "A@x.com", " "), (2, "Bob", AT, None, 9, None, "UK", None, "12")]),
+    "candidate_social": ("candidate_id int, social_media_url string", [(1, "https://l.com/a/"), (2, "https://l.com/a")]),
+    "contact": ("id int, full_name string, created_at string, updated_at string, location string, linkedin_url string, email string, phone_number string, organization_id int",
+                [(50, "Ann Lee", AT, AT, "Paris", "https://l.com/a", "a@x.com ", "99", 10), (51, "Cy (open", AT, AT, "Oslo", None, "cy@f.com", None, 10), (52, "Di", AT, AT, None, None, None, None, 99)]),
+    "organization": ("id int, name string, location string, description string, creator_id int, created_at string, updated_at string, website string", [(10, "Acme", "Rome", "d", 7, AT, AT, "https://www.Acme.com/"), (11, "Late", None, None, 9, "2025-01-01", AT, "acme.com")]),
+    "candidate_note": ("id int, candidate_id int, info string, created_at string, updated_at string, creator_id int", [(1, 1, "hi", AT, AT, 7), (2, 1, " ", AT, AT, 7)]),
+    "contact_note": ("id int, contact_id int, info string, created_at string, updated_at string, creator_id int", [(1, 51, "yo", AT, AT, 9)]),
+    "candidate_experience": ("id int, candidate_id int, started_at string, ended_at string, position_name string, description string, employer_name string", [(1, 1, "2020-01-01", " ", "Dev", None, " ACME "), (2, 1, " ", None, "Dev", None, "Acme")]),
+    "candidate_education": ("id int, candidate_id int, school_name string, degree_name string, specialization string, description string, started_at string, ended_at string", [(1, 2, "MIT", "BSc", " ", None, "", "2001-01-01"), (2, 2, " ", None, None, None, None, None)]),
+    "job": ("id int, position_name string, description string, owner_id int, status string, organization_id int, created_at string, updated_at string", [(100, "CTO", None, 7, "won", 10, AT, AT), (101, "CFO", None, 9, "open", 99, AT, AT), (102, " ", None, 7, "won", 10, AT, AT)]),
+    "match": ("id int, candidate_id int, job_id int, creator_id int, created_at string, updated_at string, dropped_at string, hired_at string, offer_at string, interview_at string, submitted_at string",
+              [(1, 1, 100, 7, AT, AT, None, AT, None, None, None), (2, 2, 101, 9, AT, AT, AT, "", None, AT, None), (3, 9, 100, 7, AT, AT, None, None, None, None, None)]),
+}
+
+
+def test_manatal(spark, export, ctx, tmp_path):
+    users = spark.createDataFrame([("s@x.com", "Sue", 7, "u-7")], "email string, name string, id long, atlas_id string")
+    got = migrate("manatal", export(MANATAL), ctx, str(tmp_path), users=users)
+    assert {(r.id, r.contact_id, r.first_name, r.last_name, r.location_locality) for r in got["people"].collect()} == {
+        ("1", 50, "Ann", "M Lee ", "Rome Italy"), ("2", 50, "Bob", "", "UK"), ("cc51", 51, "Cy", "", "Oslo"), ("cc52", 52, "Di", "", "")}
+    assert {(r.person_id, r.type, r.value, r.identity_type_type) for r in got["person_identities"].collect()} == {
+        ("1", "email", "A@x.com", "personal"), ("2", "phone", "12", "personal"), ("1", "linkedin", "https://l.com/a/", "personal"), ("2", "linkedin", "https://l.com/a", "personal"),
+        ("1", "phone", "99", "corporate"), ("cc51", "email", "cy@f.com", "corporate")}
+    assert {(r.id, r.created_by_atlas_id == "u-7") for r in got["companies"].collect()} == {(10, True), (11, False)}
+    assert [(r.company_id, r.value) for r in got["company_identities"].collect()] == [(10, "acme.com")]
+    assert {(r.id, r.person_id) for r in got["company_contacts"].collect()} == {(50, "1"), (51, "cc51")}
+    assert {(r.id, r.person_id, r.text) for r in got["person_notes"].collect()} == {("cn1", "1", "hi"), ("ctn1", "cc51", "yo")}
+    assert [(r.id, r.company_id, r.finished_at) for r in got["experiences"].collect()] == [(1, 10, None)]
+    assert [(r.person_id, r.started_at, r.field_of_study) for r in got["educations"].collect()] == [("2", None, None)]
+    assert {(r.id, r.state, r.close_reason, r.atlas_owner_id) for r in got["projects"].collect()} == {(100, "closed", "won", "u-7"), (101, "active", None, "master-0")}
+    assert {(r.id, r.status, r.rejection_type, r.rejected_at) for r in got["candidates"].collect()} == {(1, "Hired", None, None), (2, "Client IV", "by_us", "2024-01-02T00:00:00")}
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]
