@@ -13,14 +13,12 @@ from pyspark.sql import DataFrame
 
 from ..context import RunContext
 from ..sources.sinks import Outputs
-from . import bullhorn, ezekia, jobadder, loxo, manatal, recruit_crm, recruitly, seven20, vincere
+from . import (bondadapt, bullhorn, ezekia, jobadder, loxo, loxo_csv, manatal, recruit_crm, recruitly, seven20,
+               vincere)
 
 VENDORS: dict[str, Callable[..., None]] = {
-    "bullhorn": bullhorn.tables, "ezekia": ezekia.tables, "jobadder": jobadder.tables,
-    "loxo": loxo.tables, "manatal": manatal.tables,
-    "recruit_crm": recruit_crm.tables,
-    "recruitly": recruitly.tables, "seven20": seven20.tables,
-    "vincere": vincere.tables}
+    module.__name__.rsplit(".", 1)[1]: module.tables for module in (
+        bondadapt, bullhorn, ezekia, jobadder, loxo, loxo_csv, manatal, recruit_crm, recruitly, seven20, vincere)}
 
 
 def migrate(vendor: str, read: Callable[[str], DataFrame], ctx: RunContext, folder: str | None = None,

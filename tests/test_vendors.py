@@ -486,6 +486,54 @@ def test_manatal(spark, export, ctx, tmp_path):
     assert {(r.id, r.status, r.rejection_type, r.rejected_at) for r in got["candidates"].collect()} == {(1, "Hired", None, None), (2, "Client IV", "by_us", "2024-01-02T00:00:00")}
 
 
+_ENTITY = [(r, "u", AT, "u", AT, None, None) for r in (1, 10, 100)] + [(2, "u", AT, "u", AT, AT, "D"), (3, "u", "2020-01-01", "u", AT, None, None)]
+BONDADAPT = {
+    "entity_table": ("entity_id int, created_by string, createddate string, updated_by string, updateddate string, deleteddate string, status string", _ENTITY),
+    "prop_person_gen": ("reference int, person_id int, first_name string, last_name string, linkedin string", [(1, 501, "Ann", "Lee", "https://linkedin.com/in/a"), (2, 502, "Del", "D", None), (3, 503, "Cy", "Z", "linkedin.com/in/a/")]),
+    "prop_cand_gen": ("reference int", [(3,)]),
+    "prop_address": ("reference int, street1 string, street2 string, town string, county string, post_code string, country string, bisuniqueid int",
+                     [(1, " ", None, "Rome", None, None, "123", 1), (1, "1 High", None, "Rome", None, "N/A", "Italy", 2), (3, "http://x", None, "-", "Kent", None, "UK", 3)]),
+    "prop_email": ("reference int, bisuniqueid int, email_add string", [(1, 11, "A@x.com"), (3, 12, "a@x.com"), (2, 13, "d@x.com")]),
+    "prop_telephone": ("reference int, bisuniqueid int, tel_number string", [(1, 21, "020 7946"), (1, 22, "mailto:x"), (1, 23, "12")]),
+    "prop_client_gen": ("reference int, client_id int, name string, no_empl int, web_add string", [(10, 710, "Acme", 5, "http://Acme.com/"), (2, 702, "Gone", None, None)]),
+    "prop_cont_gen": ("reference int, bisuniqueid int, cur_empl int, job_title string", [(1, 31, 10, "CEO"), (3, 32, 10, " ")]),
+    "journal_entries": ("id long, creation_date string, notes_edit_date string, creator_id int, j_notes string, j_document string", [(1, AT, None, 5, " ", "<b>doc</b>"), (2, AT, AT, 5, None, " ")]),
+    "lk_entities_journal": ("journal_id long, entity_id int", [(1, 1), (1, 3), (1, 10), (2, 1)]),
+    "prop_job_gen": ("reference int, job_title string, closed_dt string, tbref int", [(100, "CTO", None, 710), (101, "CFO", AT, None)]),
+    "prop_x_short_cand": ("candidate int, job int, client int", [(1, 100, 710), (503, 100, 10), (9, 100, 10)]),
+    "prop_x_int_cand": ("candidate int, job int", [(501, 100)]), "prop_x_assig_cand": ("candidate int, job int, assignment int", [(3, 100, 900)]),
+    "prop_assig_gen": ("assig_id int, filled_dt string, start_dt string, end_dt string", [(900, None, "2024-03-03", AT)]),
+    "phx_previousinterviewsdatacache": ("candidateid int, clientid int, enddatetime string, ivdate string, startdatetime string", [(1, 10, None, "2024-04-04", AT)]),
+    "phx_upcominginterviewsdatacache": ("candidateid int, clientid int, enddatetime string, ivdate string, startdatetime string", [(1, 10, AT, None, None)]),
+}
+
+
+def test_bondadapt(export, ctx, tmp_path):
+    got = migrate("bondadapt", export(BONDADAPT), ctx, str(tmp_path))
+    assert {(r.id, r.location_locality, r.location_street_address, r.location_country) for r in got["people"].collect()} == {(1, "1 High, Rome", "1 High", "Italy"), (3, "Kent", None, "UK")}
+    assert {(r.id, r.person_id, r.value) for r in got["person_identities"].collect()} == {("12_email", 3, "a@x.com"), ("21_phone", 1, "020 7946"), ("3_linkedin", 3, "linkedin.com/in/a")}
+    assert [(r.id, r.name, r.size) for r in got["companies"].collect()] == [(10, "Acme", "5")]
+    assert [(r.company_id, r.value) for r in got["company_identities"].collect()] == [(10, "acme.com")]
+    assert [(r.person_id, r.company_id, r.title) for r in got["company_contacts"].collect()] == [(1, 10, "CEO")]
+    assert {(r.id, r.text) for r in got["person_notes"].collect()} == {("1_1", "doc"), ("3_1", "doc")}
+    assert [(r.id, r.company_id, r.closed_at) for r in got["projects"].collect()] == [(100, 10, "2024-06-30T00:00:00")]
+    assert {(r.person_id, r.status, r.created_at) for r in got["candidates"].collect()} == {(1, "Internal IV", "2024-04-04T00:00:00"), (3, "Hired", "2024-03-03T00:00:00")}
+
+
+_FLAT = "id int, name string, company string, location string, created_date string, recent_activity_date string, phone string, email string, linkedin string, type string, title string"
+LOXO_CSV = {"candidate": (_FLAT, [(1, "Ann M Lee", "Acme", "Rome", AT, None, "1", "a@x.com", "https://www.linkedin.com/in/a/;", "Candidate", None)]),
+            "client": (_FLAT, [(2, "Cy", " ", None, AT, AT, " ", None, "x.com", "Contact", "CEO"), (3, "Di Zed", "Beta", None, "bad", AT, "3", "", None, "Contact", None)])}
+
+
+def test_loxo_csv(export, ctx, tmp_path):
+    got = migrate("loxo_csv", export(LOXO_CSV), ctx, str(tmp_path))
+    assert {(r.id, r.first_name, r.last_name, r.created_at) for r in got["people"].collect()} == {("1", "Ann", "M Lee", "2024-01-02T00:00:00"), ("2", "Cy", "Cy", "2024-01-02T00:00:00"), ("3", "Di", "Zed", None)}
+    assert {(r.id, r.relationship) for r in got["companies"].collect()} == {(1, "target"), (3, "client")}
+    assert {(r.person_id, r.type, r.value, r.identity_type_type) for r in got["person_identities"].collect()} == {
+        ("1", "email", "a@x.com", "personal"), ("1", "phone", "1", "personal"), ("1", "linkedin", "linkedin.com/in/a", None), ("3", "phone", "3", "corporate")}
+    assert {(r.person_id, r.atlas_company_id is None) for r in got["company_contacts"].collect()} == {("2", True), ("3", False)}
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]
