@@ -534,6 +534,86 @@ def test_loxo_csv(export, ctx, tmp_path):
     assert {(r.person_id, r.atlas_company_id is None) for r in got["company_contacts"].collect()} == {("2", True), ("3", False)}
 
 
+_REC = "itemid string, creatorid string, modifierid string, datecreated string, datemodified string"
+
+
+def _rec(key, *rest, by="u1", at=AT):
+    return (key, by, "u9", at, at, *rest)
+
+
+def _links(a, b, *rows):
+    return (f"{a} string, {b} string", list(rows))
+
+
+INVENIAS = {
+    "users": ("itemid string, username string, disabled boolean", [("u1", "SUE@corp.example.com", False), ("u2", "al@corp.example.com", True), ("u3", "x@y.com", False)]),
+    "people": (_REC + ", fileas string, firstname string, familyname string, email1address string, mobilephone string, linkedin string, homestreet string, homepostalcode string, homecity string, homestate string, homecountry string, typeclientchecked boolean",
+               [_rec("p1", "Sue S", "Sue", "S", "s@x.com", "1", "https://www.linkedin.com/in/s/", "1 High", "N1", "Rome", " ", None, False), _rec("p2", "Al P", "Al", "P", "S@x.com ", "a@b", None, None, None, None, None, "UK", True),
+                _rec("p3", "m", "info@x.com", "B", None, None, None, None, None, None, None, None, None)]),
+    "relation_usertoperson": _links("userid", "personid", ("u1", "p1"), ("u2", "p2")),
+    "categorylists": ("itemid string, fileas string", [("E5DB1242-A7C0-447A-9540-0CD5A899C96E", "Place"), ("L2", "Skill")]),
+    "categorylistentries": ("itemid string, fileas string, categorylistid string, parentlistentryid string",
+                            [("e1", "Italy", "E5DB1242-A7C0-447A-9540-0CD5A899C96E", "x"), ("e2", "Europe", "E5DB1242-A7C0-447A-9540-0CD5A899C96E", "x"), ("e3", "Spark", "L2", None)]),
+    "relation_persontocategorylistentry": ("relationid string, person string, categorylistentryid string", [("r1", "p1", "e1"), ("r2", "p1", "e2"), ("r3", "p2", "e3"), ("r4", "p3", "e3")]),
+    "companies": (_REC + ", fileas string, clientstatus string, offmarketstatus int, offmarketstartdate string, offmarketownerid string, offmarketreason string, webpage string, linkedin string, internalcomments string",
+                  [_rec("c1", "Acme", "s1", 1, AT, None, "why", "https://www.acme.com/", None, "<b>n</b>"), _rec("c2", "Beta", None, None, None, None, None, "acme.com", "https://linkedin.com/company/b", " ", at="2025-01-01")]),
+    "companylocationsettings": ("companylocationid string, settingname string, settingvalue string", [("l1", "CityFieldLabel", "Town"), ("l1", "CountyFieldLabel", "Kent"), ("l1", "Other", "x")]),
+    "locations": ("itemid string, datecreated string, datemodified string, businessstreet string, businesspostalcode string, businesscity string, businessstate string, businesscountry string",
+                  [("l1", AT, None, "5 Road", "N1", None, None, "UK"), ("l2", AT, AT, "old", None, None, None, None)]),
+    "relation_companytolocation": ("companyid string, locationid string, datecreated string, datemodified string", [("c1", "l1", AT, "2024-05-05"), ("c1", "l2", AT, AT)]),
+    "lookuplistentries": ("itemid string, name string", [("s1", "Current"), ("s2", "Completed"), ("s3", "*08. Submitted to Client"), ("s4", "Rejected by Candidate - Location"), ("s5", "11. Offer")]),
+    "positions": (_REC + ", jobtitle string, positionstatus int, startdate string, enddate string, description string",
+                  [_rec("o1", "CEO @ Other", 0, "2020-01-01", None, None), _rec("o2", "Dev", 0, "2019-01-01", None, "d", at="2020-01-01"), _rec("o3", " ", 1, "2019-01-01", "2020-01-01", None)]),
+    "relation_persontoposition": _links("positionid", "personid", ("o1", "p1"), ("o2", "p1"), ("o3", "p2")), "relation_companytoposition": _links("positionid", "companyid", ("o1", "c1"), ("o2", "c1"), ("o3", "c2")),
+    "personeducation": ("itemid string, startdate string, enddate string, subject string, placeofstudy string", [("d1", "2000-01-01", None, "Maths", "MIT"), ("d2", None, None, None, "MIT")]),
+    "relation_persontoeducation": _links("personeducationid", "personid", ("d1", "p1"), ("d2", "p1")),
+    "telephones": (_REC + ", content string, telephoneactiondate string", [_rec("t1", "<p>rang</p>", "2024-03-03")]), "emails": (_REC + ", body string", [_rec("m1", "...")]),
+    "notes": (_REC + ", content string, noteactiontype string", [_rec("n1", "hi", "4693FEE3-6725-4E0C-8370-5244EB2F04DB", by="u7"), _rec("n2", " ", None)]),
+    "relation_persontotelephone": _links("telephoneid", "personid", ("t1", "p1"), ("t1", "p2"), ("t1", "p3")), "relation_persontoemail": _links("emailid", "personid", ("m1", "p1")),
+    "relation_persontonote": _links("noteid", "personid", ("n1", "p1"), ("n2", "p1")),
+    "assignments": (_REC + ", fileas string, ownerid string, status string, assignmentnumber string", [_rec("a1", "CTO", "u1", "s2", "N1"), _rec("a2", "CFO", "u9", None, "N2")]),
+    "relation_companytoassignment": _links("assignmentid", "companyid", ("a1", "c1"), ("a2", "c2")),
+    "relation_assignmenttoprogresstracking": _links("assignmentid", "datecreated", ("a1", AT), ("a1", "2024-02-02")),
+    "relation_assignmenttoassignmentclient": _links("assignmentid", "assignmentclientid", ("a1", "x1"), ("a1", "x2")), "relation_persontoassignmentclient": _links("assignmentclientid", "personid", ("x1", "p1"), ("x2", "p2")),
+    "relation_persontoteammember": _links("teammemberid", "personid", ("tm1", "p1")), "relation_assignmenttoteammember": _links("assignmentid", "teammemberid", ("a1", "tm1")),
+    "relation_assignmenttoowner": _links("assignmentid", "userid", ("a1", "u1"), ("a2", "u2")),
+    "relation_candidatetoassignment": ("relationid string, personid string, assignmentid string, recordstatus string, datecreated string, datemodified string",
+                                       [("k1", "p1", "a1", "s3", AT, None), ("k2", "p1", "a1", "s4", AT, "2024-02-02"), ("k3", "p2", "a1", "s5", AT, None), ("k4", "p2", "a2", "s3", AT, None)]),
+    "placements": ("itemid string", [("q1",)]), "relation_assignmenttoplacement": _links("placementid", "assignmentid", ("q1", "a1")), "relation_persontoplacement": _links("placementid", "personid", ("q1", "p2")),
+    "permanentpackages": (_REC + ", amountfrom int, amountto int, notes string, settingid string, currency string", [_rec("y1", None, 90, "n", "g1", "z1"), _rec("y2", 1, 2, None, "g2", None)]),
+    "permanentpackagessettings": ("itemid string, name string", [("g1", "Basic Salary"), ("g2", "Bonus")]), "relation_positiontopermanentpackage": _links("packageid", "positionid", ("y1", "o1"), ("y2", "o1")),
+    "currencies": ("itemid string, currencycode string, currencyname string", [("z1", "GBP", "UK , pounds")]),
+}
+
+
+def test_invenias(spark, export, ctx, tmp_path):
+    prior = spark.createDataFrame([("known-1", "sue@corp.example.com", "Sue", "active")], "id string, email string, name string, status string")
+    got = migrate("invenias", export(INVENIAS), ctx, str(tmp_path), prior_users=prior)
+    assert {(r.id, r.atlas_id == "known-1", r.name, r.status) for r in got["users"].collect()} == {("u1", True, "Sue", "active"), ("u2", False, "Al P", "disabled")}
+    assert {(r.id, r.location_locality, r.location_street_address, r.created_by_atlas_id, r.updated_by_id) for r in got["people"].collect()} == {
+        ("p1", "Italy, Rome", "N1 1 High", "known-1", None), ("p2", "UK", None, "known-1", None)}
+    assert {(r.person_id, r.type, r.value, r.identity_type_type) for r in got["person_identities"].collect()} == {
+        ("p1", "email", "s@x.com", "personal"), ("p1", "phone", "1", "personal"), ("p1", "linkedin", "linkedin.com/in/s", "personal")}
+    firms = {r.id: r for r in got["companies"].collect()}
+    assert (firms["c1"].relationship, firms["c1"].location_locality, firms["c1"].location_metro, firms["c1"].location_region, firms["c1"].restriction_type) == ("client", "UK, N1, 5 Road", "Town", "Kent", "hard")
+    assert firms["c2"].location_locality == "" and firms["c2"].restriction_type is None
+    assert {(r.company_id, r.type, r.value) for r in got["company_identities"].collect()} == {("c1", "website", "acme.com"), ("c2", "linkedin", "linkedin.com/company/b")}
+    assert [(r.person_id, r.company_id, r.title) for r in got["company_contacts"].collect()] == [("p1", "c1", "CEO @ Other")]
+    assert [(r.id, r.text) for r in got["company_notes"].collect()] == [("c1", "n")]
+    assert {(r.id, r.person_id, r.type, r.created_by_atlas_id) for r in got["person_notes"].collect()} == {
+        ("t1", "p1", "phone_call", "known-1"), ("t1", "p2", "phone_call", "known-1"), ("n1", "p1", "phone_call", "master-0")}
+    assert {(r.id, r.title, r.company_name) for r in got["experiences"].collect()} == {("o1", "CEO", "Other"), ("o2", "Dev", "Acme")}
+    assert ids(got["educations"]) == ["d1"]
+    assert {(r.id, r.state, r.close_reason, r.closed_at) for r in got["projects"].collect()} == {("a1", "closed", "won", "2024-02-02T00:00:00"), ("a2", "on_hold", None, None)}
+    assert [(r.project_id, r.company_contact_id) for r in got["project_company_contacts"].collect()] == [("a1", "p1")]
+    assert {(r.project_id, r.user_id) for r in got["project_users"].collect()} == {("a1", "u1"), ("a2", "u2")}
+    assert {(r.id, r.status, r.rejection_type, r.rejection_reason, r.rejected_at) for r in got["candidates"].collect()} == {
+        ("k2", "Presented", "self", "location", "2024-02-02T00:00:00"), ("k3", "Hired", None, None, None), ("k4", "Presented", None, None, None)}
+    assert [(r.basic_salary, r.currency, r.country) for r in got["person_salaries"].collect()] == [(90, "GBP", "UK")]
+    assert {(r.value, r.position) for r in got["custom_attribute_options"].collect()} == {("Europe", 1), ("Italy", 2), ("Spark", 1)}
+    assert sorted(ids(got["person_custom_attribute_values"], "person_id")) == ["p1", "p1", "p2"]
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]
