@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 
 from ..context import RunContext
 from ..sources.sinks import Outputs
-from . import (bondadapt, bullhorn, ezekia, invenias, jobadder, loxo, loxo_csv, manatal, recruit_crm, recruitly,
-               seven20, vincere)
+from . import (bondadapt, bullhorn, ezekia, filefinder, invenias, jobadder, loxo, loxo_csv, manatal, recruit_crm,
+               recruitly, seven20, vincere)
 
 VENDORS: dict[str, Callable[..., None]] = {
     module.__name__.rsplit(".", 1)[1]: module.tables for module in (
-        bondadapt, bullhorn, ezekia, invenias, jobadder, loxo, loxo_csv, manatal, recruit_crm, recruitly, seven20,
-        vincere)}
+        bondadapt, bullhorn, ezekia, filefinder, invenias, jobadder, loxo, loxo_csv, manatal, recruit_crm, recruitly,
+        seven20, vincere)}
 
 
 def migrate(vendor: str, read: Callable[[str], DataFrame], ctx: RunContext, folder: str | None = None,

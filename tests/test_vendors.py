@@ -13,9 +13,11 @@ AT = "2024-01-02 03:04:05"
 def export(spark):
     """``export({name: (schema, rows)})`` gives a reader of those tables."""
     def build(tables):
-        frames = {name: spark.createDataFrame(rows, schema) for name, (schema, rows) in tables.items()}
+        frames = {name: spark.createDataFrame(rows, schema).coalesce(1) for name, (schema, rows) in tables.items()}
         return lambda name: frames[name]
-    return build
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield build
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def ids(df, column="id"):
@@ -614,6 +616,79 @@ def test_invenias(spark, export, ctx, tmp_path):
     assert sorted(ids(got["person_custom_attribute_values"], "person_id")) == ["p1", "p1", "p2"]
 
 
+LONG = "a text that is longer than thirty characters"
+FILEFINDER = {
+    "user": ("iduser string, useremail string, fullname string, createdon string, modifiedon string", [("u1", "sue@corp.example.com", "Sue S", AT, AT), ("u2", "SUE@corp.example.com", "Sue T", "2025-01-01", AT), ("u3", "x@y.com", "X", AT, AT)]),
+    "person": ("idperson string, firstname string, middlename string, lastname string, createdon string, modifiedon string, biography string, personcomment string, iduser string, isdeleted int, note string",
+               [("p1", "Ann", None, "Lee", AT, AT, "bio", " ", "u1", 0, "<i>n</i>"), ("p2", "Cy", None, "Z", AT, AT, None, None, "u9", 0, None), ("p3", "Del", None, "D", AT, AT, None, None, None, 1, None)]),
+    "person_paddress": ("idperson string, idpaddress string, idpersonaddresstype string", [("p1", "a1", "t2"), ("p1", "a2", "t1"), ("p2", "a1", "t3"), ("p1", "a3", "t1")]),
+    "company_paddress": ("idcompany string, idpaddress string, idcompanyaddresstype string", [("c1", "a1", "k2"), ("c1", "a2", "k1")]),
+    "paddress": ("idpaddress string, addressline1 string, addressline2 string, addressline3 string, addressline4 string, city string, countystate string, postcode string, idcountry string",
+                 [("a1", "1 High", "", "Flat", None, "Rome", None, None, "x1"), ("a2", " ", None, None, None, "Pisa", None, "N1", None), ("a3", None, None, None, None, None, None, None, None)]),
+    "country": ("idcountry string, value string", [("x1", "Italy")]), "personaddresstype": ("idpersonaddresstype string, value string", [("t1", "Private"), ("t2", "Second Home"), ("t3", "Business")]),
+    "companyaddresstype": ("idcompanyaddresstype string, value string", [("k1", "Postal Address"), ("k2", "Invoice")]),
+    "company": ("idcompany string, companyname string, companycomment string, clientrelationshipnotes string, noofemployees int, createdon string, modifiedon string, createdby string, iduser string, isdeleted int, parentid string",
+                [("c1", "Acme", None, None, 5, AT, AT, "sue s", "u1", 0, "c2"), ("c2", "Beta", None, None, None, AT, AT, None, None, 0, None), ("c3", "Del", None, None, None, AT, AT, None, None, 1, "c1")]),
+    "person_eaddress": ("idperson_eaddress string, idperson string, ideaddress string, idpersoncommunicationtype string, isdefault boolean, rowtimestamp string",
+                        [("l1", "p1", "e1", "w1", True, AT), ("l2", "p1", "e2", "w2", False, AT), ("l3", "p2", "e3", None, None, AT), ("l4", "p2", "e4", None, None, AT), ("l5", "p2", "e1", None, None, "2025-01-01"), ("l6", "p2", "e5", None, None, AT)]),
+    "company_eaddress": ("idcompany_eaddress string, idcompany string, ideaddress string, rowtimestamp string", [("m1", "c1", "e4", AT), ("m2", "c1", "e1", AT), ("m3", "c2", "e2", AT)]),
+    "eaddress": ("ideaddress string, commvalue string", [("e1", "A@gmail.com"), ("e2", "+44 20 7946"), ("e3", "https://www.LinkedIn.com/in/c"), ("e4", "www.Acme.com/"), ("e5", "n/a")]),
+    "personcommunicationtype": ("idpersoncommunicationtype string, value string", [("w1", "Work"), ("w2", "Home")]),
+    "candidateprogress": ("idcandidateprogress string, value string", [("g1", "Shortlist Reject"), ("g2", "Placed"), ("g3", "Odd")]), "introductionprogress": ("idintroductionprogress string, value string", [("g9", "Met")]),
+    "assignmentsourceprogress": ("idassignmentsourceprogress string, value string", []), "personreferenceprogress": ("idpersonreferenceprogress string, value string", []),
+    "activitylog": ("idactivitylog string, subject string, description string, activitytype string, progressid string, createdby string",
+                    [("i1", "Call", f"<b>{LONG}</b>", "PhoneCall", "g9", "SUE S"), ("i2", "A long enough subject", None, "Email", None, None), ("i3", "Sending letter", LONG, "Letter", None, None), ("i4", "Hi", "short", "Email", None, None)]),
+    "activitylogentity": ("idactivitylogentity string, idactivitylog string, idperson string, contextentitytype string, contextentityid string, createdon string, modifiedon string",
+                          [("y1", "i1", "p1", "Person", "p1", AT, None), ("y2", "i2", "p1", "Assignment", "j1", AT, None), ("y3", "i1", None, "Company", "c1", AT, None), ("y4", "i3", "p1", "Person", None, AT, None), ("y5", "i4", "p1", "Person", None, AT, None)]),
+    "remuneration": ("idremuneration string, idcompany_person string, salary string, bonus string, package string, packagenote string, idcurrency string, createdby string", [("r1", "q1", "1000.5", None, "0", "n", "z1", "Sue S"), ("r2", "q1", "0", None, None, None, None, None)]),
+    "company_person": ("idcompany_person string, idperson string, idcompany string, jobtitle string, companynameonly string, employmentfrom string, employmentto string, note string, isactiveemployment boolean, createdon string, modifiedon string",
+                       [("q1", "p1", "c1", "CEO", "Acme", None, None, " ", True, AT, AT), ("q2", "p2", "c9", "Dev", "Else", "2001-01-01", "2002-01-01", "<i>x</i>", False, AT, AT), ("q3", "p2", "c1", "", None, None, None, None, True, AT, AT)]),
+    "currency": ("idcurrency string, value string", [("z1", " usd "), ("z2", "Euros")]),
+    "education": ("ideducation string, idperson string, educationsubject string, educationestablishment string, idqualification string, notes string, educationfrom string, educationto string, createdon string, modifiedon string",
+                  [("d1", "p1", "Maths", "MIT", "h1", None, "2000-01-01", None, AT, AT), ("d2", "p1", None, "", None, None, None, None, AT, AT)]),
+    "qualification": ("idqualification string, value string", [("h1", "BSc")]),
+    "assignment": ("idassignment string, idcompany string, assignmenttitle string, assignmentbrief string, assignmentcomment string, idassignmentstatus string, idassignmenttype string, createdon string, modifiedon string, actualcompletedate string, "
+                   "salaryfrom int, salaryto int, idcurrency1 string, idcurrency string, iduser string, assignmentno string, isdeleted int, baseestimatedfee int, estimatedfee int, finalfee int, feecomment string",
+                   [("j1", "c1", "CTO", "<p>b</p>", None, "s1", "v1", "2024-05-05 00:00:00", AT, None, 0, 9, "z2", "z1", "u1", "N1", 0, 5, 5, 6, " x "), ("j2", "c1", "CFO", None, None, "s2", None, "2024-06-06 00:00:00", AT, None, 1, 2, None, None, "u9", "N1", 0, None, None, 0, None),
+                    ("j3", "c1", "Old", None, None, "s1", None, "2020-01-01 00:00:00", AT, AT, None, None, None, None, None, "N3", 0, None, None, None, None), ("j4", "c1", "Ref", None, None, "s3", None, AT, AT, None, None, None, None, None, None, "N4", 0, None, None, None, None)]),
+    "assignmentstatus": ("idassignmentstatus string, value string", [("s1", "Assign - Active"), ("s2", "Pitch complete - lost"), ("s3", "Research/Reference")]),
+    "assignmenttype": ("idassignmenttype string, value string", [("v1", "Interim cover")]),
+    "assignmentcontact": ("idassignment string, idperson string, createdon string, modifiedon string", [("j1", "p1", AT, AT), ("j1", "p2", AT, AT), ("j2", "p3", AT, AT)]),
+    "assignmentcandidate": ("idassignmentcandidate string, idassignment string, idperson string, idcandidateprogress string, contactedon string, contactedby string, createdby string, createdon string, modifiedon string, isexcluded int",
+                            [("b1", "j1", "p1", "g1", "2024-02-02", "Sue S", "Nobody", AT, AT, 0), ("b2", "j2", "p1", "g2", "2024-03-03", None, "Sue S", AT, AT, 0), ("b3", "j1", "p2", "g2", None, None, None, AT, AT, 1)]),
+    "assignmentsource": ("idassignmentsource string, idassignment string, idperson string, createdby string, createdon string", [("o1", "j1", "p2", "Sue S", AT), ("o2", "j1", "p1", None, "2020-01-01")]),
+    "document": ("iddocument string, newdocumentname string, originaldocumentname string, description string", [("f1", "ab12.pdf", "Doc", "My CV"), ("f2", "noext", "x", None), ("f3", "cd.txt", "terms", None)]),
+    "entitydocument": ("iddocument string, entityid string", [("f1", "p1"), ("f2", "p1"), ("f3", "c1")]),
+}
+
+
+def test_filefinder(export, ctx, tmp_path):
+    got = migrate("filefinder", export(FILEFINDER), ctx, str(tmp_path))
+    assert [(r.id, r.status) for r in got["users"].collect()] == [("u1", "disabled")]
+    assert {(r.id, r.location_street_address, r.location_locality, r.overview.strip()) for r in got["people"].collect()} == {("p1", "", "Pisa", "Biography: \r\nbio"), ("p2", None, None, "")}
+    assert {(r.id, r.location_locality, r.size) for r in got["companies"].collect()} == {("c1", "Pisa", "1-10"), ("c2", None, None)}
+    assert {(r.person_id, r.type, r.value, r.identity_type_type, r.favourite) for r in got["person_identities"].collect()} == {
+        ("p1", "email", "a@gmail.com", "corporate", True), ("p1", "phone", "+44207946", "personal", True), ("p2", "linkedin", "LinkedIn.com/in/c", "corporate", False), ("p2", "website", "acme.com", "corporate", False)}
+    assert {(r.company_id, r.type, r.value) for r in got["company_identities"].collect()} == {("c1", "website", "acme.com"), ("c2", "phone", "+44207946")}
+    assert {(r.person_id, r.relationship, r.title) for r in got["company_contacts"].collect()} == {("p1", "client", "CEO"), ("p2", "client", "")}
+    assert {(r.id, r.text) for r in got["person_notes"].collect()} == {("p1person_note", " n "), ("y2", "Subject: A long enough subject")}
+    met = got["meetings"].collect()
+    assert [(r.id, r.created_by_id, r.action) for r in met] == [("y1", "u1", "PhoneCall")] and met[0].notes == f"Progress: Met\r\nSubject: Call\r\nDescription:  {LONG} "
+    assert ids(got["company_notes"]) == ["y3"]
+    assert [(r.basic_salary, r.currency, r.created_by_id) for r in got["person_salaries"].collect()] == [(1000, "USD", "u1")]
+    assert [(r.degree, r.name) for r in got["educations"].collect()] == [("BSc", "MIT")]
+    assert {(r.id, r.started_at, r.description) for r in got["experiences"].collect()} == {("q1", "2000-01-01", None), ("q2", "2001-01-01", " x ")}
+    assert {(r.id, r.state, r.close_reason, r.salary, r.job_number, r.contract_type) for r in got["projects"].collect()} == {
+        ("j1", "active", None, "9", "N1", "contract"), ("j2", "closed", "lead_lost", "1 - 2", None, "full_time"), ("j3", "closed", "worked_lost", None, "N3", "full_time")}
+    assert ids(got["project_company_contacts"], "person_id") == ["p1", "p2"]
+    assert {(r.id, r.status, r.rejection_type, r.rejected_by_id, r.hired_at) for r in got["candidates"].collect()} == {
+        ("b1", "Presented", "by_client", "u1", None), ("b2", "Hired", None, None, "2024-03-03T00:00:00Z"), ("o1", "Added", None, None, None)}
+    assert [(r.id, r.amount, r.currency, r.notes) for r in got["project_fees"].collect()] == [("5_projected_j1", "6", "usd", "Migrated Fee: x")]
+    assert [(r.company_id, r.subsidiary_id, r.created_by_atlas_id == "master-0") for r in got["company_relationships"].collect()] == [("c2", "c1", False)]
+    assert [(r.person_id, r.file_name, r.type) for r in got["file_person_mapping"].collect()] == [("p1", "AB/ab12.pdf", "resume")]
+    assert ids(got["company_map_files"], "company_id") == ["c1"]
+
+
 def test_tables_stay_lazy_without_a_folder(export, ctx):
     got = migrate("bullhorn", export(BULLHORN), ctx, scoped=False)
     assert ids(got["people"]) == [1, 6]
