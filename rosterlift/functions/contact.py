@@ -87,9 +87,12 @@ def twitter_handle_url(value: ColumnLike) -> Column:
 
 
 def profile_url(value: ColumnLike) -> Column:
-    """The first linkedin.com address inside a text, without scheme, query and trailing slash; NULL when none."""
+    """The first linkedin.com address inside a text, without scheme, query and trailing slash; NULL when none.
+
+    ``www.`` goes with its scheme; an address written without one keeps it.
+    """
     found = F.regexp_extract(text(value), r"(?:https?://)?(?:www\.)?linkedin\.com/[^\s?]+", 0)
-    return F.nullif(drop_matches(drop_matches(found, r"^(https?://)?(www\.)?"), "/$"), F.lit(""))
+    return F.nullif(drop_matches(drop_matches(found, r"^https?://(www\.)?"), "/$"), F.lit(""))
 
 
 def github_norm(value: ColumnLike) -> Column:
