@@ -21,11 +21,10 @@ def build_candidates(raw: DataFrame, projects: DataFrame, people: DataFrame, use
                      hired_codes: Sequence[str] = ("placed",)) -> DataFrame:
     """raw: id, project_id, person_id, owner_id, added_at and what ``marks`` are read off. history: id, status, added_at.
 
-    ``marks`` holds the columns ``outcome`` gives. One candidacy per project and person, the newest.
+    ``marks`` holds the columns ``outcome`` gives; they are read off the rows that stay. One candidacy per project and
+    person, the newest.
     """
-    rows = raw.select("id", "project_id", "person_id", "owner_id", "added_at",
-                      *[c.alias(f"_{n}") for n, c in marks.items()])
-    rows = fk_map(rows, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
+    rows = fk_map(raw, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
     rows = keep_first(rows, ["project_id", "person_id"], [F.col("added_at").desc_nulls_last(), F.col("id").desc()])
     rows = fk_map(rows, "owner_id", users, "atlas_id", "atlas_owner_id", default=ctx.master())
@@ -34,15 +33,16 @@ def build_candidates(raw: DataFrame, projects: DataFrame, people: DataFrame, use
         rows = rows.join(hired, "id", "left")
     else:
         rows = rows.withColumn("_hired", F.lit(None).cast("timestamp"))
-    rejected = F.col("_rejection_type").isNotNull()
+    kind = marks["rejection_type"]
+    rejected = kind.isNotNull()
     return rows.select(
         "id", ctx.record_id("id").alias("atlas_id"), iso("added_at").alias("created_at"),
         iso("added_at").alias("updated_at"), "project_id", "atlas_project_id", "person_id", "atlas_person_id",
-        F.lit("Candidate").alias("class_type"), F.col("_rejected_at").alias("rejected_at"),
-        F.col("_rejection_type").alias("rejection_type"), F.col("_rejection_reason").alias("rejection_reason"),
+        F.lit("Candidate").alias("class_type"), marks["rejected_at"].alias("rejected_at"),
+        kind.alias("rejection_type"), marks["rejection_reason"].alias("rejection_reason"),
         F.when(rejected, F.col("owner_id")).alias("rejected_by_id"),
         F.when(rejected, F.col("atlas_owner_id")).alias("atlas_rejected_by_id"), "owner_id", "atlas_owner_id",
-        F.col("_status").alias("status"), iso(F.when(F.col("_status") == "Hired", F.col("_hired"))).alias("hired_at"))
+        marks["status"].alias("status"), iso(F.when(marks["status"] == "Hired", F.col("_hired"))).alias("hired_at"))
 
 
 def build_candidates_from_history(raw: DataFrame, history: DataFrame, projects: DataFrame, people: DataFrame,
