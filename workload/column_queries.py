@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rosterlift.functions import codes, contact, dates, ids, location, money, names, text
 from rosterlift.functions.text import CRLF
 
-from .base import CTX, NOW, Tables, query, src, uuid_sql
+from .base import CTX, Tables, query, src, uuid_sql
 
 CONTACTS, POSTINGS, TEXTS = src("contacts"), src("postings"), src("id_texts")
 

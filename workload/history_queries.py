@@ -9,7 +9,7 @@ from rosterlift.operators import history
 from rosterlift.operators.reshape import union_all
 from rosterlift.plans.companies import contact_relationship
 
-from .base import CTX, Tables, query, src
+from .base import Tables, query, src
 from .column_queries import d_iso
 
 APPS, HISTORY, STAGES, POSTINGS, CONTACTS = (src(n) for n in ("applications", "history", "stages", "postings", "contacts"))

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rosterlift.functions import codes, contact, dates, names, predicates
+from rosterlift.functions import codes, contact, dates, predicates
 from rosterlift.functions.location import clean_placeholder
 from rosterlift.operators import dedupe, joins, numbering, reshape
 from rosterlift.plans.companies import current_position
 from rosterlift.quality.suite import repeated_values
 from rosterlift.sources import constant_row, literal_relation, union_shards
 
-from .base import CTX, NOW, Tables, query, src, uuid_sql
-from .column_queries import d_email, d_iso, d_linkedin, d_phone, d_placeholder, d_scrub
+from .base import CTX, NOW, Tables, query, src
+from .column_queries import d_email, d_iso, d_linkedin, d_phone, d_placeholder
 
 CONTACTS, PEOPLE, COMPANIES, PROJECTS, USERS = (src(n) for n in ("contacts", "people", "companies", "projects", "users"))
 APPS, POSTINGS, COMMENTS, HISTORY = (src(n) for n in ("applications", "postings", "comments", "history"))
