@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import encode_decode
 from .minhash import NearDuplicates, near_duplicates
+from .packing import packed
+from .wordpiece import token_counts
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -25,3 +30,23 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), NearDuplicates(shingle=4))
+
+
+@query
+def op4_word_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op5_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packed(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = encode_decode(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    written = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
