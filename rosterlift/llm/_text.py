@@ -100,9 +100,9 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     while True:
         part = eights[at] & _MASKS[np.minimum(left, 8)]
         if todo is None:
-            h = mix((h ^ part) * _ODD[1] + part)
+            h = mix((h ^ part) * _ODD[1])
         else:
-            h[todo] = mix((h[todo] ^ part) * _ODD[1] + part)
+            h[todo] = mix((h[todo] ^ part) * _ODD[1])
         more = left > 8
         if not more.any():
             return h

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_decode
 from .minhash import NearDuplicates, near_duplicates
 from .packing import packed
+from .quality import judged
 from .wordpiece import token_counts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +51,9 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     written = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
