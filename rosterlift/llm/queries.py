@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_decode
+from .lm import language_scores
 from .minhash import NearDuplicates, near_duplicates
 from .packing import packed
 from .quality import judged
@@ -33,6 +34,12 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), NearDuplicates(shingle=4))
 
 
+@query
+def op3_partial_matching_scores(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return language_scores(_table(spark, folder, "documents"), F.crc32(number) % 10 == 0)
+
+
 @query
 def op4_word_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
