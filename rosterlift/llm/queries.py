@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._store import Scratch
+from .ann import nearest
 from .bpe import encode_decode
 from .chat import formatted, read_back
 from .lm import language_scores
@@ -36,6 +37,11 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), NearDuplicates(shingle=4))
 
 
+@query
+def op2_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op3_partial_matching_scores(spark: SparkSession, folder: str) -> DataFrame:
     number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
