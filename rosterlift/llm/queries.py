@@ -16,6 +16,7 @@ from .lm import language_scores
 from .minhash import NearDuplicates, near_duplicates
 from .packing import packed
 from .quality import judged
+from .secrets import KINDS, listed, secret_spans
 from .wordpiece import token_counts
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +81,10 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     added = spark.createDataFrame([(-7, 0, "user", saying), (-7, 1, "assistant", saying)], "conv_id long, turn long, role string, text string")
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return read_back(Scratch(spark).keep(formatted(turns), "formatted"))
+
+
+@query
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_spans(_table(spark, folder, "documents"))
+    sizes = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
+    return found.select("doc_id", *sizes, F.sha2(listed(KINDS[:3]), 256).alias("base_sha256"), listed(KINDS).alias("spans"))
