@@ -12,6 +12,7 @@ from ._store import Scratch
 from .ann import nearest
 from .bpe import encode_decode
 from .chat import formatted, read_back
+from .lines import line_classes
 from .lm import language_scores
 from .minhash import NearDuplicates, near_duplicates
 from .packing import packed
@@ -88,3 +89,8 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_spans(_table(spark, folder, "documents"))
     sizes = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
     return found.select("doc_id", *sizes, F.sha2(listed(KINDS[:3]), 256).alias("base_sha256"), listed(KINDS).alias("spans"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_classes(_table(spark, folder, "documents"))
