@@ -1,30 +1,57 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes the documents that the one before has left, works on all of them, and returns documents again; the last
+returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rosterlift.llm._store import Scratch
-from rosterlift.llm.minhash import NearDuplicates, near_duplicates
+from rosterlift.llm.lines import without_copies
+from rosterlift.llm.minhash import one_of_each
+from rosterlift.llm.packing import packed
+from rosterlift.llm.quality import good_documents
+from rosterlift.llm.secrets import masked
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the counts or the classifier reject go."""
+    return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal and nearly equal lines the first stays; documents that were copies altogether go."""
+    return without_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id."""
-    found = near_duplicates(docs, NearDuplicates())
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return one_of_each(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are masked."""
+    return masked(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of all documents in windows of 1024."""
+    return packed(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("secret_scan", secret_scan), ("packing", packing)]
+#: A classifier, edit distances and merges are beyond SQL: tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each stage's result stored and read again."""
     scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -259,12 +259,14 @@ def without_copies(docs: DataFrame, rules: LineRules = LineRules(), scratch: Scr
     n_chars, if they have it, counts the new text. Documents that lose nothing are as they were.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    gone = line_classes(docs, rules, scratch=scratch).where("NOT kept").groupBy(F.col("doc_id").alias("_doc"))
-    gone = gone.agg(F.collect_set("line_no").alias("_gone"))  # at most a document's own lines
-    text = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    joined = docs.join(gone, F.col("doc_id") == F.col("_doc"), "left")
-    joined = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text))
-    joined = joined.where(F.col("_gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
-    return joined.select(*docs.columns)
+    gone = line_classes(docs, rules, scratch=scratch).where("NOT kept").groupBy("doc_id")
+    gone = gone.agg(F.collect_set("line_no").alias("gone"))  # at most a document's own lines
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.join(gone, F.col("row.doc_id") == F.col("doc_id"), "left")
+    text = F.array_join(F.filter(F.split("row.text", "\n", -1), lambda line, i: ~F.array_contains("gone", i)), "\n")
+    rows = rows.withColumn("left", F.when(F.col("gone").isNotNull(), text))
+    rows = rows.where(F.col("gone").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("left"), "n_chars": F.char_length("left").cast("long")}
+    cells = [F.when(F.col("gone").isNotNull(), new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`")
+             for c in docs.columns]
+    return rows.select(*cells)

@@ -206,20 +206,26 @@ def _base_failed(n: dict[str, np.ndarray], rules: QualityRules) -> np.ndarray:
     return (n["n_words"] < rules.min_words) | (100 * n["n_repeat_words"] > rules.max_repeat_percent * n["n_words"])
 
 
+def _verdicts(column: pa.Array, model: np.ndarray | None, rules: QualityRules):
+    """For each piece of a column of texts: the piece, its counts, what fails by them, and the probabilities of good quality."""
+    for part in chunks(column, 1 << 20):
+        w = words(part.data, part.offsets)
+        hashes = span_hashes(part.data, w.start, w.end)
+        n = counts(part, w, hashes)
+        p = np.ones(len(part))
+        if model is not None:
+            z = np.zeros(len(part))
+            for k, (bucket, begin) in enumerate(blocks(part, w, hashes, rules.bits)):
+                share = model[bucket + (k << rules.bits)].astype(float) / np.repeat(np.maximum(np.diff(begin), 1), np.diff(begin))
+                z += np.bincount(np.repeat(np.arange(len(part)), np.diff(begin)), share, len(part))
+            p = 1 / (1 + np.exp(-np.clip(model[-2] * z + model[-1], -30, 30)))
+        yield part, n, _base_failed(n, rules), p
+
+
 def _judge(model: np.ndarray | None, rules: QualityRules):
     def run(batches):
         for batch in batches:
-            for part in chunks(batch.column(1)):
-                w = words(part.data, part.offsets)
-                hashes = span_hashes(part.data, w.start, w.end)
-                n = counts(part, w, hashes)
-                failed = _base_failed(n, rules)
-                p = np.ones(len(part))
-                if model is not None:
-                    z = np.zeros(len(part))
-                    for k, (bucket, begin) in enumerate(blocks(part, w, hashes, rules.bits)):
-                        z += _per_text(model[bucket + (k << rules.bits)].astype(float), begin) / np.maximum(np.diff(begin), 1)
-                    p = 1 / (1 + np.exp(-np.clip(model[-2] * z + model[-1], -30, 30)))
+            for part, n, failed, p in _verdicts(batch.column(1), model, rules):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.first, len(part)), *[pa.array(n[c].astype(np.int64)) for c in _COUNTS],
                      pa.array(failed), pa.array(p), pa.array(~failed & (p >= rules.threshold))],
@@ -244,6 +250,21 @@ def train(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules
     return None if found is None else np.frombuffer(found[0], np.float32)
 
 
+def _keep(model: np.ndarray | None, rules: QualityRules, text: int):
+    def run(batches):
+        for batch in batches:
+            keep = [~failed & (p >= rules.threshold) for _, _, failed, p in _verdicts(batch.column(text), model, rules)]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
+    return run
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, with all their columns, whatever these are called."""
+    Scratch(docs.sparkSession)  # for its batch size
+    model = train(docs, labels, rules)
+    return docs.mapInArrow(_keep(model, rules, docs.columns.index("text")), docs.schema)
+
+
 def _only_passing(rules: QualityRules):
     def run(batches):
         for batch in batches:

@@ -119,19 +119,14 @@ def _limits(tested: DataFrame, p: RandomnessTests) -> DataFrame:
     return counts.where(largest <= p.discovery_rate * F.col("rank") / F.col("all")).groupBy("stratum").agg(F.min("p_class").alias("limit"))
 
 
-def secret_spans(docs: DataFrame, p: RandomnessTests = RandomnessTests(), id_col: str = "doc_id", text_col: str = "text",
-                 scratch: Scratch | None = None) -> DataFrame:
-    """``doc_id, assign, access, hex, random`` of every row: each kind's spans, ``array<struct<start,end>>``, in code points.
-
-    The first three are all matches of their patterns, whatever the tests say; ``random`` are the discoveries that touch
-    none of them. Null and empty texts have none. Rows are scanned one by one: null or repeated ids and other columns
-    do not matter.
-    """
+def _scanned(docs: DataFrame, p: RandomnessTests, id_col: str, text_col: str, scratch: Scratch | None) -> DataFrame:
+    """Each row's id, the hash of its text and its spans of every kind."""
     scratch = scratch or Scratch(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    run = "[A-Za-z0-9+/_-]{%d,}" % p.least
-    rows = rows.select("doc_id", *_base(F.col("text")), _if_any(F.col("text"), run[:-2] + "}", _found(F.col("text"), run, lambda m: F.lit(True))).alias("candidates"))
+    run = "[A-Za-z0-9+/_-]{%d" % p.least
+    candidates = _if_any(F.col("text"), run + "}", _found(F.col("text"), run + ",}", lambda m: F.lit(True)))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), *_base(F.col("text")), candidates.alias("candidates"))
     rows = scratch.keep(rows.withColumn("row", F.monotonically_increasing_id()), "scanned")
     touched = lambda c: F.exists(F.concat("assign", "access", "hex"), lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
     candidates = rows.select("row", F.explode(F.filter("candidates", lambda c: ~touched(c))).alias("c")).select("row", "c.start", "c.end", "c.match")
@@ -142,7 +137,18 @@ def secret_spans(docs: DataFrame, p: RandomnessTests = RandomnessTests(), id_col
     plain = lambda name: F.transform(name, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(name)
     none = F.array().cast("array<struct<start:int,end:int>>")
     return rows.join(found, F.col("row") == F.col("of"), "left").select(
-        "doc_id", plain("assign"), plain("access"), plain("hex"), F.coalesce("random", none).alias("random"))
+        "doc_id", "text_key", plain("assign"), plain("access"), plain("hex"), F.coalesce("random", none).alias("random"))
+
+
+def secret_spans(docs: DataFrame, p: RandomnessTests = RandomnessTests(), id_col: str = "doc_id", text_col: str = "text",
+                 scratch: Scratch | None = None) -> DataFrame:
+    """``doc_id, assign, access, hex, random`` of every row: each kind's spans, ``array<struct<start,end>>``, in code points.
+
+    The first three are all matches of their patterns, whatever the tests say; ``random`` are the discoveries that touch
+    none of them. Null and empty texts have none. Rows are scanned one by one: null or repeated ids and other columns
+    do not matter.
+    """
+    return _scanned(docs, p, id_col, text_col, scratch).drop("text_key")
 
 
 def listed(kinds: tuple[str, ...]) -> Column:
@@ -153,3 +159,30 @@ def listed(kinds: tuple[str, ...]) -> Column:
     name = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(F.sort_array(F.concat(*parts)), lambda s: F.concat_ws(":", name[s["order"]], s["start"], s["end"])), ",")
 
+
+
+def masked(docs: DataFrame, p: RandomnessTests = RandomnessTests(), mark: str = "[secret]", scratch: Scratch | None = None) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with ``mark`` in place of every span found in the text; spans that touch make one.
+
+    All columns stay, whatever they are called; n_chars, if there is one, counts the new text. Rows without spans are as
+    they were; rows that repeat an id are masked by their own texts.
+    """
+    found = _scanned(docs, p, "doc_id", "text", scratch)
+    spans = F.sort_array(F.concat(*KINDS))
+    found = found.select("doc_id", "text_key", spans.alias("spans")).where(F.size("spans") > 0)
+    found = found.groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans"))  # rows of equal texts have equal spans
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.join(found, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_key")), "left")
+    text = F.col("row.text")
+
+    def step(state, span):
+        before = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
+        joined = F.when((span["start"] <= state["at"]) & (state["at"] > 0), state["out"]).otherwise(F.concat(state["out"], before, F.lit(mark)))
+        return F.struct(F.greatest(span["end"], state["at"]).alias("at"), joined.alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    new = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
+    rows = rows.withColumn("masked", F.when(F.col("spans").isNotNull(), new))
+    put = {"text": F.col("masked"), "n_chars": F.char_length("masked").cast("long")}
+    cells = [F.when(F.col("spans").isNotNull(), put[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in put else F.col(f"row.`{c}`")
+             for c in docs.columns]
+    return rows.select(*cells)
