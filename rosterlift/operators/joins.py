@@ -33,13 +33,16 @@ def one_per_key(df: DataFrame, keys: Sequence[Column], *aggregates: Column) -> D
 
 
 def fk_map(df: DataFrame, key: Key, ref: DataFrame, value: str, name: str, ref_key: str = "id",
-           default: Column | str | None = None, policy: str = "default") -> DataFrame:
+           default: Column | str | None = None, policy: str = "default", unique: bool = True) -> DataFrame:
     """Add ``name``: the ``value`` of the referenced row.
 
     ``policy``: ``default`` keeps unmatched rows with the default (NULL without one); ``exclude`` drops them.
-    ``ref`` has one row per ``ref_key``, so the row count never grows.
+    ``ref`` has one row per ``ref_key``, as built tables do, so the row count never grows. Where that is not certain, ``unique``
+    is false: of several rows of a key the one with the smallest value is taken.
     """
     lookup = ref.select(F.col(ref_key).alias("_fk"), F.col(value).alias("_fv"))
+    if not unique:
+        lookup = one_per_key(lookup.where("_fk IS NOT NULL"), [F.col("_fk")], F.min("_fv").alias("_fv"))
     how = "inner" if policy == "exclude" else "left"
     joined = df.join(lookup, _c(key) == F.col("_fk"), how)
     found = F.col("_fv")
@@ -155,8 +158,11 @@ def survivor_key(df: DataFrame, key: str, duplicates: DataFrame, duplicate: str
 
 
 def with_constant(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row constant relation."""
-    return df.crossJoin(F.broadcast(one_row.limit(1)))
+    """Attach the columns of a relation of one row; the query fails if it has none or several."""
+    counted = one_row.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*one_row.columns)).alias("row"))
+    message = F.concat(F.lit("a constant relation has to have one row, it has "), F.col("n").cast("string"))
+    only = counted.select(F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(message)).alias("row")).select("row.*")
+    return df.crossJoin(F.broadcast(only))
 
 
 def nearest_in_time(left: DataFrame, group: str, left_ts: str, right: DataFrame, right_ts: str, right_id: str,

@@ -29,8 +29,3 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     same = reduce(lambda x, y: x & y, [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("_part", *keys)])
     position = (F.col("r._local") + F.col("b._before")).cast("int")
     return r.join(b, same).select(*[F.col(f"r.{c}") for c in df.columns], position.alias(name))
-
-
-def number_code_list(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
-    """Numbering of a literal code list, whose size the job's own text fixes."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))

@@ -11,11 +11,10 @@ from ..context import RunContext
 from ..functions.contact import in_domain, repair_email
 from ..functions.dates import iso
 from ..functions.ids import uuid_from
-from ..functions.location import location_locality, street_address
+from ..functions.location import street_address
 from ..functions.text import scrub, sections
 from ..operators.dedupe import filled_first, keep_first
 from ..operators.joins import exclude, fk_map, keep_any, match_any_key
-from ..operators.reshape import union_all
 
 
 def build_users(raw: DataFrame, ctx: RunContext, prior: DataFrame | None = None) -> DataFrame:
@@ -144,12 +143,3 @@ def build_headlines(experiences: DataFrame) -> DataFrame:
 def preferred_address(addresses: DataFrame, owner: str, street: str, tiebreak: str) -> DataFrame:
     """One address per owner, those with a street first."""
     return keep_first(addresses, [owner], [filled_first(F.trim(F.col(street))), F.col(tiebreak).asc()])
-
-
-def with_locality(df: DataFrame) -> DataFrame:
-    parts = ("address1", "address2", "city", "state", "zip", "country")
-    return df.withColumn("location_locality", location_locality(*parts))
-
-
-def all_people(*lists: DataFrame) -> DataFrame:
-    return union_all(*lists)

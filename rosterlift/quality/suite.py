@@ -78,11 +78,12 @@ def uniqueness(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     return by_check.select(F.inline(F.array(*lines)))
 
 
-def repeated_values(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
-    """The most repeated combinations of the given columns."""
+def repeated_values(df: DataFrame, columns: Sequence[str], n: int | None = 10) -> DataFrame:
+    """The most repeated combinations of the given columns: a sample of ``n`` for a report, all of them for None."""
     kept = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
     counts = kept.groupBy(*columns).count().where("count > 1")
-    return counts.orderBy(F.col("count").desc(), *columns).limit(n)
+    ordered = counts.orderBy(F.col("count").desc(), *columns)
+    return counts if n is None else ordered.limit(n)
 
 
 def position_gaps(df: DataFrame, attribute: str, position: str) -> DataFrame:
@@ -95,20 +96,13 @@ def position_gaps(df: DataFrame, attribute: str, position: str) -> DataFrame:
     return spans.where("starts_at <> 1 OR n_missing > 0").select("attribute_id", "starts_at", "ends_at", "n_missing")
 
 
-def missing_positions(df: DataFrame, attribute: str, position: str, most: int = 5) -> DataFrame:
-    """The missing numbers of attributes that lack at most ``most`` of them: (attribute_id, position).
-
-    Numbers right after a held one are looked up in the held set, so no group is collected.
-    """
+def missing_positions(df: DataFrame, attribute: str, position: str) -> DataFrame:
+    """Every number missing between two held ones: (attribute_id, position)."""
     held = (df.select(F.col(attribute).alias("attribute_id"), F.col(position).cast("int").alias("position"))
             .where("attribute_id IS NOT NULL AND position IS NOT NULL").distinct())
-    few = (position_gaps(df, attribute, position).where(F.col("n_missing").between(1, most))
-           .select("attribute_id", "ends_at"))
-    near = held.join(few, "attribute_id").select(
-        "attribute_id", "ends_at",
-        F.explode(F.sequence(F.col("position") + 1, F.col("position") + most)).alias("position"))
-    inside = near.where("position < ends_at").select("attribute_id", "position").distinct()
-    return inside.join(held, ["attribute_id", "position"], "left_anti")
+    after = F.lead("position").over(Window.partitionBy("attribute_id").orderBy("position"))
+    gaps = held.withColumn("after", after).where("after > position + 1")
+    return gaps.select("attribute_id", F.explode(F.sequence(F.col("position") + 1, F.col("after") - 1)).alias("position"))
 
 
 def evaluate(df: DataFrame, table: str, rules: Mapping[str, Any] | None = None,
@@ -133,10 +127,10 @@ def evaluate(df: DataFrame, table: str, rules: Mapping[str, Any] | None = None,
     return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], REPORT_SCHEMA)
 
 
-def violation_samples(df: DataFrame, table: str, checks: Sequence[Check], row_id: str, n: int = 5) -> DataFrame:
-    """Up to ``n`` offending values per check, long ones shortened, in ``row_id`` order, from one scan.
+def violation_samples(df: DataFrame, table: str, checks: Sequence[Check], row_id: str, n: int | None = 5) -> DataFrame:
+    """A sample for a report: up to ``n`` offending values per check (all for None), long ones shortened, from one scan.
 
-    ``row_id`` is unique; pruning to the first n runs before the shuffle.
+    They come in the order of ``row_id``, which is unique; pruning to the first n runs before the shuffle.
     """
     cells = [F.when(c.bad, F.struct(F.lit(c.rule).alias("rule"), F.lit(c.column).alias("column_name"),
                                     F.col(c.column).cast("string").alias("value")))
@@ -145,7 +139,8 @@ def violation_samples(df: DataFrame, table: str, checks: Sequence[Check], row_id
                        F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("_v"))
     rows = broken.select("row_id", "_v.*")
     rank = F.row_number().over(Window.partitionBy("rule", "column_name").orderBy("row_id"))
-    return (rows.withColumn("n", rank).where(F.col("n") <= n)
+    ranked = rows.withColumn("n", rank)
+    return ((ranked if n is None else ranked.where(F.col("n") <= n))
             .select(F.lit(table).alias("table_name"), "rule", "column_name", "row_id",
                     shorten("value").alias("value"), "n"))
 

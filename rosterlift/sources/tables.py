@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -42,6 +43,15 @@ class TableReader:
             return self.spark.read.parquet(f"{self.folder}/{name}{self.suffix}")
         return self.spark.table(f"{self.database}.{name}" if self.database else name)
 
+    def names(self) -> list[str]:
+        """Every table of the folder or database."""
+        if self.folder is None:
+            return [t.name for t in self.spark.catalog.listTables(self.database)]
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+        return [n.removesuffix(self.suffix) for n in found if n.endswith(self.suffix)]
+
     def exists(self, name: str) -> bool:
         if name in self._seen:
             return True
@@ -88,9 +98,10 @@ def union_shards(shards: Mapping[str, DataFrame], keep: Mapping[str, Column] | N
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_shards(reader: TableReader, numbered: str, fallback: str, schema: str, limit: int = 50) -> DataFrame:
-    """Union of the numbered shards that exist (``numbered.format(n)``), else the single table, else no rows."""
-    names = [n for n in (numbered.format(i) for i in range(1, limit + 1)) if reader.exists(n)]
+def read_shards(reader: TableReader, numbered: str, fallback: str, schema: str) -> DataFrame:
+    """Union of all numbered shards there are (``numbered`` with digits for ``{}``), else the single table, else no rows."""
+    shape = re.compile(r"(\d+)".join(re.escape(part) for part in numbered.split("{}")))
+    names = sorted((n for n in reader.names() if shape.fullmatch(n)), key=lambda n: int(shape.fullmatch(n)[1]))
     if not names and reader.exists(fallback):
         names = [fallback]
     if not names:

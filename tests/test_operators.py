@@ -142,3 +142,11 @@ def test_effective_status_equals_brute_force(spark):
         latest = line[-1][1]
         standing = [e[1] for e in line if e[1] != "no"]
         assert got[p] == (latest, latest if latest != "no" else (standing[-1] if standing else "Added"))
+
+
+def test_a_constant_relation_has_one_row(spark):
+    df = spark.range(3)
+    assert joins.with_constant(df, spark.createDataFrame([("x", None)], "a string, b int")).collect() == [(i, "x", None) for i in range(3)]
+    for rows in ([("x", 1), ("y", 2)], []):
+        with pytest.raises(Exception, match="has to have one row"):
+            joins.with_constant(df, spark.createDataFrame(rows, "a string, b int")).collect()

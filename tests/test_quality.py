@@ -79,7 +79,12 @@ def test_email_problems(spark):
 def test_position_gaps(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("b", 2), ("c", 1), ("c", 4), ("d", 1), ("d", 50), (None, 1)], "k string, p int")
     assert sorted(tuple(r) for r in position_gaps(df, "k", "p").collect()) == [("b", 2, 2, 0), ("c", 1, 4, 2), ("d", 1, 50, 48)]
-    assert sorted(tuple(r) for r in missing_positions(df, "k", "p").collect()) == [("c", 2), ("c", 3)]
+    assert sorted(tuple(r) for r in missing_positions(df, "k", "p").collect()) == [("c", 2), ("c", 3)] + [("d", n) for n in range(2, 50)]
+
+
+def test_a_gap_of_a_thousand(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1002)], "k string, p int")
+    assert sorted(r.position for r in missing_positions(df, "k", "p").collect()) == [*range(2, 1002)]
 
 
 def test_candidate_duplicates_ignore_nulls(spark):

@@ -1,23 +1,41 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlift.session import durable
+from rosterlift.session import discard_durables, durable, scratch_root
 from rosterlift.sources import (SourceMap, TableReader, constant_row, literal_relation, overwrite_table, read_seed, read_shards)
 
 
 def test_shards_found_fallback_and_none(spark, tmp_path):
     reader = TableReader(spark, str(tmp_path))
-    none = read_shards(reader, "work_{}", "work", "id int", limit=3)
+    none = read_shards(reader, "work_{}", "work", "id int")
     assert none.columns == ["id", "source_table"] and none.isEmpty()
     spark.range(2).write.parquet(f"{tmp_path}/work.parquet")
-    assert [r.source_table for r in read_shards(TableReader(spark, str(tmp_path)), "work_{}", "work", "id int", 3).collect()] == ["work"] * 2
+    assert [r.source_table for r in read_shards(TableReader(spark, str(tmp_path)), "work_{}", "work", "id int").collect()] == ["work"] * 2
     spark.range(1).write.parquet(f"{tmp_path}/work_1.parquet")
     spark.range(3).withColumn("more", F.lit("x")).write.parquet(f"{tmp_path}/work_3.parquet")
-    got = read_shards(TableReader(spark, str(tmp_path)), "work_{}", "work", "id int", 3)
+    got = read_shards(TableReader(spark, str(tmp_path)), "work_{}", "work", "id int")
     assert sorted(r.source_table for r in got.collect()) == ["work_1"] + ["work_3"] * 3
     assert set(got.columns) == {"id", "more", "source_table"}
 
 
+def test_shards_have_no_upper_number(spark, tmp_path):
+    for n in (*range(1, 60), 1000):
+        spark.range(1).write.parquet(f"{tmp_path}/work_{n}_data.parquet")
+    spark.range(1).write.parquet(f"{tmp_path}/work_x_data.parquet")
+    got = read_shards(TableReader(spark, str(tmp_path)), "work_{}_data", "work_data", "id int")
+    assert sorted(r.source_table for r in got.collect()) == sorted(f"work_{n}_data" for n in (*range(1, 60), 1000))
+
+
+def test_shards_of_a_database(spark):
+    spark.sql("CREATE DATABASE shards")
+    for n in (2, 70):
+        spark.range(n).write.saveAsTable(f"shards.work_{n}")
+    assert read_shards(TableReader(spark, database="shards"), "work_{}", "work", "id int").count() == 72
+    spark.sql("DROP DATABASE shards CASCADE")
+
+
 def test_source_map_filters_before_renaming(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, None)], "userid int, isdeleted int")
     assert SourceMap("t", {"id": "userid"}, "isdeleted != 1").read(lambda _: df).collect() == [(1,)]
@@ -44,10 +62,21 @@ def test_overwrite_is_a_full_refresh_in_key_order(spark, tmp_path):
     assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
 
 
-def test_durable_cuts_lineage_and_uses_the_configured_folder(spark):
+def test_durable_cuts_lineage_and_uses_the_shared_folder(spark):
     df = durable(spark.range(5).withColumn("r", F.rand()))
     assert df.collect() == df.collect()
-    assert spark.sparkContext.getCheckpointDir()
+    folder = df.inputFiles()[0].removeprefix("file:").replace("//", "").rsplit("/", 1)[0]
+    assert folder.startswith(scratch_root(spark).removeprefix("file:").replace("//", ""))
+    discard_durables(spark)
+    assert not os.path.exists(folder)
+
+
+@pytest.mark.parametrize(("settings", "root"), [({"spark.checkpoint.dir": "/shared/x", "spark.sql.warehouse.dir": "/w"}, "/shared/x"),
+                                                ({"spark.sql.warehouse.dir": "/w/"}, "/w/_scratch")])
+def test_shared_folder(settings, root):
+    from types import SimpleNamespace
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+    assert scratch_root(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf))) == root
 
 
 def test_missing_table_raises(spark, tmp_path):

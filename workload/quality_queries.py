@@ -153,10 +153,10 @@ def _(t: Tables):
 
 
 @query("q27_missing_positions", f"""
-WITH s AS (SELECT a, min(p) AS lo, max(p) AS hi, count(DISTINCT p) AS n FROM {_POS} WHERE p < 36 GROUP BY a)
-SELECT s.a AS attribute_id, CAST(x.p AS INT) AS position FROM s, range(0, 60) x(p) WHERE x.p > lo AND x.p < hi AND hi - lo + 1 - n BETWEEN 1 AND 5 AND NOT EXISTS (SELECT 1 FROM {_POS} q WHERE q.a = s.a AND q.p = x.p AND q.p < 36)""")
+WITH s AS (SELECT a, min(p) AS lo, max(p) AS hi, count(DISTINCT p) AS n FROM {_POS} GROUP BY a)
+SELECT s.a AS attribute_id, CAST(x.p AS INT) AS position FROM s, range(0, 60) x(p) WHERE x.p > lo AND x.p < hi AND NOT EXISTS (SELECT 1 FROM {_POS} q WHERE q.a = s.a AND q.p = x.p)""")
 def _(t: Tables):
-    rows = t.part.where("p_size % 7 <> 3 AND NOT (p_type = 'ECONOMY' AND p_size = 1) AND p_size < 36")
+    rows = t.part.where("p_size % 7 <> 3 AND NOT (p_type = 'ECONOMY' AND p_size = 1)")
     return missing_positions(rows, "p_type", "p_size")
 
 
@@ -266,9 +266,10 @@ def _(t: Tables):
     return integrity.type_mismatches(rows, identities.CLASS_TYPES)
 
 
-@query("k05_several_values", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER (regexp_matches({c}, '[,;|/\\n\\t]')) AS n_bad FROM {CONTACTS}" for c in ("phone", "mobile", "list_text")))
+@query("k05_several_values", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER (regexp_matches({c}, '[,;|/\\n\\t]')) AS n_bad FROM {CONTACTS}" for c in ("phone", "mobile", "list_text"))
+       + " UNION ALL " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER (regexp_matches({c}, '[,;|\n\t]')) AS n_bad FROM {CONTACTS}" for c in ("website", "linkedin")))
 def _(t: Tables):
-    return integrity.several_values(t.contacts, ["phone", "mobile", "list_text"])
+    return integrity.several_values(t.contacts, ["phone", "mobile", "list_text", "website", "linkedin"], urls=["website", "linkedin"])
 
 
 def _d_digits(x: str) -> str:
@@ -329,15 +330,6 @@ def _sides(t: Tables):
     return left, right.unionByName(extra)
 
 
-@query("c01_schema_diff", """
-SELECT d.*, n.n AS n_rows FROM (SELECT 'kind' AS column_name, 'type' AS difference, 'string' AS left_type, 'int' AS right_type UNION ALL SELECT 'only_here', 'only_right', NULL, 'bigint' UNION ALL SELECT 'state', 'only_left', 'string', NULL) d
-CROSS JOIN (SELECT count(*) AS n FROM orders) n""")
-def _(t: Tables):
-    left = t.orders.selectExpr("o_orderkey AS id", "o_orderpriority AS kind", "o_orderstatus AS state")
-    right = t.orders.selectExpr("o_orderkey AS id", "CAST(nullif(o_orderkey, -1) AS INT) AS kind", "nullif(o_custkey, -1) AS only_here")
-    return diff.schema_diff(left, right).crossJoin(t.orders.agg(F.count(F.lit(1)).alias("n_rows")))
-
-
 @query("c02_row_counts", f"SELECT a.n AS n_left, b.n AS n_right, abs(a.n - b.n) AS difference FROM (SELECT count(*) AS n FROM {_LEFT}) a, (SELECT count(*) AS n FROM {_RIGHT}) b")
 def _(t: Tables):
     return diff.count_difference(*_sides(t))
