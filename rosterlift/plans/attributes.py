@@ -20,7 +20,7 @@ def build_custom_attributes(spark: SparkSession, attributes: Sequence[tuple[str,
     """``attributes``: (name, record kind, multiple values). The alias is the name as a slug."""
     rows = literal_relation(spark, ("name", "of", "multiple_values"), attributes)
     return rows.select(
-        label_slug("name").alias("alias"), uuid_from(ctx.client, "name").alias("atlas_id"), "name",
+        label_slug("name").alias("id"), label_slug("name").alias("alias"), uuid_from(ctx.client, "name").alias("atlas_id"), "name",
         F.lit(ctx.midnight_iso).alias("created_at"), F.lit(ctx.midnight_iso).alias("updated_at"),
         ctx.agency().alias("agency_id"), "multiple_values", "of", F.lit("options").alias("type"),
         F.lit(False).alias("ai"))

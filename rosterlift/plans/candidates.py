@@ -51,7 +51,8 @@ def build_candidates_from_history(raw: DataFrame, history: DataFrame, projects:
     """raw: id, project_id, person_id, owner (id or name), created_at, updated_at.
     history: person_id, project_id, status, ts, event_id. users: id, name, atlas_id.
 
-    The status shown is the last one that was not a rejection; the rejection itself comes from the latest event.
+    The status shown is the last one that was not a rejection; the rejection itself comes from the latest event. One
+    candidacy per project and person, the newest.
     """
     keys = ["person_id", "project_id"]
     told = effective_status(history, keys, "status", "ts", "event_id", rejected)
@@ -59,7 +60,8 @@ def build_candidates_from_history(raw: DataFrame, history: DataFrame, projects:
     told = told.select(*keys, code_map("effective_status", status, "Added").alias("status"),
                        kind.alias("rejection_type"), F.when(kind.isNotNull(), iso("latest_at", "midnight")).alias(
                            "rejected_at"))
-    rows = raw.join(told, keys, "left")
+    newest = [F.col("created_at").desc_nulls_last(), F.col("id").desc()]
+    rows = keep_first(raw, ["project_id", "person_id"], newest).join(told, keys, "left")
     rows = lookup_chain(rows, "owner", users, ["id", "name"], "atlas_id", "atlas_owner_id", ctx.master())
     rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id")
     rows = fk_map(rows, "project_id", projects, "atlas_id", "atlas_project_id")
@@ -89,10 +91,12 @@ def build_candidates_from_stages(stages: DataFrame, projects: DataFrame, people:
 
 
 def build_placements(fees: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Fees joined to the candidacy of the same project and person."""
+    """Fees joined to the candidacy of the same project and person; a placement is as old as its fee."""
     held = candidates.select("project_id", F.col("person_id").alias("candidate_id"), F.col("id").alias("_cid"),
                              F.col("atlas_id").alias("_caid"))
     return fees.join(held, ["project_id", "candidate_id"]).select(
+        F.concat_ws("_", F.lit("placement"), "id").alias("id"), uuid_from("placement", "atlas_id", "_caid").alias("atlas_id"),
+        "created_at",
         "project_id", "atlas_project_id", F.col("_cid").alias("candidate_id"),
         F.col("_caid").alias("atlas_candidate_id"), F.col("id").alias("project_fee_id"),
         F.col("atlas_id").alias("atlas_project_fee_id"))

@@ -16,7 +16,7 @@ from ..sources.tables import constant_row
 
 def build_fee_types(spark: SparkSession, ctx: RunContext, name: str = "Projected") -> DataFrame:
     return constant_row(
-        spark, atlas_id=uuid_from(ctx.client, F.lit(ctx.agency_id), F.lit(f"fee_type_{name.lower()}")),
+        spark, id=f"fee_type_{name.lower()}", created_by_id=ctx.master_id, atlas_id=uuid_from(ctx.client, F.lit(ctx.agency_id), F.lit(f"fee_type_{name.lower()}")),
         created_at=ctx.now_iso, updated_at=ctx.now_iso, name=name, created_by_atlas_id=ctx.master_id,
         agency_id=ctx.agency_id, project_fee_type="fee")
 
@@ -51,11 +51,12 @@ def build_fee_splits(raw: DataFrame, projects: DataFrame, users: DataFrame, fee_
                      ctx: RunContext) -> DataFrame:
     """raw: id, project_id, email (of the earner), rate. Earners are found by their address."""
     address = F.nullif(F.lower(F.trim("email")), F.lit(""))
-    by_email = one_per_key(users.where(address.isNotNull()), [address.alias("id")], F.min("atlas_id").alias("atlas_id"))
-    rows = fk_map(raw, F.lower(F.trim("email")), by_email, "atlas_id", "atlas_fee_earner_id", policy="exclude")
+    earner = F.min(F.struct("atlas_id", "id")).alias("earner")
+    by_email = one_per_key(users.where(address.isNotNull()), [address.alias("address")], earner)
+    rows = fk_map(raw, F.lower(F.trim("email")), by_email, "earner", "_earner", ref_key="address", policy="exclude")
     rows = fk_map(rows, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
     rows = with_constant(rows, fee_types.select(F.col("atlas_id").alias("atlas_fee_type_id")))
     return rows.select(
-        "id", ctx.record_id("id").alias("atlas_id"), "atlas_project_id",
-        "atlas_fee_earner_id", ctx.master().alias("atlas_created_by_id"), "atlas_fee_type_id",
+        "id", ctx.record_id("id").alias("atlas_id"), "project_id", "atlas_project_id",
+        F.col("_earner.id").alias("fee_earner_id"), F.col("_earner.atlas_id").alias("atlas_fee_earner_id"), ctx.master().alias("atlas_created_by_id"), "atlas_fee_type_id",
         share_percent("rate").alias("share"), ctx.agency().alias("agency_id"))

@@ -30,6 +30,11 @@ def identity_cell(kind: str, value: Column, scope: Column, favourite: Column, so
             "source_field": F.lit(source), "inactive_reason": reason}
 
 
+def first_filled(*values: Column) -> Column:
+    """The first value that is neither NULL nor empty."""
+    return F.coalesce(*[F.nullif(v, F.lit("")) for v in values])
+
+
 def build_person_identities(raw: DataFrame, people: DataFrame, ctx: RunContext,
                             duplicates: DataFrame | None = None) -> DataFrame:
     """raw: person_id, email, email2, phone, phone2, mobile, workphone, linkedin, linkedin2, email_status, has_company.
@@ -39,9 +44,9 @@ def build_person_identities(raw: DataFrame, people: DataFrame, ctx: RunContext,
     """
     owned = survivor_key(raw, "person_id", duplicates) if duplicates is not None else raw
     owned = fk_map(owned, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
-    email = F.coalesce(email_norm("email"), email_norm("email2"))
+    email = first_filled(email_norm("email"), email_norm("email2"))
     private = is_personal_email(email)
-    profile = F.coalesce(linkedin_norm("linkedin"), linkedin_norm("linkedin2"))
+    profile = first_filled(linkedin_norm("linkedin"), linkedin_norm("linkedin2"))
     branches = [
         identity_cell("email", F.when(email.contains("@") & (F.length(F.trim(email)) > 3), F.lower(email)),
               F.when(~F.col("has_company") & private, "personal").otherwise("corporate"),

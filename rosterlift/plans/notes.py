@@ -56,14 +56,16 @@ def build_form_notes(answers: DataFrame, people: DataFrame, ctx: RunContext) ->
     return rows.select(
         F.concat(F.lit("form_"), F.col("form_id").cast("string")).alias("id"),
         uuid_from(ctx.client, "form_id", "person_id").alias("atlas_id"), "person_id", "atlas_person_id",
-        ctx.master().alias("created_by_atlas_id"), F.concat("title", F.lit("\n\n"), "_answers").alias("text"),
+        ctx.master().alias("created_by_id"), ctx.master().alias("created_by_atlas_id"),
+        F.concat("title", F.lit("\n\n"), "_answers").alias("text"),
         F.lit("manual").alias("type"), F.lit(ctx.midnight_iso).alias("created_at"),
         F.lit(ctx.midnight_iso).alias("updated_at"))
 
 
 def build_email_notes(emails: DataFrame, links: DataFrame, people: DataFrame, users: DataFrame,
                       ctx: RunContext) -> DataFrame:
-    """emails: id, created_by_id, sender, receiver, subject, body, created_at. links: email_id, person_id."""
+    """emails: id, created_by_id, sender, receiver, subject, body, created_at. links: email_id, person_id, repeated or not."""
+    links = links.select("email_id", "person_id").distinct()
     rows = links.join(emails, links["email_id"] == emails["id"]).drop("email_id")
     rows = _with_people(rows, people, users, ctx)
     note = email_note("sender", "receiver", "subject", "body")

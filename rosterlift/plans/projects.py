@@ -65,6 +65,7 @@ def build_project_users(team: DataFrame, owners: DataFrame, projects: DataFrame,
     rows = fk_map(rows, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
     rows = fk_map(rows, "user_id", users, "atlas_id", "atlas_user_id", policy="exclude")
     return rows.select(
+        F.concat_ws("_", "project_id", "user_id").alias("id"),
         uuid_from(ctx.client, "project_id", "user_id").alias("atlas_id"), F.lit(ctx.midnight_iso).alias("created_at"),
         F.lit(ctx.midnight_iso).alias("updated_at"), ctx.agency().alias("agency_id"), "project_id",
         "atlas_project_id", "user_id", "atlas_user_id")

@@ -38,7 +38,7 @@ def build_salaries_from_text(raw: DataFrame, people: DataFrame, ctx: RunContext,
         string_to_timestamp("modified_on").alias("relevant_date"), "basic_salary", "expected_salary_min",
         "expected_salary_max", F.lit(currency).alias("currency"), F.lit("gross").alias("tax_method"),
         F.lit("total").alias("expected_salary_type"), F.lit("migration").alias("source"), "type",
-        ctx.master().alias("created_by_atlas_id"), ctx.agency().alias("agency_id"))
+        ctx.master().alias("created_by_id"), ctx.master().alias("created_by_atlas_id"), ctx.agency().alias("agency_id"))
 
 
 def build_salaries_with_bonus(raw: DataFrame, people: DataFrame, ctx: RunContext) -> DataFrame:
@@ -48,7 +48,7 @@ def build_salaries_with_bonus(raw: DataFrame, people: DataFrame, ctx: RunContext
     out = rows.select(
         "id", uuid_from(ctx.client, "id", "person_id").alias("atlas_id"), iso("created_at").alias("created_at"),
         iso(changed).alias("updated_at"), ctx.agency().alias("agency_id"),
-        ctx.master().alias("created_by_atlas_id"), "person_id", "atlas_person_id",
+        ctx.master().alias("created_by_id"), ctx.master().alias("created_by_atlas_id"), "person_id", "atlas_person_id",
         F.col("base").cast("bigint").alias("basic_salary"),
         F.round(bonus_amount("base", "bonus")).cast("bigint").alias("bonus_salary"),
         total_pay("base", "bonus").alias("total_salary"), currency_code("currency").alias("currency"), "notes",
@@ -59,7 +59,7 @@ def build_salaries_with_bonus(raw: DataFrame, people: DataFrame, ctx: RunContext
                      "OR notes IS NOT NULL")
 
 
-def build_salary_rates(raw: DataFrame, people: DataFrame, ctx: RunContext) -> DataFrame:
+def build_salary_rates(raw: DataFrame, people: DataFrame, ctx: RunContext, currency: str = "GBP") -> DataFrame:
     """raw: person_id, salary, day_rate, hourly_rate, added_at. One row per filled rate, each with its own id."""
     branches = [{"value": F.when(F.col(column) > 0, F.col(column)), "tax_method": F.lit(method), "tag": F.lit(tag)}
                 for column, method, tag in (("salary", "gross", "salary"), ("day_rate", "daily_rate", "day"),
@@ -69,4 +69,6 @@ def build_salary_rates(raw: DataFrame, people: DataFrame, ctx: RunContext) -> Da
     return rows.select(
         F.concat_ws("_", "tag", "person_id").alias("id"), uuid_from(ctx.client, "person_id", "tag").alias("atlas_id"),
         "person_id", "atlas_person_id", F.round("value").cast("bigint").alias("basic_salary"), "tax_method",
-        iso("added_at").alias("created_at"), F.lit("actual").alias("type"), F.lit("migration").alias("source"))
+        iso("added_at").alias("created_at"), iso("added_at").alias("updated_at"), F.lit(currency).alias("currency"),
+        F.lit("total").alias("expected_salary_type"), ctx.master().alias("created_by_id"),
+        ctx.master().alias("created_by_atlas_id"), F.lit("actual").alias("type"), F.lit("migration").alias("source"))

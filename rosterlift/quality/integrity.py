@@ -55,9 +55,9 @@ def type_mismatches(identities: DataFrame, classes: Mapping[str, str]) -> DataFr
                                           F.count_if(wrong_shape).alias("n_wrong_shape"))
 
 
-def several_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column, the rows whose text holds a list instead of one value."""
-    row = df.agg(*[F.count_if(holds_several(F.col(c))).alias(c) for c in columns])
+def several_values(df: DataFrame, columns: Sequence[str], urls: Sequence[str] = ()) -> DataFrame:
+    """Per column, the rows whose text holds a list instead of one value; ``urls`` are the columns that hold addresses."""
+    row = df.agg(*[F.count_if(holds_several(F.col(c), "url" if c in urls else "text")).alias(c) for c in columns])
     return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_bad"))
                                          for c in columns])))
 

@@ -164,6 +164,6 @@ def any_filled(columns: Sequence[str]) -> Column:
     return out
 
 
-def holds_several(value: Column) -> Column:
-    """A text with a list delimiter in it."""
-    return _sure(_text(value).rlike(r"[,;|/\n\t]"))
+def holds_several(value: Column, kind: str = "text") -> Column:
+    """A text with a list delimiter in it. A slash is one, except for kind ``url``, which is full of them."""
+    return _sure(_text(value).rlike(r"[,;|\n\t]" if kind == "url" else r"[,;|/\n\t]"))

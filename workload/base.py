@@ -90,9 +90,9 @@ def text(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
 
 
-def uuid_sql(*parts: str) -> str:
+def uuid_sql(*parts: str, client: str = CTX.client) -> str:
     """The id rule in SQL both engines read; every part an SQL expression, the client put in front."""
-    digest = f"md5('{CTX.client}' || {' || '.join(text(p) for p in parts)})"
+    digest = f"md5('{client}' || {' || '.join(text(p) for p in parts)})"
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
     return "(" + " || '-' || ".join(f"substring({digest}, {a}, {n})" for a, n in cuts) + ")"
 

@@ -83,6 +83,19 @@ def listed(k: str, values: tuple[str, ...]) -> str:
 
 _C, _S, _O, _L = "c_custkey", "s_suppkey", "o_orderkey", "l_orderkey"
 
+
+def unknown(k: str, condition: str) -> str:
+    """The key, or, where the condition holds, one that nothing refers to: references to such rows are orphans."""
+    return f"(CASE WHEN {condition} THEN -1 - {k} ELSE {k} END)"
+
+
+def unknown_name(name: str, condition: str) -> str:
+    return f"(CASE WHEN {condition} THEN 'left ' || {name} ELSE {name} END)"
+
+
+_NATION, _PERSON = unknown("n_nationkey", "n_nationkey % 5 = 3"), unknown(_S, "s_suppkey % 11 = 3")
+_FIRM, _PROJECT = unknown(_C, "c_custkey % 13 = 4"), unknown(_O, "o_orderkey % 17 = 5")
+
 FIXTURES.update({
     # staff: nation
     "staff": Fixture("nation", {
@@ -93,17 +106,17 @@ FIXTURES.update({
                        "'shared@corp.example.com'"),
         "added_at": moment("n_nationkey"), "modified_at": moment("n_nationkey + 5")}),
     "prior_users": Fixture("nation", {
-        "atlas_id": "'kept-' || CAST(n_nationkey AS STRING)", "email": "'user' || CAST(n_nationkey AS STRING) || '@CORP.example.com'",
-        "name": _case("n_nationkey", "'Known Name'", "' '", "NULL"), "status": "'active'"}, "n_nationkey % 2 = 0"),
+        "atlas_id": "'kept-' || CAST(n_nationkey AS STRING)",
+        "email": "CASE WHEN n_nationkey % 2 = 0 THEN 'user' ELSE 'gone' END || CAST(n_nationkey AS STRING) || '@CORP.example.com'",
+        "name": _case("n_nationkey", "'Known Name'", "' '", "NULL"), "status": "'active'"}),
     "users": Fixture("nation", {
-        "id": "n_nationkey", "atlas_id": id_sql("n_nationkey"), "name": "n_name",
-        "email": "'user' || CAST(n_nationkey AS STRING) || '@corp.example.com'", "status": "'active'"}, "n_nationkey % 5 <> 3"),
+        "id": _NATION, "atlas_id": id_sql(_NATION), "name": unknown_name("n_name", "n_nationkey % 5 = 3"),
+        "email": f"'user' || CAST({_NATION} AS STRING) || '@corp.example.com'", "status": "'active'"}),
     # references
-    "people": Fixture("supplier", {"id": _S, "atlas_id": id_sql(_S), "name": "s_name"}, "s_suppkey % 11 <> 3"),
-    "companies": Fixture("customer", {"id": _C, "atlas_id": id_sql(_C), "name": "c_name", "nation_id": "c_nationkey"},
-                         "c_custkey % 13 <> 4"),
-    "projects": Fixture("orders", {"id": _O, "atlas_id": id_sql(_O), "company_id": "o_custkey", "created_at": "o_orderdate",
-                                   "owner_id": "o_custkey % 25"}, "o_orderkey % 17 <> 5"),
+    "people": Fixture("supplier", {"id": _PERSON, "atlas_id": id_sql(_PERSON), "name": "s_name"}),
+    "companies": Fixture("customer", {"id": _FIRM, "atlas_id": id_sql(_FIRM), "name": "c_name", "nation_id": "c_nationkey"}),
+    "projects": Fixture("orders", {"id": _PROJECT, "atlas_id": id_sql(_PROJECT), "company_id": "o_custkey", "created_at": "o_orderdate",
+                                   "owner_id": "o_custkey % 25"}),
     # wide source rows
     "contacts": Fixture("customer", {
         "id": _C, "name": name_with_dirt(_C), "company_name": "c_name", "email": email(_C), "email2": email(f"({_C} + 3)"),
@@ -151,14 +164,14 @@ FIXTURES.update({
         "owner_id": "l_suppkey % 25", "status": listed("(l_orderkey + l_linenumber)", RESPONSE_STATUS), "added_at": "l_shipdate",
         "flag": "l_returnflag", "line_status": "l_linestatus", "line": "l_linenumber"}),
     "history": Fixture("events", {
-        "person_id": "user_id", "project_id": "event_id % 7", "status": "event_type", "ts": "ts", "event_id": "event_id"}),
+        "person_id": "CAST(floor(event_id / 30) AS BIGINT)", "project_id": "CAST(floor(event_id / 3) AS BIGINT)", "status": "event_type", "ts": "ts", "event_id": "event_id"}),
     "comments": Fixture("documents", {
-        "id": "doc_id", "person_id": "doc_id % 120", "created_by_id": "doc_id % 30",
+        "id": "doc_id", "person_id": "CAST(floor(doc_id / 10) AS BIGINT)", "created_by_id": "doc_id % 30",
         "comments": "(CASE WHEN doc_id % 9 = 0 THEN NULL ELSE '<p>' || text || '</p>' END)",
         "action": _case("doc_id", "'Call'", "'Mail Merge'", "' interview '", "'Note'", "NULL"), "added_at": moment("doc_id"),
         "subject": "source", "body": "text"}),
     "stages": Fixture("events", {
-        "id": "event_id", "project_id": "event_id % 50", "candidate_id": "user_id",
+        "id": "event_id", "project_id": "CAST(floor(event_id / 10) AS BIGINT)", "candidate_id": "CAST(floor(event_id / 100) AS BIGINT)",
         "hire": "(CASE WHEN event_id % 31 = 0 THEN ts END)", "offer": "(CASE WHEN event_id % 13 = 0 THEN ts END)",
         "interview2": "(CASE WHEN event_id % 7 = 0 THEN ts END)", "interview1": "(CASE WHEN event_id % 5 = 0 THEN ts END)",
         "sent": "(CASE WHEN event_id % 2 = 0 THEN ts END)", "added": "ts"}),

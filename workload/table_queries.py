@@ -126,7 +126,8 @@ def _(t: Tables):
     return people.people_overview(t.contacts, t.companies, [("Note: ", "html"), ("City: ", "city")])
 
 
-_MAIL, _PROFILE = f"coalesce({d_email('email')}, {d_email('email2')})", f"coalesce({d_linkedin('linkedin')}, {d_linkedin('linkedin2')})"
+_MAIL = f"coalesce(nullif({d_email('email')}, ''), nullif({d_email('email2')}, ''))"
+_PROFILE = f"coalesce(nullif({d_linkedin('linkedin')}, ''), nullif({d_linkedin('linkedin2')}, ''))"
 _CLASS = "CASE type WHEN 'email' THEN 'EmailPersonIdentity' WHEN 'phone' THEN 'PhonePersonIdentity' WHEN 'linkedin' THEN 'LinkedinPersonIdentity' END AS class_type"
 _TAIL = f"""'{AGENCY}' AS agency_id, '{MASTER}' AS created_by_id, 'migration' AS source, FALSE AS hidden, FALSE AS bounced, TRUE AS active, favourite, TRUE AS verified,
   '{NOW}' AS created_at, '{NOW}' AS updated_at, {uuid_sql('atlas_person_id', 'type', 'value')} AS atlas_id, inactive_reason"""
@@ -187,9 +188,9 @@ def _(t: Tables):
 
 
 @query("e06_two_stage_identities", f"""
-WITH r AS (SELECT id % 200 AS person_id, 'email' AS type, lower(trim(email)) AS value, CASE WHEN has_company THEN 'personal' ELSE 'corporate' END AS scope FROM {CONTACTS} WHERE trim(email) <> ''
-  UNION ALL SELECT id % 200, 'phone', {d_phone('phone')}, CASE WHEN has_company THEN 'personal' ELSE 'corporate' END FROM {CONTACTS} WHERE {d_phone('phone')} IS NOT NULL
-  UNION ALL SELECT id % 200, 'linkedin', {d_phone('mobile')}, 'personal' FROM {CONTACTS} WHERE {d_phone('mobile')} IS NOT NULL),
+WITH r AS (SELECT CAST(floor(id / 8) AS BIGINT) AS person_id, 'email' AS type, lower(trim(email)) AS value, CASE WHEN has_company THEN 'personal' ELSE 'corporate' END AS scope FROM {CONTACTS} WHERE trim(email) <> ''
+  UNION ALL SELECT CAST(floor(id / 8) AS BIGINT), 'phone', {d_phone('phone')}, CASE WHEN has_company THEN 'personal' ELSE 'corporate' END FROM {CONTACTS} WHERE {d_phone('phone')} IS NOT NULL
+  UNION ALL SELECT CAST(floor(id / 8) AS BIGINT), 'linkedin', {d_phone('mobile')}, 'personal' FROM {CONTACTS} WHERE {d_phone('mobile')} IS NOT NULL),
 a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person_id, type, value ORDER BY scope DESC) AS r1 FROM r) WHERE r1 = 1),
 f AS (SELECT *, type IN ('email', 'phone') AND row_number() OVER (PARTITION BY person_id, type ORDER BY value) = 1 AS favourite FROM a)
 SELECT person_id, type, value, scope, favourite FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY CASE WHEN type = 'email' THEN 1 WHEN type = 'phone' THEN 2 ELSE 3 END,
@@ -200,7 +201,7 @@ def _(t: Tables):
     branches = [{"type": F.lit("email"), "value": F.nullif(F.lower(F.trim("email")), F.lit("")), "scope": scope},
                 {"type": F.lit("phone"), "value": phone_norm("phone"), "scope": scope},
                 {"type": F.lit("linkedin"), "value": phone_norm("mobile"), "scope": F.lit("personal")}]
-    rows = reshape.unpivot(t.contacts.withColumn("person_id", F.col("id") % 200), ["person_id"], branches)
+    rows = reshape.unpivot(t.contacts.withColumn("person_id", F.floor(F.col("id") / 8)), ["person_id"], branches)
     return identities.two_stage_identities(rows)
 
 
@@ -375,7 +376,7 @@ def _(t: Tables):
 
 @query("e16_project_users", f"""
 WITH u AS (SELECT l_orderkey AS project_id, CAST(l_suppkey % 25 AS INT) AS user_id FROM lineitem UNION SELECT o_orderkey, CAST(o_custkey % 25 AS INT) FROM orders)
-SELECT {uuid_sql('u.project_id', 'u.user_id')} AS atlas_id, '{MIDNIGHT}' AS created_at, '{MIDNIGHT}' AS updated_at, '{AGENCY}' AS agency_id, u.project_id, p.atlas_id AS atlas_project_id, u.user_id, s.atlas_id AS atlas_user_id
+SELECT CAST(u.project_id AS VARCHAR) || '_' || CAST(u.user_id AS VARCHAR) AS id, {uuid_sql('u.project_id', 'u.user_id')} AS atlas_id, '{MIDNIGHT}' AS created_at, '{MIDNIGHT}' AS updated_at, '{AGENCY}' AS agency_id, u.project_id, p.atlas_id AS atlas_project_id, u.user_id, s.atlas_id AS atlas_user_id
 FROM u JOIN {PROJECTS} p ON p.id = u.project_id JOIN {USERS} s ON s.id = u.user_id""")
 def _(t: Tables):
     team = t.lineitem.selectExpr("l_orderkey AS project_id", "CAST(l_suppkey % 25 AS INT) AS user_id")
@@ -404,7 +405,7 @@ def _(t: Tables):
 
 _E_STATUS = {"signup": "Internal IV", "view": "Presented", "purchase": "Hired"}
 _E_REJECT = {"error": "by_us", "click": "by_client"}
-_E_RAW = f"(SELECT l_orderkey * 100 + l_linenumber AS id, l_suppkey AS person_id, l_orderkey % 7 AS project_id, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_suppkey % 25 AS VARCHAR) ELSE 'NATION_' || CAST(l_suppkey % 25 AS VARCHAR) END AS owner, l_shipdate AS created_at, l_shipdate AS updated_at FROM lineitem)"
+_E_RAW = f"(SELECT l_orderkey * 10000000 + l_partkey * 100 + l_linenumber AS id, CAST(floor(l_orderkey / 10) AS BIGINT) AS person_id, l_orderkey AS project_id, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_suppkey % 25 AS VARCHAR) ELSE 'NATION_' || CAST(l_suppkey % 25 AS VARCHAR) END AS owner, l_shipdate AS created_at, l_shipdate AS updated_at FROM lineitem)"
 
 
 @query("e17_candidates_history", f"""
@@ -418,11 +419,11 @@ SELECT r.id, {uuid_sql('r.id')} AS atlas_id, r.person_id, pe.atlas_id AS atlas_p
   coalesce(u1.atlas_id, u2.atlas_id, '{MASTER}') AS atlas_owner_id, {d_iso('r.created_at', '%Y-%m-%dT00:00:00')} AS created_at, {d_iso('r.updated_at', '%Y-%m-%dT00:00:00')} AS updated_at,
   coalesce(m.status, 'Added') AS status, m.kind AS rejection_type, CASE WHEN m.kind IS NOT NULL THEN 'other' END AS rejection_reason, CASE WHEN m.kind IS NOT NULL THEN '{MASTER}' END AS atlas_rejected_by_id,
   CASE WHEN m.kind IS NOT NULL THEN {d_iso('m.ts', '%Y-%m-%dT00:00:00')} END AS rejected_at
-FROM {_E_RAW} r LEFT JOIN m ON m.person_id = r.person_id AND m.project_id = r.project_id LEFT JOIN {USERS} u1 ON CAST(u1.id AS VARCHAR) = r.owner LEFT JOIN {USERS} u2 ON u2.name = r.owner
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY project_id, person_id ORDER BY created_at DESC NULLS LAST, id DESC) AS rn FROM {_E_RAW}) WHERE rn = 1) r LEFT JOIN m ON m.person_id = r.person_id AND m.project_id = r.project_id LEFT JOIN {USERS} u1 ON CAST(u1.id AS VARCHAR) = r.owner LEFT JOIN {USERS} u2 ON u2.name = r.owner
 LEFT JOIN {PEOPLE} pe ON pe.id = r.person_id LEFT JOIN {PROJECTS} pr ON pr.id = r.project_id""")
 def _(t: Tables):
     raw = t.lineitem.selectExpr(
-        "l_orderkey * 100 + l_linenumber AS id", "l_suppkey AS person_id", "l_orderkey % 7 AS project_id",
+        "l_orderkey * 10000000 + l_partkey * 100 + l_linenumber AS id", "floor(l_orderkey / 10) AS person_id", "l_orderkey AS project_id",
         "CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_suppkey % 25 AS STRING) ELSE 'NATION_' || CAST(l_suppkey % 25 AS STRING) END AS owner",
         "l_shipdate AS created_at", "l_shipdate AS updated_at")
     return candidates.build_candidates_from_history(raw, t.history, t.projects, t.people, t.users, CTX, _E_STATUS, _E_REJECT, ("error", "click"))
@@ -460,17 +461,17 @@ def _(t: Tables):
 
 
 @query("e18_form_notes", f"""
-SELECT 'form_' || CAST(form_id AS VARCHAR) AS id, {uuid_sql('form_id', 'person_id')} AS atlas_id, person_id, p.atlas_id AS atlas_person_id, '{MASTER}' AS created_by_atlas_id,
+SELECT 'form_' || CAST(form_id AS VARCHAR) AS id, {uuid_sql('form_id', 'person_id')} AS atlas_id, person_id, p.atlas_id AS atlas_person_id, '{MASTER}' AS created_by_id, '{MASTER}' AS created_by_atlas_id,
   title || chr(10) || chr(10) || answers AS text, 'manual' AS type, '{MIDNIGHT}' AS created_at, '{MIDNIGHT}' AS updated_at
-FROM (SELECT conv_id AS form_id, conv_id % 90 AS person_id, 'Form' AS title, string_agg('- ' || q || ': ' || trim(text), chr(10) ORDER BY q) AS answers
+FROM (SELECT conv_id AS form_id, conv_id AS person_id, 'Form' AS title, string_agg('- ' || q || ': ' || trim(text), chr(10) ORDER BY q) AS answers
   FROM (SELECT *, 'q' || lpad(CAST(turn AS VARCHAR), 4, '0') AS q FROM conversations WHERE text IS NOT NULL AND trim(text) <> '') GROUP BY conv_id) a JOIN {PEOPLE} p ON p.id = a.person_id""")
 def _(t: Tables):
-    answers = t.conversations.selectExpr("conv_id AS form_id", "conv_id % 90 AS person_id", "'Form' AS title", "'q' || lpad(CAST(turn AS STRING), 4, '0') AS question", "text AS answer")
+    answers = t.conversations.selectExpr("conv_id AS form_id", "conv_id AS person_id", "'Form' AS title", "'q' || lpad(CAST(turn AS STRING), 4, '0') AS question", "text AS answer")
     return notes.build_form_notes(answers, t.people, CTX)
 
 
 _MAILS = "(SELECT page_id AS id, page_id % 30 AS created_by_id, 'a' || CAST(page_id AS STRING) || '@x.com' AS sender, url AS receiver, CASE WHEN page_id % 3 = 0 THEN NULL ELSE 'Re: ' || url END AS subject, html AS body, CAST('2024-03-04 05:06:07' AS TIMESTAMP) AS created_at FROM pages)"
-_MAIL_LINKS = "(SELECT event_id % 300 AS email_id, user_id AS person_id FROM events GROUP BY 1, 2)"
+_MAIL_LINKS = "(SELECT CAST(floor(event_id / 40) AS BIGINT) AS email_id, user_id AS person_id FROM events GROUP BY 1, 2)"
 
 
 @query("e18_email_notes", f"""
@@ -481,7 +482,7 @@ FROM (SELECT *, {d_clean_html('body')} AS clean FROM {_MAILS}) e JOIN {_MAIL_LIN
 def _(t: Tables):
     mails = t.pages.selectExpr("page_id AS id", "page_id % 30 AS created_by_id", "'a' || CAST(page_id AS STRING) || '@x.com' AS sender", "url AS receiver",
                                "CASE WHEN page_id % 3 = 0 THEN NULL ELSE 'Re: ' || url END AS subject", "html AS body", "TIMESTAMP '2024-03-04 05:06:07' AS created_at")
-    links = t.events.selectExpr("event_id % 300 AS email_id", "user_id AS person_id").distinct()
+    links = t.events.selectExpr("floor(event_id / 40) AS email_id", "user_id AS person_id")
     return notes.build_email_notes(mails, links, t.people, t.users, CTX)
 
 
@@ -522,8 +523,8 @@ def _(t: Tables):
 
 
 _CHANNEL = """(SELECT event_id AS id, CAST(event_id % 30 AS INT) AS created_by_id, CASE event_id % 3 WHEN 0 THEN 'Person' WHEN 1 THEN 'brief' ELSE 'other' END AS channel_type,
-  CASE WHEN event_id % 3 = 0 THEN user_id ELSE event_id % 200 END AS channel_id, '<i>' || event_type || '</i>' AS details, ts AS start_at, CASE WHEN event_id % 2 = 0 THEN ts END AS end_at, ts AS created_at, ts AS updated_at FROM events)"""
-_BRIEFS = "(SELECT event_id AS id, event_id % 210 AS project_id, user_id AS person_id, ts AS created_at FROM events WHERE event_type = 'signup')"
+  CASE WHEN event_id % 3 = 0 THEN user_id ELSE CAST(floor(event_id / 50) AS BIGINT) END AS channel_id, '<i>' || event_type || '</i>' AS details, ts AS start_at, CASE WHEN event_id % 2 = 0 THEN ts END AS end_at, ts AS created_at, ts AS updated_at FROM events)"""
+_BRIEFS = "(SELECT event_id AS id, CAST(floor(event_id / 48) AS BIGINT) AS project_id, user_id AS person_id, ts AS created_at FROM events WHERE event_type = 'signup')"
 
 
 @query("e20_channel_meetings", f"""
@@ -537,9 +538,9 @@ SELECT r.id, {uuid_sql('r.id')} AS atlas_id, r.person_id, p.atlas_id AS atlas_pe
 def _(t: Tables):
     raw = t.events.selectExpr(
         "event_id AS id", "CAST(event_id % 30 AS INT) AS created_by_id", "CASE event_id % 3 WHEN 0 THEN 'Person' WHEN 1 THEN 'brief' ELSE 'other' END AS channel_type",
-        "CASE WHEN event_id % 3 = 0 THEN user_id ELSE event_id % 200 END AS channel_id", "'<i>' || event_type || '</i>' AS details", "ts AS start_at",
+        "CASE WHEN event_id % 3 = 0 THEN user_id ELSE CAST(floor(event_id / 50) AS BIGINT) END AS channel_id", "'<i>' || event_type || '</i>' AS details", "ts AS start_at",
         "CASE WHEN event_id % 2 = 0 THEN ts END AS end_at", "ts AS created_at", "ts AS updated_at")
-    briefs = t.events.where("event_type = 'signup'").selectExpr("event_id AS id", "event_id % 210 AS project_id", "user_id AS person_id", "ts AS created_at")
+    briefs = t.events.where("event_type = 'signup'").selectExpr("event_id AS id", "CAST(floor(event_id / 48) AS BIGINT) AS project_id", "user_id AS person_id", "ts AS created_at")
     return notes.build_channel_meetings(raw, briefs, t.people, t.users, CTX)
 
 
@@ -555,7 +556,7 @@ def _pay_row(kind: str) -> str:
     amounts = f"{basic} AS basic_salary, NULL AS expected_salary_min, NULL AS expected_salary_max" if kind == "actual" else f"NULL, {low}, {high}"
     return (f"SELECT '{label}' || CAST(person_id AS VARCHAR) AS id, {id_sql(chr(39) + tag + chr(39), 'person_id')} AS atlas_id, person_id, p.atlas_id AS atlas_person_id, {d_iso(d_stamp('created_on'))} AS created_at, "
             f"{d_iso(d_stamp('modified_on'))} AS updated_at, {d_iso(d_stamp('modified_on'))} AS relevant_date, {amounts}, 'GBP' AS currency, 'gross' AS tax_method, 'total' AS expected_salary_type, "
-            f"'migration' AS source, '{kind}' AS type, '{MASTER}' AS created_by_atlas_id, '{AGENCY}' AS agency_id FROM {_PAY} s JOIN {COMPANIES} p ON p.id = s.person_id WHERE {where}")
+            f"'migration' AS source, '{kind}' AS type, '{MASTER}' AS created_by_id, '{MASTER}' AS created_by_atlas_id, '{AGENCY}' AS agency_id FROM {_PAY} s JOIN {COMPANIES} p ON p.id = s.person_id WHERE {where}")
 
 
 @query("e21_salaries_text", f"{_pay_row('actual')} UNION ALL {_pay_row('expected')}")
@@ -573,7 +574,7 @@ _BASE, _BONUS = "base", "bonus"
 WITH s AS (SELECT o_orderkey AS id, o_custkey AS person_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(round(o_totalprice) AS BIGINT) END AS base, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN o_orderkey % 101 ELSE 500 + o_orderkey % 9000 END AS bonus,
     left(o_orderpriority, 3) AS cur, CASE WHEN o_orderkey % 3 = 0 THEN 'n' END AS notes, o_orderdate AS created_at FROM orders),
 x AS (SELECT *, CASE WHEN base IS NOT NULL AND bonus BETWEEN 0 AND 100 THEN base * bonus / 100.0 ELSE bonus END AS b FROM s)
-SELECT x.id, {uuid_sql('x.id', 'person_id')} AS atlas_id, {d_iso('created_at')} AS created_at, {d_iso('created_at')} AS updated_at, '{AGENCY}' AS agency_id, '{MASTER}' AS created_by_atlas_id, person_id, p.atlas_id AS atlas_person_id,
+SELECT x.id, {uuid_sql('x.id', 'person_id')} AS atlas_id, {d_iso('created_at')} AS created_at, {d_iso('created_at')} AS updated_at, '{AGENCY}' AS agency_id, '{MASTER}' AS created_by_id, '{MASTER}' AS created_by_atlas_id, person_id, p.atlas_id AS atlas_person_id,
   base AS basic_salary, CAST(round(b) AS BIGINT) AS bonus_salary, CASE WHEN base IS NOT NULL OR bonus IS NOT NULL THEN CAST(round(coalesce(base, 0) + coalesce(b, 0)) AS BIGINT) END AS total_salary,
   CASE WHEN length(trim(cur)) = 3 THEN upper(trim(cur)) ELSE 'GBP' END AS currency, notes, 'gross' AS tax_method, 'total' AS expected_salary_type, 'migration' AS source, 'actual' AS type, {d_iso('created_at', '%Y-%m-%dT00:00:00')} AS relevant_date
 FROM x JOIN {COMPANIES} p ON p.id = x.person_id WHERE base IS NOT NULL OR bonus IS NOT NULL OR notes IS NOT NULL""")
@@ -587,7 +588,7 @@ def _(t: Tables):
 
 def _rate(column: str, method: str, tag: str) -> str:
     return (f"SELECT '{tag}_' || CAST(s.id AS VARCHAR) AS id, {uuid_sql('s.id', chr(39) + tag + chr(39))} AS atlas_id, s.id AS person_id, p.atlas_id AS atlas_person_id, CAST(round({column}) AS BIGINT) AS basic_salary, "
-            f"'{method}' AS tax_method, {d_iso('added_at')} AS created_at, 'actual' AS type, 'migration' AS source FROM {CONTACTS} s JOIN {COMPANIES} p ON p.id = s.id WHERE {column} > 0")
+            f"'{method}' AS tax_method, {d_iso('added_at')} AS created_at, {d_iso('added_at')} AS updated_at, 'GBP' AS currency, 'total' AS expected_salary_type, '{MASTER}' AS created_by_id, '{MASTER}' AS created_by_atlas_id, 'actual' AS type, 'migration' AS source FROM {CONTACTS} s JOIN {COMPANIES} p ON p.id = s.id WHERE {column} > 0")
 
 
 @query("e21_salary_rates", " UNION ALL ".join((_rate("headcount", "gross", "salary"), _rate("balance", "daily_rate", "day"), _rate("email_status", "hourly_rate", "hourly"))))
@@ -601,15 +602,6 @@ _ATTR = " UNION ALL ".join(f"SELECT '{n}' AS name, '{o}' AS \"of\", {str(m).uppe
 _ATTR_REL = f"(SELECT lower(replace(name, ' ', '_')) AS alias, {uuid_sql('name')} AS atlas_id, name, \"of\", multiple_values FROM ({_ATTR}))"
 
 
-@query("e22_custom_attributes", f"""
-SELECT alias, atlas_id, name, '{MIDNIGHT}' AS created_at, '{MIDNIGHT}' AS updated_at, '{AGENCY}' AS agency_id, multiple_values, "of", 'options' AS type, FALSE AS ai FROM {_ATTR_REL}
-WHERE EXISTS (SELECT 1 FROM part p WHERE CASE name WHEN 'Kind' THEN p.p_type WHEN 'Brand Name' THEN p.p_brand ELSE p.p_name END <> '')""")
-def _(t: Tables):
-    used = t.part.agg(F.max("p_type").alias("Kind"), F.max("p_brand").alias("Brand Name"), F.max("p_name").alias("Words"))
-    names_in_use = used.select(F.explode(F.array(*[F.when(F.col(f"`{n}`") != "", n) for n, _, _ in ATTRIBUTES])).alias("name"))
-    return attributes.build_custom_attributes(t.spark, ATTRIBUTES, CTX).join(names_in_use.where("name IS NOT NULL"), "name", "left_semi")
-
-
 _VALUES = """(SELECT DISTINCT 'kind' AS alias, trim(p_type) AS value FROM part UNION ALL SELECT DISTINCT 'brand_name', trim(p_brand) FROM part
   UNION ALL SELECT DISTINCT 'words', trim(w) FROM (SELECT unnest(string_split(p_name, ' ')) AS w FROM part) WHERE trim(w) <> '')"""
 _OPTIONS = f"""(SELECT v.alias || '_' || v.value AS id, {uuid_sql('v.alias', 'v.value')} AS atlas_id, a.atlas_id AS atlas_attribute_id, v.value, CAST(row_number() OVER (PARTITION BY a.atlas_id ORDER BY v.value) AS INT) AS position
@@ -649,19 +641,11 @@ def _(t: Tables):
 _FEE_TYPE = uuid_sql(f"'{AGENCY}'", "'fee_type_projected'")
 
 
-@query("e25_fee_types", f"""
-SELECT k.*, count(*) AS n_projects FROM (SELECT {_FEE_TYPE} AS atlas_id, '{NOW}' AS created_at, '{NOW}' AS updated_at, 'Projected' AS name, '{MASTER}' AS created_by_atlas_id, '{AGENCY}' AS agency_id, 'fee' AS project_fee_type) k
-CROSS JOIN orders GROUP BY ALL""")
-def _(t: Tables):
-    counted = t.orders.agg(F.count(F.lit(1)).alias("n_projects"))
-    return fees.build_fee_types(t.spark, CTX).crossJoin(counted)
-
-
-_PLACED = f"(SELECT id, person_id, project_id, CAST(project_id % 9 * 1000 AS BIGINT) AS salary, CAST('0.' || CAST(10 + line AS STRING) AS DECIMAL(18,6)) AS rate, CASE WHEN flag = 'R' THEN ' paid ' END AS comments, added_at FROM {APPS} WHERE flag <> 'N')"
+_PLACED = f"(SELECT id, person_id, project_id, CASE WHEN flag = 'N' THEN 0 ELSE CAST(project_id % 9 * 1000 AS BIGINT) END AS salary, CAST('0.' || CAST(10 + line AS STRING) AS DECIMAL(18,6)) AS rate, CASE WHEN flag = 'R' THEN ' paid ' END AS comments, added_at FROM {APPS})"
 
 
 def _placed(t: Tables):
-    return t.applications.where("flag <> 'N'").selectExpr("id", "person_id", "project_id", "CAST(project_id % 9 * 1000 AS BIGINT) AS salary", "CAST('0.' || CAST(10 + line AS STRING) AS DECIMAL(18,6)) AS rate",
+    return t.applications.selectExpr("id", "person_id", "project_id", "CASE WHEN flag = 'N' THEN 0 ELSE CAST(project_id % 9 * 1000 AS BIGINT) END AS salary", "CAST('0.' || CAST(10 + line AS STRING) AS DECIMAL(18,6)) AS rate",
                                                           "CASE WHEN flag = 'R' THEN ' paid ' END AS comments", "added_at")
 
 
@@ -680,7 +664,7 @@ _COMMISSION = "(SELECT l_orderkey * 10000000 + l_partkey * 100 + l_linenumber AS
 
 
 @query("e27_fee_splits", f"""
-SELECT c.id, {id_sql('c.id')} AS atlas_id, p.atlas_id AS atlas_project_id, u.atlas_id AS atlas_fee_earner_id, '{MASTER}' AS atlas_created_by_id, {_FEE_TYPE} AS atlas_fee_type_id, CAST(CAST(rate * 100 AS DECIMAL(18,2)) AS VARCHAR) AS share,
+SELECT c.id, {id_sql('c.id')} AS atlas_id, c.project_id, p.atlas_id AS atlas_project_id, u.id AS fee_earner_id, u.atlas_id AS atlas_fee_earner_id, '{MASTER}' AS atlas_created_by_id, {_FEE_TYPE} AS atlas_fee_type_id, CAST(CAST(rate * 100 AS DECIMAL(18,2)) AS VARCHAR) AS share,
   '{AGENCY}' AS agency_id FROM {_COMMISSION} c JOIN {USERS} u ON lower(trim(u.email)) = lower(trim(c.email)) JOIN {PROJECTS} p ON p.id = c.project_id""")
 def _(t: Tables):
     raw = t.lineitem.selectExpr("l_orderkey * 10000000 + l_partkey * 100 + l_linenumber AS id", "l_orderkey AS project_id", "' USER' || CAST(l_suppkey % 30 AS STRING) || '@corp.example.com' AS email",
@@ -689,7 +673,7 @@ def _(t: Tables):
 
 
 @query("e28_placements", f"""
-SELECT f.project_id, f.atlas_project_id, c.id AS candidate_id, c.atlas_id AS atlas_candidate_id, f.id AS project_fee_id, f.atlas_id AS atlas_project_fee_id FROM {_FEES} f
+SELECT 'placement_' || f.id AS id, {uuid_sql('f.atlas_id', 'c.atlas_id', client='placement')} AS atlas_id, f.created_at, f.project_id, f.atlas_project_id, c.id AS candidate_id, c.atlas_id AS atlas_candidate_id, f.id AS project_fee_id, f.atlas_id AS atlas_project_fee_id FROM {_FEES} f
 JOIN (SELECT *, {id_sql('id')} AS atlas_id FROM (SELECT *, row_number() OVER (PARTITION BY project_id, person_id ORDER BY added_at DESC, id DESC) AS rn FROM {APPS}
       WHERE project_id IN (SELECT id FROM {PROJECTS}) AND person_id IN (SELECT id FROM {PEOPLE})) WHERE rn = 1) c ON c.project_id = f.project_id AND c.person_id = f.candidate_id""")
 def _(t: Tables):
@@ -714,12 +698,6 @@ def _(t: Tables):
     return files.stored_files(t.pages.selectExpr("page_id AS id", "url AS path"))
 
 
-@query("e30_agency", f"""
-SELECT '{AGENCY}' AS atlas_id, '{CTX.client}' AS name, '{CTX.domain}' AS domain, '{NOW}' AS created_at, '{NOW}' AS updated_at, count(*) AS n_users FROM nation""")
-def _(t: Tables):
-    return fees.build_agency(t.spark, CTX).crossJoin(t.nation.agg(F.count(F.lit(1)).alias("n_users")))
-
-
 @query("e31_merged_people", f"""
 SELECT s.linked_id AS original_person_id, s.id AS merge_person_id, a.atlas_id AS atlas_original_person_id, b.atlas_id AS atlas_merge_person_id, s.linkedin AS linkedin_url, s.email
 FROM {CONTACTS} s LEFT JOIN {COMPANIES} a ON a.id = s.linked_id LEFT JOIN {COMPANIES} b ON b.id = s.id WHERE s.linked_id IS NOT NULL""")
@@ -727,8 +705,8 @@ def _(t: Tables):
     return corrections.merged_people(t.contacts.withColumnRenamed("linked_id", "previous_id"), t.companies)
 
 
-_PARSED = f"(SELECT id AS person_id, zip AS postcode, address1 AS line1, address2 AS line2, state, country FROM {CONTACTS} WHERE id % 5 <> 0)"
-_ENTERED = f"(SELECT id AS person_id, CASE WHEN id % 2 = 0 THEN zip END AS postcode, city AS line1, NULL AS line2, city AS state, NULL AS country FROM {CONTACTS} WHERE id % 3 = 0)"
+_PARSED = f"(SELECT CASE WHEN id % 5 = 0 THEN -id ELSE id END AS person_id, zip AS postcode, address1 AS line1, address2 AS line2, state, country FROM {CONTACTS})"
+_ENTERED = f"(SELECT CASE WHEN id % 3 = 0 THEN id ELSE -id END AS person_id, CASE WHEN id % 2 = 0 THEN zip END AS postcode, city AS line1, NULL AS line2, city AS state, NULL AS country FROM {CONTACTS})"
 
 
 @query("e31_corrected_locations", f"""
@@ -738,8 +716,8 @@ SELECT p.id AS person_id, p.atlas_id AS atlas_person_id, coalesce(e.postcode, r.
     '(^,*)|(,*$)', '', 'g'), ',+', ', ', 'g') AS location_locality
 FROM {COMPANIES} p LEFT JOIN {_PARSED} r ON r.person_id = p.id LEFT JOIN {_ENTERED} e ON e.person_id = p.id""")
 def _(t: Tables):
-    parsed = t.contacts.where("id % 5 <> 0").selectExpr("id AS person_id", "zip AS postcode", "address1 AS line1", "address2 AS line2", "state", "country")
-    entered = t.contacts.where("id % 3 = 0").selectExpr("id AS person_id", "CASE WHEN id % 2 = 0 THEN zip END AS postcode", "city AS line1", "CAST(NULL AS STRING) AS line2", "city AS state", "CAST(NULL AS STRING) AS country")
+    parsed = t.contacts.selectExpr("CASE WHEN id % 5 = 0 THEN -id ELSE id END AS person_id", "zip AS postcode", "address1 AS line1", "address2 AS line2", "state", "country")
+    entered = t.contacts.selectExpr("CASE WHEN id % 3 = 0 THEN id ELSE -id END AS person_id", "CASE WHEN id % 2 = 0 THEN zip END AS postcode", "city AS line1", "CAST(NULL AS STRING) AS line2", "city AS state", "CAST(NULL AS STRING) AS country")
     return corrections.corrected_locations(t.companies, parsed, entered)
 
 
@@ -756,14 +734,6 @@ _STAGE_NAMES = opportunities.DEFAULT_STAGES
 _STAGE_REL = "(" + " UNION ALL ".join(f"SELECT '{n}' AS name, {i} AS position" for i, n in enumerate(_STAGE_NAMES, 1)) + ")"
 
 
-@query("e32_opportunity_stages", f"""
-SELECT CAST(position AS VARCHAR) AS id, {uuid_sql("'stage_'", 'name')} AS atlas_id, '{MASTER}' AS created_by_id, '{MASTER}' AS atlas_created_by_id, name, position, 'default_stage' AS type,
-  (SELECT count(*) FROM orders WHERE o_orderkey % 5 + 1 = position) AS n_open FROM {_STAGE_REL}""")
-def _(t: Tables):
-    used = t.orders.groupBy((F.col("o_orderkey") % 5 + 1).cast("int").alias("position")).agg(F.count(F.lit(1)).alias("n_open"))
-    return opportunities.build_opportunity_stages(t.spark, CTX).join(used, "position", "left")
-
-
 _OPPS = f"""(SELECT o.id, {uuid_sql("'opportunity_'", 'o.id')} AS atlas_id, {d_iso('o.added_at')} AS created_at, {d_iso('o.added_at')} AS updated_at, o.name, 'regular' AS type, '{MASTER}' AS atlas_created_by_id,
   CAST(s.position AS VARCHAR) AS stage_id, o.owner_id, coalesce(u.atlas_id, '{MASTER}') AS atlas_owner_id, TRUE AS manual_named
   FROM (SELECT o_orderkey AS id, 'Opp ' || CAST(o_orderkey AS VARCHAR) AS name, o_custkey % 25 AS owner_id, CASE o_orderkey % 3 WHEN 0 THEN 'initial_request' WHEN 1 THEN 'late_stage' ELSE 'lost' END AS stage,
