@@ -6,16 +6,33 @@ tests), a folder inside ``spark.sql.warehouse.dir``. A lost executor costs a re-
 
 from __future__ import annotations
 
+import gc
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-BATCH_ROWS = 2000
+from ..session import scratch_root
 
+BATCH_ROWS = 1000
+_PACKAGE = Path(__file__).resolve().parent.parent
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
-def scratch_root(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+def prepare(spark: SparkSession) -> None:
+    """Before Python runs on the executors: bound the Arrow batches (texts can be long), and send this package along."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped[app] = folder = tempfile.TemporaryDirectory()  # the driver serves the file from here
+        path = Path(folder.name, f"{_PACKAGE.name}-code.zip")
+        with zipfile.ZipFile(path, "w") as code:
+            for file in sorted(_PACKAGE.rglob("*.py")):
+                code.write(file, file.relative_to(_PACKAGE.parent))
+        spark.sparkContext.addPyFile(str(path))
 
 
 class Scratch:
@@ -24,9 +41,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{scratch_root(spark)}/llm-{uuid.uuid4().hex}"
-        # Texts can be long: small Arrow batches bound the memory of a Python worker.
-        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        prepare(spark)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
@@ -39,3 +54,8 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of what is no longer referenced now, not when the driver next runs short of memory."""
+        gc.collect()
+        self.spark._jvm.System.gc()

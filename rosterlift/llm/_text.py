@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20  # texts are worked through in pieces of about this size; one text is never cut
+CHUNK_BYTES = 1 << 20  # texts are worked through in pieces of about this size; one text is never cut
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -27,7 +27,7 @@ class LearnedPartitions:
     sample: int = 8192  # rows the partitions and the classifier are learnt from, at most
     rows_per_partition: int = 256  # aimed at; there are at most sample / 32 partitions
     neighbours: int = 10  # of the graph
-    recall: float = 0.95  # of the sample's own neighbours, by which the number of visits is set
+    recall: float = 0.97  # of the sample's own neighbours, by which the number of visits is set
     group: int = 4096  # rows, and queries, that meet in one task, at most
 
 

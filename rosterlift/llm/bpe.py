@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import BATCH_ROWS
+from ._store import prepare
 
 _REMEMBERED = 400_000
 
@@ -152,8 +152,6 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     repeated ids and other columns do not matter. ``path`` is a file of base64 tokens and ranks that holds all single
     bytes, readable on every executor; each match of ``pattern`` is coded by itself.
     """
-    spark = docs.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return texts.mapInArrow(_run(path, pattern), "doc_id long, ids array<int>, decoded binary")

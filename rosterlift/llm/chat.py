@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import Scratch
+from ._store import prepare
 
 CHUNK_CHARS = 1 << 18
 PARTS = "array<struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
@@ -132,7 +132,7 @@ def formatted(turns: DataFrame, expansion: Expansion = Expansion(), learnt: tupl
     ``chunk``, and no turn is cut. ``loss`` spans and attachments' places are code points of their chunk. Other columns are
     ignored. Store the result before it is used twice.
     """
-    Scratch(turns.sparkSession)  # for its batch size
+    prepare(turns.sparkSession)
     parts = F.col("parts").cast(PARTS) if "parts" in turns.columns else F.lit(None).cast(PARTS)
     if "text" in turns.columns:
         text = F.expr("named_struct('kind', 'text', 'text', CAST(text AS STRING), 'ref', CAST(NULL AS STRING), 'width', CAST(NULL AS INT), "

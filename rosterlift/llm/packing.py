@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import Scratch
+from ._store import Scratch, prepare
 
 _BLOCK = 4096  # partitions whose totals are summed in one window
 _TOKENS = "doc_id long, part int, begin long, n_ids long, ids binary"
@@ -65,6 +65,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, end: int = 0, id_col: str
 
     Store the result before it is used twice, so that both uses see the same partitions.
     """
+    prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return texts.mapInArrow(_encode(path, pattern, end), _TOKENS)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import Scratch
+from ._store import prepare
 from ._text import U, Texts, Words, chunks, mix, shingle_hashes, span_hashes, words
 
 SYMBOLS = b"#*$%&|<>"
@@ -208,7 +208,7 @@ def _base_failed(n: dict[str, np.ndarray], rules: QualityRules) -> np.ndarray:
 
 def _verdicts(column: pa.Array, model: np.ndarray | None, rules: QualityRules):
     """For each piece of a column of texts: the piece, its counts, what fails by them, and the probabilities of good quality."""
-    for part in chunks(column, 1 << 20):
+    for part in chunks(column):
         w = words(part.data, part.offsets)
         hashes = span_hashes(part.data, w.start, w.end)
         n = counts(part, w, hashes)
@@ -260,7 +260,7 @@ def _keep(model: np.ndarray | None, rules: QualityRules, text: int):
 
 def good_documents(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, with all their columns, whatever these are called."""
-    Scratch(docs.sparkSession)  # for its batch size
+    prepare(docs.sparkSession)
     model = train(docs, labels, rules)
     return docs.mapInArrow(_keep(model, rules, docs.columns.index("text")), docs.schema)
 
@@ -283,7 +283,7 @@ def judged(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRule
     Null and empty texts have no words and fail. Without labels of both classes the counts alone decide. Rows are
     judged one by one: null or repeated ids and other columns do not matter.
     """
-    Scratch(docs.sparkSession)  # for its batch size
+    prepare(docs.sparkSession)
     model = train(docs, labels, rules)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kinds = ", ".join(f"{c} long" for c in _COUNTS)

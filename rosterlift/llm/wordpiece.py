@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import BATCH_ROWS
+from ._store import prepare
 
 WORD = re.compile(r"\w+|[^\w\s]")
 _UNKNOWN = 1 << 40  # added to a word's count, so that one sum gives tokens and unknown words
@@ -126,8 +126,6 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     one by one: null or repeated ids and other columns do not matter. ``path`` is the sentence-piece model, readable
     on every executor.
     """
-    spark = docs.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return texts.mapInArrow(_count(path), "doc_id long, n_words long, n_tokens long, n_unknown long")
