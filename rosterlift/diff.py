@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -57,23 +55,42 @@ def _comparable(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
-def paired_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """One row per key: how often each side has it, and one row of each side as a struct.
-
-    Both sides go through one grouping with pre-aggregation instead of a join, so a key that repeats on both sides
-    is counted rather than multiplied. Of repeated rows the greatest one is compared.
-    """
+def _both_sides(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of both sides: key, is_left, the comparable cells and their hash."""
     columns = [c for c in common_columns(left, right) if c != key]
 
     def side(df: DataFrame, is_left: bool) -> DataFrame:
-        cells = F.struct(*[_comparable(df, c) for c in columns]) if columns else F.struct(F.lit(0).alias("_"))
-        return df.select(F.col(key).alias("key"), F.lit(is_left).alias("is_left"), cells.alias("cells"))
+        cells = F.struct(*[_comparable(df, c).cast("string").alias(c) for c in columns]) if columns else F.struct(F.lit("").alias("_"))
+        rows = df.select(F.col(key).alias("key"), F.lit(is_left).alias("is_left"), cells.alias("cells"))
+        return rows.withColumn("hash", F.xxhash64("cells"))
+    return side(left, True).unionByName(side(right, False))
+
+
+def compared_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """One row per key: how many rows each side has, and whether these are the same rows.
+
+    Every row of a repeated key counts: the rows of a key are compared as multisets, by their hashes. Only keys and hashes
+    are exchanged, and both sides go through groupings with pre-aggregation, so a key that repeats on both sides is counted
+    rather than multiplied.
+    """
+    hashes = _both_sides(left, right, key).groupBy("key", "hash").agg(
+        F.count_if("is_left").alias("n_left"), F.count_if(~F.col("is_left")).alias("n_right"))
+    return hashes.groupBy("key").agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"),
+                                     F.max(F.col("n_left") != F.col("n_right")).alias("differs"))
+
 
-    both = side(left, True).unionByName(side(right, False))
-    ours = F.col("is_left")
-    return both.groupBy("key").agg(
-        F.count_if(ours).alias("n_left"), F.count_if(~ours).alias("n_right"),
-        F.max(F.when(ours, F.col("cells"))).alias("l"), F.max(F.when(~ours, F.col("cells"))).alias("r"))
+def _unmatched_values(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Of common keys that differ, the values of each column that one side has more often: key, column_name, value, surplus.
+
+    Wide rows are read again for those keys only.
+    """
+    columns = [c for c in common_columns(left, right) if c != key]
+    differing = compared_keys(left, right, key).where("n_left > 0 AND n_right > 0 AND differs").select(F.col("key").alias("_key"))
+    rows = _both_sides(left, right, key).join(differing, F.col("key").eqNullSafe(F.col("_key")), "left_semi")
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"cells.{c}").alias("value")) for c in columns]
+    long = rows.select("key", "is_left", F.inline(F.array(*cells)))
+    surplus = F.sum(F.when(F.col("is_left"), 1).otherwise(-1)).alias("surplus")
+    return long.groupBy("key", "column_name", "value").agg(surplus).where("surplus <> 0")
 
 
 def key_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -87,30 +104,30 @@ def key_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
             .select("key", "difference", "n_left", "n_right"))
 
 
-def _differences(left: DataFrame, right: DataFrame, pairs: DataFrame, key: str) -> list[tuple[str, Column]]:
-    return [(c, ~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))) for c in common_columns(left, right) if c != key]
-
-
 def field_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Per common column with differences: how many common keys differ, and their share in percent."""
-    pairs = paired_rows(left, right, key).where("n_left > 0 AND n_right > 0")
-    tests = _differences(left, right, pairs, key)
-    row = pairs.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(t).alias(f"_d_{c}") for c, t in tests])
-    lines = [F.struct(F.lit(c).alias("column_name"), F.col(f"_d_{c}").alias("n_different"),
-                      F.round(F.col(f"_d_{c}") * 100 / F.col("_n"), 2).alias("percent")) for c, _ in tests]
-    return row.select(F.inline(F.array(*lines))).where("n_different > 0")
-
-
-def field_samples(left: DataFrame, right: DataFrame, key: str, n: int = 5) -> DataFrame:
-    """Up to ``n`` differing values per column, in key order."""
-    pairs = paired_rows(left, right, key).where("n_left > 0 AND n_right > 0")
-    tests = _differences(left, right, pairs, key)
-    cells = [F.when(t, F.struct(F.lit(c).alias("column_name"), F.col(f"l.{c}").cast("string").alias("left_value"),
-                                F.col(f"r.{c}").cast("string").alias("right_value"))) for c, t in tests]
-    rows = pairs.select("key", F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("d"))
-    rows = rows.select("key", "d.*")
-    rank = F.row_number().over(Window.partitionBy("column_name").orderBy("key"))
-    return rows.withColumn("n", rank).where(F.col("n") <= n)
+    common = compared_keys(left, right, key).agg(F.count_if((F.col("n_left") > 0) & (F.col("n_right") > 0)).alias("n"))
+    keys = _unmatched_values(left, right, key).select("key", "column_name").distinct()
+    counts = keys.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_different"))
+    # A row for each column, and one without a name for the number of keys.
+    every = counts.unionByName(common.select(F.lit(None).cast("string").alias("column_name"), F.col("n").alias("n_different")))
+    lines = every.agg(F.collect_list(F.struct("column_name", "n_different")).alias("lines"))
+    n = F.filter("lines", lambda x: x["column_name"].isNull())[0]["n_different"]
+    named = F.filter("lines", lambda x: x["column_name"].isNotNull())
+    return lines.select(F.inline(F.transform(named, lambda x: F.struct(
+        x["column_name"].alias("column_name"), x["n_different"].alias("n_different"), F.round(x["n_different"] * 100 / n, 2).alias("percent")))))
+
+
+def field_samples(left: DataFrame, right: DataFrame, key: str, n: int | None = 5) -> DataFrame:
+    """A sample for a report: up to ``n`` differing keys per column (all for None), in key order, with a value of each side.
+
+    Of the values that a side has more often than the other the smallest is shown.
+    """
+    values = _unmatched_values(left, right, key).groupBy("column_name", "key").agg(
+        F.min(F.when(F.col("surplus") > 0, F.col("value"))).alias("left_value"),
+        F.min(F.when(F.col("surplus") < 0, F.col("value"))).alias("right_value"))
+    ranked = values.withColumn("n", F.row_number().over(Window.partitionBy("column_name").orderBy("key")))
+    return ranked if n is None else ranked.where(F.col("n") <= n)
 
 
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -123,21 +140,13 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def diff_summary(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """One line: keys only on one side, rows that differ, columns that differ, and the schema differences."""
-    pairs = paired_rows(left, right, key)
-    tests = _differences(left, right, pairs, key)
+    """One line: keys only on one side, keys whose rows differ, columns that differ, and the schema differences."""
     common = (F.col("n_left") > 0) & (F.col("n_right") > 0)
-    any_test = F.lit(False)
-    for _, t in tests:
-        any_test = any_test | t
-    columns: Sequence[Column] = [F.max(F.when(common & t, 1).otherwise(0)) for _, t in tests]
-    differing = columns[0] if columns else F.lit(0)
-    for c in columns[1:]:
-        differing = differing + c
-    n_schema = sum(left.schema[c].dataType != right.schema[c].dataType for c in common_columns(left, right))
-    row = pairs.agg(
+    row = compared_keys(left, right, key).agg(
         F.abs(F.sum("n_left") - F.sum("n_right")).alias("row_count_difference"),
         F.count_if(F.col("n_right") == 0).alias("n_only_left"), F.count_if(F.col("n_left") == 0).alias("n_only_right"),
-        F.count_if(common).alias("n_common"), F.count_if(common & any_test).alias("n_rows_different"),
-        differing.cast("int").alias("n_columns_different"))
-    return row.withColumn("n_type_differences", F.lit(n_schema))
+        F.count_if(common).alias("n_common"), F.count_if(common & F.col("differs")).alias("n_rows_different"))
+    columns = _unmatched_values(left, right, key).agg(F.count_distinct("column_name").cast("int").alias("n_columns_different"))
+    n_schema = sum(left.schema[c].dataType != right.schema[c].dataType for c in common_columns(left, right))
+    both = row.unionByName(columns, allowMissingColumns=True)  # one row each, made one
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("n_type_differences", F.lit(n_schema))

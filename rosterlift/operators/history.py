@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedupe import keep_first, priority
@@ -14,7 +14,20 @@ from .joins import one_per_key
 def latest_status(df: DataFrame, keys: Sequence[str], status: str, ts: str, event_id: str) -> DataFrame:
     """The newest status per key. Events without a time lose; equal times go to the larger event id."""
     when = F.struct(ts, event_id)
-    return df.groupBy(*keys).agg(F.max_by(status, when).alias("latest_status"), F.max(ts).alias("latest_at"))
+    return one_per_key(df, [F.col(k) for k in keys], F.max_by(status, when).alias("latest_status"), F.max(ts).alias("latest_at"))
+
+
+def prior_status(df: DataFrame, keys: Sequence[str], status: str, ts: str, event_id: str, keep: Column) -> DataFrame:
+    """Per key the newest status that ``keep`` holds for, among those earlier than the key's latest time.
+
+    Moments first, so the history is read and exchanged once; a key's moments then need one grouping that remembers two.
+    """
+    moments = df.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(
+        F.max_by(F.when(keep, F.col(status)), F.when(keep, F.col(event_id))).alias("_status"), F.max(F.when(keep, 1)).alias("_kept"))
+    last = F.max(F.when(F.col("_kept") == 1, F.struct(ts, F.col("_status").alias("s"))))
+    newest = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
+    earlier = moments.withColumn("_turn", F.row_number().over(newest)).where("_turn > 1")
+    return one_per_key(earlier, [F.col(k) for k in keys], last.alias("_last")).where("_last IS NOT NULL").select(*keys, F.col("_last.s").alias(status))
 
 
 def effective_status(df: DataFrame, keys: Sequence[str], status: str, ts: str, event_id: str,
@@ -25,7 +38,8 @@ def effective_status(df: DataFrame, keys: Sequence[str], status: str, ts: str, e
     """
     when = F.struct(ts, event_id)
     refused = F.col(status).isin(*rejected)
-    grouped = df.groupBy(*keys).agg(
+    grouped = one_per_key(
+        df, [F.col(k) for k in keys],
         F.max_by(status, when).alias("latest_status"),
         F.max(ts).alias("latest_at"),
         F.max_by(F.when(~refused, F.col(status)), F.when(~refused, when)).alias("_standing"))
@@ -55,7 +69,7 @@ def merge_stages(stages: DataFrame, keys: Sequence[str], status: str, ts: str, r
 
 def last_time(df: DataFrame, key: str, keep: Column, ts: str, name: str) -> DataFrame:
     """The last time a key had a given status."""
-    return df.where(keep).groupBy(key).agg(F.max(ts).alias(name))
+    return one_per_key(df.where(keep), [F.col(key)], F.max(ts).alias(name))
 
 
 def override_by_link(df: DataFrame, keys: Sequence[str], links: DataFrame, column: str, value: str) -> DataFrame:

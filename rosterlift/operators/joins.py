@@ -58,9 +58,13 @@ def drop_orphans(df: DataFrame, key: Key, ref: DataFrame, ref_key: str = "id") -
     return df.join(keys, _c(key) == F.col("_fk"), "left_semi")
 
 
-def exclude(df: DataFrame, key: Key, ref: DataFrame, ref_key: str = "id") -> DataFrame:
-    """Rows whose key does not exist in ``ref``. A row without a key stays."""
-    keys = one_per_key(ref.where(F.col(ref_key).isNotNull()), [F.col(ref_key).alias("_fk")])
+def exclude(df: DataFrame, key: Key, ref: DataFrame, ref_key: str = "id", unique: bool = False) -> DataFrame:
+    """Rows whose key does not exist in ``ref``. A row without a key stays.
+
+    ``unique`` says that ``ref`` has one row per key, so that its keys need no grouping.
+    """
+    known = ref.where(F.col(ref_key).isNotNull())
+    keys = known.select(F.col(ref_key).alias("_fk")) if unique else one_per_key(known, [F.col(ref_key).alias("_fk")])
     return df.join(keys, _c(key) == F.col("_fk"), "left_anti")
 
 

@@ -14,7 +14,7 @@ from ..functions.ids import uuid_from
 from ..functions.location import street_address
 from ..functions.text import scrub, sections
 from ..operators.dedupe import filled_first, keep_first
-from ..operators.joins import exclude, fk_map, keep_any, match_any_key
+from ..operators.joins import exclude, fk_map, keep_any, match_any_key, one_per_key
 
 
 def build_users(raw: DataFrame, ctx: RunContext, prior: DataFrame | None = None) -> DataFrame:
@@ -35,8 +35,8 @@ def build_users(raw: DataFrame, ctx: RunContext, prior: DataFrame | None = None)
         known = newest.withColumns({"_id": F.lit(None).cast("string"), "_name": F.lit(None).cast("string"),
                                     "_status": F.lit(None).cast("string")})
     else:
-        earlier = (prior.where("email IS NOT NULL").groupBy(F.lower("email").alias("_email"))
-                   .agg(F.min(F.struct("atlas_id", "name", "status")).alias("_p")))
+        earlier = one_per_key(prior.where("email IS NOT NULL"), [F.lower("email").alias("_email")],
+                              F.min(F.struct("atlas_id", "name", "status")).alias("_p"))
         known = newest.join(earlier, F.lower("email") == F.col("_email"), "left").withColumns(
             {"_id": F.col("_p.atlas_id"), "_name": F.col("_p.name"), "_status": F.col("_p.status")})
     return known.select(

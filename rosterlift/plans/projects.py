@@ -25,8 +25,7 @@ def build_projects(raw: DataFrame, companies: DataFrame, users: DataFrame, ctx:
     ``state`` holds the columns ``project_state`` gives.
     A posting that another one links to is the linked posting's copy and is left out.
     """
-    linked = raw.select("linked_id").where("linked_id IS NOT NULL").distinct()
-    rows = exclude(raw, "id", linked, "linked_id")
+    rows = exclude(raw, "id", raw, "linked_id")
     rows = fk_map(rows, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
     rows = fk_map(rows, "owner_id", users, "atlas_id", "atlas_owner_id", default=ctx.master())
     return rows.select(

@@ -5,7 +5,7 @@ The list of every contact of a project's company is not built: it pairs all proj
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,17 +26,16 @@ from ..plans.notes import build_channel_meetings, build_email_notes
 from ..plans.salaries import build_salaries_with_bonus
 from ..sources.sinks import Outputs
 
-# What the vendor's status tags mean.
+# What the vendor's status tags mean. Tags that a firm has made for itself are options of the migration.
 STATUS = {
-    "Identified": "Added", "Dryden Search Contacted": "Added", "Interested": "Added",
-    "Dryden Search Interview": "Internal IV", "Shortlisted: Presented to Client": "Presented",
+    "Identified": "Added", "Interested": "Added", "Shortlisted: Presented to Client": "Presented",
     "Client Interview: 1st round": "Client IV", "Client Interview: 2nd round": "Client IV",
     "Client Interview: 3rd /4th round": "Client IV", "Offered": "Offer", "Accepted / Contract Signed": "Hired",
 }
 REJECTION = {
     "Not Responded": "by_us", "Not Interested": "by_us", "Client Rejected": "by_client",
     "Already in process - direct with Client": "by_client", "Candidate or Client put on hold": "by_us",
-    "Dryden Rejected": "by_us", "Do not approach - Client in contact / has contacted": "by_client",
+    "Do not approach - Client in contact / has contacted": "by_client",
     "Suggested: Client contact directly": "by_client", "Withdrew": "self",
 }
 # Tags that never count as the standing status.
@@ -61,8 +60,8 @@ def _id(ctx: RunContext, *parts: Column | str) -> Column:
 def users(read: Read, ctx: RunContext, prior: DataFrame) -> DataFrame:
     """Search staff of the agency's domain that the target already knows."""
     staff = read("users").where((F.col("role") == "search") & email_domain("email").ilike(ctx.domain))
-    known = (prior.where(not_blank("email")).groupBy(F.lower(F.trim("email")).alias("_email"))
-             .agg(F.min(F.struct("id", "name", "email", "status")).alias("_p")))
+    known = one_per_key(prior.where(not_blank("email")), [F.lower(F.trim("email")).alias("_email")],
+                        F.min(F.struct("id", "name", "email", "status")).alias("_p"))
     return staff.join(known, F.lower(F.trim(F.col("email"))) == F.col("_email")).select(
         F.col("id").cast("string").alias("id"), F.coalesce("_p.id", uuid_from(ctx.client, "id")).alias("atlas_id"),
         F.coalesce("_p.name", "fullname").alias("name"), F.coalesce("_p.email", "email").alias("email"),
@@ -256,8 +255,10 @@ def salaries(read: Read) -> DataFrame:
 
 
 def tables(read: Read, ctx: RunContext, out: Outputs, prior_users: DataFrame,
-           fallback_company: str | None = None) -> None:
-    """``prior_users``: id, name, email, status of the staff the target knows."""
+           fallback_company: str | None = None, own_status: Mapping[str, str] | None = None,
+           own_rejection: Mapping[str, str] | None = None, own_not_standing: Sequence[str] = ()) -> None:
+    """``prior_users``: id, name, email, status of the staff the target knows. ``own_...``: the firm's own status tags, by what
+    they mean, beside the vendor's."""
     staff = out.add("users", users(read, ctx, prior_users))
     ours, firms = out.add("people", people(read, ctx)), out.add("companies", companies(read, ctx))
     jobs = out.add("projects", projects(read, firms, staff, ctx, fallback_company))
@@ -271,8 +272,8 @@ def tables(read: Read, ctx: RunContext, out: Outputs, prior_users: DataFrame,
     out.add("company_notes", company_notes(read, firms, staff, ctx))
     out.add("experiences", experiences(read, ours, firms, ctx))
     out.add("educations", educations(read, ours, ctx))
-    out.add("candidates", build_candidates_from_history(candidacies, history(read), jobs, ours, staff, ctx, STATUS,
-                                                        REJECTION, NOT_STANDING))
+    out.add("candidates", build_candidates_from_history(candidacies, history(read), jobs, ours, staff, ctx, STATUS | dict(own_status or {}),
+                                                        REJECTION | dict(own_rejection or {}), (*NOT_STANDING, *own_not_standing)))
     out.add("person_notes", person_notes(read, ours, staff, ctx))
     out.add("meetings", build_channel_meetings(meetings(read), candidacies, ours, staff, ctx))
     out.add("person_salaries", build_salaries_with_bonus(salaries(read), ours, ctx))

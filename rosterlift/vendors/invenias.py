@@ -47,8 +47,6 @@ REJECTION = {
 }
 REJECTED_FOR_LOCATION = "Rejected by Candidate - Location"
 LOCATION_LABELS = ["CityFieldLabel", "PostcodeFieldLabel", "CountyFieldLabel"]
-PLACE_LIST = "E5DB1242-A7C0-447A-9540-0CD5A899C96E"
-CALL_NOTE = "4693FEE3-6725-4E0C-8370-5244EB2F04DB"
 BASIC_SALARY = "Basic Salary"
 
 
@@ -92,9 +90,9 @@ def users(read: Read, ctx: RunContext, prior: DataFrame) -> DataFrame:
         F.coalesce("_p.name", "_name").alias("name"), F.coalesce("_p.status", F.when(F.col("disabled"), "disabled").otherwise("active")).alias("status"))
 
 
-def people(read: Read, users: DataFrame, ctx: RunContext) -> DataFrame:
-    """People, without mailboxes filed as one; the place category stands in for a missing country."""
-    place = read("categorylistentries").where((F.col("categorylistid") == PLACE_LIST) & F.col("parentlistentryid").isNotNull() & (F.col("fileas") != "Europe"))
+def people(read: Read, users: DataFrame, ctx: RunContext, place_list: str | None) -> DataFrame:
+    """People, without mailboxes filed as one; the category of the list of places stands in for a missing country."""
+    place = read("categorylistentries").where((F.col("categorylistid").eqNullSafe(F.lit(place_list))) & F.col("parentlistentryid").isNotNull() & (F.col("fileas") != "Europe"))
     linked = fk_map(read("relation_persontocategorylistentry"), "categorylistentryid", place, "fileas", "_place", "itemid", policy="exclude")
     known = one_per_key(linked, [F.col("person").alias("k")], F.min("_place").alias("v"))
     first, last, mail = (F.coalesce(c, F.lit("")) for c in ("firstname", "familyname", "email1address"))
@@ -230,8 +228,8 @@ def educations(read: Read, people: DataFrame, ctx: RunContext) -> DataFrame:
         F.col("placeofstudy").alias("name"), F.lit("migration").alias("source"), "person_id", "atlas_person_id")
 
 
-def person_notes(read: Read, people: DataFrame, users: DataFrame, ctx: RunContext) -> DataFrame:
-    """Calls, mails and notes, once per linked person."""
+def person_notes(read: Read, people: DataFrame, users: DataFrame, ctx: RunContext, call_note: str | None) -> DataFrame:
+    """Calls, mails and notes, once per linked person. Notes of type ``call_note`` are calls."""
     def side(table: str, body: str, at: str, relation: str, key: str, kind: Column) -> DataFrame:
         texts = read(table).select("itemid", clean_html(body).alias("text"), iso(_ts(at)).alias("created_at"), iso(_ts("datemodified")).alias("updated_at"),
                                    F.col("creatorid").alias("created_by_id"), kind.alias("type"))
@@ -239,7 +237,7 @@ def person_notes(read: Read, people: DataFrame, users: DataFrame, ctx: RunContex
         links = fk_map(links, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
         return links.join(texts, "itemid")
 
-    call = F.when(F.col("noteactiontype") == CALL_NOTE, "phone_call").otherwise("manual")
+    call = F.when(F.col("noteactiontype") == F.lit(call_note), "phone_call").otherwise("manual")
     rows = union_all(
         side("telephones", "content", "telephoneactiondate", "relation_persontotelephone", "telephoneid", F.lit("phone_call")),
         side("emails", "body", "datecreated", "relation_persontoemail", "emailid", F.lit("manual")),
@@ -338,15 +336,17 @@ def attributes(read: Read, people: DataFrame, ctx: RunContext, out: Outputs) ->
         F.col("_o.atlas_id").alias("atlas_option_id")).withColumns(day))
 
 
-def tables(read: Read, ctx: RunContext, out: Outputs, prior_users: DataFrame) -> None:
+def tables(read: Read, ctx: RunContext, out: Outputs, prior_users: DataFrame, place_list: str | None = None,
+           call_note: str | None = None) -> None:
+    """``place_list`` and ``call_note``: the ids that the export gives the category list of places and the note type of calls."""
     staff = out.add("users", users(read, ctx, prior_users))
-    ours, firms = out.add("people", people(read, staff, ctx)), out.add("companies", companies(read, staff, ctx))
+    ours, firms = out.add("people", people(read, staff, ctx, place_list)), out.add("companies", companies(read, staff, ctx))
     jobs = out.add("projects", projects(read, firms, staff, ctx))
     contacts = out.add("company_contacts", company_contacts(read, ours, firms, ctx))
     out.add("person_identities", person_identities(read, ours, staff, ctx))
     out.add("company_identities", company_identities(read, firms, ctx))
     out.add("company_notes", company_notes(read, firms, staff, ctx))
-    out.add("person_notes", person_notes(read, ours, staff, ctx))
+    out.add("person_notes", person_notes(read, ours, staff, ctx, call_note))
     out.add("experiences", experiences(read, ours, firms, ctx))
     out.add("educations", educations(read, ours, ctx))
     out.add("project_company_contacts", project_company_contacts(read, jobs, contacts))

@@ -33,6 +33,16 @@ def test_repeated_keys_are_reported_not_multiplied(spark):
     assert got == {None: ("repeated", 400, 400)}
 
 
+def test_every_row_of_a_repeated_key_is_compared(spark):
+    left = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (2, "x", 1), (2, "x", 1), (3, "p", 0), (3, "q", 0)], "id int, s string, n int")
+    right = spark.createDataFrame([(1, "z", 1), (1, "b", 1), (2, "x", 1), (3, "q", 0), (3, "p", 0)], "id int, s string, n int")
+    assert sorted(tuple(r) for r in diff.field_diff(left, right, "id").collect()) == [("n", 1, 33.33), ("s", 2, 66.67)]
+    row = diff.diff_summary(left, right, "id").first()
+    assert (row.n_common, row.n_rows_different, row.n_columns_different) == (3, 2, 2)
+    assert sorted((r.key, r.left_value, r.right_value) for r in diff.field_samples(left, right, "id", None).collect() if r.column_name == "s") == [
+        (1, "a", "z"), (2, "x", None)]
+
+
 def test_schema_diff_and_key_choice(spark):
     left = spark.createDataFrame([], "company_id int, a string, b int")
     right = spark.createDataFrame([], "company_id int, a int, c int")

@@ -553,9 +553,9 @@ INVENIAS = {
                [_rec("p1", "Sue S", "Sue", "S", "s@x.com", "1", "https://www.linkedin.com/in/s/", "1 High", "N1", "Rome", " ", None, False), _rec("p2", "Al P", "Al", "P", "S@x.com ", "a@b", None, None, None, None, None, "UK", True),
                 _rec("p3", "m", "info@x.com", "B", None, None, None, None, None, None, None, None, None)]),
     "relation_usertoperson": _links("userid", "personid", ("u1", "p1"), ("u2", "p2")),
-    "categorylists": ("itemid string, fileas string", [("E5DB1242-A7C0-447A-9540-0CD5A899C96E", "Place"), ("L2", "Skill")]),
+    "categorylists": ("itemid string, fileas string", [("L1", "Place"), ("L2", "Skill")]),
     "categorylistentries": ("itemid string, fileas string, categorylistid string, parentlistentryid string",
-                            [("e1", "Italy", "E5DB1242-A7C0-447A-9540-0CD5A899C96E", "x"), ("e2", "Europe", "E5DB1242-A7C0-447A-9540-0CD5A899C96E", "x"), ("e3", "Spark", "L2", None)]),
+                            [("e1", "Italy", "L1", "x"), ("e2", "Europe", "L1", "x"), ("e3", "Spark", "L2", None)]),
     "relation_persontocategorylistentry": ("relationid string, person string, categorylistentryid string", [("r1", "p1", "e1"), ("r2", "p1", "e2"), ("r3", "p2", "e3"), ("r4", "p3", "e3")]),
     "companies": (_REC + ", fileas string, clientstatus string, offmarketstatus int, offmarketstartdate string, offmarketownerid string, offmarketreason string, webpage string, linkedin string, internalcomments string",
                   [_rec("c1", "Acme", "s1", 1, AT, None, "why", "https://www.acme.com/", None, "<b>n</b>"), _rec("c2", "Beta", None, None, None, None, None, "acme.com", "https://linkedin.com/company/b", " ", at="2025-01-01")]),
@@ -570,7 +570,7 @@ INVENIAS = {
     "personeducation": ("itemid string, startdate string, enddate string, subject string, placeofstudy string", [("d1", "2000-01-01", None, "Maths", "MIT"), ("d2", None, None, None, "MIT")]),
     "relation_persontoeducation": _links("personeducationid", "personid", ("d1", "p1"), ("d2", "p1")),
     "telephones": (_REC + ", content string, telephoneactiondate string", [_rec("t1", "<p>rang</p>", "2024-03-03")]), "emails": (_REC + ", body string", [_rec("m1", "...")]),
-    "notes": (_REC + ", content string, noteactiontype string", [_rec("n1", "hi", "4693FEE3-6725-4E0C-8370-5244EB2F04DB", by="u7"), _rec("n2", " ", None)]),
+    "notes": (_REC + ", content string, noteactiontype string", [_rec("n1", "hi", "T1", by="u7"), _rec("n2", " ", None)]),
     "relation_persontotelephone": _links("telephoneid", "personid", ("t1", "p1"), ("t1", "p2"), ("t1", "p3")), "relation_persontoemail": _links("emailid", "personid", ("m1", "p1")),
     "relation_persontonote": _links("noteid", "personid", ("n1", "p1"), ("n2", "p1")),
     "assignments": (_REC + ", fileas string, ownerid string, status string, assignmentnumber string", [_rec("a1", "CTO", "u1", "s2", "N1"), _rec("a2", "CFO", "u9", None, "N2")]),
@@ -590,7 +590,7 @@ INVENIAS = {
 
 def test_invenias(spark, export, ctx, tmp_path):
     prior = spark.createDataFrame([("known-1", "sue@corp.example.com", "Sue", "active")], "id string, email string, name string, status string")
-    got = migrate("invenias", export(INVENIAS), ctx, str(tmp_path), prior_users=prior)
+    got = migrate("invenias", export(INVENIAS), ctx, str(tmp_path), prior_users=prior, place_list="L1", call_note="T1")
     assert {(r.id, r.atlas_id == "known-1", r.name, r.status) for r in got["users"].collect()} == {("u1", True, "Sue", "active"), ("u2", False, "Al P", "disabled")}
     assert {(r.id, r.location_locality, r.location_street_address, r.created_by_atlas_id, r.updated_by_id) for r in got["people"].collect()} == {
         ("p1", "Italy, Rome", "N1 1 High", "known-1", None), ("p2", "UK", None, "known-1", None)}

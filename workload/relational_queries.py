@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rosterlift.functions import codes, contact, dates, predicates
 from rosterlift.functions.location import clean_placeholder
-from rosterlift.operators import dedupe, joins, numbering, reshape
+from rosterlift.operators import dedupe, history, joins, numbering, reshape
 from rosterlift.plans.companies import current_position
 from rosterlift.quality.suite import repeated_values
 from rosterlift.sources import constant_row, literal_relation, union_shards
@@ -354,7 +354,7 @@ def _(t: Tables):
 SELECT a.id, p.last_out FROM {APPS} a LEFT JOIN (SELECT person_id, max(added_at) AS m, {d_iso('max(added_at)')} AS last_out FROM {APPS} WHERE flag = 'R' GROUP BY person_id) p
 ON p.person_id = a.person_id AND a.flag = 'A'""")
 def _(t: Tables):
-    last = t.applications.where("flag = 'R'").groupBy(F.col("person_id").alias("_p")).agg(dates.iso(F.max("added_at")).alias("last_out"))
+    last = joins.one_per_key(t.applications.where("flag = 'R'"), [F.col("person_id").alias("_p")], dates.iso(F.max("added_at")).alias("last_out"))
     return t.applications.join(last, (F.col("person_id") == F.col("_p")) & (F.col("flag") == "A"), "left").select("id", "last_out")
 
 
@@ -412,7 +412,7 @@ def _(t: Tables):
 
 @query("j20_not_in", f"SELECT id FROM {POSTINGS} WHERE id NOT IN (SELECT linked_id FROM {POSTINGS} WHERE linked_id IS NOT NULL)")
 def _(t: Tables):
-    return joins.exclude(t.postings, "id", t.postings, "linked_id").select("id")
+    return joins.exclude(t.postings, "id", t.postings, "linked_id", unique=True).select("id")
 
 
 @query("j21_in_or_in", "SELECT c_custkey AS id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') OR c_custkey IN (SELECT user_id FROM events)")
@@ -442,9 +442,7 @@ prior AS (SELECT h.person_id, h.status, row_number() OVER (PARTITION BY h.person
           WHERE h.ts < l.ts AND h.status <> 'error')
 SELECT person_id, status FROM prior WHERE rn = 1""")
 def _(t: Tables):
-    latest = t.history.groupBy("person_id").agg(F.max("ts").alias("_last"))
-    rows = t.history.where("status <> 'error'").join(latest, "person_id").where("ts < _last")
-    return rows.groupBy("person_id").agg(F.max_by("status", F.struct("ts", "event_id")).alias("status"))
+    return history.prior_status(t.history, ["person_id"], "status", "ts", "event_id", F.col("status") != "error")
 
 
 @query("j25_value_and_attribute", """
@@ -501,7 +499,7 @@ def _(t: Tables):
 SELECT o.o_orderkey, strftime(coalesce(max(l.l_shipdate), CAST('{NOW}' AS TIMESTAMP)), '%Y-%m-%dT%H:%M:%S') AS at FROM orders o
 LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'A' GROUP BY o.o_orderkey""")
 def _(t: Tables):
-    last = t.lineitem.where("l_returnflag = 'A'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("_at"))
+    last = joins.one_per_key(t.lineitem.where("l_returnflag = 'A'"), [F.col("l_orderkey").alias("o_orderkey")], F.max("l_shipdate").alias("_at"))
     return t.orders.select("o_orderkey").join(last, "o_orderkey", "left").select("o_orderkey", dates.iso(F.coalesce("_at", CTX.now())).alias("at"))
 
 
