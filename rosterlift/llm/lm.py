@@ -29,7 +29,7 @@ from ._store import Scratch
 from ._text import U, Texts, chunks, lower, mix, span_hashes, words
 
 END = 0xFF  # never a byte of UTF-8: ends a text, and stands for what precedes it
-_HELD = 4 << 20  # distinct keys that a task counts before it hands them on
+_HELD = 1 << 20  # distinct keys that a task counts before it hands them on
 _UNSEEN = np.int64(-1)
 
 
@@ -234,7 +234,7 @@ def _scores(trie, heavy, total: int, vocabulary: int, order: int):
         unit = np.log10(total + 0.1 * (vocabulary + 1))
         gain = np.log10(term_counts + 0.1) - unit
         for batch in batches:
-            for part in chunks(batch.column(1), 1 << 20):
+            for part in chunks(batch.column(1)):
                 line, at, first = _laid_out(part, order)
                 logs = model.log_probabilities(_keys(line, at, order + 1))
                 score = np.add.reduceat(logs, first[:-1])
