@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,11 @@ from ..context import RunContext
 from ..functions.codes import code_groups, code_map, country_name
 from ..functions.dates import iso
 from ..functions.predicates import not_blank
-from ..functions.text import strip_tags
+from ..functions.text import label_slug, strip_tags
 from ..operators.history import outcome, project_state
 from ..operators.joins import fk_map, keep_any
+from ..operators.reshape import explode_list, union_all
+from ..plans.attributes import build_attribute_options, build_attribute_values, build_custom_attributes
 from ..plans.candidates import build_candidates, build_placements
 from ..plans.career import build_educations, build_experiences
 from ..plans.companies import build_companies, build_company_contacts
@@ -23,6 +26,7 @@ from ..plans.identities import build_company_identities, build_person_identities
 from ..plans.notes import build_meetings, build_person_notes
 from ..plans.people import build_people, build_users, duplicate_people, import_scope
 from ..plans.projects import build_project_company_contacts, build_projects
+from ..plans.salaries import build_salary_rates
 from ..sources.sinks import Outputs
 from ..sources.tables import SourceMap
 
@@ -76,6 +80,8 @@ HISTORY = SourceMap("bh_jobresponsehistory", {"id": "jobresponseid", "status": "
 PLACEMENTS = SourceMap("bh_placement", {
     "id": "placementid", "person_id": "userid", "project_id": "jobpostingid", "salary": "salary", "rate": "fee",
     "comments": "comments", "added_at": _ADDED})
+SALARIES = SourceMap("bh_usercontact", {
+    "person_id": "userid", "salary": "salary", "day_rate": "dayrate", "hourly_rate": "hourlyrate", "added_at": _ADDED})
 
 # What the vendor's statuses mean.
 COMPANY_STATUS = {"client": ["active", "terms signed"], "none": ["archive", "passive", "prospect"]}
@@ -128,9 +134,49 @@ def company_scope(read: Callable[[str], DataFrame]) -> DataFrame:
                         "company_id")
 
 
+@dataclass(frozen=True)
+class AttributeSource:
+    """A custom attribute of one export: its name, the kind of record, and the column that holds its values.
+
+    With ``separator`` the column holds lists, of any length. ``value`` is an SQL expression.
+    """
+
+    name: str
+    of: str
+    table: str
+    owner: str
+    value: str
+    separator: str | None = None
+
+
+def attribute_values(read: Callable[[str], DataFrame], sources: Sequence[AttributeSource]) -> DataFrame:
+    """owner_id, alias, of, value: what the records hold, lists taken apart; blanks and zeros are no values."""
+    parts = []
+    for source in sources:
+        held = read(source.table).selectExpr(f"{source.owner} AS owner_id", f"CAST({source.value} AS STRING) AS value")
+        if source.separator is not None:
+            held = explode_list(held, "value", "value", source.separator)
+        parts.append(held.select("owner_id", label_slug(F.lit(source.name)).alias("alias"), F.lit(source.of).alias("of"),
+                                 F.trim("value").alias("value")))
+    return union_all(*parts).where("value IS NOT NULL AND value NOT IN ('', '0')")
+
+
+def add_attributes(read: Callable[[str], DataFrame], ctx: RunContext, out: Outputs, sources: Sequence[AttributeSource],
+                   owners: dict[str, DataFrame]) -> None:
+    """Attributes, their options, and the values of each kind of record."""
+    held = attribute_values(read, sources)
+    named = [(s.name, s.of, s.separator is not None) for s in sources]
+    attributes = out.add("custom_attributes", build_custom_attributes(held.sparkSession, named, ctx))
+    options = out.add("custom_attribute_options", build_attribute_options(held.select("alias", "value").distinct(), attributes, ctx))
+    for entity in dict.fromkeys(s.of for s in sources):
+        values = held.where(F.col("of") == entity).select("owner_id", "alias", "value")
+        out.add(f"{entity}_custom_attribute_values", build_attribute_values(values, options, attributes, owners[entity], ctx, entity))
+
+
 def tables(read: Callable[[str], DataFrame], ctx: RunContext, out: Outputs, prior_users: DataFrame | None = None,
-           scoped: bool = True) -> None:
-    """``scoped`` keeps only people and companies with some activity."""
+           scoped: bool = True, attributes: Sequence[AttributeSource] = (), salaries: bool = False) -> None:
+    """``scoped`` keeps only people and companies with some activity. ``attributes``: the custom attributes of the export.
+    ``salaries``: whether its people have salary, day rate and hourly rate columns."""
     comments = COMMENTS.read(read)
     user_ids = read("bh_usercontact").select(F.col("userid").alias("id"))
     seen = [(read("bh_usercomment"), "userid"), (read("bh_client"), "userid")]
@@ -170,6 +216,10 @@ def tables(read: Callable[[str], DataFrame], ctx: RunContext, out: Outputs, prio
     out.add("educations", build_educations(EDUCATIONS.read(read), people, ctx, dupes))
     out.add("project_company_contacts", build_project_company_contacts(PROJECT_CONTACTS.read(read), contacts, projects))
     out.add("file_person_mapping", build_file_mapping(files(read), people))
+    if salaries:
+        out.add("person_salaries", build_salary_rates(SALARIES.read(read), people, ctx))
+    if attributes:
+        add_attributes(read, ctx, out, attributes, {"person": people, "company": companies, "project": projects})
 
 
 def company_notes(raw: DataFrame, companies: DataFrame, ctx: RunContext) -> DataFrame:

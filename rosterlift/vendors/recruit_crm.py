@@ -22,7 +22,7 @@ from ..operators.reshape import union_all, unpivot
 from ..plans.identities import CLASS_TYPES
 from ..plans.people import build_people_from_two_lists
 from ..sources.sinks import Outputs
-from ..sources.tables import SourceMap
+from ..sources.tables import SourceMap, read_shards
 
 Read = Callable[[str], DataFrame]
 
@@ -276,9 +276,23 @@ def hotlist_values(links: DataFrame, link_key: str, owners: DataFrame, owner_key
         F.lit(ctx.midnight_iso).alias("created_at"), F.lit(ctx.midnight_iso).alias("updated_at"))
 
 
-def tables(read: Read, ctx: RunContext, out: Outputs, users: DataFrame, work_history: DataFrame,
-           education_history: DataFrame, leads_lost_before: str | None = None) -> None:
-    """``users``: the user mapping seed. The two histories are the united shards (``read_shards``)."""
+# What a history without any table looks like.
+WORK_HISTORY = ("candidate_slug string, work_start_date string, work_end_date string, title string, description string, "
+                "work_company_name string")
+EDUCATION_HISTORY = ("candidate_slug string, institute_name string, educational_qualification string, "
+                     "educational_specialization string, education_description string, education_start_date string, "
+                     "education_end_date string")
+
+
+def tables(read: Read, ctx: RunContext, out: Outputs, users: DataFrame, work_history: DataFrame | None = None,
+           education_history: DataFrame | None = None, leads_lost_before: str | None = None) -> None:
+    """``users``: the user mapping seed. The two histories are found by themselves where ``read`` is a ``TableReader``: all
+    their numbered shards, or the one table. Any other ``read`` needs them given.
+    """
+    if work_history is None:
+        work_history = read_shards(read, "work_history_{}_data", "work_history_data", WORK_HISTORY)
+    if education_history is None:
+        education_history = read_shards(read, "education_history_{}_data", "education_history_data", EDUCATION_HISTORY)
     people = out.add("people", build_people_from_two_lists(CANDIDATES.read(read), CONTACTS.read(read), ctx))
     firms = out.add("companies", companies(read, ctx))
     jobs = out.add("projects", projects(read, firms, users, ctx, leads_lost_before))

@@ -12,6 +12,7 @@ from ..functions.codes import code_map, first_pattern, stage_from_dates
 from ..functions.contact import dummy_email, phone_norm, profile_url, strip_host
 from ..functions.dates import iso, latest_of
 from ..functions.ids import uuid_from
+from ..functions.names import file_extension
 from ..functions.predicates import not_blank
 from ..functions.text import clean_html, strip_tags, trim_chars
 from ..operators.dedupe import keep_first, priority
@@ -303,6 +304,26 @@ def expertise_values(read: Read, people: DataFrame, options: DataFrame, ctx: Run
         F.lit(ctx.midnight_iso).alias("created_at"), F.lit(ctx.midnight_iso).alias("updated_at"))
 
 
+def people_overview(read: Read, people: DataFrame) -> DataFrame:
+    """The profile text of every person kept from a candidate who has one."""
+    noted = read("public_candidate").where(not_blank("note_backup"))
+    rows = noted.select(F.col("id").cast("string").alias("person_id"), clean_html("note_backup").alias("overview"))
+    return fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
+
+
+def files(read: Read, people: DataFrame) -> DataFrame:
+    """Documents of candidates, also of those that were not kept."""
+    rows = read("public_candidate_document").where("candidate_id IS NOT NULL")
+    rows = rows.withColumn("person_id", F.col("candidate_id").cast("string"))
+    rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id")
+    stamp = F.date_format(_ts("insert_timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return rows.select(
+        "id", uuid_from("", "id").alias("atlas_id"), F.col("uploaded_filename").alias("file_name"),
+        file_extension("uploaded_filename").alias("ext"), F.col("filesize").alias("size"), F.lit("other").alias("type"),
+        stamp.alias("created_at"), stamp.alias("updated_at"), stamp.alias("received_at"),
+        F.col("saved_filename").alias("path"), "person_id", "atlas_person_id")
+
+
 def tables(read: Read, ctx: RunContext, out: Outputs, user_mapping: DataFrame, closed_before: str | None = None) -> None:
     """``user_mapping``: the seed of known users."""
     staff = out.add("users", users(read, ctx, user_mapping))
@@ -313,6 +334,8 @@ def tables(read: Read, ctx: RunContext, out: Outputs, user_mapping: DataFrame, c
     out.add("custom_attributes", attribute)
     options = out.add("custom_attribute_options", options)
     out.add("person_custom_attribute_values", expertise_values(read, ours, options, ctx))
+    out.add("people_overview", people_overview(read, ours))
+    out.add("files", files(read, ours))
     out.add("person_identities", person_identities(read, ours, staff, ctx))
     out.add("company_identities", company_identities(read, firms, ctx))
     out.add("experiences", experiences(read, ours, firms, ctx))

@@ -4,7 +4,9 @@ import pytest
 
 from rosterlift import RunContext
 from rosterlift.quality import evaluate
+from rosterlift.sources import TableReader
 from rosterlift.vendors import VENDORS, migrate
+from rosterlift.vendors.bullhorn import AttributeSource
 
 AT = "2024-01-02 03:04:05"
 
@@ -277,10 +279,42 @@ VINCERE = {
                                   "insert_timestamp string, modified_date string",
                                   [(1, 100, 1, 1, AT, None, AT, None, AT, None, None, None, None, None, None, AT, AT), (2, 100, 1, 1, "2024-05-05", None, None, None, None, None, None, None, None, "2024-06-01", AT, AT, AT), (3, 101, 1, 9, AT, None, AT, None, None, None, None, None, None, None, AT, AT, AT)]),
     "candidate_group": ("id int, name string", [(5, "Beta"), (6, "Alpha")]),
+    "public_candidate_document": ("id int, uploaded_filename string, filesize long, insert_timestamp string, saved_filename string, candidate_id int",
+                                  [(1, "my cv.pdf", 12, AT, "s3/1", 1), (2, "old.doc", None, None, "s3/2", 2), (3, "x.txt", 1, AT, "s3/3", None)]),
     "candidate_functional_expertise": ("candidate_id int, functional_expertise_id int, sub_functional_expertise_id int", [(1, 5, 6), (1, 5, None), (2, 5, None)]),
 }
 
 
+def test_bullhorn_attributes_and_salaries(export, ctx, tmp_path):
+    wanted = [AttributeSource("Job Title", "person", "bh_usercontact", "userid", "occupation"),
+              AttributeSource("Towns", "company", "bh_clientcorporation", "clientcorporationid", "city || ';Elsewhere, far;0'", ";,")]
+    source = dict(BULLHORN)
+    schema, rows = source["bh_usercontact"]
+    source["bh_usercontact"] = (schema + ", salary int, dayrate int, hourlyrate int", [(*r, 50_000, 0, 40) for r in rows])
+    got = migrate("bullhorn", export(source), ctx, str(tmp_path), scoped=False, attributes=wanted, salaries=True)
+    kept = set(ids(got["people"]))
+    assert {(r.person_id, r.basic_salary, r.tax_method) for r in got["person_salaries"].collect()} == {
+        (p, *pay) for p in kept for pay in ((50_000, "gross"), (40, "hourly_rate"))}
+    assert {(r.alias, r["of"], r.multiple_values) for r in got["custom_attributes"].collect()} == {("job_title", "person", False), ("towns", "company", True)}
+    options = {r.atlas_id: r.value for r in got["custom_attribute_options"].collect()}
+    assert {"Elsewhere", "far"} <= set(options.values()) and "0" not in options.values()
+    towns = {(r.company_id, options[r.atlas_option_id]) for r in got["company_custom_attribute_values"].collect()}
+    assert {(c, "far") for c, v in towns} <= towns
+    assert set(ids(got["person_custom_attribute_values"], "person_id")) <= kept
+
+
+def test_recruit_crm_finds_its_shards(spark, export, ctx, tmp_path):
+    users = spark.createDataFrame([("s@x.com", "Sue", 7, "u-7")], "email string, name string, id long, atlas_id string")
+    for name, (schema, rows) in RECRUIT_CRM.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{name}.parquet")
+    columns = "candidate_slug string, work_start_date string, work_end_date string, title string, description string, work_company_name string"
+    for n, title in ((1, "Dev"), (60, "Ops")):
+        spark.createDataFrame([("a1", "2020-01-01", None, title, None, "acme")], columns).write.parquet(f"{tmp_path}/in/work_history_{n}_data.parquet")
+    got = migrate("recruit_crm", TableReader(spark, f"{tmp_path}/in"), ctx, f"{tmp_path}/out", users=users)
+    assert {r.title for r in got["experiences"].collect()} == {"Dev", "Ops"}
+    assert got["educations"].isEmpty()
+
+
 def test_vincere(spark, export, ctx, tmp_path):
     mapping = spark.createDataFrame([("sue@corp.example.com", "Sue", 1, "u-1")], "email string, name string, id long, atlas_id string")
     got = migrate("vincere", export(VINCERE), ctx, str(tmp_path), user_mapping=mapping, closed_before="2023-01-01T00:00:00")
@@ -299,6 +333,11 @@ def test_vincere(spark, export, ctx, tmp_path):
     assert {(r.id, r.status, r.rejection_type, r.rejected_at) for r in got["candidates"].collect()} == {(2, "Hired", "by_us", "2024-01-02T00:00:00"), (3, "Presented", "by_us", "2024-01-02T00:00:00")}
     assert {(r.value, r.position) for r in got["custom_attribute_options"].collect()} == {("Alpha", 1), ("Beta", 2)}
     assert ids(got["person_custom_attribute_values"], "person_id") == ["1", "1"]
+    assert [(r.person_id, r.overview.strip()) for r in got["people_overview"].collect()] == [("1", "hi")]
+    known = {r.id: r.atlas_id for r in got["people"].collect()}
+    assert {(r.id, r.file_name, r.ext, r.size, r.path, r.person_id, r.atlas_person_id) for r in got["files"].collect()} == {
+        (1, "my cv.pdf", "pdf", 12, "s3/1", "1", known["1"]), (2, "old.doc", "doc", None, "s3/2", "2", None)}
+    assert all(r.created_at is None or r.created_at.endswith("Z") for r in got["files"].collect())
 
 
 LOXO = {
