@@ -26,7 +26,7 @@ def clean_html(value: ColumnLike) -> Column:
 
 def html_to_markdown(value: ColumnLike) -> Column:
     out = text(value)
-    for pattern, put in (
+    for pattern, put in (  # fixed values: what a tag becomes, in this order
         (r"<h1[^>]*>([^<]*)</h1>", "\n# $1\n"),
         (r"<h2[^>]*>([^<]*)</h2>", "\n## $1\n"),
         (r"<br[^>]*>|</p>|<p[^>]*>", "\n\n"),

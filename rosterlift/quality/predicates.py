@@ -98,7 +98,7 @@ def email_problem(value: Column) -> Column:
     local = F.when(v.contains("@"), F.substring_index(v, "@", 1)).otherwise("")
     domain = _after_at(v)
     last = F.substring_index(domain, ".", -1)
-    rules = (
+    rules = (  # fixed values: the reasons, in the order in which they are looked for
         (_at_signs(v) != 1, "wrong number of @ symbols"),
         (v.contains(" "), "contains spaces"),
         (v != F.trim(v), "leading/trailing whitespace"),
