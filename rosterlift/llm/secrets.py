@@ -7,7 +7,7 @@ string that fails any of them at ``level`` is no random one.
 
 Passing says little about a short string, so discoveries are controlled. Under the hypothesis that a string is ordinary
 writing, equal symbols meet in a share ``repeats`` of its pairs of places; the bound exp(-z^2 / 2) on how few do is its
-p-value. Strings of like length form a stratum, and in each the Benjamini-Hochberg rule at ``discovery_rate`` over all its
+p-value; of strings in hex, digits and letters mixed, it is how seldom writing keeps to so few letters. Strings of like length form a stratum, and in each the Benjamini-Hochberg rule at ``discovery_rate`` over all its
 candidates sets the p-value up to which they are reported. The rule needs counts by stratum and p-value class only, so
 nothing is sorted or gathered.
 """
@@ -33,7 +33,8 @@ _CLASSES = 400  # of p-values, by -log10 in twentieths
 class RandomnessTests:
     least: int = 20  # characters of a candidate
     level: float = 4.0  # standard deviations at which a test fails
-    repeats: float = 0.065
+    repeats: float = 0.065  # share of pairs of places with equal letters in ordinary writing
+    hex_letters: float = 0.3  # share of letters that hex has too in ordinary writing
     discovery_rate: float = 0.01
     strata: tuple[int, ...] = (20, 24, 32, 48, 64, 128)  # lengths at which strata begin
 
@@ -86,6 +87,7 @@ def _statistics(p: RandomnessTests) -> dict[str, Column]:
     products = F.aggregate("neighbours", F.lit(0.0), lambda s, x: s + (x["a"] - middle) * (x["b"] - middle))
     variance = (F.pow(F.col("size").cast("double"), F.lit(2.0)) - 1) / 12
     pairs = n * (n - 1) / 2
+    spelt = F.col("match").rlike("[0-9]") & F.col("match").rlike("[A-Fa-f]")
     return {
         "size": base, "n": F.length("match"), "signs": F.split(text, ""),
         "codes": F.transform("signs", lambda x: (F.instr(signs, x) - 1).cast("double")), "neighbours": neighbours,
@@ -93,7 +95,8 @@ def _statistics(p: RandomnessTests) -> dict[str, Column]:
         "uniform": (F.col("squares") * F.col("size") / n - n - (F.col("size") - 1)) / F.sqrt(2.0 * (F.col("size") - 1)),
         "runs": F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4) + F.abs(above - n / 2) / F.sqrt(n / 4) * 0.5,
         "serial": F.abs(products) / (variance * F.sqrt(n - 1)),
-        "excess": (pairs * p.repeats - (F.col("squares") - n) / 2) / F.sqrt(pairs * p.repeats * (1 - p.repeats))}
+        "excess": F.when(F.col("size") == 16, F.when(spelt, F.sqrt(2 * n * F.log(F.lit(1 / p.hex_letters)))).otherwise(0.0)).otherwise(
+            (pairs * p.repeats - (F.col("squares") - n) / 2) / F.sqrt(pairs * p.repeats * (1 - p.repeats)))}
 
 
 def _tested(candidates: DataFrame, p: RandomnessTests) -> DataFrame:
