@@ -5,11 +5,12 @@ Equal lines are one line with several copies. A line is split into ``edits + 1``
 under a key of length, number and content; every line looks up its own substrings at the places that the difference of
 lengths allows (for a segment number i of a line that is d shorter: at most i - 1 places away from where it was, and at most
 edits + 1 - i places away from where it was counted from the end). Lines that share a key are compared: first by
-how often each of eight classes of characters occurs, inside the join, then by edit distance.
+how often some characters occur, then by edit distance.
 
 Verification is a banded bit-parallel edit distance: a column of the distance matrix is held as the differences of
 its 2 * edits + 1 cells around the diagonal, each set of differences in the bits of one number, and goes to the next column
-in a fixed number of word operations.
+in a fixed number of word operations. It covers what is left when equal beginnings and ends are cut off; see
+``with_line_distance`` for what is done where that is long.
 
 A key that many lines list has its first ``pivots`` lines compared with all that look it up. What is left of such lists
 goes on in rounds with four times the pivots, as long as its lines lie in several components: no list emits all its pairs,
@@ -46,57 +47,60 @@ def line_key(line: Column | str) -> Column:
     return F.xxhash64(line)
 
 
+_COUNTED = "etan "  # characters whose numbers are compared before the lines are
+
+
 def _classes(line: Column) -> Column:
-    """Counts of eight classes of characters, each modulo 128, side by side in one number."""
-    groups = ("aàâä", "eéèêë", "iïnñ", "oóöt", "sßrld", "cmuüp", "hgbfvw", " ,.")
+    """How often each counted character occurs, modulo 4096, side by side in one number."""
     total = F.lit(0).cast("long")
-    for i, chars in enumerate(groups):
-        n = F.char_length(line) - F.char_length(F.translate(line, chars, ""))
-        total = total + F.shiftleft((n % 128).cast("long"), 8 * i - (i == 7))
+    for i, char in enumerate(_COUNTED):
+        n = F.char_length(line) - F.char_length(F.replace(line, F.lit(char), F.lit("")))
+        total = total + F.shiftleft((n % 4096).cast("long"), 12 * i)
     return total
 
 
 def _may_be_near(a: Column, b: Column, edits: int) -> Column:
-    """Two lines within ``edits`` differ in their classes by at most twice as much; counts are compared modulo 128."""
+    """An edit changes two of the numbers by one at most."""
     off = F.lit(0)
-    for i in range(8):
-        shift = 8 * i - (i == 7)
-        d = F.pmod(F.shiftright(a, shift).bitwiseAND(127) - F.shiftright(b, shift).bitwiseAND(127), F.lit(128))
-        off = off + F.least(d, 128 - d)
+    for i in range(len(_COUNTED)):
+        d = F.pmod(F.shiftright(a, 12 * i).bitwiseAND(4095) - F.shiftright(b, 12 * i).bitwiseAND(4095), F.lit(4096))
+        off = off + F.least(d, 4096 - d)
     return off <= 2 * edits
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment ``i`` (from 1) of a line: even sizes, the last ones a character longer."""
-    parts = edits + 1
-    size = F.floor(length / parts)
-    short = F.lit(parts) - length % parts  # segments of the smaller size
-    start = size * (i - 1) + F.greatest(F.lit(i - 1) - short, F.lit(0)) + 1
-    return start.cast("int"), (size + F.when(short < i, 1).otherwise(0)).cast("int")
-
-
-def _keyed(length: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring("line", start, size))
-
-
-def listed_keys(edits: int) -> Column:
-    """The keys under which a ``line`` of ``n`` characters is listed, one for each segment."""
-    return F.array(*[_keyed(F.col("n"), i, *_segment(F.col("n"), i, edits)) for i in range(1, edits + 2)])
+def line_keys(edits: int) -> Column:
+    """Keys of a ``line`` of ``n`` characters, with their ``kind``.
 
+    Under its segments (kind 0) it is listed, and lines of its own length are looked up; under substrings at other places
+    (kind 1) it only looks up lines that are as long or at most ``edits`` shorter. Segments are of even sizes, the last ones
+    a character longer.
+    """
+    parts = edits + 1
 
-def looked_up_keys(edits: int) -> Column:
-    """The keys under which lines that are at most ``edits`` shorter, or as long, may be listed."""
-    keys = []
+    def of_length(d: int) -> Column:
+        """The keys for lines that are ``d`` shorter."""
+        places = [(i, off) for i in range(1, parts + 1) for off in range(max(1 - i, d - (parts - i)), min(i - 1, d + parts - i) + 1)]
+        literal = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(off).alias("off"), F.lit(0 if d == off == 0 else 1).alias("kind"))
+                            for i, off in places])
+        length, size, short = F.col("n") - d, F.col(f"_size{d}"), F.col(f"_short{d}")
+
+        def key(place):
+            i = place["i"]
+            start = size * (i - 1) + F.greatest(i - 1 - short, F.lit(0)) + place["off"]
+            content = F.substring("line", start + 1, F.when(i > short, size + 1).otherwise(size))
+            # A substring that begins before the line, or ends behind it, is no segment's; its key then lists nothing.
+            return F.struct(F.xxhash64(length, i, content).alias("key"), place["kind"].alias("kind"))
+        return F.when(length >= parts, F.transform(literal, key)).otherwise(F.array().cast("array<struct<key:bigint,kind:int>>"))
+    return F.concat(*[of_length(d) for d in range(edits + 1)])
+
+
+def _with_sizes(lines: DataFrame, edits: int) -> DataFrame:
+    """Of lines of ``n`` characters, and of shorter ones: the size of a segment, and how many segments are no longer."""
+    parts = edits + 1
     for d in range(edits + 1):
-        length = (F.col("n") - d).cast("int")
-        for i in range(1, edits + 2):
-            start, size = _segment(length, i, edits)
-            low, high = max(-(i - 1), d - (edits + 1 - i)), min(i - 1, d + (edits + 1 - i))
-            for off in range(low, high + 1):
-                at = start + off
-                inside = (at >= 1) & (at + size - 1 <= F.col("n"))
-                keys.append(F.when(inside & (length >= edits + 1), _keyed(length, i, at, size)))
-    return F.array_compact(F.array(*keys))
+        lines = lines.withColumn(f"_size{d}", F.floor((F.col("n") - d) / parts).cast("int"))
+        lines = lines.withColumn(f"_short{d}", F.lit(parts) - (F.col("n") - d) % parts)
+    return lines
 
 
 def with_edit_distance(pairs: DataFrame, a: str, b: str, edits: int, name: str = "distance") -> DataFrame:
@@ -120,9 +124,6 @@ def with_edit_distance(pairs: DataFrame, a: str, b: str, edits: int, name: str =
         return total
     pairs = pairs.withColumn("_same", F.transform(F.split(b, ""), same)).drop("_rows")
 
-    def let(value, f):  # evaluates once what f uses several times
-        return F.transform(F.array(value), f)[0]
-
     def step(s, same):
         up, down = F.shiftright(s["up"], 1).bitwiseOR(1 << (width - 1)), F.shiftright(s["down"], 1)
         x = same.bitwiseOR(down)
@@ -133,7 +134,7 @@ def with_edit_distance(pairs: DataFrame, a: str, b: str, edits: int, name: str =
             return F.struct(left.bitwiseOR(F.bitwise_not(zero.bitwiseOR(right))).bitwiseAND(full).alias("up"),
                             zero.bitwiseAND(right).alias("down"),
                             (s["off"] + 1 - F.shiftright(zero, edits).bitwiseAND(1)).alias("off"))
-        return let((x.bitwiseAND(up) + up).bitwiseXOR(up).bitwiseOR(x).bitwiseAND(full), onward)
+        return _let((x.bitwiseAND(up) + up).bitwiseXOR(up).bitwiseOR(x).bitwiseAND(full), onward)
     n, m = F.char_length(a), F.char_length(b)
 
     def finish(s):
@@ -150,81 +151,156 @@ def with_edit_distance(pairs: DataFrame, a: str, b: str, edits: int, name: str =
     return pairs.withColumn(name, found).drop("_same")
 
 
+def _let(value, f):
+    """Evaluates once what f uses several times."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _steps(a: str, b: str) -> Column:
+    """The powers of two up to the length of the shorter string, the largest first."""
+    most = F.greatest(F.least(F.char_length(a), F.char_length(b)), F.lit(1)).cast("double")
+    return F.transform(F.sequence(F.floor(F.log2(most)).cast("int"), F.lit(0)), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+
+
+def _common(a: str, b: str, i, j, room, steps: str = "_steps", back: bool = False) -> Column:
+    """How many characters agree behind the first i of a and j of b (or before the last ones), at most ``room``.
+
+    Whole strings are compared, in steps that halve, so it takes a dozen comparisons and none by character.
+    """
+    def step(done, size):
+        if back:
+            x, y = F.char_length(a) - i - done - size + 1, F.char_length(b) - j - done - size + 1
+        else:
+            x, y = i + done + 1, j + done + 1
+        fits = done + size <= room
+        return F.when(fits & (F.substring(a, x, size) == F.substring(b, y, size)), done + size).otherwise(done)
+    return F.aggregate(F.col(steps), F.lit(0), step)
+
+
+def _by_diagonals(a: str, b: str, edits: int) -> Column:
+    """The edit distance if it is at most ``edits``, else null: for each number of edits the furthest row on each diagonal."""
+    n, m = F.char_length(a), F.char_length(b)
+    none = -(1 << 30)
+    diagonals = F.array(*[F.lit(d) for d in range(-edits, edits + 1)])
+
+    def along(row, d):
+        room = F.least(n - row, m - row - d)
+        return F.when((row >= 0) & (row + d >= 0) & (room >= 0), row + _common(a, b, row, row + d, room)).otherwise(none)
+    first = F.transform(diagonals, lambda d: F.when(d == 0, along(F.lit(0), F.lit(0))).otherwise(none))
+
+    def arrived(f, e):
+        return F.when(F.coalesce(F.get(f, m - n + edits), F.lit(none)) >= n, e)
+
+    def further(s, e):
+        def reach(d):
+            at = d + edits
+            row = F.greatest(F.get(s["f"], at) + 1, F.coalesce(F.get(s["f"], at - 1), F.lit(none)), F.coalesce(F.get(s["f"], at + 1), F.lit(none)) + 1)
+            # Beyond the end of either string nothing is left to edit away on this diagonal.
+            return _let(F.least(row, n, m - d), lambda r: along(r, d))
+        return _let(F.transform(diagonals, reach), lambda f: F.struct(f.alias("f"), F.coalesce(s["found"], arrived(f, e)).alias("found")))
+    start = _let(first, lambda f: F.struct(f.alias("f"), arrived(f, F.lit(0)).alias("found")))
+    return F.aggregate(F.array(*[F.lit(e) for e in range(1, edits + 1)]).cast("array<int>"), start, further, lambda s: s["found"])
+
+
+_SHORT = 96  # characters that the bit vectors go through one by one
+
+
+def with_line_distance(pairs: DataFrame, a: str, b: str, edits: int, name: str = "distance") -> DataFrame:
+    """As ``with_edit_distance``, for strings of any length.
+
+    What agrees at the beginning and at the end is cut off by comparing whole strings. The bit vectors go through what is
+    left if that is short, as it is between edits that are near each other. Edits that lie far apart leave a long
+    part, and the furthest points on the band's diagonals are followed instead, again by comparing whole strings.
+    """
+    kept = pairs.columns
+    pairs = pairs.withColumn("_steps", _steps(a, b)).withColumn("_n", F.least(F.char_length(a), F.char_length(b)))
+    pairs = pairs.withColumn("_head", _common(a, b, F.lit(0), F.lit(0), F.col("_n")))
+    pairs = pairs.withColumn("_tail", _common(a, b, F.lit(0), F.lit(0), F.col("_n") - F.col("_head"), back=True))
+    for side, text in (("_a", a), ("_b", b)):
+        pairs = pairs.withColumn(side, F.substring(text, F.col("_head") + 1, F.char_length(text) - F.col("_head") - F.col("_tail")))
+    short = F.greatest(F.char_length("_a"), F.char_length("_b")) <= _SHORT
+    pairs = pairs.withColumn("_x", F.when(short, F.col("_a")).otherwise("")).withColumn("_y", F.when(short, F.col("_b")).otherwise(""))
+    pairs = with_edit_distance(pairs, "_x", "_y", edits, "_bits").withColumn("_steps", _steps("_a", "_b"))
+    return pairs.select(*kept, F.when(short, F.col("_bits")).otherwise(_by_diagonals("_a", "_b", edits)).alias(name))
+
+
 def _distinct(lines: DataFrame) -> DataFrame:
     """Each line once. Copies are reduced before they are exchanged, and every use of the result reads one exchange."""
     return lines.select(line_key("line").alias("id"), "line").groupBy("id").agg(F.max("line").alias("line"))
 
 
-def _facts(distinct: DataFrame) -> DataFrame:
-    return distinct.withColumn("n", F.char_length("line")).withColumn("classes", _classes(F.col("line")))
+def _ranked(distinct: DataFrame, edits: int) -> DataFrame:
+    """key, kind, id, classes of every line, and a ``rank`` by which those that are listed come first."""
+    facts = distinct.withColumn("n", F.char_length("line")).withColumn("classes", _classes(F.col("line")))
+    rows = _with_sizes(facts, edits).select("id", "classes", F.explode(line_keys(edits)).alias("k")).select("k.key", "k.kind", "id", "classes")
+    return rows.withColumn("rank", F.row_number().over(_in_key()))
 
 
-def _members(distinct: DataFrame, edits: int) -> DataFrame:
-    return _facts(distinct).select("id", "classes", F.explode(listed_keys(edits)).alias("key"))
-
-
-def _seekers(distinct: DataFrame, edits: int) -> DataFrame:
-    return _facts(distinct).select(F.col("id").alias("s_id"), F.col("classes").alias("s_classes"), F.explode(looked_up_keys(edits)).alias("s_key"))
+def _in_key() -> Window:
+    return Window.partitionBy("key").orderBy("kind", "id")
 
 
 def _verified(pairs: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
-    """Of pairs (u, v) those whose lines are within ``edits``."""
-    pairs = pairs.select(F.least("id", "s_id").alias("u"), F.greatest("id", "s_id").alias("v")).distinct()
+    """Pairs (u, v) with the ``distance`` of their lines.
+
+    Store them before comparing it: the comparison, pushed down into the joins, would compute it over and over.
+    """
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     for side in ("u", "v"):
         pairs = pairs.join(distinct.select(F.col("id").alias(side), F.col("line").alias(f"{side}_line")), side)
-    pairs = with_edit_distance(pairs, "u_line", "v_line", edits)
-    return pairs.where(F.col("distance") <= edits).select("u", "v")
-
-
-def _met(pivots: DataFrame, seekers: DataFrame, edits: int, *more: Column) -> DataFrame:
-    on = (F.col("key") == F.col("s_key")) & (F.col("id") != F.col("s_id")) & _may_be_near(F.col("classes"), F.col("s_classes"), edits)
-    for condition in more:
-        on = on & condition
-    return pivots.join(seekers, on)
+    return with_line_distance(pairs, "u_line", "v_line", edits).select("u", "v", "distance")
 
 
 def line_links(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
-    """Links (u, v) between ids of different lines, enough of them to connect all lines within ``edits`` of each other."""
-    distinct = _distinct(lines)
-    ranked = _members(distinct, rules.edits).withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id")))
-    pivots = ranked.where(F.col("rank") <= rules.pivots)
-    found = _verified(_met(pivots, _seekers(distinct, rules.edits), rules.edits), distinct, rules.edits)
-    # Keys whose lists may go on behind the pivots, found in the same pass over the lines.
-    full = pivots.where(F.col("rank") == rules.pivots).select(F.lit(None).cast("long").alias("u"), F.col("key").alias("v"))
-    found = scratch.keep(found.union(full), "links")
-    links = found.where("u IS NOT NULL")
-    keys = found.where("u IS NULL").select(F.col("v").alias("key"))
-    return links if keys.isEmpty() else _rest(links, lines, keys, rules, scratch)
-
-
-def _rest(links: DataFrame, lines: DataFrame, keys: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
-    """Goes on with the lists of ``keys``, whose first pivots are done with, until each lies in one component."""
+    """Links (u, v) between ids of different lines, enough of them to connect all lines within ``edits`` of each other.
+
+    One query: the lines are exchanged once by id and their keys once by key.
+    """
     distinct = _distinct(lines)
-    left = scratch.keep(_members(distinct, rules.edits).join(keys, "key", "left_semi"), "members")
-    seekers = _seekers(distinct, rules.edits).join(keys.withColumnRenamed("key", "s_key"), "s_key", "left_semi")
-    seekers = scratch.keep(seekers, "seekers")
-    ids = left.select("id").union(seekers.select("s_id")).distinct()
-    texts = scratch.keep(distinct.join(ids, "id", "left_semi"), "texts")
-    first = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-    left = scratch.keep(left.withColumn("rank", first).where(F.col("rank") > rules.pivots).drop("rank"), "left-0")
-    many, turn = rules.pivots * 4, 0
+    # Listed lines come first, so every line of a key finds the pivots in front of it.
+    pivot = F.when((F.col("kind") == 0) & (F.col("rank") <= rules.pivots), F.struct("id", "classes"))
+    before = _in_key().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = _ranked(distinct, rules.edits).withColumn("pivots", F.collect_list(pivot).over(before))  # at most so many
+    met = ranked.where((F.size("pivots") > 1) | (F.get("pivots", F.lit(0))["id"] != F.col("id")))
+    near = F.filter("pivots", lambda x: (x["id"] != F.col("id")) & _may_be_near(x["classes"], F.col("classes"), rules.edits))
+    pairs = met.select("id", F.explode(near).alias("x")).select(F.col("x.id").alias("u"), F.col("id").alias("v"))
+    # What stands behind the pivots of a full list, for the rounds to come.
+    behind = ranked.where((F.size("pivots") == rules.pivots) & ((F.col("kind") == 1) | (F.col("rank") > rules.pivots)))
+    both = _verified(pairs, distinct, rules.edits).unionByName(behind.select("key", "kind", "id", "classes"), allowMissingColumns=True)
+    both = scratch.keep(both, "links")
+    links = both.where(F.col("distance") <= rules.edits).select("u", "v")
+    return _rest(links, lines, both.where("key IS NOT NULL").select("key", "kind", "id", "classes"), rules, scratch)
+
+
+def _rest(links: DataFrame, lines: DataFrame, behind: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """Goes on with long lists behind their first pivots, until each lies in one component."""
+    seekers = behind.select(F.col("id").alias("s_id"), F.col("classes").alias("s_classes"), F.col("key").alias("s_key")).distinct()
+    left = behind.where("kind = 0").select("key", "id", "classes")
+    many, turn, texts = rules.pivots * 4, 0, None
     while not left.isEmpty():
         turn += 1
         where = components(links, scratch, f"components-{turn}").withColumnRenamed("node", "at")
         of = lambda df, i, c: df.join(where, F.col(i) == F.col("at"), "left").withColumn(
             c, F.coalesce("component", i)).drop(*({"at", "component"} - {c}))
         left, asking = of(left, "id", "own"), of(seekers, "s_id", "s_own")
-        asking = scratch.keep(asking, f"asking-{turn}")
+        asking = scratch.keep(asking, f"asking-{turn}", few=True)
         several = asking.groupBy(F.struct("s_key").alias("k")).agg(F.min("s_own").alias("a"), F.max("s_own").alias("b"))
         left = left.join(several.where("a < b").select(F.col("k.s_key").alias("key")), "key", "left_semi")
         # Members of the rarer components first.
         size = left.groupBy(F.struct("key", "own").alias("k")).agg(F.count(F.lit(1)).alias("size"))
         left = left.join(size.select("k.*", "size"), ["key", "own"])
         order = Window.partitionBy("key").orderBy("size", "id")
-        left = scratch.keep(left.withColumn("rank", F.row_number().over(order)), f"ranked-{turn}")
-        met = _met(left.where(F.col("rank") <= many), asking, rules.edits, F.col("own") != F.col("s_own"))
-        links = links.union(scratch.keep(_verified(met, texts, rules.edits), f"links-{turn}"))
-        left = scratch.keep(left.where(F.col("rank") > many).select("key", "id", "classes"), f"left-{turn}")
+        left = scratch.keep(left.withColumn("turn", F.row_number().over(order)), f"ranked-{turn}", few=True)
+        on = (F.col("key") == F.col("s_key")) & (F.col("own") != F.col("s_own")) & _may_be_near(F.col("classes"), F.col("s_classes"), rules.edits)
+        met = left.where(F.col("turn") <= many).join(asking, on).select(F.col("id").alias("u"), F.col("s_id").alias("v"))
+        met = scratch.keep(met.distinct(), f"met-{turn}", few=True)
+        if not met.isEmpty():
+            if texts is None:
+                ids = seekers.select(F.col("s_id").alias("id")).distinct()
+                texts = scratch.keep(_distinct(lines).join(ids, "id", "left_semi"), "texts")
+            measured = scratch.keep(_verified(met, texts, rules.edits), f"links-{turn}")
+            links = links.union(measured.where(F.col("distance") <= rules.edits).select("u", "v"))
+        left = scratch.keep(left.where(F.col("turn") > many).select("key", "id", "classes"), f"left-{turn}", few=True)
         many *= 4
     return links
 

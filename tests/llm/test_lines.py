@@ -6,8 +6,9 @@ import string
 import pytest
 from pyspark.sql import functions as F
 
+from rosterlift.llm import lines as module
 from rosterlift.llm import queries
-from rosterlift.llm.lines import LineRules, line_classes, with_edit_distance, without_copies
+from rosterlift.llm.lines import LineRules, line_classes, with_edit_distance, with_line_distance, without_copies
 
 
 def within(a, b, k):
@@ -75,7 +76,9 @@ def test_chains_templates_and_common_segments(docs, edits, pivots):
     assert got(line_classes(docs(rows), LineRules(edits, 8, pivots))) == brute(rows, edits, 8)
 
 
-def test_distance(spark):
+@pytest.mark.parametrize(("distance", "short"), [(with_edit_distance, 96), (with_line_distance, 96), (with_line_distance, 4), (with_line_distance, -1)])
+def test_distance(spark, monkeypatch, distance, short):
+    monkeypatch.setattr(module, "_SHORT", short)
     rng = random.Random(1)
     pairs = []
     for _ in range(1500):
@@ -87,7 +90,7 @@ def test_distance(spark):
         pairs.append((a, "".join(b)))
     df = spark.createDataFrame(pairs, "a string, b string").withColumn("true", F.levenshtein("a", "b"))
     for edits in (0, 1, 2, 3, 7):
-        for r in with_edit_distance(df, "a", "b", edits).collect():
+        for r in distance(df, "a", "b", edits).collect():
             near = r.distance is not None and r.distance <= edits
             assert near == (r.true <= edits) and (not near or r.distance == r.true), (r, edits)
 
