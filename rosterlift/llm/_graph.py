@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.joins import one_per_key
@@ -17,7 +17,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     neighbours are gathered: the minimum is a partial aggregate, and a hot node is split in the join.
     """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    edges = scratch.keep(edges, f"{name}-0")
+    edges, before = _kept(edges, scratch, f"{name}-0")
     step = 0
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,12 +29,17 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         small = small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"),
                                                                                       F.col("m").alias("v")))
         step += 1
-        after = scratch.keep(small.distinct(), f"{name}-{step}")
-        # Roots are reached when the step changes nothing: compare counts and an order-free digest.
-        seen = [d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % F.lit(1 << 31))).first() for d in (edges, after)]
+        edges, now = _kept(small.distinct(), scratch, f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
-        edges = after
-        if seen[0] == seen[1]:
+        if now == before:  # every link leads to a root
             break
+        before = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def _kept(edges: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, dict]:
+    """The stored links, and their number with an order-free digest, taken while they are written."""
+    seen = Observation()
+    edges = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % (1 << 31)).alias("digest"))
+    return scratch.keep(edges, name, few=True), seen.get

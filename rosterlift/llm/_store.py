@@ -43,7 +43,10 @@ class Scratch:
         self.folder = f"{scratch_root(spark)}/llm-{uuid.uuid4().hex}"
         prepare(spark)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, few: bool = False) -> DataFrame:
+        """Write ``df`` and read it back. ``few``: it is small for its number of partitions, so two tasks a core write it."""
+        if few:
+            df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
         path = f"{self.folder}/{name}"
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
