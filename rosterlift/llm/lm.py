@@ -30,6 +30,7 @@ from ._text import U, Texts, chunks, lower, mix, span_hashes, words
 
 END = 0xFF  # never a byte of UTF-8: ends a text, and stands for what precedes it
 _HELD = 1 << 20  # distinct keys that a task counts before it hands them on
+_PIECE = 1 << 18  # bytes of text worked on at once: each takes some hundred bytes of memory
 _UNSEEN = np.int64(-1)
 
 
@@ -100,7 +101,7 @@ def _count(order: int):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(n)],
                                                  ["kind", "key", "n"])
         for batch in batches:
-            for part in chunks(batch.column(0)):
+            for part in chunks(batch.column(0), _PIECE):
                 line, at, _ = _laid_out(part, order)
                 grams.add(_keys(line, at, order + 1))
                 data = lower(part.data)
@@ -180,7 +181,7 @@ class Trie:
         self.log_escape = log(total - kept + distinct) - self.log_total
         # From a context into its suffix: without the values that the longer one has.
         at = np.flatnonzero(deep > 0)
-        shorter = (self.context[self.parent[at]] & ~(U(0xFF) << (U(8) * (deep[at] - 1).astype(np.uint64))) << U(8)) | self.symbol[at]
+        shorter = (self._suffix(self.context[self.parent[at]], deep[at]) << U(8)) | self.symbol[at]
         ruled = np.bincount(self.parent[at], self.count[self.entries.find(tag(deep[at], shorter))], n)
         back = self.contexts.find(tag(np.maximum(self.depth, 1) - 1, self._suffix(self.context, self.depth)))
         rest = total[back] - ruled + distinct[back] - width
@@ -202,10 +203,12 @@ class Trie:
     def log_probabilities(self, key: np.ndarray) -> np.ndarray:
         """Of the last byte of each key, whose earlier bytes are its context."""
         self.prepare()
+        if not len(self.context):  # nothing learnt
+            return np.full(len(key), self.log_uniform)
         size = U(8) * U(self.order)
         tag = lambda depth, k: k | (U(depth) << U(56))
         found = self.entries.find(tag(self.order + 1, key & ((U(1) << (size + U(8))) - U(1))))
-        out = np.where(found >= 0, self.log_direct[found] if len(self.log_direct) else 0.0, 0.0)
+        out = np.where(found >= 0, self.log_direct[found], 0.0)
         todo = np.flatnonzero(found < 0)
         key, longer = key[todo], np.full(len(todo), _UNSEEN)
         for depth in range(self.order, -1, -1):
@@ -234,7 +237,7 @@ def _scores(trie, heavy, total: int, vocabulary: int, order: int):
         unit = np.log10(total + 0.1 * (vocabulary + 1))
         gain = np.log10(term_counts + 0.1) - unit
         for batch in batches:
-            for part in chunks(batch.column(1)):
+            for part in chunks(batch.column(1), _PIECE):
                 line, at, first = _laid_out(part, order)
                 logs = model.log_probabilities(_keys(line, at, order + 1))
                 score = np.add.reduceat(logs, first[:-1])
