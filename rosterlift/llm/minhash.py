@@ -10,10 +10,14 @@ under 1e-6. Two sketches that share ``least`` values still meet in one of their
 those are listed: passages that many documents quote hardly ever are. Values that one class alone holds count among the
 rarest and need no list at all.
 
-Large lists. No list emits all its pairs. In each round some members of a list, its pivots, are compared with the
-members of other components; a pivot is then done with. Copies of one text fall into one component in the first round,
-whose pivots are the members that share most with the others. Only lists whose members still lie in several components
-go on, with twice the pivots. Every pair of a list is thus compared or already connected: nothing is capped.
+Large lists. No list emits all its pairs. A first round ties most copies together by the few rarest values of each class.
+In every further round some members of a list, its pivots, are compared with the
+members of other components; a pivot is then done with. Copies of one text fall into one component early, as the first
+pivots are the members that share most with the others. Only lists whose members still lie in several components
+go on, with eight times the pivots, and no pair is fetched twice. Every pair of a list is thus compared or already connected: nothing is capped. The
+comparison begins inside the join: a longer sketch of each set is kept as bits, a bit for each value modulo 1024, and the
+bits that two members share bound the estimate from the sketch of their union. Members that merely quote the same
+passage, or are near but not near enough, make no rows.
 """
 
 from __future__ import annotations
@@ -25,14 +29,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._graph import components
 from ._store import Scratch
 from ._text import chunks, lower, shingle_hashes, span_hashes, words
 
+_FIRST = 4  # values of each class, and pivots, of the first round
 _POSITIVE = np.uint64(2**63 - 1)
+_HELD = 256  # values of a set by which the similarity of a pair is estimated before its whole sets are fetched
+_WORDS = 16  # of 64 bits, for the bits of these values
 
 
 @dataclass(frozen=True)
@@ -41,18 +48,32 @@ class NearDuplicates:
 
     shingle: int = 5
     percent: int = 80
-    k: int = 32
+    k: int = 64
     pivots: int = 16
 
-    @property
-    def least(self) -> int:
+    def least(self, k: int) -> int:
         """The largest count that a binomial(k, percent) variable misses with a probability below 1e-6."""
         t, low = self.percent / 100, 0.0
-        for m in range(self.k + 1):
-            low += math.comb(self.k, m) * t**m * (1 - t)**(self.k - m)
+        for m in range(k + 1):
+            low += math.comb(k, m) * t**m * (1 - t)**(k - m)
             if low > 1e-6:
                 return max(1, m)
-        return max(1, self.k)
+        return max(1, k)
+
+    def common(self, n) -> Column:
+        """How many values two sketches share at least, the larger set having ``n``."""
+        return F.least(F.lit(self.least(self.k)), F.ceil(n * self.percent / 100).cast("int"))
+
+    def common_kept(self, larger: Column, smaller: Column) -> Column:
+        """How many of their kept values two linked sets of these sizes share at least, but for one pair in a million.
+
+        Their intersection makes up a certain part of the larger set. Of the values kept of that set as many are expected
+        in both, less five standard deviations and a half if not all are kept.
+        """
+        part = (larger + smaller) / larger * (self.percent / (100 + self.percent))
+        kept = F.least(larger, F.lit(_HELD))
+        spread = F.when(larger > _HELD, 5.5 * F.sqrt(kept * part * F.greatest(1 - part, F.lit(0.01)))).otherwise(0.0)
+        return kept * part - spread - 0.001
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -78,46 +99,63 @@ def _sketches(size: int, k: int):
             sets = list(shingle_sets(batch.column(1), size))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
-                         pa.binary()),
+                pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                 _lists([s[:k] for s in sets])], ["doc_id", "n_shingles", "class", "sketch"])
     return run
 
 
+def _bits(values: np.ndarray) -> np.ndarray:
+    marks = np.zeros(_WORDS * 64, np.uint8)
+    marks[(values % np.uint64(_WORDS * 64)).astype(int)] = 1
+    return np.packbits(marks).view(np.uint64)
+
+
+def _digest(values: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
 def _full_sets(size: int):
+    """The sets of the classes; of several texts of one id those of the class."""
     def run(batches):
         for batch in batches:
             rows = batch.num_rows
             for at in range(0, rows, 200):
                 part = batch.slice(at, 200)
                 sets = list(shingle_sets(part.column(1), size))
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(sets)], ["class", "shingles"])
+                own = [_digest(s) == c for s, c in zip(sets, part.column(0).to_pylist(), strict=True)]
+                part, sets = part.filter(pa.array(own)), [s for s, o in zip(sets, own, strict=True) if o]
+                bits = [_bits(s[:_HELD]) for s in sets]
+                doubled = [min(len(s), _HELD) - int(np.bitwise_count(b).sum()) for s, b in zip(sets, bits, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), _lists(sets),
+                                                  _lists(bits), pa.array(doubled, pa.int64())], ["class", "n", "shingles", "bits", "doubled"])
     return run
 
 
 def _listed(classes: DataFrame, p: NearDuplicates) -> DataFrame:
-    """The inverted lists: ``value, class, node, n, weight``, for the rarest values that several classes retain."""
-    values = classes.select("class", "node", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
+    """The inverted lists: ``value, class, node, weight, rank``, for the rarest values that several classes retain."""
+    # The short id keeps the many rows small; should two classes share one, both get the lists of both.
+    short = F.conv(F.hex(F.substring("class", 1, 7)), 16, 10).cast("long")
+    classes = classes.withColumn("short", short)
+    values = classes.select("short", F.explode("sketch").alias("value"))
     shared = values.groupBy(F.struct("value").alias("v")).agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = shared.select(F.col("v.value").alias("shared"), "df")
-    least = F.least(F.lit(p.least), F.ceil(F.col("n") * p.percent / 100).cast("int"))
-    found = values.join(shared, F.col("value") == F.col("shared"))
-    found = found.groupBy("class").agg(
-        F.first("node").alias("node"), F.first("n").alias("n"), F.first("held").alias("held"),
+    found = values.join(shared, F.col("value") == F.col("shared")).groupBy(F.col("short").alias("of")).agg(
         F.sum("df").alias("weight"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("common"))
+    found = found.join(classes.withColumn("held", F.size("sketch")).drop("sketch"), F.col("of") == F.col("short"))
     # The values that no one else has come first in the order by rarity.
-    take = F.col("held") - least + 1 - (F.col("held") - F.size("common"))
-    found = found.withColumn("take", take).where("take > 0")
-    return found.select("class", "node", "n", "weight", F.explode(F.slice("common", F.lit(1), F.col("take"))).alias("c"))\
-        .select(F.col("c.value").alias("value"), "class", "node", "n", "weight")
-
-
-def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scratch) -> DataFrame:
-    """Confirmed links (u, v) between nodes, enough of them to connect all that are linked."""
-    spark = lists.sparkSession
-    left, links, where, many, turn = lists, None, None, p.pivots, 0
-    sketches = classes.join(lists.select("class").distinct(), "class", "left_semi").select("class", "n", "sketch")
-    sketches = scratch.keep(sketches, "sketches")
+    take = F.size("common") - p.common(F.col("n")) + 1
+    found = found.withColumn("take", F.least(take, F.size("common"))).where("take > 0")
+    return found.select("class", "node", "weight", F.posexplode(F.slice("common", F.lit(1), F.col("take"))).alias("rank", "c")) \
+        .select(F.col("c.value").alias("value"), "class", "node", "weight", "rank")
+
+
+def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scratch) -> DataFrame | None:
+    """The component of every node that has a confirmed link; None if no list has two members."""
+    links, where, tested, many, turn = None, None, None, p.pivots, 0
+    bits = [f"b{i}" for i in range(_WORDS)]  # columns of their own: a join condition reads them without unpacking an array
+    facts = ["value", "class", "node", "weight", "n", "doubled", *bits]
+    every = lists.join(sets.select("class", "n", "doubled", *[F.col("bits")[i].alias(b) for i, b in enumerate(bits)]), "class")
+    left = every.where(F.col("rank") < _FIRST)
     while True:
         turn += 1
         if where is not None:
@@ -131,39 +169,49 @@ def _links(lists: DataFrame, classes: DataFrame, sets: DataFrame, p: NearDuplica
             left = left.join(own, (F.col("value") == F.col("ov")) & (F.col("component") == F.col("oc"))).drop("ov", "oc")
         else:
             left = left.withColumn("component", F.col("node")).withColumn("own", F.lit(1).cast("long"))
-        left = scratch.keep(left, f"left-{turn}")
-        if turn > 1:
-            scratch.drop(f"left-{turn - 1}")
+        left = scratch.keep(left, f"left-{turn}", few=True)
+        scratch.drop(f"left-{turn - 1}", f"pivots-{turn - 1}")
+        scratch.release()
         if left.isEmpty():
-            return links
+            return where
+        # Members of the rarer components first, so that few pivots are left to compare with the common one's.
         order = Window.partitionBy("value").orderBy("own", F.desc("weight"), "class")
-        pivots = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= many)
-        pivots = scratch.keep(pivots.select(*[F.col(c).alias(f"p_{c}") for c in ("value", "class", "node", "n", "component", "rank")]),
-                              f"pivots-{turn}")
-        near = (F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * p.percent)
-        pairs = left.join(pivots, F.col("value") == F.col("p_value")).where(near & (F.col("component") != F.col("p_component")))
-        pairs = pairs.select(F.greatest("class", "p_class").alias("a"), F.least("class", "p_class").alias("b")).distinct()
-        sa = sketches.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-        sb = sketches.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        pairs = pairs.join(sa, "a").join(sb, "b")
-        union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, p.k)
-        common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-        least = F.least(F.lit(p.least), F.ceil(F.greatest("na", "nb") * p.percent / 100).cast("int"))
-        pairs = pairs.where(common >= least).select("a", "b")
-        fa = sets.select(F.col("class").alias("a"), F.col("shingles").alias("fa"))
-        fb = sets.select(F.col("class").alias("b"), F.col("shingles").alias("fb"))
-        both = pairs.join(fa, "a").join(fb, "b")
-        cut = F.size(F.array_intersect("fa", "fb"))
-        both = both.withColumn("cut", cut).where(F.col("cut") * 100 >= p.percent * (F.size("fa") + F.size("fb") - F.col("cut")))
-        nodes = classes.select("class", "node")
-        found = both.select("a", "b").join(nodes.select(F.col("class").alias("a"), F.col("node").alias("u")), "a") \
-            .join(nodes.select(F.col("class").alias("b"), F.col("node").alias("v")), "b").select("u", "v")
-        found = scratch.keep(found, f"links-{turn}")
-        links = found if links is None else links.union(found)
-        where = components(links, scratch, f"components-{turn}")
-        used = pivots.select(F.col("p_value").alias("value"), F.col("p_class").alias("class"))
-        left = left.join(used, ["value", "class"], "left_anti").select("value", "class", "node", "n", "weight")
-        many *= 2
+        few = _FIRST if turn == 1 else many
+        pivots = left.select("value", "class", "own", "weight").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= few)
+        pivots = scratch.keep(pivots.select("value", "class"), f"pivots-{turn}", few=True)
+        chosen = left.join(pivots, ["value", "class"], "left_semi").select(*[F.col(c).alias(f"p_{c}") for c in (*facts, "component")])
+        shared = F.lit(0)
+        for b in bits:
+            shared = shared + F.bit_count(F.col(b).bitwiseAND(F.col(f"p_{b}")))
+        larger, smaller = F.greatest("n", "p_n"), F.least("n", "p_n")
+        # Shared values take a bit each, but for those that share one within a set.
+        least = p.common_kept(larger, smaller) - F.least("doubled", "p_doubled")
+        near = (smaller * 100 >= larger * p.percent) & (shared >= least)
+        pairs = left.join(chosen, (F.col("value") == F.col("p_value")) & (F.col("component") != F.col("p_component")) & near)
+        a, b = F.struct("class", "node"), F.struct(F.col("p_class").alias("class"), F.col("p_node").alias("node"))
+        pairs = pairs.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = scratch.keep(pairs, f"pairs-{turn}", few=True)
+        tested = pairs if tested is None else tested.union(pairs)
+        found = scratch.keep(_confirmed(pairs, sets, p), f"links-{turn}", few=True)
+        if turn == 1 or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            where = components(links, scratch, f"components-{turn}")
+        if turn == 1:  # its lists were partial, so no pivot is done with
+            left = every.select(*facts)
+        else:
+            left = left.join(pivots, ["value", "class"], "left_anti").select(*facts)
+            many *= 8
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearDuplicates) -> DataFrame:
+    """The nodes (u, v) of pairs whose whole sets are similar enough."""
+    pairs = pairs.select(F.col("a.class").alias("ca"), F.col("a.node").alias("u"), F.col("b.class").alias("cb"), F.col("b.node").alias("v"))
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("class").alias(f"c{side}"), F.col("n").alias(f"n{side}"), F.col("shingles").alias(f"s{side}")), f"c{side}")
+    pairs = pairs.withColumn("cut", F.size(F.array_intersect("sa", "sb")))
+    return pairs.where(F.col("cut") * 100 >= p.percent * (F.col("na") + F.col("nb") - F.col("cut"))).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_col: str = "doc_id",
@@ -187,12 +235,12 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_co
     # Full sets only of the classes that some list holds, from the text of one document each.
     needed = lists.select("class", "node").distinct()
     one = texts.join(needed.select(F.col("node").alias("doc_id"), "class"), "doc_id")
-    sets = one.select("class", "text").mapInArrow(_full_sets(p.shingle), "class binary, shingles array<long>")
+    sets = one.select("class", "text").mapInArrow(_full_sets(p.shingle), "class binary, n long, shingles array<long>, bits array<long>, doubled long")
     sets = scratch.keep(sets, "sets")
-    links = _links(lists, classes, sets, p, scratch)
+    where = _linked(lists, sets, p, scratch)
     of_class = classes.select("class", "node")
-    if links is not None:
-        of_class = of_class.join(components(links, scratch, "components-all"), "node", "left")
+    if where is not None:
+        of_class = of_class.join(where, "node", "left")
         of_class = of_class.select("class", F.coalesce("component", "node").alias("component_id"))
     else:
         of_class = of_class.withColumnRenamed("node", "component_id")
@@ -201,3 +249,23 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_co
     linked = linked.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     kept = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))
     return linked.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def one_of_each(docs: DataFrame, p: NearDuplicates = NearDuplicates(), scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) that ``near_duplicates`` keeps, with all their columns.
+
+    Rows that repeat an id are one document, and the one with the greatest text stands for it. Rows without an id stay.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
+    repeated = ids.groupBy("id").count().where("count > 1 AND id IS NOT NULL").select("id")
+    if not repeated.isEmpty():
+        rows = docs.select(F.struct("*").alias("row"))
+        repeated = scratch.keep(repeated, "repeated")
+        of = F.col("row.doc_id").cast("long") == F.col("id")
+        one = rows.join(repeated, of).groupBy("id").agg(F.max_by("row", F.struct("row.text", F.to_json("row"))).alias("row"))
+        docs = rows.join(repeated, of, "left_anti").union(one.select("row")).select("row.*")
+        docs = scratch.keep(docs, "documents")
+    gone = near_duplicates(docs, p, scratch=scratch).where("NOT kept").select(F.col("doc_id").alias("id"))
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(gone, F.col("row.doc_id").cast("long") == F.col("id"), "left_anti").select("row.*")
