@@ -36,7 +36,7 @@ from ._graph import components
 from ._store import Scratch
 from ._text import chunks, lower, shingle_hashes, span_hashes, words
 
-_FIRST = 4  # values of each class, and pivots, of the first round
+_FIRST = 4  # values of each class in the first round, and pivots of the first two
 _POSITIVE = np.uint64(2**63 - 1)
 _HELD = 256  # values of a set by which the similarity of a pair is estimated before its whole sets are fetched
 _WORDS = 16  # of 64 bits, for the bits of these values
@@ -174,9 +174,10 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
         scratch.release()
         if left.isEmpty():
             return where
-        # Members of the rarer components first, so that few pivots are left to compare with the common one's.
-        order = Window.partitionBy("value").orderBy("own", F.desc("weight"), "class")
-        few = _FIRST if turn == 1 else many
+        # At first members of the common components, to which most others belong. Then those of the rarer ones, so that
+        # few pivots are left to compare with the common one's.
+        order = Window.partitionBy("value").orderBy(F.desc("own") if turn == 2 else F.col("own"), F.desc("weight"), "class")
+        few = _FIRST if turn <= 2 else many
         pivots = left.select("value", "class", "own", "weight").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= few)
         pivots = scratch.keep(pivots.select("value", "class"), f"pivots-{turn}", few=True)
         chosen = left.join(pivots, ["value", "class"], "left_semi").select(*[F.col(c).alias(f"p_{c}") for c in (*facts, "component")])
@@ -202,7 +203,7 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
             left = every.select(*facts)
         else:
             left = left.join(pivots, ["value", "class"], "left_anti").select(*facts)
-            many *= 8
+            many *= 8 if turn > 2 else 1
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearDuplicates) -> DataFrame:
@@ -230,13 +231,13 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_co
     every = scratch.keep(every, "sketched")
     known = every.where("class IS NOT NULL AND doc_id IS NOT NULL")
     classes = known.groupBy("class").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-    classes = scratch.keep(classes, "classes")
-    lists = scratch.keep(_listed(classes, p), "lists")
+    classes = scratch.keep(classes, "classes", few=True)
+    lists = scratch.keep(_listed(classes, p), "lists", few=True)
     # Full sets only of the classes that some list holds, from the text of one document each.
     needed = lists.select("class", "node").distinct()
     one = texts.join(needed.select(F.col("node").alias("doc_id"), "class"), "doc_id")
     sets = one.select("class", "text").mapInArrow(_full_sets(p.shingle), "class binary, n long, shingles array<long>, bits array<long>, doubled long")
-    sets = scratch.keep(sets, "sets")
+    sets = scratch.keep(sets, "sets", few=True)
     where = _linked(lists, sets, p, scratch)
     of_class = classes.select("class", "node")
     if where is not None:
@@ -244,7 +245,7 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_co
         of_class = of_class.select("class", F.coalesce("component", "node").alias("component_id"))
     else:
         of_class = of_class.withColumnRenamed("node", "component_id")
-    of_class = scratch.keep(of_class, "of-class")
+    of_class = scratch.keep(of_class, "of-class", few=True)
     linked = every.drop("sketch").join(of_class, "class", "left")
     linked = linked.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     kept = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))
