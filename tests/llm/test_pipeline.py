@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from test_lines import brute as brute_lines
 from test_minhash import brute as brute_groups
-from test_quality import counts
+from test_quality_rules import counts
 from test_secrets import spans
 from test_tokens import check_packed
 from tokenizers import Tokenizer
