@@ -169,18 +169,16 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
             left = left.join(own, (F.col("value") == F.col("ov")) & (F.col("component") == F.col("oc"))).drop("ov", "oc")
         else:
             left = left.withColumn("component", F.col("node")).withColumn("own", F.lit(1).cast("long"))
-        left = scratch.keep(left, f"left-{turn}", few=True)
-        scratch.drop(f"left-{turn - 1}", f"pivots-{turn - 1}")
-        scratch.release()
-        if left.isEmpty():
-            return where
         # At first members of the common components, to which most others belong. Then those of the rarer ones, so that
         # few pivots are left to compare with the common one's.
         order = Window.partitionBy("value").orderBy(F.desc("own") if turn == 2 else F.col("own"), F.desc("weight"), "class")
         few = _FIRST if turn <= 2 else many
-        pivots = left.select("value", "class", "own", "weight").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= few)
-        pivots = scratch.keep(pivots.select("value", "class"), f"pivots-{turn}", few=True)
-        chosen = left.join(pivots, ["value", "class"], "left_semi").select(*[F.col(c).alias(f"p_{c}") for c in (*facts, "component")])
+        left = scratch.keep(left.withColumn("turn", F.row_number().over(order)), f"left-{turn}", few=True)
+        scratch.drop(f"left-{turn - 1}")
+        scratch.release()
+        if left.isEmpty():
+            return where
+        chosen = left.where(F.col("turn") <= few).select(*[F.col(c).alias(f"p_{c}") for c in (*facts, "component")])
         shared = F.lit(0)
         for b in bits:
             shared = shared + F.bit_count(F.col(b).bitwiseAND(F.col(f"p_{b}")))
@@ -202,7 +200,7 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
         if turn == 1:  # its lists were partial, so no pivot is done with
             left = every.select(*facts)
         else:
-            left = left.join(pivots, ["value", "class"], "left_anti").select(*facts)
+            left = left.where(F.col("turn") > few).select(*facts)
             many *= 8 if turn > 2 else 1
 
 
