@@ -6,10 +6,12 @@ it, an escape is paid (one count for each byte value seen there, and the counts
 context predicts it, without the values the longer one has already ruled out. The empty context escapes to a uniform
 choice among the byte values it has not seen. The log-probabilities of all bytes and of an end mark add up to the text's.
 
-Counting is a Spark aggregation over all training bytes. The trie that goes to the tasks holds what was seen in at least
-``share`` of all training positions: at most 1 / share entries for each order, at any size of the corpus. Scoring needs
-no step per byte in Python: since the values ruled out are exactly those of the longer context, all escapes and
-denominators are numbers of a context, computed once, and hash tables give them for whole batches of positions.
+Counting is a Spark aggregation over all training bytes, and the trie is a stored table that keeps all that was counted,
+unless ``share`` says otherwise. Since the values ruled out are exactly those of the longer context, all escapes and
+denominators are numbers of a context, computed once. The longest entries that make up at least ``frequent`` of all
+training positions go to the tasks, at most 1 / frequent of them at any size of the corpus: a hash table gives their
+log-probabilities for whole batches of positions. The other positions are counted by their last bytes for each text.
+The distinct ones are looked up in the trie, depth by depth from the empty context on, and joined back.
 
 The base score, a smoothed unigram model of words, needs every word's count. Words that make up at least ``word_share`` of
 all tokens (so at most 1 / word_share of them) are scored on the spot; the rarer ones are joined.
@@ -18,11 +20,11 @@ all tokens (so at most 1 / word_share of them) are scored on the spot; the rarer
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._store import Scratch
@@ -37,7 +39,8 @@ _UNSEEN = np.int64(-1)
 @dataclass(frozen=True)
 class PartialMatching:
     order: int = 5  # longest context, in bytes; at most 6
-    share: float = 2.0**-22
+    share: float = 0.0  # of all positions: entries that make up less are pruned
+    frequent: float = 2.0**-22  # of all positions: entries that make up as much are scored on the spot
     word_share: float = 2.0**-22
 
 
@@ -147,126 +150,64 @@ class Table:
         return found
 
 
-@dataclass
-class Trie:
-    """The pruned trie, as parallel arrays: contexts with their totals, and the counts of what follows them.
+def _counted(rows: np.ndarray, keys: np.ndarray, n: int) -> pa.ListArray:
+    """The distinct keys of each of ``n`` rows with how often they occur."""
+    order = np.lexsort((keys, rows))
+    keys, rows = keys[order], rows[order]
+    edge = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])])[:len(keys)])
+    times = np.diff(np.append(edge, len(keys)))
+    ends = np.searchsorted(rows[edge], np.arange(n + 1))
+    pairs = pa.StructArray.from_arrays([pa.array(keys[edge].view(np.int64)), pa.array(times.astype(np.int64))], names=["key", "times"])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs)
 
-    ``total`` and ``distinct`` of a context count all that followed it, pruned or not.
-    """
 
-    order: int
-    depth: np.ndarray
-    context: np.ndarray
-    total: np.ndarray
-    distinct: np.ndarray
-    parent: np.ndarray  # of an entry: its context's position
-    symbol: np.ndarray
-    count: np.ndarray
-    ready: bool = field(default=False)
-
-    def prepare(self) -> None:
-        if self.ready:
-            return
-        tag = lambda depth, key: key | (depth.astype(np.uint64) << U(56))
-        n = len(self.context)
-        self.contexts = Table(tag(self.depth, self.context))
-        deep = self.depth[self.parent]
-        self.entries = Table(tag(deep + 1, (self.context[self.parent] << U(8)) | self.symbol))
-        kept = np.bincount(self.parent, self.count, n)
-        width = np.bincount(self.parent, minlength=n).astype(float)
-        total, distinct = self.total.astype(float), self.distinct.astype(float)
-        log = lambda x: np.log10(np.where(x > 0, x, 1.0))
-        self.log_count = log(self.count.astype(float))
-        self.log_total = log(total + distinct)
-        self.log_escape = log(total - kept + distinct) - self.log_total
-        # From a context into its suffix: without the values that the longer one has.
-        at = np.flatnonzero(deep > 0)
-        shorter = (self._suffix(self.context[self.parent[at]], deep[at]) << U(8)) | self.symbol[at]
-        ruled = np.bincount(self.parent[at], self.count[self.entries.find(tag(deep[at], shorter))], n)
-        back = self.contexts.find(tag(np.maximum(self.depth, 1) - 1, self._suffix(self.context, self.depth)))
-        rest = total[back] - ruled + distinct[back] - width
-        free = total[back] - kept[back] + distinct[back] - width
-        self.log_rest = log(rest)
-        self.log_onward = np.where(rest > 0, log(free) - log(rest), 0.0)
-        root = np.flatnonzero(self.depth == 0)
-        self.log_uniform = -np.log10(max(1.0, 256 - (width[root[0]] if len(root) else 0)))
-        own = self.parent
-        self.log_direct = self.log_count - self.log_total[own]
-        self.ready = True
-
-    @staticmethod
-    def _suffix(context: np.ndarray, depth: np.ndarray) -> np.ndarray:
-        """Without the earliest byte."""
-        top = U(8) * (np.maximum(depth, 1) - 1).astype(np.uint64)
-        return context & ((U(1) << top) - U(1))
-
-    def log_probabilities(self, key: np.ndarray) -> np.ndarray:
-        """Of the last byte of each key, whose earlier bytes are its context."""
-        self.prepare()
-        if not len(self.context):  # nothing learnt
-            return np.full(len(key), self.log_uniform)
-        size = U(8) * U(self.order)
-        tag = lambda depth, k: k | (U(depth) << U(56))
-        found = self.entries.find(tag(self.order + 1, key & ((U(1) << (size + U(8))) - U(1))))
-        out = np.where(found >= 0, self.log_direct[found], 0.0)
-        todo = np.flatnonzero(found < 0)
-        key, longer = key[todo], np.full(len(todo), _UNSEEN)
-        for depth in range(self.order, -1, -1):
-            context = (key >> U(8)) & ((U(1) << U(8 * depth)) - U(1))
-            if depth < self.order:
-                entry = self.entries.find(tag(depth + 1, key & ((U(1) << U(8 * depth + 8)) - U(1))))
-                hit = np.flatnonzero(entry >= 0)
-                if len(hit):
-                    via, e = longer[hit], entry[hit]
-                    out[todo[hit]] += np.where(via >= 0, self.log_count[e] - self.log_rest[via], self.log_direct[e])
-                miss = entry < 0
-                todo, key, longer, context = todo[miss], key[miss], longer[miss], context[miss]
-            node = self.contexts.find(tag(depth, context))
-            known = node >= 0
-            out[todo[known]] += np.where(longer >= 0, self.log_onward[longer], self.log_escape[node])[known]
-            longer = np.where(known, node, longer)
-        out[todo] += self.log_uniform
-        return out
-
-
-def _scores(trie, heavy, total: int, vocabulary: int, order: int):
-    """Per row: tokens, the model's score, the base score of the words known here, and the other words with their counts."""
+def _scores(frequent, heavy, total: int, vocabulary: int, order: int):
+    """Per row: tokens, scores by the model and base scores of what is known here, and the other positions and words with their counts."""
     def run(batches):
-        model, (terms, term_counts) = trie.value, heavy.value
-        known = Table(terms)
+        (grams, logs), (terms, term_counts) = frequent.value, heavy.value
+        entries, known = Table(grams), Table(terms)
         unit = np.log10(total + 0.1 * (vocabulary + 1))
         gain = np.log10(term_counts + 0.1) - unit
+
+        def held(table, values, row, keys, n):
+            """The sum, for each row, of the values of the keys that the table has; their number; and the other keys."""
+            which = table.find(keys)
+            here = which >= 0
+            sums = np.bincount(row[here], values[which[here]], n) if here.any() else np.zeros(n)
+            return sums, np.bincount(row[here], minlength=n), _counted(row[~here], keys[~here], n)
         for batch in batches:
             for part in chunks(batch.column(1), _PIECE):
                 line, at, first = _laid_out(part, order)
-                logs = model.log_probabilities(_keys(line, at, order + 1))
-                score = np.add.reduceat(logs, first[:-1])
+                n = len(part)
+                score, _, rare_grams = held(entries, logs, np.repeat(np.arange(n), np.diff(first)), _keys(line, at, order + 1), n)
                 data = lower(part.data)
                 w = words(data, part.offsets)
-                hashes = span_hashes(data, w.start, w.end)
-                which = known.find(hashes)
-                row = np.repeat(np.arange(len(part)), w.counts)
-                here = which >= 0
-                base = np.bincount(row[here], gain[which[here]], len(part)) if here.any() else np.zeros(len(part))
-                known_here = np.bincount(row[here], minlength=len(part))
-                rare, rare_row = hashes[~here], row[~here]
-                order_ = np.lexsort((rare, rare_row))
-                rare, rare_row = rare[order_], rare_row[order_]
-                edge = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (rare_row[1:] != rare_row[:-1])])[:len(rare)])
-                times = np.diff(np.append(edge, len(rare)))
-                ends = np.searchsorted(rare_row[edge], np.arange(len(part) + 1))
-                pairs = pa.StructArray.from_arrays([pa.array(rare[edge].view(np.int64)), pa.array(times.astype(np.int64))],
-                                                   names=["word", "times"])
+                base, known_here, rare = held(known, gain, np.repeat(np.arange(n), w.counts), span_hashes(data, w.start, w.end), n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, len(part)), batch.column(2).slice(part.first, len(part)),
-                     pa.array(w.counts + 1), pa.array(known_here), pa.array(base), pa.array(score),
-                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs)],
-                    ["doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
+                    [batch.column(0).slice(part.first, n), batch.column(2).slice(part.first, n),
+                     pa.array(w.counts + 1), pa.array(known_here), pa.array(base), pa.array(score), rare_grams, rare],
+                    ["doc_id", "held_out", "n_tokens", "known", "base", "score", "grams", "words"])
     return run
 
 
-def learn(texts: DataFrame, p: PartialMatching, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
-    """The trie's contexts, the words' counts, and the number of texts, from all rows of ``texts`` (one column)."""
+def _last(key: str, size: Column | int) -> Column:
+    """The last ``size`` bytes of a key."""
+    size = size if isinstance(size, Column) else F.lit(size)
+    return F.col(key).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), size * 8) - 1)
+
+
+def _at_all_depths(keys: DataFrame, order: int) -> DataFrame:
+    """``keys`` with every depth of a context, and what is left of the key there: the context and the byte that follows."""
+    keys = keys.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(order))))
+    return keys.withColumn("key", _last("key", F.col("depth") + 1))
+
+
+def learn(texts: DataFrame, p: PartialMatching, scratch: Scratch) -> tuple[DataFrame, DataFrame, int, int]:
+    """The trie's contexts, the words' counts, and the numbers of texts and positions, from all rows of ``texts`` (one column).
+
+    ``total`` and ``distinct`` of a context count all that followed it, pruned or not; ``kept`` are its entries, ``held`` and
+    ``width`` their sum and number, and ``ruled`` is the sum of their counts in the next shorter context.
+    """
     tally = texts.mapInArrow(_count(p.order), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     tally = scratch.keep(tally, "counts")
     grams = tally.where("kind = 0")
@@ -274,27 +215,64 @@ def learn(texts: DataFrame, p: PartialMatching, scratch: Scratch) -> tuple[DataF
     ends = grams.where((F.col("key").bitwiseAND(0xFF)) == END).agg(F.sum("n")).first()[0] or 0
     positions = grams.agg(F.sum("n")).first()[0] or 0
     least = max(1, int(np.ceil(positions * p.share)))
-    depth = F.explode(F.sequence(F.lit(0), F.lit(p.order)))
-    cut = F.expr("key & (shiftleft(1L, 8 * (depth + 1)) - 1)")
-    entries = grams.withColumn("depth", depth).withColumn("key", cut).groupBy("depth", "key").agg(F.sum("n").alias("n"))
-    context = F.shiftright("key", 8).alias("context")
-    kept = F.collect_list(F.when(F.col("n") >= least, F.struct(F.col("key").bitwiseAND(0xFF).cast("int").alias("symbol"), "n")))
-    contexts = entries.groupBy("depth", context).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"),
-                                                     kept.alias("kept"))  # a context has 256 entries at most
-    return contexts.where(F.size("kept") > 0), tally.where("kind = 1").select("key", "n"), int(ends)
-
-
-def _fetch_trie(contexts: DataFrame, order: int) -> Trie:
-    """Brings the pruned trie, of bounded size, to the driver."""
-    rows = contexts.select("depth", "context", "total", "distinct", F.col("kept.symbol").alias("s"), F.col("kept.n").alias("c"))
-    rows = rows.toArrow().sort_by([("depth", "ascending"), ("context", "ascending")]).combine_chunks()
-    column = lambda name: np.asarray(rows.column(name).to_numpy())
-    flat = lambda name, kind: rows.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind)
-    sizes = rows.column("s").combine_chunks().value_lengths().to_numpy(zero_copy_only=False) if rows.num_rows else np.zeros(0, int)
-    return Trie(order, column("depth").astype(np.int64), column("context").astype(np.uint64), column("total").astype(np.int64),
-                column("distinct").astype(np.int64), np.repeat(np.arange(rows.num_rows), sizes),
-                flat("s", np.uint64) if rows.num_rows else np.zeros(0, np.uint64),
-                flat("c", np.int64) if rows.num_rows else np.zeros(0, np.int64))
+    entries = _at_all_depths(grams, p.order).groupBy("depth", "key").agg(F.sum("n").alias("n"))
+    # In the shorter context a byte was seen as often as in all, 256 at most, that are a byte longer.
+    entries = entries.withColumn("shorter", F.sum("n").over(Window.partitionBy("depth", _last("key", F.col("depth")))))
+    kept = lambda c: F.when(F.col("n") >= least, c)
+    contexts = entries.groupBy("depth", F.shiftright("key", 8).alias("context")).agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"),
+        F.collect_list(kept(F.struct(F.col("key").bitwiseAND(0xFF).cast("int").alias("symbol"), "n"))).alias("kept"),  # 256 at most
+        F.sum(kept(F.col("n"))).alias("held"), F.count(kept(F.col("n"))).alias("width"), F.sum(kept(F.col("shorter"))).alias("ruled"))
+    contexts = scratch.keep(contexts.where("width > 0"), "contexts")
+    return contexts, tally.where("kind = 1").select("key", "n"), int(ends), int(positions)
+
+
+def _direct() -> Column:
+    """The log of what a context's counts are divided by, where it is the longest."""
+    return F.log10(F.col("total") + F.col("distinct"))
+
+
+def _frequent(contexts: DataFrame, order: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of the longest contexts that were seen ``least`` times, with their log-probabilities."""
+    rows = contexts.where(F.col("depth") == order).select("context", _direct().alias("log"), F.explode("kept").alias("e"))
+    key = (F.col("context") * 256).bitwiseOR(F.col("e.symbol"))
+    rows = rows.where(F.col("e.n") >= least).select(key.alias("key"), (F.log10("e.n") - F.col("log")).alias("log")).toArrow()
+    return rows.column("key").to_numpy().view(np.uint64), rows.column("log").to_numpy()
+
+
+def _log_probabilities(keys: DataFrame, contexts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
+    """``key, log``: of the last byte of each distinct key, whose earlier bytes are its context."""
+    back = contexts.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("suffix"),
+                           *[F.col(c).alias(f"back_{c}") for c in ("total", "distinct", "held")])
+    # At most 256 contexts share the one that is a byte shorter.
+    both = contexts.withColumn("suffix", _last("context", F.greatest(F.col("depth") - 1, F.lit(0))))
+    both = both.join(back, ["depth", "suffix"], "left")
+    rest = F.col("back_total") - F.col("ruled") + F.col("back_distinct") - F.col("width")
+    free = F.col("back_total") - F.col("back_held") + F.col("back_distinct") - F.col("width")
+    log = lambda x: F.log10(F.when(x > 0, x).otherwise(1))
+    both = both.select(
+        "depth", "context", "kept", _direct().alias("direct"), (log(F.col("total") - F.col("held") + F.col("distinct")) - _direct()).alias("escape"),
+        log(rest).alias("rest"), F.when(rest > 0, log(free) - log(rest)).otherwise(0.0).alias("onward"))
+    asked = _at_all_depths(keys, order).select("depth", "key").distinct().withColumn("context", F.shiftright("key", 8))
+    symbol = F.col("key").bitwiseAND(0xFF)
+    seen = F.get(F.filter("kept", lambda e: e["symbol"] == symbol), F.lit(0))["n"]
+    facts = asked.join(both, ["depth", "context"], "left").select("depth", "key", "direct", "escape", "rest", "onward", F.log10(seen).alias("seen"))
+    facts = scratch.keep(facts, "facts")
+    root = contexts.where("depth = 0").select("width").first()
+    uniform = F.lit(float(-np.log10(max(1, 256 - (root[0] if root else 0)))))
+    # ``log`` takes the context for the longest, ``behind`` gives what its suffix says where it has not seen the byte.
+    known, found = F.col("direct").isNotNull(), F.col("seen").isNotNull()
+    for depth in range(order + 1):
+        here = facts.where(F.col("depth") == depth)
+        if depth == 0:
+            here, behind, otherwise = here.withColumn("behind", uniform), F.col("behind"), uniform
+        else:
+            below = done.select(F.col("key").alias("cut"), F.col("seen").alias("seen_below"), F.col("behind_next").alias("b"), F.col("log").alias("a"))
+            here = here.withColumn("cut", _last("key", depth)).join(below, "cut")
+            behind, otherwise = F.coalesce(F.col("seen_below") - F.col("rest"), F.col("onward") + F.col("b")), F.col("a")
+        value = F.when(~known, otherwise).when(found, F.col("seen") - F.col("direct")).otherwise(F.col("escape") + behind)
+        done = here.select("key", "seen", behind.alias("behind_next"), value.alias("log"))
+    return done.select("key", "log")
 
 
 def language_scores(docs: DataFrame, held_out: Column, p: PartialMatching = PartialMatching(), scratch: Scratch | None = None) -> DataFrame:
@@ -309,28 +287,38 @@ def language_scores(docs: DataFrame, held_out: Column, p: PartialMatching = Part
     scratch = scratch or Scratch(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("held_out", F.coalesce(held_out, F.lit(True)))
-    contexts, terms, ends = learn(rows.where("NOT held_out").select("text"), p, scratch)
+    contexts, terms, ends, positions = learn(rows.where("NOT held_out").select("text"), p, scratch)
     seen = terms.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, vocabulary = (seen[0] or 0) + ends, seen[1] + (ends > 0)
     least = max(1, int(np.ceil(total * p.word_share)))
-    # At most 1 / word_share words, and 1 / share entries for each order.
+    # At most 1 / word_share words, and 1 / frequent entries.
     heavy = terms.where(F.col("n") >= least).toArrow()
     heavy = (heavy.column("key").to_numpy().view(np.uint64), heavy.column("n").to_numpy())
+    frequent = _frequent(contexts, p.order, max(1, int(np.ceil(positions * p.frequent))))
     sc = spark.sparkContext
-    run = _scores(sc.broadcast(_fetch_trie(contexts, p.order)), sc.broadcast(heavy), total, vocabulary, p.order)
+    run = _scores(sc.broadcast(frequent), sc.broadcast(heavy), total, vocabulary, p.order)
+    counted = "array<struct<key:long,times:long>>"
     scored = rows.select("doc_id", "text", "held_out").mapInArrow(
-        run, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<struct<word:long,times:long>>")
+        run, f"doc_id long, held_out boolean, n_tokens long, known long, base double, score double, grams {counted}, words {counted}")
     scored = scratch.keep(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     unit = F.lit(float(np.log10(total + 0.1 * (vocabulary + 1))))
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
-    rare = rare.join(terms.where(F.col("n") < least), F.col("word") == F.col("key"), "left")
-    count = F.coalesce("n", F.lit(0))
+    # Kind 0 are positions, kind 1 words, in the tables and among what is looked up.
+    rare = [scored.select("row", F.lit(kind).alias("kind"), F.explode(name).alias("r")) for kind, name in enumerate(("grams", "words"))]
+    rare = rare[0].union(rare[1]).select("row", "kind", F.col("r.key").alias("of_key"), "r.times")
+    asked = scored.select(F.explode("grams").alias("r")).select("r.key").distinct()
+    logs = _log_probabilities(asked, contexts, p.order, scratch)
+    values = logs.select(F.lit(0).alias("of_kind"), "key", "log").union(
+        terms.where(F.col("n") < least).select(F.lit(1), "key", F.log10(F.col("n") + F.lit(0.1)) - unit))
+    rare = rare.join(values, (F.col("kind") == F.col("of_kind")) & (F.col("of_key") == F.col("key")), "left")
+    word, none = F.col("kind") == 1, F.log10(F.lit(0.1)) - unit
     rare = rare.groupBy(F.col("row").alias("of")).agg(
-        F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * (F.log10(count + F.lit(0.1)) - unit)).alias("rest"))
-    full = scored.drop("rare").join(rare, F.col("row") == F.col("of"), "left")
+        F.sum(F.when(word & F.col("log").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
+        F.sum(F.when(word, F.col("times") * F.coalesce("log", none)).otherwise(0.0)).alias("rest"),
+        F.sum(F.when(~word, F.col("times") * F.col("log")).otherwise(0.0)).alias("scored"))
+    full = scored.drop("grams", "words").join(rare, F.col("row") == F.col("of"), "left")
     end = F.log10(F.lit(float(ends)) + F.lit(0.1)) - unit
     return full.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0)) + F.lit(int(ends > 0))).cast("long").alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0)) + end).alias("base_score"), "score")
+        F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0)) + end).alias("base_score"),
+        (F.col("score") + F.coalesce("scored", F.lit(0.0))).alias("score"))

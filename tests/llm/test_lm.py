@@ -97,6 +97,26 @@ def test_whole_table(spark, small):
         assert got[i].score == pytest.approx(model.score(t), rel=1e-9)
 
 
+def test_nothing_counted_is_lost(docs):
+    # Nine million positions: an entry seen once is below a 2^-22 share of them.
+    texts = ["ab " * 100_000] * 33 + ["qz", "zq xj"]
+    rows = [(i, t) for i, t in enumerate(texts) if i < 33] + [(i, t) for i, t in zip([j for j in range(33, 60) if not held(j)], texts[33:])]
+    got = run(docs(rows), order=1)
+    model = Plain([t for i, t in rows if not held(i)], 1, 1e-12)
+    for i, t in rows[:1] + rows[33:]:
+        assert got[i].score == pytest.approx(model.score(t), rel=1e-9)
+
+
+@pytest.mark.parametrize("p", [{"order": 3, "frequent": 1.0}, {"order": 5, "frequent": 0.01}, {"order": 0, "frequent": 0.05}, {"order": 2, "share": 0.004, "frequent": 0.02}])
+def test_rare_entries_are_joined(docs, p):
+    texts = ["the cat sat on the mat", "xq", "The Dog\tran", "", None, "\u00e9 \u00e0 la carte, l\u00e0-bas", "a" * 300, "the mat sat on the cat " * 20, "x\n\ny  z"]
+    rows = [(i, f"{t or ''} {i % 7}" if i % 4 else t) for i, t in enumerate(texts * 4)]
+    got = run(docs(rows), **p)
+    model = Plain([t or "" for i, t in rows if not held(i)], p["order"], p.get("share", 1e-12))
+    for i, t in rows:
+        assert got[i].score == pytest.approx(model.score(t or ""), rel=1e-9)
+
+
 def test_empty_table_no_training_rows_and_repeats(docs):
     assert run(docs([])) == {}
     got = run(docs([(None, "a b"), (None, "a b")]))  # an empty number is held out
