@@ -182,15 +182,18 @@ def _rank(k: int):
             ids = rows.column("vec_id").to_numpy()
             x, asked = _matrix(rows.column("vector")), _matrix(queries.column("vector"))
             norm = (x * x).sum(1)
+            by_id = np.argsort(ids, kind="stable")
+            own, starts = np.unique(ids[by_id], return_index=True)
             for q, v in zip(queries.column("vec_id").to_pylist(), asked, strict=True):
                 rough = norm - 2 * (x @ v)
                 rough[ids == q] = np.inf
-                left = int((ids != q).sum())
+                left = int((own != q).sum())
                 if not left:
                     continue
-                # Rounding must not decide: all that is about as near as the k-th is measured exactly.
+                # Rounding must not decide: all that is about as near as the k-th id is measured exactly.
                 slack = 1e-9 * (norm.max() + v @ v)
-                reach = np.partition(rough, min(k, left) - 1)[min(k, left) - 1] + slack
+                least = np.minimum.reduceat(rough[by_id], starts)
+                reach = np.partition(least, min(k, left) - 1)[min(k, left) - 1] + slack
                 pick = np.flatnonzero(rough <= reach)
                 d = np.sqrt(((x[pick] - v)**2).sum(1))
                 order = np.lexsort((d, ids[pick]))
@@ -206,7 +209,7 @@ def _rank(k: int):
 
 def _dealt(df: DataFrame, own: str, other: str) -> tuple[Column, Column]:
     """A row's group of its own kind, and all groups of the other kind that it has to meet."""
-    mine = F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int")
+    mine = F.pmod(F.xxhash64("vec_id", "vector"), F.col(own)).cast("int")  # an id may have many vectors
     return mine, F.explode(F.sequence(F.lit(0), F.col(other) - 1))
 
 
@@ -222,20 +225,23 @@ def nearest(table: DataFrame, is_query: Column, k: int = 10, p: LearnedPartition
     spark = table.sparkSession
     scratch = scratch or Scratch(spark)
     rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    rows = scratch.keep(rows.mapInArrow(_packed, "vec_id long, size int, vector binary"), "vectors")
-    sizes = rows.groupBy("size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("size")).first()
+    rows = rows.mapInArrow(_packed, "vec_id long, size int, vector binary")
+    # Equal rows are one row from here on.
+    rows = scratch.keep(rows.groupBy("vec_id", "size", "vector").agg(F.count(F.lit(1)).alias("times")), "vectors")
+    sizes = rows.groupBy("size").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("rows")).orderBy(F.desc("n"), F.desc("size")).first()
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.col("size") == sizes[0]).drop("size")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(p.sample).select("vector").toArrow()
-    router = fit(_matrix(sample.column(0).combine_chunks()), sizes[1], p)
+    rows = rows.where(F.col("size") == sizes["size"]).select("vec_id", "vector")
+    sample = rows.orderBy(F.xxhash64("vec_id", "vector"), "vec_id", "vector").limit(p.sample).select("vector").toArrow()
+    router = fit(_matrix(sample.column(0).combine_chunks()), sizes["rows"], p)
     shared = spark.sparkContext.broadcast(router)
     kind = "vec_id long, vector binary, part int"
     homes = scratch.keep(rows.mapInArrow(_route(shared, 1), kind), "homes")
     asked = rows.where(is_query).groupBy("vec_id").agg(F.max("vector").alias("vector"))
     # A number for each partition, of which there are at most sample / 32.
     held = np.zeros(len(router.bias), np.int64)
-    for part, n in homes.groupBy("part").agg(F.count_distinct("vec_id")).collect():
+    # An id whose vectors lie in several partitions counts in one of them: what is visited holds at least so many ids.
+    for part, n in homes.groupBy("vec_id").agg(F.min("part").alias("part")).groupBy("part").count().collect():
         held[part] = n
     asked = scratch.keep(asked.mapInArrow(_route(shared, router.visits, held, k + 1), kind), "asked")
 

@@ -64,6 +64,28 @@ def test_vectors_that_take_no_part(spark):
     assert got == {0: [(8, 1.0), (9, 1.0)], 9: [(0, 1.0), (8, 2.0)]}
 
 
+def test_an_id_repeated_more_often_than_k(spark):
+    # Id 5 has 12 copies of one vector, id 6 has 30 vectors, all of them nearer to the query than the other ids.
+    rows = [(0, [1.0, 1.0], "")] + [(5, [1.0, 1.25], "")] * 12 + [(6, [1.0, 1.5 + i / 64], "") for i in range(30)]
+    rows += [(i, [1.0, float(i)], "") for i in range(10, 30)]
+    got = answers(nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0))
+    assert got == {0: [(5, 0.25), (6, 0.5), *[(i, i - 1.0) for i in range(10, 18)]]}
+
+
+def test_an_id_in_many_partitions_leaves_no_query_short(spark):
+    # Id 1 lies everywhere, so it alone makes every partition look as if it held enough.
+    rng = np.random.default_rng(7)
+    rows = [(1, v.tolist(), "") for v in rng.normal(size=(1500, 2)) * 10] + [(i, v.tolist(), "") for i, v in enumerate(rng.normal(size=(60, 2)) * 10, 100)]
+    p = LearnedPartitions(sample=1024, rows_per_partition=50, recall=0.0, group=100)
+    got = answers(nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") >= 100, p=p))
+    assert {q: len(near) for q, near in got.items()} == dict.fromkeys(range(100, 160), 10)
+    x = {i: np.array([v for j, v, _ in rows if j == i], float).astype(np.float32).astype(float) for i in (1, *range(100, 160))}
+    for q, near in got.items():
+        for i, d in near:
+            if i != 1:
+                assert abs(d - np.sqrt(((x[i][0] - x[q][0])**2).sum())) < 1e-12
+
+
 def test_empty_and_single(spark):
     assert nearest(spark.createDataFrame([], SCHEMA), F.lit(True)).collect() == []
     assert nearest(spark.createDataFrame([(1, [1.0], "")], SCHEMA), F.lit(True)).collect() == []
