@@ -45,6 +45,41 @@ def test_longest_match(begin, inner, word):
     assert LongestMatch(begin, inner).count(word) == greedy(word, begin, inner)
 
 
+def whole(word, begin, inner):
+    """Greedy pieces; a bare mark where none begins the word, bytes where none goes on."""
+    n, at, pieces = 0, 0, begin
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+        if end is not None:
+            n, at = n + 1, end
+        elif pieces is begin:
+            n += 1
+        else:
+            n, at = n + len(word[at].encode()), at + 1
+        pieces = inner
+    return n
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.text("ab\u00e9", min_size=1, max_size=5), max_size=12), st.sets(st.text("ab\u00e9", min_size=1, max_size=5), max_size=12),
+       st.text("ab\u00e9\u6f22", max_size=30))
+def test_longest_match_of_whole_words(begin, inner, word):
+    assert LongestMatch(begin, inner, whole=True).count(word) == whole(word, begin, set(inner))
+
+
+def test_pieces_of_words_without_a_beginning(docs):
+    import sentencepiece
+    m = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces = [m.id_to_piece(i) for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i))]
+    begin, inner = {p[1:] for p in pieces if p[0] == "▁" and len(p) > 1}, {p for p in pieces if "▁" not in p}
+    rows = [*enumerate([*ODD, "2024 a\u00f1os", "\u00f1and\u00fa", "\u6f22" * 1000, "7" * 400, "the cat"]), (None, None)]
+    got = {r.doc_id: r for r in token_counts(docs(rows), MODEL).collect()}
+    for i, t in rows:
+        found = [whole(w, begin, inner) for w in WORD.findall(t or "")]
+        assert got[i].n_pieces == sum(found)
+    assert got[len(ODD) + 2].n_tokens == 1 and got[len(ODD) + 2].n_pieces > 1000
+
+
 def test_piece_counts(spark, small, docs):
     automaton = _counted(MODEL).automaton
     import sentencepiece
