@@ -33,13 +33,21 @@ class LineRules:
     edits: int = 2
     least: int = 20  # characters of a line that takes part
     pivots: int = 16
+    short: bool = False  # shorter lines that are not blank take part too, as exact copies
 
 
-def occurrences(docs: DataFrame, least: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, line_no, line`` of every line of ``least`` characters or more; lines are what ``\\n`` separates, from 0."""
+_WORD = r"[^\x20\x09-\x0D]"
+
+
+def occurrences(docs: DataFrame, least: int, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+    """``doc_id, line_no, line`` of every line of ``least`` characters or more; lines are what ``\\n`` separates, from 0.
+
+    ``short``: and of shorter ones that are not blank.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return rows.where(F.char_length("line") >= least)
+    long = F.char_length("line") >= least
+    return rows.where(long | F.col("line").rlike(_WORD) if short else long)
 
 
 def line_key(line: Column | str) -> Column:
@@ -310,14 +318,15 @@ def line_classes(docs: DataFrame, rules: LineRules = LineRules(), id_col: str =
     """``doc_id, line_no, n_chars, class_doc, class_line, copies, kept`` of every line that takes part.
 
     Lines are what ``\\n`` separates, numbered from 0; those of fewer than ``least`` characters and those of rows with a null
-    text or id take no part. Equal lines, and lines within ``edits`` of each other, directly or through others, form a class,
-    named by its first line (smallest document, then smallest number); that one is kept. ``copies`` counts a class's
-    lines. Rows that repeat an id count as one document: lines at the same place in each stand and fall together.
+    text or id take no part. With ``short``, shorter lines that are not blank form classes with their equals. Equal
+    lines, and lines within ``edits`` of each other, directly or through others, form a class, named by its first line
+    (smallest document, then smallest number); that one is kept. ``copies`` counts a class's lines. Rows that repeat an id count as one document: lines at the same place in each stand and fall together.
     Other columns do not matter.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    lines = occurrences(docs, rules.least, id_col, text_col).where("doc_id IS NOT NULL")
-    where = components(line_links(lines, rules, scratch), scratch, "components")
+    lines = occurrences(docs, rules.least, id_col, text_col, rules.short).where("doc_id IS NOT NULL")
+    compared = lines.where(F.char_length("line") >= rules.least) if rules.short else lines
+    where = components(line_links(compared, rules, scratch), scratch, "components")
     every = lines.select("doc_id", "line_no", F.char_length("line").cast("long").alias("n_chars"), line_key("line").alias("id"))
     every = every.join(where, F.col("id") == F.col("node"), "left")
     every = scratch.keep(every.select("doc_id", "line_no", "n_chars", F.coalesce("component", "id").alias("class")), "lines")
@@ -341,7 +350,7 @@ def without_copies(docs: DataFrame, rules: LineRules = LineRules(), scratch: Scr
     rows = rows.join(gone, F.col("row.doc_id") == F.col("doc_id"), "left")
     text = F.array_join(F.filter(F.split("row.text", "\n", -1), lambda line, i: ~F.array_contains("gone", i)), "\n")
     rows = rows.withColumn("left", F.when(F.col("gone").isNotNull(), text))
-    rows = rows.where(F.col("gone").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    rows = rows.where(F.col("gone").isNull() | F.col("left").rlike(_WORD))
     new = {"text": F.col("left"), "n_chars": F.char_length("left").cast("long")}
     cells = [F.when(F.col("gone").isNotNull(), new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`")
              for c in docs.columns]

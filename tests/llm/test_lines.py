@@ -105,6 +105,16 @@ def test_very_long_lines_and_empty_tables(docs):
     assert without_copies(docs([])).collect() == []
 
 
+def test_short_lines_as_exact_copies(docs):
+    one, near = "a line that is long enough", "a line that is long enough!"
+    rows = [(1, f"Les.\n{one}\nOf, edti oner.\n\n  "), (2, f"Les.\n{near}\nLes!\n\n  "), (3, "Of, edti oner.\nLes."), (4, None), (None, "Les.")]
+    short = LineRules(short=True)
+    found = got(line_classes(docs(rows), short))
+    assert found == {(1, 0): ((1, 0), True), (1, 1): ((1, 1), True), (1, 2): ((1, 2), True), (2, 0): ((1, 0), False), (2, 1): ((1, 1), False),
+                     (2, 2): ((2, 2), True), (3, 0): ((1, 2), False), (3, 1): ((1, 0), False)}
+    assert {r.doc_id: r.text for r in without_copies(docs(rows), short).collect()} == {1: rows[0][1], 2: "Les!\n\n  ", 4: None, None: "Les."}
+
+
 def test_stage_keeps_columns_and_drops_whole_copies(spark):
     one, two = "a line that is long enough", "another line that is long enough"
     rows = spark.createDataFrame([(1, f"{one}\nshort\n{two}", 65, "x"), (2, f"{one}\nshort", 32, "y"), (3, f"{two}!\n  ", 36, "z"), (4, None, None, "n"),
