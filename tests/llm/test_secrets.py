@@ -4,6 +4,9 @@ import base64
 import hashlib
 import random
 import re
+import string
+
+import pytest
 
 from rosterlift.llm import queries
 from rosterlift.llm.secrets import masked, secret_spans
@@ -57,6 +60,22 @@ def test_battery_tells_random_strings_from_writing(docs):
     assert sum(i >= len(keys) for i in hits) <= 0.02 * len(keys)
 
 
+@pytest.mark.parametrize(("length", "least"), [(20, 0.5), (24, 0.8), (28, 0.9), (32, 0.9)])
+def test_short_keys(docs, length, least):
+    rng = random.Random(length)
+    signs = string.ascii_letters + string.digits + "+/"
+    keys = ["".join(rng.choice(signs) for _ in range(length)) for _ in range(60)]
+    words = "the order was sent to your house on Monday with Another letter about some value 2024 id 17 main index".split()
+    writing = []
+    while len(writing) < 540:
+        name = rng.choice([rng.choice("-_/").join, lambda w: "".join(x.title() for x in w), "".join])
+        writing.append(name([rng.choice(words) for _ in range(12)])[:length])
+    rows = [(i, f"text before {s} text after") for i, s in enumerate(keys + writing)]
+    hits = {r.doc_id for r in secret_spans(docs(rows)).collect() if r.random}
+    assert sum(i < len(keys) for i in hits) >= least * len(keys)
+    assert sum(i >= len(keys) for i in hits) <= 0.05 * len(keys)
+
+
 def test_masking(spark):
     rows = spark.createDataFrame([(1, "x token=abcdefgh y " + "a0" * 16, 3, "k"), (1, "clean", 5, "k"), (2, None, None, None),
                                   (None, "token=" + "0f" * 20, 1, "n"), (None, "token=" + "0f" * 20, 1, "n")],
