@@ -39,13 +39,16 @@ class LineRules:
 _WORD = r"[^\x20\x09-\x0D]"
 
 
-def occurrences(docs: DataFrame, least: int, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+def occurrences(docs: DataFrame, least: int, id_col: str = "doc_id", text_col: str = "text", short: bool = False,
+                own: list[str] | None = None) -> DataFrame:
     """``doc_id, line_no, line`` of every line of ``least`` characters or more; lines are what ``\\n`` separates, from 0.
 
-    ``short``: and of shorter ones that are not blank.
+    ``short``: and of shorter ones that are not blank. ``own`` may add ``text_key``, the hash of the whole text.
     """
+    own = own or []
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    rows = rows.withColumn("text_key", F.xxhash64("text")) if own else rows
+    rows = rows.select("doc_id", *own, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     long = F.char_length("line") >= least
     return rows.where(long | F.col("line").rlike(_WORD) if short else long)
 
@@ -323,31 +326,37 @@ def line_classes(docs: DataFrame, rules: LineRules = LineRules(), id_col: str =
     (smallest document, then smallest number); that one is kept. ``copies`` counts a class's lines. Rows that repeat an id count as one document: lines at the same place in each stand and fall together.
     Other columns do not matter.
     """
-    scratch = scratch or Scratch(docs.sparkSession)
-    lines = occurrences(docs, rules.least, id_col, text_col, rules.short).where("doc_id IS NOT NULL")
+    return _classed(docs, rules, id_col, text_col, scratch or Scratch(docs.sparkSession))
+
+
+def _classed(docs: DataFrame, rules: LineRules, id_col: str, text_col: str, scratch: Scratch, by_text: bool = False) -> DataFrame:
+    """As ``line_classes``. ``by_text``: with ``text_key``, the hash of the text that the line stands in."""
+    own = ["text_key"] if by_text else []
+    lines = occurrences(docs, rules.least, id_col, text_col, rules.short, own).where("doc_id IS NOT NULL")
     compared = lines.where(F.char_length("line") >= rules.least) if rules.short else lines
     where = components(line_links(compared, rules, scratch), scratch, "components")
-    every = lines.select("doc_id", "line_no", F.char_length("line").cast("long").alias("n_chars"), line_key("line").alias("id"))
+    every = lines.select("doc_id", *own, "line_no", F.char_length("line").cast("long").alias("n_chars"), line_key("line").alias("id"))
     every = every.join(where, F.col("id") == F.col("node"), "left")
-    every = scratch.keep(every.select("doc_id", "line_no", "n_chars", F.coalesce("component", "id").alias("class")), "lines")
+    every = scratch.keep(every.select("doc_id", *own, "line_no", "n_chars", F.coalesce("component", "id").alias("class")), "lines")
     firsts = every.groupBy(F.struct("class").alias("k")).agg(F.min(F.struct("doc_id", "line_no")).alias("first"),
                                                              F.count(F.lit(1)).alias("copies"))
     firsts = firsts.select(F.col("k.class").alias("class"), F.col("first.doc_id").alias("class_doc"), F.col("first.line_no").alias("class_line"), "copies")
     kept = (F.col("doc_id") == F.col("class_doc")) & (F.col("line_no") == F.col("class_line"))
-    return every.join(firsts, "class").select("doc_id", "line_no", "n_chars", "class_doc", "class_line", "copies", kept.alias("kept"))
+    return every.join(firsts, "class").select("doc_id", *own, "line_no", "n_chars", "class_doc", "class_line", "copies", kept.alias("kept"))
 
 
 def without_copies(docs: DataFrame, rules: LineRules = LineRules(), scratch: Scratch | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) without the lines that ``line_classes`` does not keep.
 
     Documents of which no line that has a word stays, because all were copies, go; others keep all their columns, and
-    n_chars, if they have it, counts the new text. Documents that lose nothing are as they were.
+    n_chars, if they have it, counts the new text. Documents that lose nothing are as they were. Rows that repeat an id
+    lose the copies in their own texts only.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    gone = line_classes(docs, rules, scratch=scratch).where("NOT kept").groupBy("doc_id")
+    gone = _classed(docs, rules, "doc_id", "text", scratch, by_text=True).where("NOT kept").groupBy("doc_id", "text_key")
     gone = gone.agg(F.collect_set("line_no").alias("gone"))  # at most a document's own lines
     rows = docs.select(F.struct("*").alias("row"))
-    rows = rows.join(gone, F.col("row.doc_id") == F.col("doc_id"), "left")
+    rows = rows.join(gone, (F.col("row.doc_id") == F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_key")), "left")
     text = F.array_join(F.filter(F.split("row.text", "\n", -1), lambda line, i: ~F.array_contains("gone", i)), "\n")
     rows = rows.withColumn("left", F.when(F.col("gone").isNotNull(), text))
     rows = rows.where(F.col("gone").isNull() | F.col("left").rlike(_WORD))

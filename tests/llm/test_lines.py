@@ -115,6 +115,12 @@ def test_short_lines_as_exact_copies(docs):
     assert {r.doc_id: r.text for r in without_copies(docs(rows), short).collect()} == {1: rows[0][1], 2: "Les!\n\n  ", 4: None, None: "Les."}
 
 
+def test_stage_keeps_what_another_row_of_the_id_lost(docs):
+    one, two, three = "a line that is long enough", "another line that is long enough", "nothing like what stands elsewhere"
+    rows = [(1, one), (2, f"{one}\n{two}"), (2, f"{three}\nshort"), (2, f"{three}\nshort")]
+    assert sorted((r.doc_id, r.text) for r in without_copies(docs(rows)).collect()) == [(1, one), (2, two), *[(2, f"{three}\nshort")] * 2]
+
+
 def test_stage_keeps_columns_and_drops_whole_copies(spark):
     one, two = "a line that is long enough", "another line that is long enough"
     rows = spark.createDataFrame([(1, f"{one}\nshort\n{two}", 65, "x"), (2, f"{one}\nshort", 32, "y"), (3, f"{two}!\n  ", 36, "z"), (4, None, None, "n"),
