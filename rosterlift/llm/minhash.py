@@ -173,7 +173,7 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
         # few pivots are left to compare with the common one's.
         order = Window.partitionBy("value").orderBy(F.desc("own") if turn == 2 else F.col("own"), F.desc("weight"), "class")
         few = _FIRST if turn <= 2 else many
-        left = scratch.keep(left.withColumn("turn", F.row_number().over(order)), f"left-{turn}", few=True)
+        left = scratch.keep(left.withColumn("turn", F.row_number().over(order)), f"left-{turn}")
         scratch.drop(f"left-{turn - 1}")
         scratch.release()
         if left.isEmpty():
@@ -191,9 +191,9 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
         pairs = pairs.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.keep(pairs, f"pairs-{turn}", few=True)
+        pairs = scratch.keep(pairs, f"pairs-{turn}")
         tested = pairs if tested is None else tested.union(pairs)
-        found = scratch.keep(_confirmed(pairs, sets, p), f"links-{turn}", few=True)
+        found = scratch.keep(_confirmed(pairs, sets, p), f"links-{turn}")
         if turn == 1 or not found.isEmpty():
             links = found if links is None else links.union(found)
             where = components(links, scratch, f"components-{turn}")
@@ -229,13 +229,13 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_co
     every = scratch.keep(every, "sketched")
     known = every.where("class IS NOT NULL AND doc_id IS NOT NULL")
     classes = known.groupBy("class").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-    classes = scratch.keep(classes, "classes", few=True)
-    lists = scratch.keep(_listed(classes, p), "lists", few=True)
+    classes = scratch.keep(classes, "classes")
+    lists = scratch.keep(_listed(classes, p), "lists")
     # Full sets only of the classes that some list holds, from the text of one document each.
     needed = lists.select("class", "node").distinct()
     one = texts.join(needed.select(F.col("node").alias("doc_id"), "class"), "doc_id")
     sets = one.select("class", "text").mapInArrow(_full_sets(p.shingle), "class binary, n long, shingles array<long>, bits array<long>, doubled long")
-    sets = scratch.keep(sets, "sets", few=True)
+    sets = scratch.keep(sets, "sets")
     where = _linked(lists, sets, p, scratch)
     of_class = classes.select("class", "node")
     if where is not None:
@@ -243,7 +243,7 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_co
         of_class = of_class.select("class", F.coalesce("component", "node").alias("component_id"))
     else:
         of_class = of_class.withColumnRenamed("node", "component_id")
-    of_class = scratch.keep(of_class, "of-class", few=True)
+    of_class = scratch.keep(of_class, "of-class")
     linked = every.drop("sketch").join(of_class, "class", "left")
     linked = linked.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     kept = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))

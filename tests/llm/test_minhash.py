@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from rosterlift.llm import queries
+from rosterlift.llm._store import Scratch
 from rosterlift.llm._text import chunks, lower, shingle_hashes, span_hashes, words
 from rosterlift.llm.minhash import NearDuplicates, near_duplicates, one_of_each
 
@@ -75,6 +76,19 @@ def test_empty_tables_nulls_and_repeated_rows(docs):
         [(0, 2, None, True), (1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 0, 3, True)], key=str)
 
 
+def test_only_component_steps_are_written_in_few_tasks(docs, monkeypatch):
+    few, keep = {}, Scratch.keep
+
+    def noted(self, df, name, few_=False, **kw):
+        few[name.split("-")[0]] = kw.get("few", few_)
+        return keep(self, df, name, kw.get("few", few_))
+    monkeypatch.setattr(Scratch, "keep", noted)
+    text = " ".join(f"w{i}" for i in range(60))
+    near_duplicates(docs([(1, text), (2, text + " more"), (3, "other words altogether here")])).collect()
+    assert {"classes", "lists", "sets", "pairs", "links", "components"} <= set(few)
+    assert {name for name, small in few.items() if small} <= {"components"}
+
+
 def test_stage_keeps_one_row_of_each_and_all_columns(spark):
     rows = spark.createDataFrame([(1, "a b c d e f", 7, "x"), (1, "a b c d e f", 7, "x"), (1, "", 1, "z"), (2, "a b c d e f", 8, "y"),
                                   (None, "a b c d e f", 9, "n"), (5, None, 3, None)], "doc_id long, text string, class int, kept string")
