@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from ._store import Scratch
 from .ann import nearest
+from .binpack import packed_fullest
 from .bpe import encode_decode
 from .chat import formatted, read_back
+from .collocations import collocations
 from .lines import line_classes
 from .lm import language_scores
 from .minhash import NearDuplicates, near_duplicates
 from .packing import packed
 from .quality import judged
+from .repair import repaired
 from .secrets import KINDS, listed, secret_spans
 from .wordpiece import token_counts
 
@@ -94,3 +97,32 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_classes(_table(spark, folder, "documents"))
+
+
+@query
+def op11_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packed_fullest(_table(spark, folder, "documents"), path, keep_ids=False).drop("ids")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults: a row's number, by its checksum, says whether it goes, loses its text or marks, comes twice or
+    turns into a user's."""
+    said = turns.select("conv_id", "turn", *(F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")))
+    written = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    said = said.withColumn("fault", F.crc32(F.concat_ws(":", *written)) % 20).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    times = F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return said.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+@query
+def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations")
+    return repaired(damaged(turns), turns)
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(_table(spark, folder, "documents"))
