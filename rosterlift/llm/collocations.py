@@ -11,6 +11,7 @@ are routed by their third word too, and their counts added up afterwards.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,42 +40,99 @@ class Collocations:
     least: int = 10  # occurrences of a candidate
     inside: int = 50  # a candidate goes if a longer one around it has this many per cent of its occurrences
     first: int = 2000  # phrases reported of each language
-    group_bytes: int = 8 << 20  # text whose suffixes make up a group
+    group_bytes: int = 6 << 20  # text whose suffixes make up a group
     sample_rows: int = 4000  # texts looked at for common leading words
     common: float = 1 / 512  # the share of suffixes that makes leading words common
 
 
-def _suffixes(column: pa.Array, langs: pa.Array):
-    """For pieces of some texts: the bytes, each word's start and end, text number, hash and whether it continues its piece."""
-    codes = langs.dictionary_encode()
-    seeds = np.array([span_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x.encode())]))[0]
-                      for x in codes.dictionary.to_pylist()], np.uint64)
-    of_text = codes.indices.to_numpy()
-    for texts in chunks(column, _CHUNK_BYTES):
-        data = lower(texts.data)
-        edge = np.zeros(len(data) + 1, bool)
-        edge[texts.offsets] = True
-        inside = ~_GAP[data]
-        start, end = inside.copy(), inside.copy()
-        start[1:] &= ~inside[:-1] | edge[1:len(data)]
-        end[:-1] &= ~inside[1:] | edge[1:len(data)]
-        start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
-        if not len(start):
-            continue
-        text = np.searchsorted(texts.offsets, start, "right") - 1
-        breaks = np.concatenate([[0], np.cumsum(_BREAK[data])])[start]
-        goes_on = np.zeros(len(start), bool)
-        goes_on[1:] = (text[1:] == text[:-1]) & (breaks[1:] == breaks[:-1])
-        lang = of_text[texts.first + text]
-        h = mix(span_hashes(data, start, end) ^ (seeds[lang] * _SEED)) | U(1)  # 0 stands for no word
-        yield data, start, end, lang, h, goes_on
-
-
-def _following(h: np.ndarray, goes_on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class _Words:
+    """The words of some texts in a row; ``goes_on``: the word before is in the same piece."""
+
+    data: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    lang: np.ndarray
+    hash: np.ndarray
+    goes_on: np.ndarray
+
+
+class _Reader:
+    """Words of Arrow batches (lang, text), in slices of bounded size; languages get numbers as they come."""
+
+    def __init__(self) -> None:
+        self.langs: dict[str, int] = {}
+        self.seeds = np.zeros(0, np.uint64)
+
+    def _numbers(self, langs: pa.Array) -> np.ndarray:
+        codes = langs.dictionary_encode()
+        for name in codes.dictionary.to_pylist():
+            if name not in self.langs:
+                self.langs[name] = len(self.langs)
+                raw = np.frombuffer(name.encode(), np.uint8)
+                self.seeds = np.append(self.seeds, span_hashes(raw, np.array([0]), np.array([len(raw)])) * _SEED)
+        to = np.array([self.langs[name] for name in codes.dictionary.to_pylist()], np.int64)
+        return to[codes.indices.to_numpy()]
+
+    def pieces(self, batch: pa.RecordBatch) -> Iterator[_Words]:
+        of_text = self._numbers(batch.column(0))
+        for texts in chunks(batch.column(1), _CHUNK_BYTES):
+            data = lower(texts.data)
+            edge = np.zeros(len(data) + 1, bool)
+            edge[texts.offsets] = True
+            inside = ~_GAP[data]
+            start, end = inside.copy(), inside.copy()
+            start[1:] &= ~inside[:-1] | edge[1:len(data)]
+            end[:-1] &= ~inside[1:] | edge[1:len(data)]
+            start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
+            if not len(start):
+                continue
+            text = np.searchsorted(texts.offsets, start, "right") - 1
+            breaks = np.concatenate([[0], np.cumsum(_BREAK[data])])[start]
+            goes_on = np.zeros(len(start), bool)
+            goes_on[1:] = (text[1:] == text[:-1]) & (breaks[1:] == breaks[:-1])
+            lang = of_text[texts.first + text]
+            h = mix(span_hashes(data, start, end) ^ self.seeds[lang]) | U(1)  # 0 stands for no word
+            yield _Words(data, start, end, lang, h, goes_on)
+
+    def slices(self, batches) -> Iterator[tuple[_Words, int]]:
+        """Some words at a time, and how many of them begin a suffix of this slice; the last ones may only follow."""
+        held, n = [], 0
+        for batch in batches:
+            for piece in self.pieces(batch):
+                held.append(piece)
+                n += len(piece.hash)
+                if n >= _SLICE:
+                    yield from self._cut(held)
+                    held, n = [], 0
+        if held:
+            yield from self._cut(held)
+
+    @staticmethod
+    def _cut(held: list[_Words]) -> Iterator[tuple[_Words, int]]:
+        shift = np.cumsum([0] + [len(w.data) for w in held])
+        data, lang, h, goes_on = (np.concatenate([getattr(w, name) for w in held]) for name in ("data", "lang", "hash", "goes_on"))
+        start, end = (np.concatenate([getattr(w, name) + s for w, s in zip(held, shift, strict=False)]) for name in ("start", "end"))
+        held.clear()
+        for a in range(0, len(h), _SLICE):
+            b = slice(a, a + _SLICE + 2)
+            yield _Words(data, start[b], end[b], lang[b], h[b], goes_on[b]), min(_SLICE, len(h) - a)
+
+
+def _numbered(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in order, a place of each, and every hash's number among them, from 1."""
+    order = np.argsort(h)
+    begin = _runs(h[order])
+    number = np.empty(len(h), np.int64)
+    number[order] = np.repeat(np.arange(1, len(begin) + 1), np.diff(np.append(begin, len(h))))
+    return h[order[begin]], order[begin], number
+
+
+def _following(key: np.ndarray, goes_on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The second and third word of each suffix, 0 where its piece has no more."""
-    second, third = np.zeros_like(h), np.zeros_like(h)
-    second[:-1] = np.where(goes_on[1:], h[1:], U(0))
-    third[:-1] = np.where(goes_on[1:], second[1:], U(0))
+    second, third = np.zeros_like(key), np.zeros_like(key)
+    second[:-1] = np.where(goes_on[1:], key[1:], 0)
+    third[:-1] = np.where(goes_on[1:], second[1:], 0)
     return second, third
 
 
@@ -116,91 +174,60 @@ def unpacked_suffixes(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return np.repeat(np.repeat(first, per_one), per_two), np.repeat(second, per_two), third, weight.astype(np.int64)
 
 
-_ROUTED = "lang string, word binary, hash long, n long, route int, suffixes binary"
-_TYPES = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-_NAMES = [x.split()[0] for x in _ROUTED.split(", ")]
-
-
-def _batch(**columns) -> pa.RecordBatch:
-    n = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays([pa.array(columns.get(name, [None] * n), t) for name, t in zip(_NAMES, _TYPES, strict=True)], _NAMES)
-
-
-def _sorted_slice(first, second, third, groups: int, common: np.ndarray):
-    """Routed rows of some suffixes, equal ones once."""
-    words, number = np.unique(np.concatenate([first, second, third]), return_inverse=True)
-    n = len(first)
-    number = number.astype(np.int64)
-    key, weight = np.unique(number[:n] << 42 | number[n:2 * n] << 21 | number[2 * n:], return_counts=True)
-    first, second, third = words[key >> 42], words[key >> 21 & 0x1FFFFF], words[key & 0x1FFFFF]
-    to = route(first, second, third, groups, common)
-    order = np.argsort(to, kind="stable")
-    to, first, second, third, weight = (x[order] for x in (to, first, second, third, weight))
-    begin = _runs(to)
-    routes, blobs = [], []
-    for a, b in zip(begin, np.append(begin[1:], len(to)), strict=True):
-        for c in range(a, b, _BLOB):
-            d = min(c + _BLOB, b)
-            routes.append(int(to[c]))
-            blobs.append(packed_suffixes(first[c:d], second[c:d], third[c:d], weight[c:d]))
-            if len(routes) == 256:
-                yield _batch(route=routes, suffixes=blobs)
-                routes, blobs = [], []
-    if routes:
-        yield _batch(route=routes, suffixes=blobs)
-
-
-def _vocabulary(parts):
-    """A row for each word of some pieces of text, with its count."""
-    h = np.concatenate([p[4] for p in parts])
-    unique, at, counts = np.unique(h, return_index=True, return_counts=True)
-    edges = np.cumsum([0] + [len(p[4]) for p in parts])
-    of = np.searchsorted(edges, at, "right") - 1
-    langs, words = [], []
-    for k, i in zip(of.tolist(), (at - edges[of]).tolist(), strict=True):
-        data, start, end, names = parts[k][0], parts[k][1], parts[k][2], parts[k][6]
-        words.append(data[start[i]:end[i]].tobytes())
-        langs.append(names[parts[k][3][i]])
-    for a in range(0, len(words), 20_000):
-        b = slice(a, a + 20_000)
-        yield _batch(lang=langs[b], word=words[b], hash=unique[b].view(np.int64), n=counts[b])
+_WORDS = "lang string, word binary, hash long, n long"
+_ROUTED = "route long, suffixes binary"
+
+
+def _vocabulary(batches):
+    """A row for each word of a slice, with its count."""
+    reader = _Reader()
+    for words, n in reader.slices(batches):
+        found, at, number = _numbered(words.hash[:n])
+        start, size = words.start[at], words.end[at] - words.start[at]
+        names = pa.array(list(reader.langs))
+        for a in range(0, len(found), 20_000):
+            b = slice(a, a + 20_000)
+            offsets = np.concatenate([[0], np.cumsum(size[b])])
+            spelt = words.data[np.repeat(start[b] - offsets[:-1], size[b]) + np.arange(offsets[-1])]
+            spelt = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(spelt)])
+            lang = pa.DictionaryArray.from_arrays(pa.array(words.lang[at[b]]), names).cast(pa.string())
+            counts = np.bincount(number, minlength=len(found) + 1)[1:][b]
+            yield pa.RecordBatch.from_arrays([lang, spelt.cast(pa.binary()), pa.array(found[b].view(np.int64)), pa.array(counts)],
+                                             ["lang", "word", "hash", "n"])
 
 
 def _emit(groups: int, common: np.ndarray):
+    """Routed suffixes of two and more words, equal ones of a slice once; single words are counted with the vocabulary."""
     def run(batches):
-        parts, held = [], 0
-
-        def flush():
-            yield from _vocabulary(parts)
-            suffixes = [(p[4], *_following(p[4], p[5])) for p in parts]
-            first, second, third = (np.concatenate(x) for x in zip(*suffixes, strict=True))
-            goes_on = second != 0  # a single word has been counted with the vocabulary
-            first, second, third = first[goes_on], second[goes_on], third[goes_on]
-            for a in range(0, len(first), _SLICE // 2):
-                b = slice(a, a + _SLICE // 2)
-                yield from _sorted_slice(first[b], second[b], third[b], groups, common)
-        for batch in batches:
-            names = batch.column(0).dictionary_encode().dictionary.to_pylist()
-            for part in _suffixes(batch.column(1), batch.column(0)):
-                parts.append((*part, names))
-                held += len(part[4])
-                if held >= _SLICE:
-                    yield from flush()
-                    parts, held = [], 0
-        if parts:
-            yield from flush()
+        for words, n in _Reader().slices(batches):
+            found, _, number = _numbered(words.hash)
+            second, third = _following(number, words.goes_on)
+            key = (number << 42 | second << 21 | third)[:n][second[:n] > 0]
+            key, weight = np.unique(key, return_counts=True)
+            found = np.concatenate([[U(0)], found])
+            suffix = [found[key >> 42], found[key >> 21 & 0x1FFFFF], found[key & 0x1FFFFF]]
+            to = route(*suffix, groups, common)
+            order = np.argsort(to, kind="stable")
+            to, weight, suffix = to[order], weight[order], [x[order] for x in suffix]
+            begin = _runs(to)
+            cuts = [(c, min(c + _BLOB, b)) for a, b in zip(begin, np.append(begin[1:], len(to)), strict=True) for c in range(a, b, _BLOB)]
+            for k in range(0, len(cuts), 256):
+                blobs = [packed_suffixes(*(x[c:d] for x in suffix), weight[c:d]) for c, d in cuts[k:k + 256]]
+                yield pa.RecordBatch.from_arrays([pa.array([int(to[c]) for c, _ in cuts[k:k + 256]], pa.int64()), pa.array(blobs, pa.binary())],
+                                                 ["route", "suffixes"])
     return run
 
 
 def _leading(batches):
-    """Leading words that make up a notable share of a sample's piece."""
+    """Leading words that make up a notable share of some texts of a sample."""
+    reader = _Reader()
     for batch in batches:
-        for _, _, _, _, h, goes_on in _suffixes(batch.column(1), batch.column(0)):
-            second, _ = _following(h, goes_on)
-            pair, n = np.unique(mix(h * U(3) + second)[second != 0], return_counts=True)
-            often = n * 4096 >= len(h)
+        for words in reader.pieces(batch):
+            second, _ = _following(words.hash, words.goes_on)
+            pair, n = np.unique(mix(words.hash * U(3) + second)[second != 0], return_counts=True)
+            often = n * 4096 >= len(words.hash)
             yield pa.RecordBatch.from_arrays([pa.array(pair[often].view(np.int64)), pa.array(n[often])], ["pair", "n"])
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([len(h)], pa.int64())], ["pair", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([len(words.hash)], pa.int64())], ["pair", "n"])
 
 
 def multikey_quicksort(keys: list[np.ndarray], weight: np.ndarray, least: int, always: np.ndarray | None = None):
@@ -296,15 +323,17 @@ def phrases(docs: DataFrame, options: Collocations = Collocations(), text_col: s
     size = texts.agg(F.sum(F.octet_length("text").cast("long")).alias("size")).first()["size"] or 0
     groups = size // options.group_bytes + 1
     common = _common_pairs(texts, options) if groups > 1 else np.zeros(0, np.uint64)
-    routed = texts.mapInArrow(_emit(groups, common), _ROUTED)
-    routed = scratch.keep(routed, "suffixes")
-    words = routed.where("route IS NULL").groupBy("lang", "word").agg(F.first("hash").alias("hash"), F.sum("n").alias("n"))
+    words = texts.mapInArrow(_vocabulary, _WORDS).groupBy("lang", "word").agg(F.first("hash").alias("hash"), F.sum("n").alias("n"))
     words = scratch.keep(words.select("lang", F.col("word").cast("string").alias("word"), "hash", "n"), "words")
-    counted = routed.where("route IS NOT NULL").select("route", "suffixes").groupBy("route").applyInArrow(
-        _count(options.least, common), _PHRASES)
+    scratch.release()
+    # Texts are read twice, so that the suffixes, which take more room than they, lie in one exchange and nowhere else.
+    routed = texts.mapInArrow(_emit(groups, common), _ROUTED)
+    counted = routed.groupBy("route").applyInArrow(_count(options.least, common), _PHRASES)
     found = counted.groupBy("first", "second", "third").agg(F.sum("n").alias("n")).where(F.col("n") >= options.least)
     third = F.when(F.col("third") != 0, F.col("third")).alias("third")
-    return words, scratch.keep(found.select("first", "second", third, "n"), "phrases")
+    found = scratch.keep(found.select("first", "second", third, "n"), "phrases")
+    scratch.release()
+    return words, found
 
 
 def _score(a: str, left: str, right: str) -> F.Column:
