@@ -20,6 +20,12 @@ def keep_first(df: DataFrame, keys: Sequence[Key], order: Sequence[Column]) -> D
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def one_per_id(df: DataFrame, row_id: str = "id", newest: str = "modified_at") -> DataFrame:
+    """One row per id, the newest; among those of one time the same one in every run. An export that repeats a row would otherwise
+    multiply all that refers to it."""
+    return keep_first(df, [row_id], [F.col(newest).desc_nulls_last(), F.xxhash64(*df.columns).asc()])
+
+
 def keep_top(df: DataFrame, keys: Sequence[Key], order: Sequence[Column], n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

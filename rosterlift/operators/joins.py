@@ -155,7 +155,8 @@ def match_id_or_external(left: DataFrame, row_id: str, own_key: Key, external_ke
 
 def survivor_key(df: DataFrame, key: str, duplicates: DataFrame, duplicate: str = "contact_id",
                  survivor: str = "candidate_id") -> DataFrame:
-    """Point rows of a duplicate person at the surviving one."""
+    """Point rows of a duplicate person at the surviving one. One link is followed: ``chains.survivors`` gives a map whose links
+    lead to the end of their chains."""
     mapping = one_per_key(duplicates, [F.col(duplicate).alias("_dup")], F.min(survivor).alias("_survivor"))
     joined = df.join(mapping, F.col(key) == F.col("_dup"), "left")
     return joined.withColumn(key, F.coalesce("_survivor", key)).drop("_dup", "_survivor")

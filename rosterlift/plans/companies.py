@@ -14,7 +14,7 @@ from ..functions.ids import uuid_from
 from ..functions.location import location_locality
 from ..functions.predicates import not_blank
 from ..functions.text import html_to_markdown, scrub
-from ..operators.dedupe import keep_first
+from ..operators.dedupe import keep_first, one_per_id
 from ..operators.joins import exists_flag, fk_map, keep_any, one_per_key, survivor_key
 
 MISSING_TITLE = "Missing Title"
@@ -23,12 +23,12 @@ MISSING_TITLE = "Missing Title"
 def build_companies(raw: DataFrame, ctx: RunContext, relationship: Column, restriction: Column,
                     placeholder: str = "Imported Contacts", scope: DataFrame | None = None) -> DataFrame:
     """raw: id, name, description, address1, address2, city, state, zip, country, headcount, added_at, modified_at,
-    and what ``relationship`` and ``restriction`` are read off."""
+    and what ``relationship`` and ``restriction`` are read off. One row per id, the newest."""
     named = raw.where(not_blank("name") & (F.col("name") != placeholder))
     if scope is not None:
         named = keep_any(named, "id", (scope, "company_id"))
     country = scrub("country")
-    return named.select(
+    return one_per_id(named).select(
         ctx.record_id("id").alias("atlas_id"), "id", "name",
         html_to_markdown("description").alias("summary"),
         relationship.alias("relationship"),

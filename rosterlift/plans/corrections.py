@@ -9,18 +9,25 @@ from ..context import RunContext
 from ..functions.dates import iso
 from ..functions.predicates import not_blank
 from ..functions.text import comma_cleanup, strip_tags
+from ..operators.chains import survivors
 from ..operators.joins import fk_map
 from ..operators.reshape import unpivot
 
 
 def merged_people(raw: DataFrame, people: DataFrame) -> DataFrame:
-    """raw: id, previous_id, email, linkedin. People the vendor merged, with the ids of both sides."""
+    """raw: id, previous_id, email, linkedin. People the vendor merged, with the ids of both sides.
+
+    ``surviving_person_id`` follows merges of the merged person to the last one (see ``survivors``).
+    """
     rows = raw.where("previous_id IS NOT NULL")
+    ends = survivors(rows, "previous_id", "id").select("previous_id", F.col("id").alias("_end"))
     rows = fk_map(rows, "previous_id", people, "atlas_id", "atlas_original_person_id")
     rows = fk_map(rows, "id", people, "atlas_id", "atlas_merge_person_id")
+    rows = fk_map(rows, "previous_id", ends, "_end", "surviving_person_id", "previous_id", default=F.col("previous_id"))
+    rows = fk_map(rows, "surviving_person_id", people, "atlas_id", "atlas_surviving_person_id")
     return rows.select(F.col("previous_id").alias("original_person_id"), F.col("id").alias("merge_person_id"),
-                       "atlas_original_person_id", "atlas_merge_person_id", F.col("linkedin").alias("linkedin_url"),
-                       "email")
+                       "atlas_original_person_id", "atlas_merge_person_id", "surviving_person_id", "atlas_surviving_person_id",
+                       F.col("linkedin").alias("linkedin_url"), "email")
 
 
 def corrected_locations(people: DataFrame, parsed: DataFrame, entered: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions.dates import iso
 from ..functions.ids import uuid_from
 from ..functions.location import street_address
 from ..functions.text import scrub, sections
-from ..operators.dedupe import filled_first, keep_first
+from ..operators.dedupe import filled_first, keep_first, one_per_id
 from ..operators.joins import exclude, fk_map, keep_any, match_any_key, one_per_key
 
 
@@ -61,8 +61,13 @@ def duplicate_people(contacts: DataFrame, client_ids: DataFrame, client_key: str
 
 def build_people(raw: DataFrame, ctx: RunContext, scope: DataFrame | None = None, duplicates: DataFrame | None = None,
                  users: DataFrame | None = None) -> DataFrame:
-    """raw: id, first_name, last_name, added_at, modified_at, address1, address2, city, state, zip, country."""
-    clean = raw.select(
+    """raw: id, first_name, last_name, added_at, modified_at, address1, address2, city, state, zip, country.
+
+    One row per id, the newest.
+    """
+    if scope is not None:
+        raw = keep_any(raw, "id", (scope, "person_id"))
+    clean = one_per_id(raw).select(
         ctx.record_id("id").alias("atlas_id"), "id", "first_name", "last_name",
         iso("modified_at").alias("updated_at"), iso("added_at").alias("created_at"),
         F.lit("regular").alias("candidate_status"), F.lit("active").alias("responsiveness"),
@@ -72,8 +77,6 @@ def build_people(raw: DataFrame, ctx: RunContext, scope: DataFrame | None = None
         F.lit(None).cast("string").alias("created_by_id"), F.lit(None).cast("string").alias("updated_by_id"),
         ctx.master().alias("created_by_atlas_id"), ctx.master().alias("updated_by_atlas_id"),
         ctx.agency().alias("agency_id"))
-    if scope is not None:
-        clean = keep_any(clean, "id", (scope, "person_id"))
     if duplicates is not None:
         clean = exclude(clean, "id", duplicates, "contact_id")
     if users is not None:

@@ -17,7 +17,7 @@ _RUNTIME = {
 }
 
 
-_stored: list[str] = []
+_stored: dict[str, DataFrame] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -44,12 +44,17 @@ def get_session(app: str = "rosterlift", master: str | None = None, **conf: str)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir``, else one inside ``spark.sql.warehouse.dir``.
+    """The folder for intermediate tables, shared by the driver and all executors: ``spark.checkpoint.dir``.
 
-    Both are shared by the driver and all executors; nothing is ever put in a machine's own temporary folder.
+    Where that is unset, a local session takes a folder inside ``spark.sql.warehouse.dir``; a cluster has to name one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    settings = spark.sparkContext.getConf()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or settings.get("spark.checkpoint.dir")
+    if shared:
+        return shared
+    if not (settings.get("spark.master") or "local").startswith("local") and not settings.get("spark.sql.warehouse.dir"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -59,12 +64,24 @@ def durable(df: DataFrame) -> DataFrame:
     """
     path = f"{scratch_root(df.sparkSession)}/durable-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _stored.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    _stored[path] = stored
+    return stored
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def forget(stored: DataFrame) -> None:
+    """Delete a relation of ``durable`` that nothing will read any more."""
+    for path in [p for p, df in _stored.items() if df is stored]:
+        del _stored[path]
+        _delete(stored.sparkSession, path)
 
 
 def discard_durables(spark: SparkSession) -> None:
     """Delete all that ``durable`` has stored. Call it once the results of the run are written."""
     while _stored:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _stored.popitem()[0])

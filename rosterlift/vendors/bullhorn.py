@@ -13,6 +13,7 @@ from ..functions.codes import code_groups, code_map, country_name
 from ..functions.dates import iso
 from ..functions.predicates import not_blank
 from ..functions.text import label_slug, strip_tags
+from ..operators.chains import survivors
 from ..operators.history import outcome, project_state
 from ..operators.joins import fk_map, keep_any
 from ..operators.reshape import explode_list, union_all
@@ -182,7 +183,7 @@ def tables(read: Callable[[str], DataFrame], ctx: RunContext, out: Outputs, prio
     seen = [(read("bh_usercomment"), "userid"), (read("bh_client"), "userid")]
     people_scope = out.add("people_to_import", import_scope(user_ids, "id", seen, "person_id"))
     companies_scope = out.add("companies_to_import", company_scope(read))
-    dupes = out.add("people_dupes", duplicate_people(LINKED.read(read), read("bh_client"), "userid"))
+    dupes = out.add("people_dupes", survivors(duplicate_people(LINKED.read(read), read("bh_client"), "userid")).drop("in_cycle"))
 
     users = out.add("users", build_users(USERS.read(read), ctx, prior_users))
     people = out.add("people", build_people(

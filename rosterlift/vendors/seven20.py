@@ -15,6 +15,7 @@ from ..functions.ids import uuid_from
 from ..functions.location import location_locality
 from ..functions.predicates import not_blank
 from ..functions.text import CRLF, clean_html, scrub, sections, strip_tags
+from ..operators.chains import survivors
 from ..operators.dedupe import keep_first
 from ..operators.joins import exclude, exists_flag, fk_map, lookup_by_text, one_per_key, survivor_key
 from ..operators.reshape import union_all, unpivot
@@ -271,7 +272,8 @@ def candidates(read: Read, projects: DataFrame, people: DataFrame, users: DataFr
 
 def tables(read: Read, ctx: RunContext, out: Outputs, prior_users: DataFrame | None = None) -> None:
     linked = read("contact").where("seven20__related_candidate__c IS NOT NULL")
-    dupes = out.add("people_dupes", linked.select(F.col("id").alias("contact_id"), F.col("seven20__related_candidate__c").alias("candidate_id")))
+    dupes = out.add("people_dupes", survivors(
+        linked.select(F.col("id").alias("contact_id"), F.col("seven20__related_candidate__c").alias("candidate_id"))).drop("in_cycle"))
     staff = out.add("users", users(read, ctx, prior_users))
     ours, firms = out.add("people", people(read, dupes, staff, ctx)), out.add("companies", companies(read, ctx))
     contacts = out.add("company_contacts", company_contacts(read, ours, firms, dupes, ctx))

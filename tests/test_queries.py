@@ -25,7 +25,7 @@ def duck():
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() & ORACLE.keys()))  # the others have brute-force tests
 def test_query_agrees_with_its_sql(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])

@@ -82,3 +82,11 @@ def test_shared_folder(settings, root):
 def test_missing_table_raises(spark, tmp_path):
     with pytest.raises(Exception):
         TableReader(spark, str(tmp_path))("nothing")
+
+
+def test_a_cluster_has_to_name_its_shared_folder():
+    from types import SimpleNamespace as namespace
+    settings = {"spark.master": "spark://host:7077"}
+    spark = namespace(conf=namespace(get=lambda key, default=None: default), sparkContext=namespace(getConf=lambda: settings))
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_root(spark)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rosterlift.functions.codes import code_groups, code_map
 from rosterlift.functions.dates import iso
-from rosterlift.operators import reshape
+from rosterlift.operators import chains, joins, reshape
 from rosterlift.operators.history import outcome, project_state
 from rosterlift.plans import (attributes, candidates, career, companies, corrections, fees, files, identities, notes,
                               opportunities, people, projects, salaries)
@@ -77,6 +77,43 @@ def _(t: Tables):
     return people.duplicate_people(t.contacts, t.orders, "o_custkey")
 
 
+def d_survivors(links: str, duplicate: str, survivor: str) -> str:
+    """The end of each duplicate's chain of links, by walking it; the smallest member of a cycle ends it."""
+    return f"""(WITH RECURSIVE one AS (SELECT {duplicate} AS id, min({survivor}) AS nxt FROM {links} WHERE {duplicate} <> {survivor} GROUP BY {duplicate}),
+walk AS (SELECT id, nxt AS here, [id] AS path FROM one
+  UNION ALL SELECT w.id, o.nxt, list_append(w.path, w.here) FROM walk w JOIN one o ON o.id = w.here WHERE NOT list_contains(w.path, w.here)),
+ended AS (SELECT id, list_contains(path, here) AS in_cycle,
+  CASE WHEN list_contains(path, here) THEN list_min(path[list_position(path, here):]) ELSE here END AS last FROM walk
+  WHERE list_contains(path, here) OR here NOT IN (SELECT id FROM one))
+SELECT id AS {duplicate}, last AS {survivor}, in_cycle FROM ended WHERE id <> last)"""
+
+
+# Chains of five links, cycles of four with two rows leading into them, and one survivor that many rows share.
+_MERGES = ("(SELECT c_custkey AS contact_id, CASE WHEN c_custkey % 30 BETWEEN 1 AND 5 OR c_custkey % 30 BETWEEN 11 AND 15 THEN c_custkey - 1 "
+           "WHEN c_custkey % 30 = 10 THEN c_custkey + 3 WHEN c_custkey % 30 >= 20 THEN 5 END AS candidate_id, c_name AS email FROM customer)")
+
+
+def _merges(t: Tables):
+    link = _MERGES.removeprefix("(SELECT c_custkey AS contact_id, ").removesuffix(" AS candidate_id, c_name AS email FROM customer)")
+    return t.customer.selectExpr("c_custkey AS contact_id", f"{link} AS candidate_id", "c_name AS email")
+
+
+@query("e03_survivor_chains", f"SELECT * FROM {d_survivors(_MERGES, 'contact_id', 'candidate_id')}")
+def _(t: Tables):
+    return chains.survivors(_merges(t))
+
+
+@query("e03_people_of_chains", f"""
+SELECT o.o_orderkey AS id, coalesce(s.candidate_id, o.o_custkey) AS person_id FROM orders o
+LEFT JOIN {d_survivors(_MERGES, 'contact_id', 'candidate_id')} s ON s.contact_id = o.o_custkey""")
+def _(t: Tables):
+    ends = chains.survivors(_merges(t))
+    rows = joins.survivor_key(t.orders.selectExpr("o_orderkey AS id", "o_custkey AS person_id"), "person_id", ends)
+    # Nobody is lost: survivors are what is left of the people once the duplicates are excluded.
+    left = joins.exclude(t.customer.selectExpr("c_custkey AS id"), "id", ends, "contact_id", unique=True)
+    return joins.drop_orphans(rows, "person_id", left)
+
+
 _STREET = f"CASE WHEN nullif(a1, '') IS NOT NULL AND nullif(a2, '') IS NOT NULL THEN a1 || ', ' || a2 WHEN nullif(a1, '') IS NOT NULL THEN a1 WHEN nullif(a2, '') IS NOT NULL THEN a2 END"
 
 
@@ -698,13 +735,26 @@ def _(t: Tables):
     return files.stored_files(t.pages.selectExpr("page_id AS id", "url AS path"))
 
 
-@query("e31_merged_people", f"""
-SELECT s.linked_id AS original_person_id, s.id AS merge_person_id, a.atlas_id AS atlas_original_person_id, b.atlas_id AS atlas_merge_person_id, s.linkedin AS linkedin_url, s.email
-FROM {CONTACTS} s LEFT JOIN {COMPANIES} a ON a.id = s.linked_id LEFT JOIN {COMPANIES} b ON b.id = s.id WHERE s.linked_id IS NOT NULL""")
+def _merged_sql(links: str) -> str:
+    return f"""
+SELECT s.contact_id AS original_person_id, s.candidate_id AS merge_person_id, a.atlas_id AS atlas_original_person_id, b.atlas_id AS atlas_merge_person_id,
+  coalesce(e.candidate_id, s.contact_id) AS surviving_person_id, c.atlas_id AS atlas_surviving_person_id, s.linkedin AS linkedin_url, s.email
+FROM {links} s LEFT JOIN {d_survivors(links, 'contact_id', 'candidate_id')} e ON e.contact_id = s.contact_id
+LEFT JOIN {COMPANIES} a ON a.id = s.contact_id LEFT JOIN {COMPANIES} b ON b.id = s.candidate_id LEFT JOIN {COMPANIES} c ON c.id = coalesce(e.candidate_id, s.contact_id)
+WHERE s.contact_id IS NOT NULL"""
+
+
+@query("e31_merged_people", _merged_sql(f"(SELECT linked_id AS contact_id, id AS candidate_id, linkedin, email FROM {CONTACTS} WHERE linked_id IS NOT NULL)"))
 def _(t: Tables):
     return corrections.merged_people(t.contacts.withColumnRenamed("linked_id", "previous_id"), t.companies)
 
 
+@query("e31_merge_chains", _merged_sql(f"(SELECT contact_id, candidate_id, email, email AS linkedin FROM {_MERGES} WHERE candidate_id IS NOT NULL)"))
+def _(t: Tables):
+    raw = _merges(t).where("candidate_id IS NOT NULL").selectExpr("contact_id AS previous_id", "candidate_id AS id", "email", "email AS linkedin")
+    return corrections.merged_people(raw, t.companies)
+
+
 _PARSED = f"(SELECT CASE WHEN id % 5 = 0 THEN -id ELSE id END AS person_id, zip AS postcode, address1 AS line1, address2 AS line2, state, country FROM {CONTACTS})"
 _ENTERED = f"(SELECT CASE WHEN id % 3 = 0 THEN id ELSE -id END AS person_id, CASE WHEN id % 2 = 0 THEN zip END AS postcode, city AS line1, NULL AS line2, city AS state, NULL AS country FROM {CONTACTS})"
 
