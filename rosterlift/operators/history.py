@@ -20,14 +20,17 @@ def latest_status(df: DataFrame, keys: Sequence[str], status: str, ts: str, even
 def prior_status(df: DataFrame, keys: Sequence[str], status: str, ts: str, event_id: str, keep: Column) -> DataFrame:
     """Per key the newest status that ``keep`` holds for, among those earlier than the key's latest time.
 
-    Moments first, so the history is read and exchanged once; a key's moments then need one grouping that remembers two.
+    Moments first, so the history is read and exchanged once. Of a key's moments the two newest that hold such a status and the two
+    newest that do not are enough to decide; all others are pruned before the shuffle, so no task sorts a whole history.
     """
     moments = df.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(
         F.max_by(F.when(keep, F.col(status)), F.when(keep, F.col(event_id))).alias("_status"), F.max(F.when(keep, 1)).alias("_kept"))
-    last = F.max(F.when(F.col("_kept") == 1, F.struct(ts, F.col("_status").alias("s"))))
-    newest = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
-    earlier = moments.withColumn("_turn", F.row_number().over(newest)).where("_turn > 1")
-    return one_per_key(earlier, [F.col(k) for k in keys], last.alias("_last")).where("_last IS NOT NULL").select(*keys, F.col("_last.s").alias(status))
+    newest = Window.partitionBy(*keys, "_kept").orderBy(F.col(ts).desc())
+    two = moments.withColumn("_turn", F.row_number().over(newest)).where("_turn <= 2")
+    kept = F.collect_list(F.when(F.col("_kept") == 1, F.struct(F.col(ts).alias("ts"), F.col("_status").alias("s"))))
+    state = one_per_key(two, [F.col(k) for k in keys], F.max(ts).alias("_latest"), kept.alias("_two"))
+    before = F.array_max(F.filter("_two", lambda m: m["ts"] < F.col("_latest")))
+    return state.withColumn("_last", before).where("_last IS NOT NULL").select(*keys, F.col("_last.s").alias(status))
 
 
 def effective_status(df: DataFrame, keys: Sequence[str], status: str, ts: str, event_id: str,

@@ -3,29 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import durable
+from .slices import SLICES, placed
 
 
-def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "position") -> DataFrame:
-    """Number the rows of each key 1..n in ``order``, which must be unique within a key.
+def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", slices: int = SLICES) -> DataFrame:
+    """Number the rows of each key 1..n by the columns ``order``, ascending with nulls last, which are unique within a key.
 
-    Rows are range-partitioned by key and order, so a large key spreads over many partitions. Each partition
-    numbers its own rows; the counts of the partitions before it (one small row per partition and key) are added.
-    The ranged rows are stored first, because range bounds are sampled and must be the same for both passes.
-    With no keys the whole relation is numbered.
+    A key's rows are numbered within slices of the order, so a large key spreads over many tasks, and the counts of the slices
+    before (one small row per slice and key) are added. Nothing is stored or run when the plan is built; the rows are
+    read twice more for their keys and order alone. With no keys the whole relation is numbered.
     """
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id())
-    ranged = durable(ranged)
-    sizes = ranged.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("_part", *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order)))
-    b, r = before.alias("b"), local.alias("r")
-    same = reduce(lambda x, y: x & y, [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("_part", *keys)])
-    position = (F.col("r._local") + F.col("b._before")).cast("int")
-    return r.join(b, same).select(*[F.col(f"r.{c}") for c in df.columns], position.alias(name))
+    rows = placed(df, keys, order, slices)
+    sizes = rows.groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_key", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    local = rows.withColumn("_local", F.row_number().over(Window.partitionBy("_key", "_slice").orderBy("_order")))
+    position = (F.col("_local") + F.col("_before")).cast("int")
+    return local.join(before, ["_key", "_slice"]).select(*df.columns, position.alias(name))

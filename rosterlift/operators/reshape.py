@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .slices import SLICES, placed
+
 
 def unpivot(df: DataFrame, keep: Sequence[str], branches: Sequence[Mapping[str, Column]]) -> DataFrame:
     """One output row per input row and branch, from a single scan.
@@ -32,15 +34,23 @@ def settings_to_columns(df: DataFrame, key: str, setting: str, value: str, names
 
 
 def ordered_text(df: DataFrame, keys: Sequence[str], order: Sequence[str], piece: Column, separator: str,
-                 name: str) -> DataFrame:
-    """The pieces of each key joined in order.
+                 name: str, slices: int = SLICES) -> DataFrame:
+    """The pieces of each key joined in order, nulls first, pieces of one place in their own order.
 
-    The result cell is the whole text of its key, so its size is that of the output; NULL pieces are skipped.
+    Pieces are joined within slices of the order first, then the slices' texts, so no task sorts a whole group; what comes
+    together for a key is one text per slice. The result cell is the whole text of its key, so its size is that of the
+    output. NULL pieces are skipped.
     """
     rows = df.withColumn("_piece", piece).where("_piece IS NOT NULL")
-    sorted_pieces = F.array_sort(F.collect_list(F.struct(*order, "_piece")))
-    text = F.array_join(F.transform(sorted_pieces, lambda p: p["_piece"]), separator)
-    return rows.groupBy(*keys).agg(text.alias(name))
+    # Nulls first, as in the sort of the pieces; a piece's first characters sort like the piece.
+    by = [x for c in order for x in (F.col(c).isNotNull(), F.col(c))] + [F.substring("_piece", 1, 32)]
+    rows = placed(rows.select(*dict.fromkeys([*keys, *order]), "_piece"), keys, by, slices)
+
+    def joined(value: Column, *by: Column | str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*by, value.alias("_text")))), lambda p: p["_text"]), separator)
+
+    parts = rows.groupBy("_key", "_slice").agg(joined(F.col("_piece"), *order).alias("_part"))
+    return parts.groupBy("_key").agg(joined(F.col("_part"), "_slice").alias(name)).select("_key.*", name)
 
 
 def union_all(*parts: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def build_custom_attributes(spark: SparkSession, attributes: Sequence[tuple[str,
 def build_attribute_options(values: DataFrame, attributes: DataFrame, ctx: RunContext) -> DataFrame:
     """values: alias, value, distinct pairs. Options numbered 1..n in value order within their attribute."""
     rows = values.join(attributes.select("alias", F.col("atlas_id").alias("atlas_attribute_id")), "alias")
-    numbered = number_within(rows, ["atlas_attribute_id"], [F.col("value").asc()])
+    numbered = number_within(rows, ["atlas_attribute_id"], ["value"])
     return numbered.select(
         F.concat_ws("_", "alias", "value").alias("id"), uuid_from(ctx.client, "alias", "value").alias("atlas_id"),
         "atlas_attribute_id", "value", "position", F.lit(ctx.midnight_iso).alias("created_at"),

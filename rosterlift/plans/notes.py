@@ -82,7 +82,7 @@ def build_linked_notes(links: Sequence[DataFrame], notes: DataFrame, people: Dat
     A note on several people becomes one row per person, numbered within the note.
     """
     pairs = union_all(*[x.select("note_id", "person_id") for x in links]).distinct()
-    numbered = number_within(pairs, ["note_id"], [F.col("person_id").asc_nulls_last()], "_n")
+    numbered = number_within(pairs, ["note_id"], ["person_id"], "_n")
     rows = numbered.join(notes.withColumnRenamed("id", "note_id"), "note_id")
     rows = _with_people(rows.where(not_blank("text")), people, users, ctx)
     return rows.select(

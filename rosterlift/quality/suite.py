@@ -96,13 +96,28 @@ def position_gaps(df: DataFrame, attribute: str, position: str) -> DataFrame:
     return spans.where("starts_at <> 1 OR n_missing > 0").select("attribute_id", "starts_at", "ends_at", "n_missing")
 
 
-def missing_positions(df: DataFrame, attribute: str, position: str) -> DataFrame:
-    """Every number missing between two held ones: (attribute_id, position)."""
-    held = (df.select(F.col(attribute).alias("attribute_id"), F.col(position).cast("int").alias("position"))
-            .where("attribute_id IS NOT NULL AND position IS NOT NULL").distinct())
-    after = F.lead("position").over(Window.partitionBy("attribute_id").orderBy("position"))
-    gaps = held.withColumn("after", after).where("after > position + 1")
-    return gaps.select("attribute_id", F.explode(F.sequence(F.col("position") + 1, F.col("after") - 1)).alias("position"))
+def missing_intervals(df: DataFrame, attribute: str, position: str) -> DataFrame:
+    """The gaps between held positions, one row each: attribute_id, first_missing, last_missing, n_missing.
+
+    Neighbours are looked for within blocks of 65,536 numbers, then between the blocks that hold any, so that the largest window has
+    the positions of one block or the blocks of one attribute.
+    """
+    held = (df.select(F.col(attribute).alias("attribute_id"), F.col(position).cast("long").alias("at"))
+            .where("attribute_id IS NOT NULL AND at IS NOT NULL").distinct().withColumn("block", F.shiftright("at", 16)))
+    inside = held.withColumn("then", F.lead("at").over(Window.partitionBy("attribute_id", "block").orderBy("at")))
+    blocks = held.groupBy("attribute_id", "block").agg(F.min("at").alias("low"), F.max("at").alias("at"))
+    across = blocks.withColumn("then", F.lead("low").over(Window.partitionBy("attribute_id").orderBy("block")))
+    steps = inside.select("attribute_id", "at", "then").union(across.select("attribute_id", "at", "then")).where("then > at + 1")
+    return steps.select("attribute_id", (F.col("at") + 1).alias("first_missing"), (F.col("then") - 1).alias("last_missing"),
+                        (F.col("then") - F.col("at") - 1).alias("n_missing"))
+
+
+def missing_positions(df: DataFrame, attribute: str, position: str, piece: int = 65536) -> DataFrame:
+    """Every number missing between two held ones: (attribute_id, position). A gap is expanded in pieces of bounded size."""
+    gaps = missing_intervals(df, attribute, position)
+    pieces = gaps.select("attribute_id", "last_missing", F.explode(F.sequence("first_missing", "last_missing", F.lit(piece).cast("long"))).alias("begin"))
+    numbers = F.sequence("begin", F.least(F.col("begin") + piece - 1, "last_missing"))
+    return pieces.select("attribute_id", F.explode(numbers).alias("position")).withColumn("position", F.col("position").cast("int"))
 
 
 def evaluate(df: DataFrame, table: str, rules: Mapping[str, Any] | None = None,

@@ -326,7 +326,7 @@ def attributes(read: Read, people: DataFrame, ctx: RunContext, out: Outputs) ->
         F.lit("person").alias("of"), F.lit("options").alias("type"), F.lit(False).alias("ai")).withColumns(day))
     entries = fk_map(read("categorylistentries"), "categorylistid", lists, "atlas_id", "atlas_attribute_id", policy="exclude").select(
         F.col("itemid").alias("id"), _id(ctx, "itemid"), "atlas_attribute_id", F.col("fileas").alias("value"), ctx.agency().alias("agency_id"))
-    numbered = number_within(entries, ["atlas_attribute_id"], [F.col("value").asc(), F.col("id").asc()])
+    numbered = number_within(entries, ["atlas_attribute_id"], ["value", "id"])
     options = out.add("custom_attribute_options", numbered.withColumns(day))
     choice = options.select("id", F.struct("atlas_attribute_id", "atlas_id").alias("o"))
     rows = fk_map(read("relation_persontocategorylistentry"), "categorylistentryid", choice, "o", "_o", policy="exclude")

@@ -140,7 +140,7 @@ def company_contacts(read: Read, people: DataFrame, companies: DataFrame, ctx: R
 def company_notes(read: Read, companies: DataFrame, users: DataFrame, ctx: RunContext) -> DataFrame:
     """A note on several companies becomes one row per company, numbered within the note."""
     links = read("companynote").select("noteid", F.col("companyid").alias("company_id")).distinct()
-    numbered = number_within(links, ["noteid"], [F.col("company_id").asc_nulls_last()], "_n")
+    numbered = number_within(links, ["noteid"], ["company_id"], "_n")
     texts = _live(read, "note").select("noteid", clean_html("text").alias("text"), *_stamps("seconds"),
                                        F.col("createdbyuserid").alias("created_by_id"), F.col("updatedbyuserid").alias("updated_by_id"))
     rows = numbered.join(texts, "noteid").where(not_blank("text"))

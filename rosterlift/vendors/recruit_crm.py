@@ -256,7 +256,7 @@ def custom_attribute_options(read: Read, attributes: DataFrame, ctx: RunContext)
                   policy="exclude")
     rows = rows.select(F.col("hotlist_id").alias("id"), _id(ctx, "hotlist_id"), "atlas_attribute_id",
                        F.col("name").alias("value"))
-    numbered = number_within(rows, ["atlas_attribute_id"], [F.col("value").asc(), F.col("id").asc()])
+    numbered = number_within(rows, ["atlas_attribute_id"], ["value", "id"])
     return numbered.withColumns({"created_at": F.lit(ctx.midnight_iso), "updated_at": F.lit(ctx.midnight_iso),
                                  "agency_id": ctx.agency()})
 

@@ -283,7 +283,7 @@ def talent_pools(read: Read, ctx: RunContext) -> tuple[DataFrame, DataFrame]:
     attribute = groups.sparkSession.range(1).select(
         F.lit("1").alias("id"), pool.alias("atlas_id"), F.lit(POOL).alias("name"), F.lit(True).alias("multiple_values"),
         F.lit("person").alias("of"), F.lit(False).alias("ai"), F.lit("options").alias("type")).withColumns(day)
-    options = number_within(groups, [], [F.col("value").asc(), F.col("id").asc()]).withColumns({
+    options = number_within(groups, [], ["value", "id"]).withColumns({
         "atlas_attribute_id": pool, "atlas_id": uuid_from(ctx.client, F.lit("atlas_attribute_id"), F.lit(ctx.agency_id), "id"), **day})
     return attribute, options
 

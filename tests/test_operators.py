@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlift.operators import dedupe, history, joins, numbering, reshape
+from rosterlift.operators import chains, dedupe, history, joins, numbering, reshape, slices
 
 
 def rows(df, *order):
@@ -32,7 +32,7 @@ def test_numbering_equals_brute_force_with_a_hot_key(spark, keys):
     rng = random.Random(3)
     data = [("hot" if i % 3 == 0 else rng.choice(["a", "b", None]), i) for i in rng.sample(range(100_000), 6000)]
     df = spark.createDataFrame(data, "k string, v int").repartition(7)
-    got = {(r.k, r.v): r.position for r in numbering.number_within(df, keys, [F.col("v").asc()]).collect()}
+    got = {(r.k, r.v): r.position for r in numbering.number_within(df, keys, ["v"]).collect()}
     seen: dict = {}
     for k, v in sorted(data, key=lambda x: x[1]):
         group = k if keys else ""
@@ -150,3 +150,92 @@ def test_a_constant_relation_has_one_row(spark):
     for rows in ([("x", 1), ("y", 2)], []):
         with pytest.raises(Exception, match="has to have one row"):
             joins.with_constant(df, spark.createDataFrame(rows, "a string, b int")).collect()
+
+
+def ends_of(links):
+    """The end of each chain by walking it, in plain Python."""
+    step = {}
+    for a, b in links:
+        if a is not None and b is not None and a != b:
+            step[a] = min(b, step.get(a, b))
+    out = {}
+    for a in step:
+        path, at = [a], step[a]
+        while at in step and at not in path:
+            path.append(at)
+            at = step[at]
+        end = min(path[path.index(at):]) if at in path else at
+        if end != a:
+            out[a] = (end, at in path)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_survivors_follow_chains_and_cycles(spark, seed):
+    rng = random.Random(seed)
+    links = [(i, i + 1) for i in range(100, 137)] + [(200 + i, 200 + (i + 1) % 7) for i in range(7)] + [(300, 203), (301, 300)]
+    links += [(1, 2), (2, 1), (3, 3), (None, 4), (5, None), (6, 9), (6, 8), (6, 8), (8, 10)] + [(1000 + i, 100) for i in range(400)]
+    links += [(rng.randrange(2000, 2060), rng.randrange(2000, 2060)) for _ in range(50)]
+    df = spark.createDataFrame(links, "contact_id int, candidate_id int")
+    got = {r.contact_id: (r.candidate_id, r.in_cycle) for r in chains.survivors(df).collect()}
+    assert got == ends_of(links)
+    assert chains.survivors(df.where("false")).count() == 0
+
+
+def test_one_per_id_takes_the_newest_and_no_row_multiplies(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (1, 7, "b"), (2, None, "c")], "id int, modified_at int, v string")
+    assert rows(dedupe.one_per_id(df), "id") == [(1, 7, "b"), (2, None, "c")]
+
+
+def test_numbering_builds_a_plan_and_nothing_else(spark, monkeypatch):
+    from rosterlift import session
+    monkeypatch.setattr(session, "scratch_root", lambda _: 1 / 0)
+    df = spark.range(10).selectExpr("id", "IF(id % 3 = 0, NULL, id) AS v", "raise_error('ran') AS boom")
+    assert numbering.number_within(df, [], ["v", "id"]).columns == ["id", "v", "boom", "position"]
+
+
+def test_numbering_puts_nulls_last_and_handles_no_rows(spark):
+    df = spark.createDataFrame([(1, None, 4), (1, "b", 1), (None, "a", 2), (None, None, 3), (1, "a", 5)], "k int, v string, i int")
+    got = {r.i: r.position for r in numbering.number_within(df, ["k"], ["v", "i"]).collect()}
+    assert got == {5: 1, 1: 2, 4: 3, 2: 1, 3: 2}
+    assert numbering.number_within(df.where("false"), ["k"], ["v"]).count() == 0
+
+
+def test_slices_split_a_hot_key(spark):
+    df = spark.range(30_000).selectExpr("IF(id % 3 = 0, -1, id) AS k", "id * 7919 % 30011 AS v").repartition(5)
+    found = slices.placed(df, ["k"], ["v"])
+    sizes = [r["count"] for r in found.where("k = -1").groupBy("_slice").count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) < 1200
+    edges = found.where("k = -1").groupBy("_slice").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_slice").collect()
+    assert all(a.hi < b.lo for a, b in zip(edges, edges[1:]))
+
+
+def test_ordered_text_with_a_hot_key_equals_plain_sorting(spark):
+    rng = random.Random(4)
+    data = [("hot" if i % 3 == 0 else f"k{i % 700}", rng.choice([None, *range(200)]), None if i % 11 == 0 else f"{rng.randrange(50)}" * rng.randrange(1, 40))
+            for i in range(9000)]
+    df = spark.createDataFrame(data, "k string, o int, t string").repartition(6)
+    want = {}
+    for k, o, t in sorted((x for x in data if x[2] is not None), key=lambda x: (x[1] is not None, x[1] or 0, x[2])):
+        want.setdefault(k, []).append(t)
+    got = {r.k: r.out for r in reshape.ordered_text(df, ["k"], ["o"], F.col("t"), "|", "out").collect()}
+    assert got == {k: "|".join(v) for k, v in want.items()}
+    by = [F.col("o").isNotNull(), F.col("o"), F.substring("t", 1, 32)]
+    largest = slices.placed(df, ["k"], by).groupBy("_key", "_slice").count().agg(F.max("count")).first()[0]
+    assert largest < 400  # the hot key has 3,000 rows
+
+
+def test_prior_status_with_a_hot_key_equals_plain_search(spark):
+    rng = random.Random(6)
+    data = [("hot" if i % 3 == 0 else f"k{rng.randrange(40)}", rng.choice("RAHO"), rng.choice([None, *range(300)]), i) for i in range(4000)]
+    want = {}
+    for key in {d[0] for d in data}:
+        mine = [d for d in data if d[0] == key and d[2] is not None]
+        last = max(d[2] for d in mine)
+        before = [(d[2], d[3], d[1]) for d in mine if d[1] != "R" and d[2] < last]
+        if before:
+            want[key] = max(before)[2]
+    df = spark.createDataFrame(data, "k string, s string, t int, e int").repartition(5)
+    found = history.prior_status(df, ["k"], "s", "t", "e", F.col("s") != "R")
+    assert {r.k: r.s for r in found.collect()} == want
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()

@@ -12,7 +12,7 @@ from rosterlift.plans import candidates, identities
 from rosterlift.quality import evaluate, integrity, run_suite, violation_samples
 from rosterlift.quality import predicates as P
 from rosterlift.quality.checks import compile_checks
-from rosterlift.quality.suite import missing_positions, position_gaps, repeated_values
+from rosterlift.quality.suite import missing_intervals, missing_positions, position_gaps, repeated_values
 
 from .base import CTX, QUERIES, Tables, query, src
 from .column_queries import d_email
@@ -160,6 +160,15 @@ def _(t: Tables):
     return missing_positions(rows, "p_type", "p_size")
 
 
+@query("q27_missing_intervals", f"""
+SELECT a AS attribute_id, p + 1 AS first_missing, nxt - 1 AS last_missing, nxt - p - 1 AS n_missing FROM (
+  SELECT a, p, lead(p) OVER (PARTITION BY a ORDER BY p) AS nxt FROM (
+    SELECT DISTINCT p_type AS a, CAST(p_size AS BIGINT) * CASE WHEN p_partkey % 50 = 0 THEN 40000000 ELSE 1 END AS p FROM part)) WHERE nxt > p + 1""")
+def _(t: Tables):
+    rows = t.part.selectExpr("p_type", "CAST(p_size AS BIGINT) * CASE WHEN p_partkey % 50 = 0 THEN 40000000 ELSE 1 END AS at")
+    return missing_intervals(rows, "p_type", "at")
+
+
 @query("q28_candidate_duplicates", f"""
 SELECT 'candidates_x' AS table_name, 'atlas_project_id,atlas_person_id' AS column_name, 'candidate_duplicates' AS rule, 'fail' AS severity, count(*) AS n_bad, count(*) = 0 AS passed
 FROM (SELECT project_id, person_id FROM {APPS} GROUP BY 1, 2 HAVING count(*) > 1)""")

@@ -602,7 +602,7 @@ def _(t: Tables):
 
 @query("w09_positions", "SELECT p_type, p_name, p_partkey, CAST(row_number() OVER (PARTITION BY p_type ORDER BY p_name, p_partkey) AS INT) AS position FROM part")
 def _(t: Tables):
-    return numbering.number_within(t.part.select("p_type", "p_name", "p_partkey"), ["p_type"], [F.col("p_name").asc(), F.col("p_partkey").asc()])
+    return numbering.number_within(t.part.select("p_type", "p_name", "p_partkey"), ["p_type"], ["p_name", "p_partkey"])
 
 
 @query("w10_first_holder", f"""
@@ -638,12 +638,12 @@ SELECT note_id, person_id, CAST(row_number() OVER (PARTITION BY note_id ORDER BY
 FROM (SELECT DISTINCT l_orderkey AS note_id, l_suppkey AS person_id FROM lineitem)""")
 def _(t: Tables):
     pairs = t.lineitem.selectExpr("l_orderkey AS note_id", "l_suppkey AS person_id").distinct()
-    return numbering.number_within(pairs, ["note_id"], [F.col("person_id").asc()], "n")
+    return numbering.number_within(pairs, ["note_id"], ["person_id"], "n")
 
 
 @query("w15_global_numbering", "SELECT value, CAST(row_number() OVER (ORDER BY value) AS INT) AS position FROM (SELECT DISTINCT p_brand AS value FROM part)")
 def _(t: Tables):
-    return numbering.number_within(t.part.selectExpr("p_brand AS value").distinct(), [], [F.col("value").asc()])
+    return numbering.number_within(t.part.selectExpr("p_brand AS value").distinct(), [], ["value"])
 
 
 # -- sorts and set operations ----------------------------------------------------------------------------------
