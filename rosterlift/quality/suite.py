@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import shorten
@@ -47,11 +47,20 @@ def _line(table: str, check: Check, n_bad: Column, n_rows: Column) -> Column:
                     n_bad.cast("bigint").alias("n_bad"), passed.alias("passed"))
 
 
+def _measures(checks: Sequence[Check]) -> list[Column]:
+    """Aggregates that answer all counted checks: the number of rows, then one for each check that is measured."""
+    measured = [c for c in checks if c.kind in MEASURED]
+    return [F.count(F.lit(1)).alias("_rows"), *[_measure(c).alias(f"_m{i}") for i, c in enumerate(measured)]]
+
+
 def one_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """Report lines of every check that a single aggregate can answer; schema checks ride along."""
+    return _lines(df.agg(*_measures(checks)), table, checks)
+
+
+def _lines(row: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     measured = [c for c in checks if c.kind in MEASURED]
     decided = [c for c in checks if c.kind == "schema"]
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[_measure(c).alias(f"_m{i}") for i, c in enumerate(measured)])
     lines = [_line(table, c, F.col(f"_m{i}"), F.col("_rows")) for i, c in enumerate(measured)]
     lines += [_line(table, c, F.lit(int(c.bad)), F.col("_rows")) for c in decided]
     return row.select(F.inline(F.array(*lines)))
@@ -130,9 +139,12 @@ def evaluate(df: DataFrame, table: str, rules: Mapping[str, Any] | None = None,
     if rules is None:
         rules = CONTRACTS.get(matching_contract(table) or "", {})
     checks = compile_checks(table, df.schema, rules, GLOBAL_RULES if global_rules is None else global_rules)
-    parts = []
-    if any(c.kind in ONE_PASS for c in checks):
-        parts.append(one_pass(df, table, checks))
+    counted = [one_pass(df, table, checks)] if any(c.kind in ONE_PASS for c in checks) else []
+    return _report(df, table, checks, counted)
+
+
+def _report(df: DataFrame, table: str, checks: Sequence[Check], parts: list[DataFrame]) -> DataFrame:
+    """``parts``, the lines of the counted checks, and those that group the table."""
     grouped = [c for c in checks if c.kind in ("unique", "pairs")]
     if grouped:
         parts.append(uniqueness(df, table, grouped))
@@ -182,9 +194,48 @@ class SuiteReport:
         return self.failures().isEmpty()
 
 
+@dataclass
+class WrittenChecks:
+    """Checks of tables as they are written: give ``watch`` to ``Outputs``, and ask for the ``report`` when the run is over.
+
+    Counted rules are observed in the stage that writes a table, so they read nothing; uniqueness and positions group the stored
+    rows. No plan that built a table runs again.
+    """
+
+    contracts: Mapping[str, Any] = field(default_factory=lambda: CONTRACTS)
+    global_rules: Mapping[str, Any] = field(default_factory=lambda: GLOBAL_RULES)
+    seen: dict[str, tuple[list[Check], Observation]] = field(default_factory=dict)
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        rules = self.contracts.get(matching_contract(name, self.contracts) or "", {})
+        checks = compile_checks(name, df.schema, rules, self.global_rules)
+        self.seen[name] = checks, Observation()
+        return df.observe(self.seen[name][1], *_measures(checks))
+
+    def report(self, tables: Mapping[str, DataFrame], prefixes: Iterable[str] = ()) -> SuiteReport:
+        """The report of ``run_suite`` on the stored ``tables``; those that were not watched are read for all their checks."""
+        names = select_tables(tables, prefixes)
+        found = {name: matching_contract(name, self.contracts) for name in names}
+        lines = []
+        for name in names:
+            if name not in self.seen:
+                lines.append(evaluate(tables[name], name, self.contracts.get(found[name], {}) if found[name] else {}, self.global_rules))
+                continue
+            checks, observed = self.seen[name]
+            values = observed.get
+            row = tables[name].sparkSession.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in values.items()])
+            lines.append(_report(tables[name], name, checks, [_lines(row, name, checks)] if any(c.kind in ONE_PASS for c in checks) else []))
+        used = set(found.values())
+        return SuiteReport(reduce(DataFrame.unionByName, lines), [n for n, p in found.items() if p is None],
+                           sorted(p for p in self.contracts if p not in used))
+
+
 def run_suite(tables: Mapping[str, DataFrame], contracts: Mapping[str, Any] | None = None,
               global_rules: Mapping[str, Any] | None = None, prefixes: Iterable[str] = ()) -> SuiteReport:
-    """Check every table whose name starts with one of ``prefixes`` (all without any) against its first contract."""
+    """Check every table whose name starts with one of ``prefixes`` (all without any) against its first contract.
+
+    Each table is read for its counted rules and again for those that group it, so give stored tables, or use ``WrittenChecks``.
+    """
     contracts = CONTRACTS if contracts is None else contracts
     names = select_tables(tables, prefixes)
     found = {name: matching_contract(name, contracts) for name in names}

@@ -17,7 +17,7 @@ _RUNTIME = {
 }
 
 
-_stored: dict[str, DataFrame] = {}
+_stored: dict[str, DataFrame | None] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -69,6 +69,13 @@ def durable(df: DataFrame) -> DataFrame:
     return stored
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for tables of this run; ``discard_durables`` deletes it."""
+    path = f"{scratch_root(spark)}/run-{uuid.uuid4().hex}"
+    _stored[path] = None
+    return path
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

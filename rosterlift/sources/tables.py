@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sinks import current_path
+
 # Columns of the two seed files a migration may ship.
 SEEDS: dict[str, str] = {
     "user_mapping": "email string, name string, id bigint, atlas_id string",
@@ -40,7 +42,7 @@ class TableReader:
 
     def _read(self, name: str) -> DataFrame:
         if self.folder is not None:
-            return self.spark.read.parquet(f"{self.folder}/{name}{self.suffix}")
+            return self.spark.read.parquet(current_path(self.spark, f"{self.folder}/{name}{self.suffix}"))
         return self.spark.table(f"{self.database}.{name}" if self.database else name)
 
     def names(self) -> list[str]:
@@ -88,12 +90,57 @@ def empty_relation(spark: SparkSession, schema: str | T.StructType) -> DataFrame
     return spark.createDataFrame([], schema)
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DIGITS = (3, 5, 10, 19)
+
+
+def common_type(kinds: Sequence[T.DataType]) -> T.DataType:
+    """The narrowest type that holds the values of all: whole numbers widen, with fractions they become decimals or doubles,
+    days become times, and what has nothing else in common becomes text."""
+    kinds = [k for k in dict.fromkeys(kinds) if not isinstance(k, T.NullType)]
+    if not kinds:
+        return T.StringType()
+    if len(kinds) == 1:
+        return kinds[0]
+    if all(isinstance(k, _WHOLE) for k in kinds):
+        return max(kinds, key=lambda k: _WHOLE.index(type(k)))
+    if all(isinstance(k, (*_WHOLE, T.DecimalType)) for k in kinds):
+        sizes = [(k.precision - k.scale, k.scale) if isinstance(k, T.DecimalType) else (_DIGITS[_WHOLE.index(type(k))], 0) for k in kinds]
+        before, after = max(a for a, _ in sizes), max(b for _, b in sizes)
+        return T.DecimalType(before + after, after) if before + after <= 38 else T.DoubleType()
+    if all(isinstance(k, T.NumericType) for k in kinds):
+        return T.DoubleType()
+    if all(isinstance(k, (T.DateType, T.TimestampType)) for k in kinds):
+        return T.TimestampType()
+    return T.StringType()
+
+
+def reconcile(shards: Mapping[str, DataFrame]) -> tuple[dict[str, T.DataType], list[tuple[str, str, str, str]]]:
+    """The common type of every column of some shards, in order of appearance, and what that widens: (column, shard, its type,
+    the common type)."""
+    held: dict[str, dict[str, T.DataType]] = {}
+    for name, df in shards.items():
+        for f in df.schema.fields:
+            held.setdefault(f.name, {})[name] = f.dataType
+    common = {column: common_type(list(kinds.values())) for column, kinds in held.items()}
+    widened = [(column, name, kind.simpleString(), common[column].simpleString())
+               for column, kinds in held.items() for name, kind in kinds.items() if kind != common[column]]
+    return common, widened
+
+
 def union_shards(shards: Mapping[str, DataFrame], keep: Mapping[str, Column] | None = None) -> DataFrame:
-    """One relation from named shards, each tagged with the table it came from and filtered by its own predicate."""
+    """One relation from named shards, each tagged with the table it came from and filtered by its own predicate.
+
+    A column that not all shards have is null elsewhere; one whose types differ has their common type (see ``reconcile``, which also
+    lists what was widened).
+    """
     keep = keep or {}
+    common, widened = reconcile(shards)
     parts = []
     for name, df in shards.items():
         part = df.where(keep[name]) if name in keep else df
+        wide = {column: F.col(column).cast(common[column]) for column, shard, _, _ in widened if shard == name}
+        part = part.withColumns(wide) if wide else part
         parts.append(part.withColumn("source_table", F.lit(name)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

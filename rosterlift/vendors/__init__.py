@@ -23,8 +23,11 @@ VENDORS: dict[str, Callable[..., None]] = {
 
 
 def migrate(vendor: str, read: Callable[[str], DataFrame], ctx: RunContext, folder: str | None = None,
-            **options: Any) -> dict[str, DataFrame]:
-    """Every canonical table a vendor's export gives; stored as ``folder/<table>`` when a folder is given."""
-    out = Outputs(folder)
+            watch: Callable[[str, DataFrame], DataFrame] | None = None, **options: Any) -> dict[str, DataFrame]:
+    """Every canonical table a vendor's export gives; stored as ``folder/<table>`` when a folder is given.
+
+    ``watch`` sees each table as it is written, for example that of ``WrittenChecks``.
+    """
+    out = Outputs(folder, watch=watch)
     VENDORS[vendor](read, ctx, out, **options)
     return out.tables

@@ -7,7 +7,7 @@ from rosterlift.quality import evaluate, matching_contract, run_suite, violation
 from rosterlift.quality import predicates as P
 from rosterlift.quality.checks import compile_checks
 from rosterlift.quality.contracts import CONTRACTS
-from rosterlift.quality.suite import missing_positions, position_gaps
+from rosterlift.quality.suite import missing_intervals, missing_positions, position_gaps
 
 
 def report(df, table, rules, shared=None):
@@ -127,3 +127,29 @@ def test_every_built_table_meets_its_contract(spark, ctx):
                            project_state(F.col("status"), {"active": ["open"]}, {}, iso("closed_at"), iso("added_at")))
     failed = evaluate(built, "projects_x").where("severity = 'fail' AND NOT passed").collect()
     assert [(r.rule, r.column_name) for r in failed] == [("uuid_columns", "atlas_owner_id")] or failed == []
+
+
+def test_checks_while_writing_say_what_the_suite_says(spark, tmp_path):
+    from rosterlift.quality import WrittenChecks
+    from rosterlift.sources import Outputs
+    people = spark.createDataFrame([(i % 7, f"a{i}", "<b>x</b>" if i % 3 else None, "2024-01-01T00:00:00") for i in range(40)],
+                                   "id int, atlas_id string, first_name string, created_at string")
+    checks = WrittenChecks()
+    out = Outputs(str(tmp_path), watch=checks.watch, cluster_by={"people_x": ["id"]})
+    out.add("people_x", people.withColumn("salt", F.rand()))  # another table each time it is computed
+    out.add("odd", spark.range(3))
+    found = checks.report(out.tables)
+    assert found.without_rules == ["odd"]
+    plain = run_suite(out.tables)
+    assert sorted(map(tuple, found.lines.collect())) == sorted(map(tuple, plain.lines.collect()))
+    assert found.unused_patterns == plain.unused_patterns
+    assert all(str(tmp_path) in f for f in found.lines.inputFiles())
+    leaves = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+    assert leaves(found.lines) < leaves(plain.lines)
+
+
+def test_a_gap_of_a_billion_is_one_interval(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1_000_000_002), ("b", 65535), ("b", 65536), ("b", 65538), ("c", -3), ("c", 200_000)], "k string, p int")
+    assert sorted(tuple(r) for r in missing_intervals(df, "k", "p").collect()) == [
+        ("a", 2, 1_000_000_001, 1_000_000_000), ("b", 65537, 65537, 1), ("c", -2, 199_999, 200_002)]
+    assert missing_positions(df.where("k = 'c'"), "k", "p").distinct().count() == 200_002

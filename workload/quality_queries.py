@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from rosterlift import diff
 from rosterlift.plans import candidates, identities
-from rosterlift.quality import evaluate, integrity, run_suite, violation_samples
+from rosterlift.quality import WrittenChecks, evaluate, integrity, run_suite, violation_samples
 from rosterlift.quality import predicates as P
 from rosterlift.quality.checks import compile_checks
 from rosterlift.quality.suite import missing_intervals, missing_positions, position_gaps, repeated_values
+from rosterlift.session import scratch_folder
+from rosterlift.sources import Outputs
 
 from .base import CTX, QUERIES, Tables, query, src
 from .column_queries import d_email
@@ -215,7 +217,10 @@ UNION ALL {report_sql('c', 'candidates_x',
 def _(t: Tables):
     rows = candidates.build_candidates(t.applications, t.projects, t.people, t.users, CTX, marks(),
                                        t.applications.select("id", "status", "added_at"))
-    return evaluate(rows, "candidates_x")
+    checks = WrittenChecks()
+    out = Outputs(scratch_folder(t.spark), watch=checks.watch)
+    out.add("candidates_x", rows)
+    return checks.report(out.tables).lines
 
 
 _SMALL = {"users*": {"unique": ["email"], "not_null": ["id"]}, "companies*": {"unique": ["name"], "required": ["id", "missing"]}, "never*": {"required": ["id"]}}

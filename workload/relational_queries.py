@@ -9,7 +9,8 @@ from rosterlift.functions.location import clean_placeholder
 from rosterlift.operators import dedupe, history, joins, numbering, reshape
 from rosterlift.plans.companies import current_position
 from rosterlift.quality.suite import repeated_values
-from rosterlift.sources import constant_row, literal_relation, union_shards
+from rosterlift.session import scratch_folder
+from rosterlift.sources import TableReader, constant_row, literal_relation, overwrite_table, read_range, read_shards, union_shards
 
 from .base import CTX, NOW, Tables, query, src
 from .column_queries import d_email, d_iso, d_linkedin, d_phone, d_placeholder
@@ -34,10 +35,34 @@ def _(t: Tables):
 
 
 @query("s04_shards", """
-SELECT l_orderkey AS id, l_linenumber AS line, l_partkey AS part, 'work_' || CAST(l_orderkey % 3 + 1 AS VARCHAR) AS source_table FROM lineitem""")
+SELECT l_orderkey AS id, CAST(l_linenumber AS DOUBLE) AS line, CASE WHEN l_orderkey % 60 = 7 THEN 'P' ELSE '' END || CAST(l_partkey AS VARCHAR) AS part,
+  'work=' || CAST(l_orderkey % 60 AS VARCHAR) AS source_table FROM lineitem""")
 def _(t: Tables):
-    rows = t.lineitem.selectExpr("l_orderkey AS id", "l_linenumber AS line", "l_partkey AS part")
-    return union_shards({f"work_{i + 1}": rows.where(f"id % 3 = {i}") for i in range(3)})
+    """Sixty shards written to folders and found by listing; part is text in one of them, line a fraction in another."""
+    rows = t.lineitem.selectExpr("l_orderkey AS id", "l_linenumber AS line", "l_partkey AS part", "CAST(l_orderkey % 60 AS INT) AS work")
+    folder = scratch_folder(t.spark)
+    rows.where("work NOT IN (7, 11)").repartition("work").write.partitionBy("work").parquet(folder)
+    rows.where("work = 7").selectExpr("id", "line", "concat('P', part) AS part").write.parquet(f"{folder}/work=7")
+    rows.where("work = 11").selectExpr("id", "CAST(line AS DOUBLE) AS line", "part").write.parquet(f"{folder}/work=11")
+    return read_shards(TableReader(t.spark, folder, suffix=""), "work={}", "work", "id long, line double, part string")
+
+
+@query("s08_refresh", "SELECT o_orderkey, o_custkey + 1 AS o_custkey FROM orders WHERE o_orderkey % 3 <> 0")
+def _(t: Tables):
+    """A table that is replaced by what its own rows give."""
+    folder = scratch_folder(t.spark)
+    overwrite_table(t.orders.select("o_orderkey", "o_custkey"), f"{folder}/orders")
+    read = TableReader(t.spark, folder, suffix="")
+    overwrite_table(read("orders").where("o_orderkey % 3 <> 0").withColumn("o_custkey", F.col("o_custkey") + 1), f"{folder}/orders")
+    return TableReader(t.spark, folder, suffix="")("orders")
+
+
+@query("o01_clustered_range", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey BETWEEN 1000 AND 1200")
+def _(t: Tables):
+    """A range of a clustered copy, from the files whose footers say that they hold it."""
+    path = f"{scratch_folder(t.spark)}/lineitem"
+    overwrite_table(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), path, ["l_orderkey"], files=16)
+    return read_range(t.spark, path, "l_orderkey", 1000, 1200)
 
 
 @query("s05_shards_filtered", """
