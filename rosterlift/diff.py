@@ -79,6 +79,33 @@ def compared_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
                                      F.max(F.col("n_left") != F.col("n_right")).alias("differs"))
 
 
+def differing_rows(left: DataFrame, right: DataFrame, key: str, buckets: int = 4096, levels: int = 2) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides that may differ, for tables that are nearly equal: all other comparisons can start from these.
+
+    Rows fall into buckets by the hash of their key. Two sides of a bucket agree if they have as many rows and the same two
+    128-bit sums of row hashes; only buckets that do not are looked into again, by other bits of the hash. Of equal tables
+    nothing but a digest for each bucket is exchanged, and every level reads the tables once more. A key whose rows differ has all
+    its rows in the result, so it has the same differences there.
+    """
+    columns = [c for c in common_columns(left, right) if c != key]
+
+    def spread(level: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(level), F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+    def digests(a: DataFrame, b: DataFrame, level: int) -> DataFrame:
+        def side(df: DataFrame, sign: int) -> DataFrame:
+            cells = [F.col(key).cast("string"), *[F.coalesce(F.concat(F.lit("+"), _comparable(df, c).cast("string")), F.lit("-")) for c in columns]]
+            sums = [F.xxhash64(F.lit(seed), *cells).cast("decimal(20,0)") * sign for seed in (1, 2)]
+            return df.select(spread(level).alias("_bucket"), F.lit(sign).alias("n"), *[h.alias(f"h{i}") for i, h in enumerate(sums)])
+        both = side(a, 1).unionByName(side(b, -1)).groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in ("n", "h0", "h1")])
+        return both.where("n <> 0 OR h0 <> 0 OR h1 <> 0").select("_bucket")
+
+    for level in range(levels):
+        found = F.broadcast(digests(left, right, level))  # at most one small row for each bucket
+        left, right = (df.withColumn("_bucket", spread(level)).join(found, "_bucket", "left_semi").drop("_bucket") for df in (left, right))
+    return left, right
+
+
 def _unmatched_values(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Of common keys that differ, the values of each column that one side has more often: key, column_name, value, surplus.
 

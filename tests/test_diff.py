@@ -49,3 +49,16 @@ def test_schema_diff_and_key_choice(spark):
     assert [(r.column_name, r.difference) for r in diff.schema_diff(left, right).collect()] == [("a", "type"), ("b", "only_left"), ("c", "only_right")]
     assert diff.likely_key(left, right) == "company_id"
     assert diff.likely_key(left.drop("company_id"), right) is None
+
+
+def test_nearly_equal_tables_are_compared_by_digests(spark):
+    left = spark.range(3000).selectExpr("id % 2900 AS id", "CAST(id * 7 AS STRING) AS s", "IF(id % 5 = 0, NULL, id) AS n")
+    same = left.orderBy(diff.F.rand(1))
+    assert all(side.isEmpty() for side in diff.differing_rows(left, same, "id"))
+    plan = diff.differing_rows(left, same, "id", levels=1)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.count("Aggregate") == 1  # all that is brought together is a row for each bucket
+    other = left.withColumn("s", diff.F.when(diff.F.col("id") == 50, "odd").otherwise(diff.F.col("s"))).where("id <> 60")
+    a, b = diff.differing_rows(left, other, "id")
+    assert {r.id for r in a.collect()} == {50, 60} and a.where("id = 50").count() == 2  # ids 0 to 99 stand there twice
+    assert sorted(map(tuple, diff.field_samples(a, b, "id").collect())) == sorted(map(tuple, diff.field_samples(left, other, "id").collect()))
+    assert sorted(map(tuple, diff.key_diff(a, b, "id").where("key = 60").collect())) == [(60, "only_left", 2, 0)]

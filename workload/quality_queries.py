@@ -366,12 +366,22 @@ def _(t: Tables):
     return diff.field_diff(*_sides(t), "id")
 
 
-@query("c04_field_samples", "SELECT key, column_name, left_value, right_value, CAST(n AS INT) AS n FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY key) AS n FROM (" + " UNION ALL ".join(
+_SAMPLES = ("SELECT key, column_name, left_value, right_value, CAST(n AS INT) AS n FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY key) AS n FROM (" + " UNION ALL ".join(
     f"SELECT l.id AS key, '{c}' AS column_name, CAST(l.{c} AS VARCHAR) AS left_value, CAST(r.{c} AS VARCHAR) AS right_value FROM {_LEFT} l JOIN {_RIGHT} r ON r.id = l.id WHERE {d}" for c, d in _DIFFERS.items()) + ")) WHERE n <= 5")
+
+
+@query("c04_field_samples", _SAMPLES)
 def _(t: Tables):
     return diff.field_samples(*_sides(t), "id")
 
 
+@query("c04_samples_by_digest", _SAMPLES)
+def _(t: Tables):
+    """The same, from buckets whose digests differ."""
+    left, right = _sides(t)
+    return diff.field_samples(*diff.differing_rows(left, right, "id"), "id")
+
+
 @query("c05_multiset_diff", """
 SELECT a AS l_suppkey, b AS l_returnflag, n_left, n_right FROM (SELECT l_suppkey AS a, l_returnflag AS b, count(*) AS n_left, count(*) FILTER (l_linenumber % 7 <> 0) AS n_right FROM lineitem GROUP BY 1, 2) WHERE n_left <> n_right""")
 def _(t: Tables):
