@@ -10,11 +10,12 @@ import os
 import sys
 import time
 from collections.abc import Callable
+from statistics import median
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlift import get_session
+from rosterlift import discard_durables, get_session
 from rosterlift.functions.contact import email_norm, linkedin_norm, phone_norm
 from rosterlift.plans.candidates import build_candidates
 from rosterlift.quality.checks import compile_checks
@@ -102,12 +103,17 @@ def main() -> None:
     times = {}
     for name in HEADLINE:
         job = lambda name=name: run_to_end(QUERIES[name](spark, folder))
-        times[name] = min(timed(job) for _ in range(2))
-    naive = {name: min(timed(job) for _ in range(2)) for name, job in naive_forms(spark, folder).items()}
+        timed(job)  # warm up
+        times[name] = median(timed(job) for _ in range(3))
+    naive = {}
+    for name, job in naive_forms(spark, folder).items():
+        timed(job)
+        naive[name] = median(timed(job) for _ in range(3))
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "naive": naive, "sf": os.path.basename(folder.rstrip("/")), "cpus": int(cpus),
                       "spark": spark.version}))
     sys.stdout.flush()
+    discard_durables(spark)
 
 
 if __name__ == "__main__":

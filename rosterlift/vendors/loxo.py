@@ -240,7 +240,7 @@ def person_salaries(read: Read, people: DataFrame, ctx: RunContext) -> DataFrame
         *_stamps(), iso(_ts("updated")).alias("relevant_date"), plain_amount("comp_comp").alias("basic_salary"),
         F.nullif(F.btrim(strip_tags("comp_notes", " ")), F.lit("")).alias("notes"), F.lit("USD").alias("currency"),
         F.lit("gross").alias("tax_method"), F.lit("total").alias("expected_salary_type"), F.lit("migration").alias("source"),
-        F.lit("actual").alias("type"), ctx.master().alias("created_by_atlas_id"), ctx.agency().alias("agency_id"))
+        F.lit("actual").alias("type"), F.lit(None).cast("string").alias("created_by_id"), ctx.master().alias("created_by_atlas_id"), ctx.agency().alias("agency_id"))
 
 
 def files(read: Read, people: DataFrame) -> DataFrame:

@@ -5,7 +5,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from rosterlift import RunContext, get_session  # noqa: E402
+from rosterlift import RunContext, discard_durables, get_session  # noqa: E402
+from rosterlift.session import scratch_root  # noqa: E402
+
+
+def kept_folders(session, root):
+    """Folders of intermediate tables that this library has made under ``root``."""
+    folder = Path(root.removeprefix("file:"))
+    return sorted(p.name for p in folder.iterdir() if p.name.startswith(("run-", "durable-"))) if folder.exists() else []
 
 
 @pytest.fixture(scope="session")
@@ -14,8 +21,12 @@ def spark(tmp_path_factory):
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     session.sparkContext.setLogLevel("ERROR")
+    before = kept_folders(session, scratch_root(session))
     yield session
+    discard_durables(session)
+    left = [name for name in kept_folders(session, scratch_root(session)) if name not in before]
     session.stop()
+    assert left == []
 
 
 @pytest.fixture

@@ -3,12 +3,27 @@
 import pytest
 
 from rosterlift import RunContext
-from rosterlift.quality import evaluate
+from rosterlift.quality import CONTRACTS, evaluate, matching_contract
 from rosterlift.sources import TableReader
-from rosterlift.vendors import VENDORS, migrate
+from rosterlift.vendors import VENDORS
+from rosterlift.vendors import migrate as migrated
 from rosterlift.vendors.bullhorn import AttributeSource
 
 AT = "2024-01-02 03:04:05"
+# Columns that the vendor's own models do not have either.
+LACKING = {("loxo", "project_company_contacts"): {"company_contact_id"}, ("recruit_crm", "custom_attributes"): {"id"}}
+# Tables that a contract's pattern matches by name only.
+OTHERS = {"people_overview"}
+
+
+def migrate(vendor, *args, **options):
+    """A vendor's tables, all held against the columns that their contracts require."""
+    got = migrated(vendor, *args, **options)
+    for name, table in got.items():
+        rules = CONTRACTS.get(matching_contract(f"{name}_x") or "", {}) if name not in OTHERS else {}
+        missing = {*rules.get("required", []), *rules.get("not_null", [])} - {*table.columns}
+        assert missing == LACKING.get((vendor, name), set()), (vendor, name)
+    return got
 
 
 @pytest.fixture
