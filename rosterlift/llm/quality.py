@@ -4,13 +4,15 @@ The classifier is a logistic regression on hashed word and character n-grams. A
 three and four characters) enters as the relative frequencies of its hash buckets, so long and short texts compare. A
 fifth of the training rows is held back to calibrate the scores into probabilities, which a fixed threshold cuts.
 
-It is fitted on at most ``sample`` labelled rows (those whose ids have the smallest hashes), in one task whose input
-that bound limits; its weights are a few arrays of fixed size. Counts and scores cover every row's whole text, in
-Arrow batches.
+It is fitted on at most ``sample`` labelled rows (those whose ids have the smallest hashes) and at most ``cells`` distinct
+buckets of theirs, eight bytes each, in one task; the rows come in the order of the hashes, and the first that would go beyond
+is left out with all after it. Loss and slope are added up over blocks of cells, so the task holds those bytes and little
+more. The weights are a few arrays of fixed size. Counts and scores cover every row's whole text, in Arrow batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +32,7 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 @dataclass(frozen=True)
 class QualityRules:
     sample: int = 6000  # labelled rows to learn from, at most
+    cells: int = 32_000_000  # distinct buckets of these rows, at most
     bits: int = 15  # hash buckets of each block: 2 ** bits
     decay: float = 1e-6
     steps: int = 60
@@ -102,7 +105,7 @@ def _features(bits: int):
     """Distinct buckets of each text with their relative frequencies, for training."""
     def run(batches):
         for batch in batches:
-            for part in chunks(batch.column(1)):
+            for part in chunks(batch.column(2)):
                 w = words(part.data, part.offsets)
                 hashes = span_hashes(part.data, w.start, w.end)
                 cells: list[list[np.ndarray]] = [[] for _ in range(len(part))]
@@ -113,8 +116,9 @@ def _features(bits: int):
                 rows = [np.concatenate(c, axis=1) for c in cells]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.first, len(part)),
+                     batch.column(1).slice(part.first, len(part)),
                      pa.array([r[0].astype("<i4").tobytes() for r in rows], pa.binary()),
-                     pa.array([r[1].astype("<f4").tobytes() for r in rows], pa.binary())], ["quality", "bucket", "share"])
+                     pa.array([r[1].astype("<f4").tobytes() for r in rows], pa.binary())], ["turn", "quality", "bucket", "share"])
     return run
 
 
@@ -150,36 +154,81 @@ def _logistic(z: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
     return float(np.mean(np.logaddexp(0, z) - target * z)), (p - target) / len(z)
 
 
-def fit(targets: np.ndarray, buckets: list[np.ndarray], shares: list[np.ndarray], rules: QualityRules) -> np.ndarray | None:
+_BLOCK_CELLS = 1 << 20
+
+
+class Rows:
+    """Training rows in blocks of some million cells: buckets and shares one after the other, and how many each row has."""
+
+    def __init__(self) -> None:
+        self.blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self._open: list[tuple[np.ndarray, np.ndarray]] = []
+        self._targets: list[int] = []
+        self._size = 0
+
+    def add(self, target: int, bucket: bytes, share: bytes) -> None:
+        self._targets.append(target)
+        self._open.append((np.frombuffer(bucket, "<i4"), np.frombuffer(share, "<f4")))
+        self._size += len(self._open[-1][0])
+        if self._size >= _BLOCK_CELLS:
+            self.close()
+
+    def close(self) -> None:
+        if self._open:
+            bucket, share = (np.concatenate(x) for x in zip(*self._open, strict=True))
+            self.blocks.append((bucket, share, np.array([len(x) for x, _ in self._open])))
+            self._open, self._size = [], 0
+
+    @property
+    def targets(self) -> np.ndarray:
+        return np.array(self._targets, float)
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        out = [np.bincount(np.repeat(np.arange(len(n)), n), share * x[bucket], len(n)) for bucket, share, n in self.blocks]
+        return np.concatenate(out) if out else np.zeros(0)
+
+    def slope(self, dz: np.ndarray, size: int) -> np.ndarray:
+        """The scores' slope at the weights, for changes ``dz`` of the scores."""
+        out, at = np.zeros(size), 0
+        for bucket, share, n in self.blocks:
+            out += np.bincount(bucket, share * np.repeat(dz[at:at + len(n)], n), size)
+            at += len(n)
+        return out
+
+
+def gather(rows: Iterable[tuple[int, bytes, bytes]], cells: int) -> tuple[Rows, Rows]:
+    """Rows to learn from and, every fifth, to calibrate with, as long as there is room for their cells."""
+    train, held, size = Rows(), Rows(), 0
+    for i, (target, bucket, share) in enumerate(rows):
+        size += len(bucket) // 4
+        if size > cells:
+            break
+        (held if i % 5 == 4 else train).add(target, bucket, share)
+    train.close()
+    held.close()
+    return train, held
+
+
+def fit(train: Rows, held: Rows, rules: QualityRules) -> np.ndarray | None:
     """Weights of all blocks, then slope and intercept of the calibrated score; None if one class only is known."""
-    held = np.arange(len(targets)) % 5 == 4
-    if len(set(targets[~held].tolist())) < 2 or len(set(targets[held].tolist())) < 2:
+    targets, held_targets = train.targets, held.targets
+    if len(set(targets.tolist())) < 2 or len(set(held_targets.tolist())) < 2:
         return None
     size = N_BLOCKS << rules.bits
 
-    def rows(mask):
-        pick = np.flatnonzero(mask)
-        lengths = np.array([len(buckets[i]) for i in pick])
-        return np.concatenate([buckets[i] for i in pick]), np.concatenate([shares[i] for i in pick]).astype(float), lengths
-
-    bucket, share, lengths = rows(~held)
-    row = np.repeat(np.arange(len(lengths)), lengths)
-
     def loss(x):
-        z = np.bincount(row, share * x[bucket], len(lengths)) + x[-1]
-        value, dz = _logistic(z, targets[~held])
-        slope = np.append(np.bincount(bucket, share * dz[row], size), dz.sum())
+        value, dz = _logistic(train.scores(x) + x[-1], targets)
+        slope = np.append(train.slope(dz, size), dz.sum())
         slope[:-1] += rules.decay * x[:-1]
         return value + rules.decay / 2 * float(x[:-1] @ x[:-1]), slope
 
     x = _minimise(loss, np.zeros(size + 1), rules.steps)
-    bucket, share, lengths = rows(held)
-    z = np.bincount(np.repeat(np.arange(len(lengths)), lengths), share * x[bucket], len(lengths)) + x[-1]
+    z = held.scores(x) + x[-1]
     center, spread = float(np.mean(z)), float(np.std(z)) or 1.0
 
     def calibrate(v):
         u = (z - center) / spread
-        value, du = _logistic(v[0] * u + v[1], targets[held])
+        value, du = _logistic(v[0] * u + v[1], held_targets)
         return value + 5e-4 * float(v @ v), np.array([du @ u, du.sum()]) + 1e-3 * v
 
     a, b = _minimise(calibrate, np.array([1.0, 0.0]), 50)
@@ -188,17 +237,10 @@ def fit(targets: np.ndarray, buckets: list[np.ndarray], shares: list[np.ndarray]
 
 def _fit(rules: QualityRules):
     def run(batches):
-        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-        rows.sort(key=lambda r: r[0])  # the order of arrival does not matter
-        order = np.argsort([hash_of(r) for r in rows], kind="stable") if rows else []
-        rows = [rows[i] for i in order]
-        model = fit(np.array([r[0] for r in rows], float), [np.frombuffer(r[1], "<i4") for r in rows],
-                    [np.frombuffer(r[2], "<f4") for r in rows], rules) if rows else None
+        train, held = gather((row for b in batches for row in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)), rules.cells)
+        model = fit(train, held, rules)
         if model is not None:
             yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()], pa.binary())], ["model"])
-
-    def hash_of(r):
-        return int(np.frombuffer((r[1] + b"\0" * 8)[:8], "<u8")[0] * U(0x9E3779B97F4A7C15) ^ U(len(r[1])))
     return run
 
 
@@ -244,9 +286,9 @@ def train(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     # At most `sample` rows of 16 bytes.
     rows = texts.join(F.broadcast(known), "id").groupBy("id", "quality").agg(F.max("text").alias("text"))
-    rows = rows.mapInArrow(_only_passing(rules), "quality long, text string")
-    features = rows.mapInArrow(_features(rules.bits), "quality long, bucket binary, share binary")
-    found = features.repartition(1).mapInArrow(_fit(rules), "model binary").first()
+    rows = rows.select(F.xxhash64("id").alias("turn"), "quality", "text").mapInArrow(_only_passing(rules), "turn long, quality long, text string")
+    features = rows.mapInArrow(_features(rules.bits), "turn long, quality long, bucket binary, share binary")
+    found = features.repartition(1).sortWithinPartitions("turn").mapInArrow(_fit(rules), "model binary").first()
     return None if found is None else np.frombuffer(found[0], np.float32)
 
 
@@ -272,8 +314,7 @@ def _only_passing(rules: QualityRules):
             for part in chunks(batch.column(2)):
                 w = words(part.data, part.offsets)
                 keep.append(~_base_failed(counts(part, w, span_hashes(part.data, w.start, w.end)), rules))
-            rows = batch.filter(pa.array(np.concatenate(keep)))
-            yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2)], ["quality", "text"])
+            yield batch.filter(pa.array(np.concatenate(keep)))
     return run
 
 

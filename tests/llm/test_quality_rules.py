@@ -4,8 +4,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from rosterlift.llm import queries
-from rosterlift.llm.quality import QualityRules, good_documents, judged, train
+from rosterlift.llm.quality import QualityRules, gather, good_documents, judged, train
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -70,3 +72,30 @@ def test_labels_of_one_class_teach_nothing(spark, docs):
     df = docs([(i, " ".join(f"w{i}{k}" for k in range(60))) for i in range(20)])
     assert train(df, spark.createDataFrame([(i, 1, 0) for i in range(20)], LABELS)) is None
     assert train(df, spark.createDataFrame([], LABELS), QualityRules()) is None
+
+
+def test_blocks_add_up_and_cells_are_bounded():
+    rng = np.random.default_rng(2)
+    rows = [(int(n % 2), rng.integers(0, 1000, n).astype("<i4"), rng.random(n).astype("<f4")) for n in rng.integers(0, 900_000, 12)]
+    packed = [(t, b.tobytes(), s.tobytes()) for t, b, s in rows]
+    train_rows, held = gather(packed, 10**9)
+    assert len(train_rows.blocks) > 1 and len(train_rows.targets) == 10 and len(held.targets) == 2
+    x, mine = rng.random(1000), [r for i, r in enumerate(rows) if i % 5 != 4]
+    assert np.allclose(train_rows.scores(x), [s.astype(float) @ x[b] for _, b, s in mine])
+    dz, slope = rng.random(10), np.zeros(1000)
+    for d, (_, b, s) in zip(dz, mine):
+        np.add.at(slope, b, s * d)
+    assert np.allclose(train_rows.slope(dz, 1000), slope, rtol=1e-4)
+    few = gather(packed, sum(len(b) for _, b, _ in rows[:7]))
+    assert [len(r.targets) for r in few] == [6, 1]
+
+
+def test_training_on_very_long_texts_keeps_to_its_cells():
+    import tracemalloc
+    row = (np.arange(131_072, dtype="<i4").tobytes(), np.full(131_072, 1e-5, "<f4").tobytes())
+    tracemalloc.start()
+    train_rows, held = gather(((i % 2, *row) for i in range(6000)), 8_000_000)
+    model_room = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(train_rows.targets) + len(held.targets) == 8_000_000 // 131_072
+    assert model_room < 8_000_000 * 8 * 1.5
