@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import one_per_key
 from ._graph import components
 from ._store import Scratch
 from ._text import chunks, lower, shingle_hashes, span_hashes, words
@@ -251,20 +252,22 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_co
 
 
 def one_of_each(docs: DataFrame, p: NearDuplicates = NearDuplicates(), scratch: Scratch | None = None) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, ...) that ``near_duplicates`` keeps, with all their columns.
+    """One row of ``docs`` (doc_id, text, ...) for each group of near duplicates, with all its columns.
 
-    Rows that repeat an id are one document, and the one with the greatest text stands for it. Rows without an id stay.
+    Of a group the row with the smallest id stays, as in ``near_duplicates``. Rows that repeat an id are documents of their own: one goes
+    only if its own text is near another's, and of equals in id one stays. Rows without an id or
+    without words stay.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
-    repeated = ids.groupBy("id").count().where("count > 1 AND id IS NOT NULL").select("id")
-    if not repeated.isEmpty():
-        rows = docs.select(F.struct("*").alias("row"))
-        repeated = scratch.keep(repeated, "repeated")
-        of = F.col("row.doc_id").cast("long") == F.col("id")
-        one = rows.join(repeated, of).groupBy("id").agg(F.max_by("row", F.struct("row.text", F.to_json("row"))).alias("row"))
-        docs = rows.join(repeated, of, "left_anti").union(one.select("row")).select("row.*")
-        docs = scratch.keep(docs, "documents")
-    gone = near_duplicates(docs, p, scratch=scratch).where("NOT kept").select(F.col("doc_id").alias("id"))
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(gone, F.col("row.doc_id").cast("long") == F.col("id"), "left_anti").select("row.*")
+    keyed = docs.select(F.struct("*").alias("row")).withColumn("key", F.monotonically_increasing_id())
+    keyed = scratch.keep(keyed, "keyed")
+    known = keyed.where("row.doc_id IS NOT NULL").select(F.col("key").alias("doc_id"), F.col("row.text").alias("text"))
+    groups = near_duplicates(known, p, scratch=scratch).select(F.col("doc_id").alias("key"), F.col("component_id").alias("group"))
+    # Groups go by row keys; of each the row with the smallest id stays. Rows alone in their group need no look at their ids.
+    shared = groups.where("key <> group").select("group").distinct()
+    members = groups.join(shared, "group", "left_semi")
+    rank = F.struct(F.col("row.doc_id").cast("long"), F.xxhash64("row.text"), "key").alias("rank")
+    members = scratch.keep(members.join(keyed.select("key", rank), "key"), "members")
+    first = one_per_key(members, [F.col("group")], F.min("rank").alias("first"))
+    gone = members.join(first, "group").where("rank > first").select("key")
+    return keyed.join(gone, "key", "left_anti").select("row.*")

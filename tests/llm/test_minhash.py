@@ -94,7 +94,15 @@ def test_stage_keeps_one_row_of_each_and_all_columns(spark):
                                   (None, "a b c d e f", 9, "n"), (5, None, 3, None)], "doc_id long, text string, class int, kept string")
     left = one_of_each(rows)
     assert left.columns == rows.columns
-    assert sorted((tuple(r) for r in left.collect()), key=str) == [(1, "a b c d e f", 7, "x"), (5, None, 3, None), (None, "a b c d e f", 9, "n")]
+    assert sorted((tuple(r) for r in left.collect()), key=str) == [
+        (1, "", 1, "z"), (1, "a b c d e f", 7, "x"), (5, None, 3, None), (None, "a b c d e f", 9, "n")]
+
+
+def test_unlike_texts_of_one_id_all_stay(spark):
+    rows = [(1, "alpha beta gamma delta epsilon zeta"), (1, "one two three four five six"), (3, "one two three four five six"), (0, "seven eight"),
+            (2, "alpha beta gamma delta epsilon zeta")]
+    left = one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(tuple(r) for r in left.collect()) == sorted([rows[0], rows[1], rows[3]])
 
 
 @settings(max_examples=60, deadline=None)
