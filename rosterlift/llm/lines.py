@@ -31,9 +31,9 @@ from ._store import Scratch
 @dataclass(frozen=True)
 class LineRules:
     edits: int = 2
-    least: int = 20  # characters of a line that takes part
+    least: int = 20  # characters of a line that is compared by edit distance
     pivots: int = 16
-    short: bool = False  # shorter lines that are not blank take part too, as exact copies
+    short: bool = True  # shorter lines that are not blank take part as exact copies: two edits make other words of them
 
 
 _WORD = r"[^\x20\x09-\x0D]"
@@ -320,9 +320,9 @@ def line_classes(docs: DataFrame, rules: LineRules = LineRules(), id_col: str =
                  scratch: Scratch | None = None) -> DataFrame:
     """``doc_id, line_no, n_chars, class_doc, class_line, copies, kept`` of every line that takes part.
 
-    Lines are what ``\\n`` separates, numbered from 0; those of fewer than ``least`` characters and those of rows with a null
-    text or id take no part. With ``short``, shorter lines that are not blank form classes with their equals. Equal
-    lines, and lines within ``edits`` of each other, directly or through others, form a class, named by its first line
+    Lines are what ``\\n`` separates, numbered from 0; blank ones and those of rows with a null text or id take no part. Lines of
+    fewer than ``least`` characters form classes with their equals (none without ``short``). Equal longer
+    lines, and such lines within ``edits`` of each other, directly or through others, form a class, named by its first line
     (smallest document, then smallest number); that one is kept. ``copies`` counts a class's lines. Rows that repeat an id count as one document: lines at the same place in each stand and fall together.
     Other columns do not matter.
     """

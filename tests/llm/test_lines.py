@@ -25,12 +25,12 @@ def within(a, b, k):
     return above[len(b)] <= k
 
 
-def brute(rows, edits, least):
-    places = {}
+def brute(rows, edits, least, short=True):
+    places, few = {}, {}
     for i, text in rows:
         for n, line in enumerate((text or "").split("\n") if text is not None else []):
-            if len(line) >= least:
-                places.setdefault(line, set()).add((i, n))
+            if len(line) >= least or short and line.strip(" \t\n\x0b\x0c\r"):
+                (places if len(line) >= least else few).setdefault(line, set()).add((i, n))
     lines = sorted(places)
     root = list(range(len(lines)))
 
@@ -48,7 +48,7 @@ def brute(rows, edits, least):
     groups = {}
     for k, line in enumerate(lines):
         groups.setdefault(find(k), []).extend(places[line])
-    return {p: (min(g), p == min(g)) for g in groups.values() for p in g}
+    return {p: (min(g), p == min(g)) for g in [*groups.values(), *few.values()] for p in g}
 
 
 def got(df):
@@ -108,24 +108,24 @@ def test_very_long_lines_and_empty_tables(docs):
 def test_short_lines_as_exact_copies(docs):
     one, near = "a line that is long enough", "a line that is long enough!"
     rows = [(1, f"Les.\n{one}\nOf, edti oner.\n\n  "), (2, f"Les.\n{near}\nLes!\n\n  "), (3, "Of, edti oner.\nLes."), (4, None), (None, "Les.")]
-    short = LineRules(short=True)
-    found = got(line_classes(docs(rows), short))
+    found = got(line_classes(docs(rows)))
     assert found == {(1, 0): ((1, 0), True), (1, 1): ((1, 1), True), (1, 2): ((1, 2), True), (2, 0): ((1, 0), False), (2, 1): ((1, 1), False),
                      (2, 2): ((2, 2), True), (3, 0): ((1, 2), False), (3, 1): ((1, 0), False)}
-    assert {r.doc_id: r.text for r in without_copies(docs(rows), short).collect()} == {1: rows[0][1], 2: "Les!\n\n  ", 4: None, None: "Les."}
+    assert {r.doc_id: r.text for r in without_copies(docs(rows)).collect()} == {1: rows[0][1], 2: "Les!\n\n  ", 4: None, None: "Les."}
 
 
 def test_stage_keeps_what_another_row_of_the_id_lost(docs):
     one, two, three = "a line that is long enough", "another line that is long enough", "nothing like what stands elsewhere"
     rows = [(1, one), (2, f"{one}\n{two}"), (2, f"{three}\nshort"), (2, f"{three}\nshort")]
-    assert sorted((r.doc_id, r.text) for r in without_copies(docs(rows)).collect()) == [(1, one), (2, two), *[(2, f"{three}\nshort")] * 2]
+    left = without_copies(docs(rows), LineRules(short=False))
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(1, one), (2, two), *[(2, f"{three}\nshort")] * 2]
 
 
 def test_stage_keeps_columns_and_drops_whole_copies(spark):
     one, two = "a line that is long enough", "another line that is long enough"
     rows = spark.createDataFrame([(1, f"{one}\nshort\n{two}", 65, "x"), (2, f"{one}\nshort", 32, "y"), (3, f"{two}!\n  ", 36, "z"), (4, None, None, "n"),
                                   (None, one, 26, "m"), (5, "", 0, "e")], "doc_id long, text string, n_chars long, gone string")
-    left = without_copies(rows)
+    left = without_copies(rows, LineRules(short=False))
     assert left.columns == rows.columns
     assert sorted((tuple(r) for r in left.collect()), key=str) == sorted(
         [(1, f"{one}\nshort\n{two}", 65, "x"), (2, "short", 5, "y"), (4, None, None, "n"), (None, one, 26, "m"), (5, "", 0, "e")], key=str)
