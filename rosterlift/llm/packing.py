@@ -26,7 +26,7 @@ _TOKENS = "doc_id long, part int, begin long, n_ids long, ids binary"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _byte_characters() -> dict[str, int]:
+def byte_characters() -> dict[str, int]:
     """The characters by which byte-level vocabularies write bytes: printable ones stand for themselves."""
     plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
     other = [b for b in range(256) if b not in plain]
@@ -34,20 +34,24 @@ def _byte_characters() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str):
+def _encoder(path: str, pattern: str, special_as_text: bool = False):
     """The merges of a byte-level tokenizer file, run by tiktoken: its ids rise in the order of the merges, and
-    it needs a fifth of the time that the file's own library takes. Texts of special tokens are ordinary text."""
+    it needs a fifth of the time that the file's own library takes. As there, the strings of special tokens in a text are
+    these tokens, unless ``special_as_text``."""
     import tiktoken
-    byte = _byte_characters()
+    byte = byte_characters()
     model = json.loads(Path(path).read_text(encoding="utf-8"))
-    special = {t["content"] for t in model["added_tokens"] if t["special"]}
+    special = {t["content"]: t["id"] for t in model["added_tokens"] if t["special"]}
     ranks = {bytes(byte[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={} if special_as_text else special)
+    if special_as_text:
+        return encoding.encode_ordinary
+    return lambda text: encoding.encode(text, allowed_special="all") if any(s in text for s in special) else encoding.encode_ordinary(text)
 
 
-def _encode(path: str, pattern: str, end: int):
+def _encode(path: str, pattern: str, end: int, special_as_text: bool):
     def run(batches):
-        encode, part, begin = _encoder(path, pattern), TaskContext.get().partitionId(), 0
+        encode, part, begin = _encoder(path, pattern, special_as_text), TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = [np.array([*encode(t or ""), end], "<u4") for t in batch.column(1).to_pylist()]
             sizes = np.array([len(x) for x in ids], np.int64)
@@ -60,14 +64,17 @@ def _encode(path: str, pattern: str, end: int):
     return run
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, end: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, path: str, pattern: str, end: int = 0, id_col: str = "doc_id", text_col: str = "text",
+            special_as_text: bool = False) -> DataFrame:
     """First pass: each document's ids with ``end`` behind them, packed as 2 or 4 bytes each, and its place in its partition.
 
+    Strings of special tokens in a text are special tokens, as the file's library takes them, unless ``special_as_text``.
+
     Store the result before it is used twice, so that both uses see the same partitions.
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_encode(path, pattern, end), _TOKENS)
+    return texts.mapInArrow(_encode(path, pattern, end, special_as_text), _TOKENS)
 
 
 def _cut(window: int):
@@ -107,7 +114,7 @@ def pack(tokens: DataFrame, window: int = 1024) -> DataFrame:
 
 
 def packed(docs: DataFrame, path: str, pattern: str, window: int = 1024, end: int = 0, id_col: str = "doc_id",
-           text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
+           text_col: str = "text", scratch: Scratch | None = None, special_as_text: bool = False) -> DataFrame:
     """Encode, store and cut whole texts; null texts count as empty, and an empty text is its end id alone."""
     scratch = scratch or Scratch(docs.sparkSession)
-    return pack(scratch.keep(encoded(docs, path, pattern, end, id_col, text_col), "tokens"), window)
+    return pack(scratch.keep(encoded(docs, path, pattern, end, id_col, text_col, special_as_text), "tokens"), window)

@@ -5,8 +5,8 @@ node has a failure link, the node at which greedy matching goes on when no child
 are finished ("popped") on the way there. Both are computed once, so a word costs one step per character plus one per
 piece: no piece is built and no character read twice, however long the word is.
 
-``n_tokens`` takes the pieces with letters only, and a word they cannot cover is one unknown token. ``n_pieces`` counts such
-a word in full: with the bare word mark before it where no piece begins it, and the bytes of characters that have no piece.
+``n_tokens`` counts every word in full: with the bare word mark before it where no piece begins it, and the bytes of characters
+that have no piece. ``n_letters_only`` takes the pieces with letters only, and a word they cannot cover is one unknown token.
 """
 
 from __future__ import annotations
@@ -141,18 +141,18 @@ def _count(path: str):
                 batch.column(0), pa.array(words, pa.int64()), pa.array([t % _UNKNOWN for t in tokens], pa.int64()),
                 pa.array([t % _MORE // _UNKNOWN for t in tokens], pa.int64()),
                 pa.array([t % _UNKNOWN + t // _MORE for t in tokens], pa.int64())],
-                ["doc_id", "n_words", "n_tokens", "n_unknown", "n_pieces"])
+                ["doc_id", "n_words", "n_letters_only", "n_unknown", "n_tokens"])
     return run
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_words, n_tokens, n_unknown, n_pieces`` of each row's whole text.
+    """``doc_id, n_words, n_letters_only, n_unknown, n_tokens`` of each row's whole text.
 
     A word is a run of letters, digits and underscores, or one other character that is not white space. A word that the
-    pieces cannot cover counts as one token, the unknown one, in ``n_tokens``, and with all its pieces in ``n_pieces``. Null and empty texts have no words. Rows are counted
-    one by one: null or repeated ids and other columns do not matter. ``path`` is the sentence-piece model, readable
+    pieces with letters cannot cover counts with the bare mark and byte pieces in ``n_tokens``, and as one, the unknown one, in
+    ``n_letters_only``. Null and empty texts have no words. Rows are counted one by one: null or repeated ids and other columns do not matter. ``path`` is the sentence-piece model, readable
     on every executor.
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_count(path), "doc_id long, n_words long, n_tokens long, n_unknown long, n_pieces long")
+    return texts.mapInArrow(_count(path), "doc_id long, n_words long, n_letters_only long, n_unknown long, n_tokens long")

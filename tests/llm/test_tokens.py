@@ -29,6 +29,13 @@ def library():
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def delivered():
+    """The library as it is, which takes the strings of special tokens for these tokens."""
+    t = Tokenizer.from_file(JSON)
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
 def greedy(word, begin, inner):
     n, at, pieces = 0, 0, begin
     while at < len(word):
@@ -76,8 +83,8 @@ def test_pieces_of_words_without_a_beginning(docs):
     got = {r.doc_id: r for r in token_counts(docs(rows), MODEL).collect()}
     for i, t in rows:
         found = [whole(w, begin, inner) for w in WORD.findall(t or "")]
-        assert got[i].n_pieces == sum(found)
-    assert got[len(ODD) + 2].n_tokens == 1 and got[len(ODD) + 2].n_pieces > 1000
+        assert got[i].n_tokens == sum(found)
+    assert got[len(ODD) + 2].n_letters_only == 1 and got[len(ODD) + 2].n_tokens > 1000
 
 
 def test_piece_counts(spark, small, docs):
@@ -91,10 +98,10 @@ def test_piece_counts(spark, small, docs):
         found = [greedy(w, begin, inner) for w in WORD.findall(text)]
         return len(found), sum(1 if n is None else n for n in found), sum(n is None for n in found)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
-    got = {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in queries.op4_word_piece_counts(spark, small).collect()}
+    got = {r.doc_id: (r.n_words, r.n_letters_only, r.n_unknown) for r in queries.op4_word_piece_counts(spark, small).collect()}
     assert got == {i: count(t) for i, t in rows}
     odd = [*enumerate(ODD), (None, None)]
-    assert sorted((r.doc_id or -1, r.n_words, r.n_tokens, r.n_unknown) for r in token_counts(docs(odd), MODEL).collect()) == sorted(
+    assert sorted((r.doc_id or -1, r.n_words, r.n_letters_only, r.n_unknown) for r in token_counts(docs(odd), MODEL).collect()) == sorted(
         (i or -1, *count(t or "")) for i, t in odd)
     assert token_counts(docs([]), MODEL).collect() == []
     assert automaton.count("x" * 100_000) > 0
@@ -159,20 +166,27 @@ def check_packed(pieces, ids, window):
         assert at == window or (s == max(by_sequence) and at < window)
 
 
-def test_packing_whole_table(spark, small, library):
+def test_packing_whole_table(spark, small, delivered):
     rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
-    check_packed(queries.op5_concatenate_and_cut(spark, small).collect(), [(r.doc_id, [*library(r.text), 0]) for r in rows], 1024)
+    check_packed(queries.op5_concatenate_and_cut(spark, small).collect(), [(r.doc_id, [*delivered(r.text), 0]) for r in rows], 1024)
 
 
 @pytest.mark.parametrize("window", [1, 7, 64])
-def test_packing_over_partitions(docs, library, window):
+def test_packing_over_partitions(docs, delivered, window):
     rows = [(i, t) for i, t in enumerate([*ODD, None, "one two three " * 30])]
     df = docs(rows).repartition(5)
     pieces = packed(df, JSON, public_tokenizers.PATTERN, window=window).collect()
-    check_packed(pieces, [(i, [*library(t or ""), 0]) for i, t in rows], window)
+    check_packed(pieces, [(i, [*delivered(t or ""), 0]) for i, t in rows], window)
 
 
 def test_packing_empty_and_repeated(docs):
     assert packed(docs([]), JSON, public_tokenizers.PATTERN).collect() == []
     pieces = packed(docs([(1, "a"), (1, "a"), (None, "a")]), JSON, public_tokenizers.PATTERN).collect()
     assert sorted(p.offset for p in pieces) == [0, 2, 4] and {p.doc_tokens for p in pieces} == {2}
+
+
+def test_packing_takes_special_strings_as_asked(docs, library, delivered):
+    text = "a<|endoftext|> b <|endoftext|><|endoftext|>c <|endof"
+    assert 50256 in delivered(text) and 50256 not in library(text)
+    for asked, encode in ((False, delivered), (True, library)):
+        check_packed(packed(docs([(1, text)]), JSON, public_tokenizers.PATTERN, 8, special_as_text=asked).collect(), [(1, [*encode(text), 0])], 8)
