@@ -8,13 +8,12 @@ from __future__ import annotations
 
 import gc
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_root
+from ..session import scratch_folder
 
 BATCH_ROWS = 1000
 _PACKAGE = Path(__file__).resolve().parent.parent
@@ -40,7 +39,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.folder = f"{scratch_root(spark)}/llm-{uuid.uuid4().hex}"
+        self.folder = scratch_folder(spark)  # deleted by ``close``, or with all others by ``discard_durables``
         prepare(spark)
 
     def keep(self, df: DataFrame, name: str, few: bool = False) -> DataFrame:
@@ -58,6 +57,11 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def close(self) -> None:
+        """Delete all tables of the run, once its results are written."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def release(self) -> None:
         """Let Spark delete the shuffle files of what is no longer referenced now, not when the driver next runs short of memory."""
         gc.collect()
