@@ -10,7 +10,11 @@ a length's pieces; pieces are numbered by counts within each partition and prefi
 
 from __future__ import annotations
 
+import json
+import operator
+import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,41 +26,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._store import Scratch, prepare
+from .packing import byte_characters
 
 _LONGEST = 1 << 15  # lengths take 15 bits of a run's key, piece numbers 48
-_CACHED_WORDS = 1 << 18
+_CACHED_WORDS = 1 << 20
 _CACHED_BYTES = 64
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+")  # a to z and their Latin-1 kin, composed
+_ENDED = re.compile(rb"(.*[A-Za-z0-9])([.,;:!?]+)", re.DOTALL)
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, nth long"
 _PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long"
 
 
-class WordIds:
-    """Ids of a tokenizer file whose words never reach over white space, remembered for each word between ASCII white space.
+class WordIds(dict):
+    """Ids of a tokenizer file whose words never reach over white space: four little-endian bytes each, by word, found when first
+    asked for.
 
-    Neither its normal forms nor its pattern look beyond white space, so a text's ids are those of its words in a row.
+    Neither its normal forms nor its pattern look beyond white space, so a text's ids are those of its words in a row, cut at
+    ASCII white space; marks behind a letter or digit are words of their own too. Words that came first stay, up to a
+    number: frequent ones are among them. ``lower``: the file lower-cases all but special tokens, so words that differ in that have the
+    same ids. ``merges`` gives the ids of a word that is small letters only, for which there is nothing to normalise or split.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode, self.known = encode, {}
-
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        ids = self.encode([w.decode() for w in new])
-        found = {w: np.array(x, "<u4").tobytes() for w, x in zip(new, ids, strict=True)}
-        if len(self.known) + len(found) > _CACHED_WORDS:
-            self.known.clear()
-        self.known.update((w, x) for w, x in found.items() if len(w) <= _CACHED_BYTES and len(self.known) < _CACHED_WORDS)
-        return found
+    def __init__(self, encode: Callable[[str], list[int]], merges: Callable[[bytes], list[int]] | None = None, lower: bool = False):
+        super().__init__()
+        self.encode, self.merges, self.lower = encode, merges, lower
+
+    def __missing__(self, word: bytes) -> bytes:
+        if self.merges and _LETTERS.fullmatch(word):
+            ids = np.array(self.merges(word), "<u4").tobytes()
+        elif ended := _ENDED.fullmatch(word):
+            ids = self[ended[1]] + self[ended[2]]
+        else:
+            ids = np.array(self.encode(word.decode()), "<u4").tobytes()
+        if len(word) <= _CACHED_BYTES and len(self) < _CACHED_WORDS:
+            self[word] = ids
+        return ids
 
     def ids(self, text: bytes) -> bytes:
-        """The ids of a text, four little-endian bytes each."""
-        words = text.split()
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            known = {w: self.known[w] for w in set(words) if w in self.known}
-            known |= self._learn(words)
-            return b"".join([known[w] for w in words])
+        """The ids of a text."""
+        words = (text.lower() if self.lower and b"<|" not in text else text).split()
+        return b"".join([self[w] for w in words])
 
 
 @lru_cache(maxsize=2)
@@ -64,10 +73,16 @@ def word_ids(path: str, special_as_text: bool = False) -> WordIds:
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = special_as_text
+    file = json.loads(tokenizer.to_str())
+    lower = any(n["type"] == "Lowercase" for n in (file["normalizer"] or {}).get("normalizers", []))
+    steps = (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+    by_bytes = [s["type"] for s in steps] == ["Split", "ByteLevel"] and r"[\p{L}]+" in steps[0]["pattern"].get("Regex", "")
+    as_written = {b: c for c, b in byte_characters().items()}
+    model = tokenizer.model
 
-    def encode(words: list[str]) -> list[list[int]]:
-        return [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
-    return WordIds(encode)
+    def merges(word: bytes) -> list[int]:
+        return [t.id for t in model.tokenize(word.decode("latin-1").translate(as_written))]
+    return WordIds(lambda word: tokenizer.encode(word, add_special_tokens=False).ids, merges if by_bytes else None, lower)
 
 
 def _cut(path: str, end: int, capacity: int, keep_ids: bool, special_as_text: bool):
@@ -114,7 +129,9 @@ def fullest(left: dict[int, int], capacity: int) -> dict[int, int]:
     lengths = sorted(left, reverse=True)
     bin_, room = {lengths[0]: 1}, capacity - lengths[0]
     reach, mask, steps = 1, (1 << (room + 1)) - 1, []
-    for length in lengths:
+    for length in lengths[bisect_left(lengths, -room, key=operator.neg):]:
+        if reach >> room & 1:
+            break
         many = min(left[length] - bin_.get(length, 0), room // length)
         group = 1
         while many > 0 and not reach >> room & 1:
