@@ -38,6 +38,23 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def joined(where: DataFrame | None, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``node, component`` after more links: components so far are joined by the links between them, which are few.
+
+    ``where`` is what this function has returned before, or None. A component keeps being named by its smallest node.
+    """
+    if where is None:
+        return scratch.keep(components(links, scratch, name), f"{name}-where", few=True)
+    at = where.select(F.col("node").alias("at"), F.col("component").alias("c"))
+    for side in ("u", "v"):
+        links = links.join(at, F.col(side) == F.col("at"), "left").withColumn(side, F.coalesce("c", side)).drop("at", "c")
+    merged = components(links, scratch, name)
+    to = merged.select(F.col("node").alias("at"), F.col("component").alias("to"))
+    moved = where.join(to, F.col("component") == F.col("at"), "left").select("node", F.coalesce("to", "component").alias("component"))
+    alone = merged.join(where.select(F.col("node").alias("at")), F.col("node") == F.col("at"), "left_anti")
+    return scratch.keep(moved.union(alone), f"{name}-where", few=True)
+
+
 def _kept(edges: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, dict]:
     """The stored links, and their number with an order-free digest, taken while they are written."""
     seen = Observation()

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import one_per_key
-from ._graph import components
+from ._graph import joined
 from ._store import Scratch
 from ._text import chunks, lower, shingle_hashes, span_hashes, words
 
@@ -152,7 +152,7 @@ def _listed(classes: DataFrame, p: NearDuplicates) -> DataFrame:
 
 def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scratch) -> DataFrame | None:
     """The component of every node that has a confirmed link; None if no list has two members."""
-    links, where, tested, many, turn = None, None, None, p.pivots, 0
+    where, tested, many, turn = None, None, p.pivots, 0
     bits = [f"b{i}" for i in range(_WORDS)]  # columns of their own: a join condition reads them without unpacking an array
     facts = ["value", "class", "node", "weight", "n", "doubled", *bits]
     every = lists.join(sets.select("class", "n", "doubled", *[F.col("bits")[i].alias(b) for i, b in enumerate(bits)]), "class")
@@ -178,6 +178,7 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
         scratch.drop(f"left-{turn - 1}")
         scratch.release()
         if left.isEmpty():
+            scratch.drop(*[f"pairs-{t}" for t in range(1, turn)])
             return where
         chosen = left.where(F.col("turn") <= few).select(*[F.col(c).alias(f"p_{c}") for c in (*facts, "component")])
         shared = F.lit(0)
@@ -196,8 +197,8 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
         tested = pairs if tested is None else tested.union(pairs)
         found = scratch.keep(_confirmed(pairs, sets, p), f"links-{turn}")
         if turn == 1 or not found.isEmpty():
-            links = found if links is None else links.union(found)
-            where = components(links, scratch, f"components-{turn}")
+            where = joined(where, found, scratch, f"components-{turn}")
+        scratch.drop(f"links-{turn}")
         if turn == 1:  # its lists were partial, so no pivot is done with
             left = every.select(*facts)
         else:
@@ -245,6 +246,7 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id_co
     else:
         of_class = of_class.withColumnRenamed("node", "component_id")
     of_class = scratch.keep(of_class, "of-class")
+    scratch.drop("classes", "lists", "sets")
     linked = every.drop("sketch").join(of_class, "class", "left")
     linked = linked.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     kept = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))
