@@ -2,17 +2,19 @@
 
 A candidate is a long run of characters that encodings use. Its encoding is inferred from the characters it has: hex,
 base 32 or base 64. Three tests ask whether it may be a uniform draw from that alphabet: chi-squared on the counts of its
-symbols, the number of runs above and below the middle of the alphabet, and the serial correlation of neighbours. A
-string that fails any of them at ``level`` is no random one.
+symbols, the number of runs above and below the middle of the alphabet, and the serial correlation of neighbours. Fisher's
+rule joins their p-values, each at most exp(-z^2 / 2); a string whose joint one is below ``level`` is no random one.
 
 Passing says little about a short string, so discoveries are controlled. Under the hypothesis that a string is ordinary
 writing, equal symbols meet in a share ``repeats`` of its pairs of places; the bound exp(-z^2 / 2) on how few do is its
 p-value; of strings in hex, digits and letters mixed, it is how seldom writing keeps to so few letters. Short strings have too
 few pairs for that, but they mix small letters, capitals and digits: the ratio of their likelihoods, as written and as
-drawn, from neighbour to neighbour, is at most so often that small in writing. Fisher's rule joins it with the repeats, and
-the smaller p-value counts; a normal tail is at most half of the bound, which pays for the choice. Strings of like length form a stratum, and in each the Benjamini-Hochberg rule at ``discovery_rate`` over all its
-candidates sets the p-value up to which they are reported. The rule needs counts by stratum and p-value class only, so
-nothing is sorted or gathered.
+drawn, from neighbour to neighbour, is at most so often that small in writing. How writing goes on from class to class is
+counted in all candidates of the table that repeat symbols as writing does, and starts from a fixed table; a ratio counts
+only as far as it holds against both. Fisher's rule joins it with the repeats, and the smaller p-value counts; a normal
+tail is at most half of the bound, which pays for the choice. Strings of like length form a stratum, and in each the
+Benjamini-Hochberg rule at ``discovery_rate`` over all its candidates sets the p-value up to which they are reported. The
+rule needs counts by stratum and p-value class only, so nothing is sorted or gathered; 32 counts go to the driver.
 """
 
 from __future__ import annotations
@@ -39,9 +41,10 @@ _CAPITALS = ((1, 1, 1, 1), (1, 0.93, 0.07, 1), (1, 0.25, 0.75, 1), (1, 1, 1, 1))
 @dataclass(frozen=True)
 class RandomnessTests:
     least: int = 20  # characters of a candidate
-    level: float = 4.0  # standard deviations at which a test fails
+    level: float = 0.001  # joint p-value of the three tests below which a string is not taken for a draw
     repeats: float = 0.065  # share of pairs of places with equal letters in ordinary writing
     hex_letters: float = 0.3  # share of letters that hex has too in ordinary writing
+    prior: float = 100.0  # neighbours, after each class, that the fixed table of writing is worth beside those counted
     discovery_rate: float = 0.01
     strata: tuple[int, ...] = (20, 24, 32, 48, 64, 128)  # lengths at which strata begin
 
@@ -89,7 +92,6 @@ def _statistics(p: RandomnessTests) -> dict[str, Column]:
         F.size(F.filter("signs", lambda x: x == sign)).cast("double"), F.lit(2.0)))
     neighbours = F.zip_with(F.slice("codes", F.lit(1), F.col("n") - 1), F.slice("codes", F.lit(2), F.col("n") - 1),
                             lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    above = F.aggregate("codes", F.lit(0.0), lambda s, x: s + F.when(x > middle, 1.0).otherwise(0.0))
     changes = F.aggregate("neighbours", F.lit(0.0), lambda s, x: s + F.when((x["a"] > middle) != (x["b"] > middle), 1.0).otherwise(0.0))
     products = F.aggregate("neighbours", F.lit(0.0), lambda s, x: s + (x["a"] - middle) * (x["b"] - middle))
     variance = (F.pow(F.col("size").cast("double"), F.lit(2.0)) - 1) / 12
@@ -100,39 +102,63 @@ def _statistics(p: RandomnessTests) -> dict[str, Column]:
         "codes": F.transform("signs", lambda x: (F.instr(signs, x) - 1).cast("double")), "neighbours": neighbours,
         "squares": squares,
         "uniform": (F.col("squares") * F.col("size") / n - n - (F.col("size") - 1)) / F.sqrt(2.0 * (F.col("size") - 1)),
-        "runs": F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4) + F.abs(above - n / 2) / F.sqrt(n / 4) * 0.5,
-        "serial": F.abs(products) / (variance * F.sqrt(n - 1)),
+        "runs": (changes - (n - 1) / 2) / F.sqrt((n - 1) / 4),
+        "serial": products / (variance * F.sqrt(n - 1)),
         "excess": F.when(F.col("size") == 16, F.when(spelt, F.sqrt(2 * n * F.log(F.lit(1 / p.hex_letters)))).otherwise(0.0)).otherwise(
             (pairs * p.repeats - (F.col("squares") - n) / 2) / F.sqrt(pairs * p.repeats * (1 - p.repeats)))}
 
 
-def _mixture(written: tuple, drawn: tuple) -> Column:
-    """How much likelier, by logarithm, neighbours of these classes are in a draw than in writing; class * 4 + next class."""
-    return F.array(*[F.lit(math.log(n / of) if n else 0.0) for row in written for of, n in zip(row, drawn, strict=True)])
+def _uniform_draw() -> Column:
+    """The joint p-value of the three tests, by Fisher's rule for three."""
+    x = (F.col("uniform") * F.col("uniform") + F.col("runs") * F.col("runs") + F.col("serial") * F.col("serial")) / 2
+    return F.exp(-x) * (1 + x + x * x / 2)
 
 
-def _mixed() -> Column:
-    """The logarithm of a candidate's likelihood ratio of a uniform draw to writing, by the classes of neighbours."""
-    classes = F.transform(F.split("match", ""), lambda c: F.when(c.between("a", "z"), 0).when(c.between("A", "Z"), 1).when(c.between("0", "9"), 2).otherwise(3))
-    steps = F.zip_with(F.slice(classes, F.lit(1), F.col("n") - 1), F.slice(classes, F.lit(2), F.col("n") - 1), lambda a, b: a * 4 + b)
-    total = lambda table: F.aggregate(steps, F.lit(0.0), lambda s, x: s + F.get(table, x))
-    return F.when(F.col("size") == 32, total(_mixture(_CAPITALS, (0, 26 / 32, 6 / 32, 0)))).when(
-        F.col("size") == 64, total(_mixture(_WRITTEN, (26 / 64, 26 / 64, 10 / 64, 2 / 64)))).otherwise(0.0)
+def _steps() -> Column:
+    """The classes of a candidate's neighbours: class * 4 + next class; small letter, capital, digit, sign."""
+    classes = F.transform("signs", lambda c: F.when(c.between("a", "z"), 0).when(c.between("A", "Z"), 1).when(c.between("0", "9"), 2).otherwise(3))
+    return F.zip_with(F.slice(classes, F.lit(1), F.col("n") - 1), F.slice(classes, F.lit(2), F.col("n") - 1), lambda a, b: a * 4 + b)
 
 
-def _tested(candidates: DataFrame, p: RandomnessTests) -> DataFrame:
-    """Candidates with ``stratum``, ``passes`` and the class of their p-value; 0 is the class of p-value 1."""
+def _facts(candidates: DataFrame, p: RandomnessTests) -> DataFrame:
+    """Of every candidate what the rules need to know."""
     for name, column in _statistics(p).items():
         candidates = candidates.withColumn(name, column)
+    steps = F.when(F.col("size") > 16, _steps()).otherwise(F.array().cast("array<int>"))
+    return candidates.select("row", "start", "end", "size", "n", "excess", (_uniform_draw() >= p.level).alias("passes"), steps.alias("steps"))
+
+
+def _counted(facts: DataFrame, p: RandomnessTests) -> dict[int, list[list[float]]]:
+    """By alphabet, how writing goes on from class to class in this table: candidates that repeat symbols as writing does."""
+    seen = {(r["size"], r["step"]): r["times"] for r in facts.where("excess <= 1").select("size", F.explode("steps").alias("step"))
+            .groupBy("size", "step").agg(F.count(F.lit(1)).alias("times")).collect()}  # 32 rows at most
+    out = {}
+    for size, fixed in ((32, _CAPITALS), (64, _WRITTEN)):
+        rows = [[seen.get((size, 4 * i + j), 0) for j in range(4)] for i in range(4)]
+        out[size] = [[(n + p.prior * f) / (sum(row) + p.prior) for n, f in zip(row, of, strict=True)] for row, of in zip(rows, fixed, strict=True)]
+    return out
+
+
+def _likelier(written, drawn: tuple) -> Column:
+    """How much likelier, by logarithm, a candidate's neighbours are in a draw than in writing."""
+    table = F.array(*[F.lit(math.log(n / of) if n else 0.0) for row in written for of, n in zip(row, drawn, strict=True)])
+    return F.aggregate("steps", F.lit(0.0), lambda s, x: s + F.get(table, x))
+
+
+def _tested(facts: DataFrame, p: RandomnessTests) -> DataFrame:
+    """Candidates with ``stratum``, ``passes`` and the class of their p-value; 0 is the class of p-value 1."""
+    counted = _counted(facts, p)
+    mixed = F.lit(0.0)
+    for size, fixed, drawn in ((32, _CAPITALS, (0, 26 / 32, 6 / 32, 0)), (64, _WRITTEN, (26 / 64, 26 / 64, 10 / 64, 2 / 64))):
+        mixed = F.when(F.col("size") == size, F.least(_likelier(fixed, drawn), _likelier(counted[size], drawn))).otherwise(mixed)
     stratum = F.lit(0)
     for at in p.strata[1:]:
         stratum = stratum + F.when(F.col("n") >= at, 1).otherwise(0)
-    passes = (F.col("uniform") < p.level) & (F.col("runs") < p.level) & (F.col("serial") < p.level)
-    candidates = candidates.withColumn("repeated", F.when(F.col("excess") > 0, F.col("excess") * F.col("excess") / 2).otherwise(0.0))
-    candidates = candidates.withColumn("both", F.col("repeated") + F.greatest(_mixed(), F.lit(0.0)))
+    facts = facts.withColumn("repeated", F.when(F.col("excess") > 0, F.col("excess") * F.col("excess") / 2).otherwise(0.0))
+    facts = facts.withColumn("both", F.col("repeated") + F.greatest(mixed, F.lit(0.0)))
     weight = F.greatest(F.col("repeated"), F.col("both") - F.log(1 + F.col("both"))) / math.log(10)
-    return candidates.select("row", "start", "end", stratum.alias("stratum"), passes.alias("passes"),
-                             F.least(F.floor(weight * 20), F.lit(_CLASSES)).cast("int").alias("p_class"))
+    return facts.select("row", "start", "end", stratum.alias("stratum"), "passes",
+                        F.least(F.floor(weight * 20), F.lit(_CLASSES)).cast("int").alias("p_class"))
 
 
 def _limits(tested: DataFrame, p: RandomnessTests) -> DataFrame:
@@ -156,7 +182,7 @@ def _scanned(docs: DataFrame, p: RandomnessTests, id_col: str, text_col: str, sc
     rows = scratch.keep(rows.withColumn("row", F.monotonically_increasing_id()), "scanned")
     touched = lambda c: F.exists(F.concat("assign", "access", "hex"), lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
     candidates = rows.select("row", F.explode(F.filter("candidates", lambda c: ~touched(c))).alias("c")).select("row", "c.start", "c.end", "c.match")
-    tested = scratch.keep(_tested(candidates, p), "tested")
+    tested = _tested(scratch.keep(_facts(candidates, p), "facts"), p)
     # A row for each stratum.
     found = tested.join(F.broadcast(_limits(tested, p)), "stratum").where(F.col("passes") & (F.col("p_class") >= F.col("limit")))
     found = found.groupBy(F.col("row").alias("of")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("random"))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import string
@@ -9,7 +10,7 @@ import string
 import pytest
 
 from rosterlift.llm import queries
-from rosterlift.llm.secrets import masked, secret_spans
+from rosterlift.llm.secrets import RandomnessTests, masked, secret_spans
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 
@@ -76,6 +77,73 @@ def test_short_keys(docs, length, least):
     assert sum(i >= len(keys) for i in hits) <= 0.05 * len(keys)
 
 
+SIGNS = {16: "0123456789abcdef", 32: string.ascii_uppercase + "234567", 64: string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/"}
+WRITING = {32: [[1, 1, 1, 1], [1, 0.93, 0.07, 1], [1, 0.25, 0.75, 1], [1, 1, 1, 1]],
+           64: [[0.80, 0.08, 0.04, 0.08], [0.50, 0.40, 0.04, 0.06], [0.05, 0.05, 0.75, 0.15], [0.55, 0.20, 0.20, 0.05]]}
+DRAWN = {32: [0, 26 / 32, 6 / 32, 0], 64: [26 / 64, 26 / 64, 10 / 64, 2 / 64]}
+
+
+def random_strings(strings):
+    """The rules of the module again, over plain lists: which of the candidates are discoveries."""
+    p = RandomnessTests()
+    facts = []
+    for text in strings:
+        size = 16 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text) else 32 if re.fullmatch("[A-Z2-7]+", text) else 64
+        plain = text.lower() if size == 16 else text.replace("-", "+").replace("_", "/")
+        code, n, middle = [SIGNS[size].index(c) for c in plain], len(text), (size - 1) / 2
+        squares = sum(text.count(c)**2 for c in set(text))
+        near = list(zip(code, code[1:], strict=False))
+        z = [(squares * size / n - n - size + 1) / math.sqrt(2 * (size - 1)),
+             (sum((a > middle) != (b > middle) for a, b in near) - (n - 1) / 2) / math.sqrt((n - 1) / 4),
+             sum((a - middle) * (b - middle) for a, b in near) / ((size**2 - 1) / 12 * math.sqrt(n - 1))]
+        x = sum(v * v for v in z) / 2
+        pairs = n * (n - 1) / 2
+        if size == 16:
+            spelt = re.search("[0-9]", text) and re.search("[A-Fa-f]", text)
+            excess = math.sqrt(2 * n * math.log(1 / p.hex_letters)) if spelt else 0.0
+        else:
+            excess = (pairs * p.repeats - (squares - n) / 2) / math.sqrt(pairs * p.repeats * (1 - p.repeats))
+        kind = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in text]
+        facts.append((size, n, excess, math.exp(-x) * (1 + x + x * x / 2) >= p.level, list(zip(kind, kind[1:], strict=False))))
+    counted = {}
+    for size in (32, 64):
+        seen = [step for s, _, excess, _, steps in facts if s == size and excess <= 1 for step in steps]
+        counted[size] = [[(seen.count((i, j)) + p.prior * WRITING[size][i][j]) / (sum(a == i for a, _ in seen) + p.prior) for j in range(4)]
+                         for i in range(4)]
+    tests = []
+    for size, n, excess, passes, steps in facts:
+        ratio = 0.0
+        if size > 16:
+            ratio = min(sum(math.log(DRAWN[size][j] / table[size][i][j]) for i, j in steps) for table in (WRITING, counted))
+        repeated = max(excess, 0.0)**2 / 2
+        both = repeated + max(ratio, 0.0)
+        weight = max(repeated, both - math.log(1 + both)) / math.log(10)
+        tests.append((sum(n >= at for at in p.strata[1:]), min(math.floor(weight * 20), 400), passes))
+    out = []
+    for stratum, p_class, passes in tests:
+        peers = [t for t in tests if t[0] == stratum]
+        limits = [c for c in {t[1] for t in peers} if 10**(-c / 20) <= p.discovery_rate * sum(t[2] and t[1] >= c for t in peers) / len(peers)]
+        out.append(bool(passes and limits and p_class >= min(limits)))
+    return out
+
+
+def test_discoveries_are_those_of_the_rules(docs):
+    rng = random.Random(21)
+    words = "the order was sent to your house on Monday with Another letter about some value 2024 id 17 MAIN index".split()
+    strings = []
+    for _ in range(500):
+        length, kind = rng.randrange(20, 70), rng.randrange(10)
+        if kind < 3:
+            strings.append("".join(rng.choice(SIGNS[(16, 32, 64)[kind]].upper() if kind == 0 else SIGNS[(16, 32, 64)[kind]]) for _ in range(length)))
+        else:
+            name = rng.choice([rng.choice("-_/").join, lambda w: "".join(x.title() for x in w), "".join, lambda w: "".join(w).upper()])
+            strings.append(name([rng.choice(words) for _ in range(30)])[:length])
+    strings += ["a" * 60, "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "1234567890" * 4]
+    want = random_strings(strings)
+    got = {r.doc_id for r in secret_spans(docs([(i, f"text before {s} text after") for i, s in enumerate(strings)])).collect() if r.random}
+    assert [i in got for i in range(len(strings))] == want and 50 < sum(want) < 200
+
+
 def test_masking(spark):
     rows = spark.createDataFrame([(1, "x token=abcdefgh y " + "a0" * 16, 3, "k"), (1, "clean", 5, "k"), (2, None, None, None),
                                   (None, "token=" + "0f" * 20, 1, "n"), (None, "token=" + "0f" * 20, 1, "n")],
