@@ -33,7 +33,6 @@ from ._text import U, Texts, chunks, lower, mix, span_hashes, words
 END = 0xFF  # never a byte of UTF-8: ends a text, and stands for what precedes it
 _HELD = 1 << 20  # distinct keys that a task counts before it hands them on
 _PIECE = 1 << 18  # bytes of text worked on at once: each takes some hundred bytes of memory
-_UNSEEN = np.int64(-1)
 
 
 @dataclass(frozen=True)
@@ -119,22 +118,23 @@ def _count(order: int):
 
 
 class Table:
-    """A hash table of 64-bit keys with linear probing, looked up for many keys at once; gives positions, or -1."""
+    """A hash table of 64-bit keys with linear probing, looked up for many keys at once; gives positions, or -1.
+
+    A slot holds the position of its key in ``keys``, 4 bytes: at 4 million keys, the most that a task is given, the slots take
+    64 MB and the keys are not copied. A task builds its tables and lets them go, so idle workers hold none.
+    """
 
     def __init__(self, keys: np.ndarray):
         bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2.5))))
-        self.shift, self.mask = U(64 - bits), (1 << bits) - 1
-        self.slots = np.full(1 << bits, _UNSEEN, np.int64)
-        self.keys = np.zeros(1 << bits, np.uint64)
-        todo, at = np.arange(len(keys)), self._home(keys)
+        self.shift, self.mask, self.keys = U(64 - bits), (1 << bits) - 1, keys
+        self.slots = np.full(1 << bits, -1, np.int32)
+        todo, at = np.arange(len(keys), dtype=np.int32), self._home(keys)
         while len(todo):
             free = self.slots[at] < 0
             self.slots[at[free]] = todo[free]  # of several keys one stays
-            self.keys[at[free]] = keys[todo[free]]
             left = self.slots[at] != todo
             # A key that lost a free slot tries on from there.
             todo, at = todo[left], (at[left] + 1) & self.mask
-        self.keys[self.slots >= 0] = keys[self.slots[self.slots >= 0]]
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return (mix(keys) >> self.shift).astype(np.int64)
@@ -142,11 +142,13 @@ class Table:
     def find(self, keys: np.ndarray) -> np.ndarray:
         at = self._home(keys)
         found = self.slots[at]
-        off = np.flatnonzero((found >= 0) & (self.keys[at] != keys))
+        off = np.flatnonzero(found >= 0)
+        off = off[self.keys[found[off]] != keys[off]]
         while len(off):
             at[off] = (at[off] + 1) & self.mask
             found[off] = self.slots[at[off]]
-            off = off[(found[off] >= 0) & (self.keys[at[off]] != keys[off])]
+            off = off[found[off] >= 0]
+            off = off[self.keys[found[off]] != keys[off]]
         return found
 
 

@@ -4,11 +4,12 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rosterlift.llm import queries
-from rosterlift.llm.lm import END, PartialMatching, language_scores
+from rosterlift.llm.lm import END, PartialMatching, Table, language_scores
 
 
 class Plain:
@@ -122,3 +123,14 @@ def test_empty_table_no_training_rows_and_repeats(docs):
     got = run(docs([(None, "a b"), (None, "a b")]))  # an empty number is held out
     assert got[None].held_out and (got[None].n_tokens, got[None].n_known, got[None].train_tokens, got[None].base_score) == (3, 0, 0, 0.0)
     assert got[None].score == pytest.approx(-4 * math.log10(256))
+
+
+def test_table_finds_what_it_holds_in_place():
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 63, 300_000).astype(np.uint64))
+    rng.shuffle(keys)
+    held, others = keys[:200_000], keys[200_000:]
+    table = Table(held)
+    assert (table.find(held) == np.arange(len(held))).all() and (table.find(others) == -1).all()
+    assert table.keys is held and table.slots.nbytes <= 4 * 5 * len(held)
+    assert (Table(held[:0]).find(others) == -1).all() and len(table.find(held[:0])) == 0
