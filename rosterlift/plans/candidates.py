@@ -23,16 +23,21 @@ def build_candidates(raw: DataFrame, projects: DataFrame, people: DataFrame, use
 
     ``marks`` holds the columns ``outcome`` gives; they are read off the rows that stay. One candidacy per project and
     person, the newest.
+
+    With a history its times are looked up first, while rows are narrow, and the newest row is chosen behind the join by project, whose
+    exchange serves both; an unknown person excludes all rows of its pairs, so people may follow, on the rows that stay.
     """
-    rows = fk_map(raw, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
-    rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
-    rows = keep_first(rows, ["project_id", "person_id"], [F.col("added_at").desc_nulls_last(), F.col("id").desc()])
-    rows = fk_map(rows, "owner_id", users, "atlas_id", "atlas_owner_id", default=ctx.master())
+    newest = [F.col("added_at").desc_nulls_last(), F.col("id").desc()]
     if history is not None:
         hired = last_time(history, "id", F.lower(F.trim("status")).isin(*hired_codes), "added_at", "_hired")
-        rows = rows.join(hired, "id", "left")
+        rows = fk_map(raw.join(hired, "id", "left"), "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
+        rows = keep_first(rows, ["project_id", "person_id"], newest)
+        rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude", unique=False)
     else:
-        rows = rows.withColumn("_hired", F.lit(None).cast("timestamp"))
+        rows = fk_map(raw, "project_id", projects, "atlas_id", "atlas_project_id", policy="exclude")
+        rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
+        rows = keep_first(rows, ["project_id", "person_id"], newest).withColumn("_hired", F.lit(None).cast("timestamp"))
+    rows = fk_map(rows, "owner_id", users, "atlas_id", "atlas_owner_id", default=ctx.master())
     kind = marks["rejection_type"]
     rejected = kind.isNotNull()
     return rows.select(
