@@ -153,3 +153,14 @@ def test_a_gap_of_a_billion_is_one_interval(spark):
     assert sorted(tuple(r) for r in missing_intervals(df, "k", "p").collect()) == [
         ("a", 2, 1_000_000_001, 1_000_000_000), ("b", 65537, 65537, 1), ("c", -2, 199_999, 200_002)]
     assert missing_positions(df.where("k = 'c'"), "k", "p").distinct().count() == 200_002
+
+
+def test_uuids_are_counted_as_sixteen_bytes(spark):
+    from rosterlift.quality.suite import _compact, uniqueness
+    texts = ["0123abcd-0123-4567-89ab-0123456789ab", "0123ABCD-0123-4567-89AB-0123456789AB", "0123abcd0123456789ab0123456789ab",
+             "0123abcd-0123-4567-89ab-0123456789ab\n", "u", "", "é"]
+    df = spark.createDataFrame([(t,) for t in [*texts, texts[0], None]], "v string")
+    packed = {r.v: bytes(r.b) for r in df.where("v IS NOT NULL").select("v", _compact(F.col("v")).alias("b")).collect()}
+    assert len(packed[texts[0]]) == 17 and len(set(packed.values())) == len(texts)
+    checks = compile_checks("sample", df.schema, {"unique": ["v"]}, {})
+    assert [r.n_bad for r in uniqueness(df, "sample", checks).collect()] == [1]
