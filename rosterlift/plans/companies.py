@@ -15,7 +15,7 @@ from ..functions.location import location_locality
 from ..functions.predicates import not_blank
 from ..functions.text import html_to_markdown, scrub
 from ..operators.dedupe import keep_first, one_per_id
-from ..operators.joins import exists_flag, fk_map, keep_any, one_per_key, survivor_key
+from ..operators.joins import drop_orphans, exists_flag, fk_map, keep_any, one_per_key, survivor_key
 
 MISSING_TITLE = "Missing Title"
 
@@ -64,14 +64,19 @@ def build_contacts_from_projects(links: DataFrame, positions: DataFrame, compani
     is_active.
 
     A contact employed at the company is a client; one company per person, those employing the person first.
+
+    The company is a minimum per person, which is kept small before the shuffle: no task sorts its pairs for it, and ids and titles are
+    looked up for the chosen pairs alone. Repeated pairs change no minimum, so they are not grouped.
     """
-    pairs = links.select("person_id", "company_id").distinct()
+    pairs = drop_orphans(links.select("person_id", "company_id"), "person_id", people)
+    pairs = drop_orphans(pairs, "company_id", companies)
     held = one_per_key(positions.where("is_active"), [F.col("person_id"), F.col("company_id")],
-                       F.min("title").alias("title"))
-    rows = pairs.join(held.withColumn("_held", F.lit(True)), ["person_id", "company_id"], "left")
-    rows = fk_map(rows, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude")
-    rows = fk_map(rows, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude")
-    kept = keep_first(rows, ["person_id"], [F.col("_held").isNull().asc(), F.col("company_id").asc()])
+                       F.min("title").alias("title")).withColumn("_held", F.lit(True))
+    rows = pairs.join(held.drop("title"), ["person_id", "company_id"], "left")
+    best = rows.groupBy("person_id").agg(F.coalesce(F.min(F.when(F.col("_held"), F.col("company_id"))), F.min("company_id")).alias("company_id"))
+    kept = best.join(held, ["person_id", "company_id"], "left")
+    kept = fk_map(kept, "person_id", people, "atlas_id", "atlas_person_id", policy="exclude", unique=False)
+    kept = fk_map(kept, "company_id", companies, "atlas_id", "atlas_company_id", policy="exclude", unique=False)
     key = (F.lit(f"{ctx.client}_"), F.col("person_id"), F.lit("companycontact"), F.col("company_id"))
     return kept.select(
         F.concat(*[k.cast("string") for k in key]).alias("id"), uuid_from(ctx.client, *key).alias("atlas_id"),
