@@ -239,3 +239,15 @@ def test_prior_status_with_a_hot_key_equals_plain_search(spark):
     found = history.prior_status(df, ["k"], "s", "t", "e", F.col("s") != "R")
     assert {r.k: r.s for r in found.collect()} == want
     assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rounds_of_chains_pass_nothing_through_the_driver(spark, monkeypatch):
+    plans, durable = [], chains.durable
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return durable(df)
+    monkeypatch.setattr(chains, "durable", seen)
+    df = spark.createDataFrame([(i, i + 1) for i in range(8)], "contact_id long, candidate_id long")
+    assert {r.candidate_id for r in chains.survivors(df).collect()} == {8}
+    assert len(plans) > 3 and not any("Broadcast" in p for p in plans)

@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 
 from workload import QUERIES
@@ -65,3 +67,17 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(spark, "s01_scan")
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in text
     assert "l_extendedprice" not in text.split("ReadSchema")[1]
+
+
+def test_candidates_with_a_history_are_exchanged_by_project_once(spark, no_broadcast):
+    text = plan(spark, "e17_candidates")
+    assert not re.search(r"hashpartitioning\(project_id#\d+L?, person_id#", text)
+    assert "atlas_person_id" not in text.split("hashpartitioning(project_id#")[-1]
+
+
+def test_numbering_joins_nothing(spark):
+    assert "Join" not in plan(spark, "w14_numbered_links")
+
+
+def test_contacts_of_projects_are_not_sorted_for_one_per_person(spark):
+    assert "Window" not in plan(spark, "e10_contacts_from_projects")
