@@ -79,39 +79,26 @@ def _may_be_near(a: Column, b: Column, edits: int) -> Column:
     return off <= 2 * edits
 
 
-def line_keys(edits: int) -> Column:
-    """Keys of a ``line`` of ``n`` characters, with their ``kind``.
+def line_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """id, classes of every line (id, line, classes), with its keys, a row each, and their ``kind``.
 
     Under its segments (kind 0) it is listed, and lines of its own length are looked up; under substrings at other places
     (kind 1) it only looks up lines that are as long or at most ``edits`` shorter. Segments are of even sizes, the last ones
     a character longer.
     """
     parts = edits + 1
-
-    def of_length(d: int) -> Column:
-        """The keys for lines that are ``d`` shorter."""
-        places = [(i, off) for i in range(1, parts + 1) for off in range(max(1 - i, d - (parts - i)), min(i - 1, d + parts - i) + 1)]
-        literal = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(off).alias("off"), F.lit(0 if d == off == 0 else 1).alias("kind"))
-                            for i, off in places])
-        length, size, short = F.col("n") - d, F.col(f"_size{d}"), F.col(f"_short{d}")
-
-        def key(place):
-            i = place["i"]
-            start = size * (i - 1) + F.greatest(i - 1 - short, F.lit(0)) + place["off"]
-            content = F.substring("line", start + 1, F.when(i > short, size + 1).otherwise(size))
-            # A substring that begins before the line, or ends behind it, is no segment's; its key then lists nothing.
-            return F.struct(F.xxhash64(length, i, content).alias("key"), place["kind"].alias("kind"))
-        return F.when(length >= parts, F.transform(literal, key)).otherwise(F.array().cast("array<struct<key:bigint,kind:int>>"))
-    return F.concat(*[of_length(d) for d in range(edits + 1)])
-
-
-def _with_sizes(lines: DataFrame, edits: int) -> DataFrame:
-    """Of lines of ``n`` characters, and of shorter ones: the size of a segment, and how many segments are no longer."""
-    parts = edits + 1
-    for d in range(edits + 1):
-        lines = lines.withColumn(f"_size{d}", F.floor((F.col("n") - d) / parts).cast("int"))
-        lines = lines.withColumn(f"_short{d}", F.lit(parts) - (F.col("n") - d) % parts)
-    return lines
+    places = [(d, i, off) for d in range(edits + 1) for i in range(1, parts + 1)  # i: segment of lines that are d shorter
+              for off in range(max(1 - i, d - (parts - i)), min(i - 1, d + parts - i) + 1)]
+    places = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(off).alias("off")) for d, i, off in places])
+    rows = lines.withColumn("n", F.char_length("line")).select("*", F.explode(places).alias("p")).select("*", "p.*")
+    length, i, off = F.col("n") - F.col("d"), F.col("i"), F.col("off")
+    rows = rows.where(length >= parts)
+    size, short = F.floor(length / parts).cast("int"), F.lit(parts) - length % parts  # of a segment; how many are no longer
+    start = size * (i - 1) + F.greatest(i - 1 - short, F.lit(0)) + off
+    content = F.substring("line", start + 1, size + F.when(i > short, 1).otherwise(0))
+    # A substring that begins before the line, or ends behind it, is no segment's; its key then lists nothing.
+    kind = F.when((F.col("d") == 0) & (off == 0), 0).otherwise(1)
+    return rows.select("id", "classes", F.xxhash64(length, i, content).alias("key"), kind.alias("kind"))
 
 
 def with_edit_distance(pairs: DataFrame, a: str, b: str, edits: int, name: str = "distance") -> DataFrame:
@@ -241,9 +228,12 @@ def _distinct(lines: DataFrame) -> DataFrame:
 
 
 def _ranked(distinct: DataFrame, edits: int) -> DataFrame:
-    """key, kind, id, classes of every line, and a ``rank`` by which those that are listed come first."""
-    facts = distinct.withColumn("n", F.char_length("line")).withColumn("classes", _classes(F.col("line")))
-    rows = _with_sizes(facts, edits).select("id", "classes", F.explode(line_keys(edits)).alias("k")).select("k.key", "k.kind", "id", "classes")
+    """key, kind, id, classes of the lines of every key that some line is listed under and several have, and a ``rank`` by which those
+    that are listed come first."""
+    rows = line_keys(distinct.withColumn("classes", _classes(F.col("line"))), edits)
+    whole = Window.partitionBy("key")
+    rows = rows.select("*", F.count(F.lit(1)).over(whole).alias("have"), F.min("kind").over(whole).alias("listed"))
+    rows = rows.where((F.col("have") > 1) & (F.col("listed") == 0)).drop("have", "listed")  # the order costs more: most keys have one line
     return rows.withColumn("rank", F.row_number().over(_in_key()))
 
 
@@ -252,20 +242,25 @@ def _in_key() -> Window:
 
 
 def _verified(pairs: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
-    """Pairs (u, v) with the ``distance`` of their lines.
+    """Pairs (u, v, ...) with the ``distance`` of their lines; a line paired with itself has none. Of the latter, those without a ``key``
+    have their ``line`` instead.
 
     Store them before comparing it: the comparison, pushed down into the joins, would compute it over and over.
     """
-    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    for side in ("u", "v"):
-        pairs = pairs.join(distinct.select(F.col("id").alias(side), F.col("line").alias(f"{side}_line")), side)
-    return with_line_distance(pairs, "u_line", "v_line", edits).select("u", "v", "distance")
+    kept, pair = pairs.columns, F.col("u") != F.col("v")
+    alone = ~pair & (F.col("key").isNull() if "key" in kept else F.lit(True))
+    pairs = pairs.join(distinct.select(F.col("id").alias("v"), F.col("line").alias("v_line")), "v")
+    pairs = pairs.withColumn("v_line", F.when(pair | alone, F.col("v_line")))  # no text goes along with rows that need none
+    pairs = pairs.join(distinct.select(F.col("id").alias("u"), F.col("line").alias("u_line")), "u")
+    lines = [F.when(pair, F.col(c)).alias(c) for c in ("u_line", "v_line")]
+    pairs = pairs.select(*kept, *lines, F.when(alone, F.col("v_line")).alias("line"))
+    return with_line_distance(pairs, "u_line", "v_line", edits).select(*kept, F.when(pair, F.col("distance")).alias("distance"), "line")
 
 
 def line_links(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
     """Links (u, v) between ids of different lines, enough of them to connect all lines within ``edits`` of each other.
 
-    One query: the lines are exchanged once by id and their keys once by key.
+    One query: the lines are exchanged once by id and their keys once by key, and each key's lines are gone through once.
     """
     distinct = _distinct(lines)
     # Listed lines come first, so every line of a key finds the pivots in front of it.
@@ -274,20 +269,62 @@ def line_links(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFram
     ranked = _ranked(distinct, rules.edits).withColumn("pivots", F.collect_list(pivot).over(before))  # at most so many
     met = ranked.where((F.size("pivots") > 1) | (F.get("pivots", F.lit(0))["id"] != F.col("id")))
     near = F.filter("pivots", lambda x: (x["id"] != F.col("id")) & _may_be_near(x["classes"], F.col("classes"), rules.edits))
-    pairs = met.select("id", F.explode(near).alias("x")).select(F.col("x.id").alias("u"), F.col("id").alias("v"))
-    # What stands behind the pivots of a full list, for the rounds to come.
-    behind = ranked.where((F.size("pivots") == rules.pivots) & ((F.col("kind") == 1) | (F.col("rank") > rules.pivots)))
-    both = _verified(pairs, distinct, rules.edits).unionByName(behind.select("key", "kind", "id", "classes"), allowMissingColumns=True)
-    both = scratch.keep(both, "links")
+
+    def row(u, v, key, kind):
+        return F.struct(u.alias("u"), v.alias("v"), key.cast("long").alias("key"), kind.cast("int").alias("kind"))
+    none, own = F.lit(None), F.col("id")
+    pairs = F.transform(near, lambda x: row(F.least(x["id"], own), F.greatest(x["id"], own), none, none))
+    # What stands behind the pivots of a full list, for the rounds to come: its place there, and once the line itself.
+    behind = (F.size("pivots") == rules.pivots) & ((F.col("kind") == 1) | (F.col("rank") > rules.pivots))
+    places = F.array(row(own, own, F.col("key"), F.col("kind")), row(own, own, none, none))
+    met = met.select(F.explode(F.concat(pairs, F.when(behind, places).otherwise(F.slice(places, 1, 0)))).alias("r")).select("r.*").distinct()
+    both = scratch.keep(_verified(met, distinct, rules.edits), "links")
+    scratch.release()
     links = both.where(F.col("distance") <= rules.edits).select("u", "v")
-    return _rest(links, lines, both.where("key IS NOT NULL").select("key", "kind", "id", "classes"), rules, scratch)
+    alone = both.where("line IS NOT NULL").select(F.col("u").alias("id"), "line")
+    return _rest(links, alone, both.where("key IS NOT NULL").select("key", "kind", F.col("u").alias("id")), rules, scratch)
+
+
+_BAGS = ("etaonihsrdlucm.,", " fpgwybvk0123456", "789xjqz-'\"TAEOSI")  # characters of each number
+_BEGINNINGS = (48, 96, 192, 384)  # whose characters of the first number are counted by themselves
+
 
+def _bags(line: Column) -> list[Column]:
+    """How often each of many characters occurs, in a line and in its beginnings, modulo 16, sixteen in a number: for lines of long
+    lists, which are few."""
+    found = []
+    for text, chars in [(line, c) for c in _BAGS] + [(F.substring(line, 1, n), _BAGS[0]) for n in _BEGINNINGS]:
+        total = F.lit(0).cast("long")
+        for j, char in enumerate(chars):
+            n = F.char_length(text) - F.char_length(F.replace(text, F.lit(char), F.lit("")))
+            total = total.bitwiseOR(F.shiftleft((n % 16).cast("long"), 4 * j))
+        found.append(total.alias(f"bag{len(found)}"))
+    return found
 
-def _rest(links: DataFrame, lines: DataFrame, behind: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
-    """Goes on with long lists behind their first pivots, until each lies in one component."""
-    seekers = behind.select(F.col("id").alias("s_id"), F.col("classes").alias("s_classes"), F.col("key").alias("s_key")).distinct()
-    left = behind.where("kind = 0").select("key", "id", "classes")
-    many, turn, texts = rules.pivots * 4, 0, None
+
+def _bags_near(a: Column, b: Column, edits: int) -> Column:
+    """An edit takes one character away at most, and adds one at most; it also moves one at most out of a beginning, and one into it: as it
+    makes it shorter or longer, never both."""
+    less, more = F.lit(0), F.lit(0)
+    for j in range(16):
+        d = (F.shiftrightunsigned(a, 4 * j).bitwiseAND(15) - F.shiftrightunsigned(b, 4 * j).bitwiseAND(15)).bitwiseAND(15)
+        more = more + F.when(d <= 8, d).otherwise(0)
+        less = less + F.when(d > 8, 16 - d).otherwise(0)
+    return (more <= edits) & (less <= edits)
+
+
+def _rest(links: DataFrame, texts: DataFrame, behind: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """Goes on with long lists behind their first pivots, until each lies in one component.
+
+    ``texts`` has the lines that stand in them. Two members whose characters differ by more than ``edits`` make no row.
+    """
+    if behind.isEmpty():
+        return links
+    bags = [f"bag{i}" for i in range(len(_BAGS) + len(_BEGINNINGS))]
+    behind = scratch.keep(behind.join(texts.select("id", *_bags(F.col("line"))), "id"), "behind", few=True)
+    seekers = behind.select(F.col("id").alias("s_id"), F.col("key").alias("s_key"), *[F.col(c).alias(f"s_{c}") for c in bags]).distinct()
+    left = behind.where("kind = 0").select("key", "id", *bags)
+    many, turn = rules.pivots * 4, 0
     while not left.isEmpty():
         turn += 1
         where = components(links, scratch, f"components-{turn}").withColumnRenamed("node", "at")
@@ -302,16 +339,15 @@ def _rest(links: DataFrame, lines: DataFrame, behind: DataFrame, rules: LineRule
         left = left.join(size.select("k.*", "size"), ["key", "own"])
         order = Window.partitionBy("key").orderBy("size", "id")
         left = scratch.keep(left.withColumn("turn", F.row_number().over(order)), f"ranked-{turn}", few=True)
-        on = (F.col("key") == F.col("s_key")) & (F.col("own") != F.col("s_own")) & _may_be_near(F.col("classes"), F.col("s_classes"), rules.edits)
-        met = left.where(F.col("turn") <= many).join(asking, on).select(F.col("id").alias("u"), F.col("s_id").alias("v"))
+        on = (F.col("key") == F.col("s_key")) & (F.col("own") != F.col("s_own"))
+        for c in bags:
+            on = on & _bags_near(F.col(c), F.col(f"s_{c}"), rules.edits)
+        met = left.where(F.col("turn") <= many).join(asking, on).select(F.least("id", "s_id").alias("u"), F.greatest("id", "s_id").alias("v"))
         met = scratch.keep(met.distinct(), f"met-{turn}", few=True)
         if not met.isEmpty():
-            if texts is None:
-                ids = seekers.select(F.col("s_id").alias("id")).distinct()
-                texts = scratch.keep(_distinct(lines).join(ids, "id", "left_semi"), "texts")
             measured = scratch.keep(_verified(met, texts, rules.edits), f"links-{turn}")
             links = links.union(measured.where(F.col("distance") <= rules.edits).select("u", "v"))
-        left = scratch.keep(left.where(F.col("turn") > many).select("key", "id", "classes"), f"left-{turn}", few=True)
+        left = scratch.keep(left.where(F.col("turn") > many).select("key", "id", *bags), f"left-{turn}", few=True)
         many *= 4
     return links
 

@@ -95,6 +95,43 @@ def test_distance(spark, monkeypatch, distance, short):
             assert near == (r.true <= edits) and (not near or r.distance == r.true), (r, edits)
 
 
+def test_variants_of_one_line_are_told_apart_before_they_are_paired(docs, monkeypatch):
+    rng = random.Random(11)
+    letters, common = "oihrsdluvw", "the same beginning of a line that goes on with "  # letters that the first comparison does not count
+    lines = [common + "".join(rng.choice(letters) for _ in range(30)) for _ in range(240)]
+    lines += [line[:-1] + "z" for line in lines[:20]]
+    rows = [(i, line) for i, line in enumerate(lines)]
+    made, verified = [], module._verified
+
+    def counted(pairs, distinct, edits):
+        made.append(pairs.where("u <> v").count())
+        return verified(pairs, distinct, edits)
+    monkeypatch.setattr(module, "_verified", counted)
+    assert got(line_classes(docs(rows), LineRules(pivots=2))) == brute(rows, 2, 20)
+    assert len(made) > 1 and sum(made[1:]) < 400  # of some 33,000 pairs
+
+
+@pytest.mark.parametrize("edits", [1, 2, 4])
+def test_lines_within_the_edits_pass_the_comparison_of_characters(spark, edits):
+    rng = random.Random(edits)
+    alphabet, pairs = "".join(module._BAGS) + "é漢𝄞", []
+    for n in [3, 47, 48, 49, 95, 97, 191, 193, 400] * 20:
+        a = "".join(rng.choice(alphabet[:rng.choice([2, 20, len(alphabet)])]) for _ in range(n))
+        b = list(a)
+        for _ in range(edits):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = rng.choice(["", "e", "é", "7"])
+        pairs.append((a, "".join(b)))
+    pairs.append(("rain on the road", "sun over the sea"))
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", F.levenshtein("a", "b").alias("distance"), *[
+        bag.alias(f"{side}{i}") for side in ("a", "b") for i, bag in enumerate(module._bags(F.col(side)))]).localCheckpoint()
+    near = F.lit(True)
+    for i in range(len(module._BAGS) + len(module._BEGINNINGS)):
+        near = near & module._bags_near(F.col(f"a{i}"), F.col(f"b{i}"), edits)
+    passed = df.select("a", "distance", near.alias("near")).collect()
+    assert all(r.near for r in passed if r.distance <= edits) and not passed[-1].near
+
+
 def test_very_long_lines_and_empty_tables(docs):
     rng = random.Random(3)
     line = "".join(rng.choice(string.ascii_lowercase + " ") for _ in range(30_000))
