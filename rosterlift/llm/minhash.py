@@ -15,8 +15,8 @@ In every further round some members of a list, its pivots, are compared with the
 members of other components; a pivot is then done with. Copies of one text fall into one component early, as the first
 pivots are the members that share most with the others. Only lists whose members still lie in several components
 go on, with eight times the pivots, and no pair is fetched twice. Every pair of a list is thus compared or already connected: nothing is capped. The
-comparison begins inside the join: a longer sketch of each set is kept as bits, a bit for each value modulo 1024, and the
-bits that two members share bound the estimate from the sketch of their union. Members that merely quote the same
+comparison begins inside the join, and in one of the lists that two members share: a longer sketch of each set is kept as bits, a bit
+for each value modulo 1024, and the bits that two members share bound the estimate from the sketch of their union. Members that merely quote the same
 passage, or are near but not near enough, make no rows.
 """
 
@@ -133,7 +133,8 @@ def _full_sets(size: int):
 
 
 def _listed(classes: DataFrame, p: NearDuplicates) -> DataFrame:
-    """The inverted lists: ``value, class, node, weight, rank``, for the rarest values that several classes retain."""
+    """The inverted lists: ``value, class, node, weight, rank``, for the rarest values that several classes retain, and the ``rarer`` values
+    of the class that have lists too."""
     # The short id keeps the many rows small; should two classes share one, both get the lists of both.
     short = F.conv(F.hex(F.substring("class", 1, 7)), 16, 10).cast("long")
     classes = classes.withColumn("short", short)
@@ -146,15 +147,16 @@ def _listed(classes: DataFrame, p: NearDuplicates) -> DataFrame:
     # The values that no one else has come first in the order by rarity.
     take = F.size("common") - p.common(F.col("n")) + 1
     found = found.withColumn("take", F.least(take, F.size("common"))).where("take > 0")
-    return found.select("class", "node", "weight", F.posexplode(F.slice("common", F.lit(1), F.col("take"))).alias("rank", "c")) \
-        .select(F.col("c.value").alias("value"), "class", "node", "weight", "rank")
+    found = found.withColumn("listed", F.transform(F.slice("common", F.lit(1), F.greatest("take", F.lit(0))), lambda c: c["value"]))
+    found = found.select("class", "node", "weight", "listed", F.posexplode("listed").alias("rank", "value"))
+    return found.select("value", "class", "node", "weight", "rank", F.slice("listed", F.lit(1), F.col("rank")).alias("rarer"))
 
 
 def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scratch) -> DataFrame | None:
     """The component of every node that has a confirmed link; None if no list has two members."""
     where, tested, many, turn = None, None, p.pivots, 0
     bits = [f"b{i}" for i in range(_WORDS)]  # columns of their own: a join condition reads them without unpacking an array
-    facts = ["value", "class", "node", "weight", "n", "doubled", *bits]
+    facts = ["value", "class", "node", "weight", "rarer", "n", "doubled", *bits]
     every = lists.join(sets.select("class", "n", "doubled", *[F.col("bits")[i].alias(b) for i, b in enumerate(bits)]), "class")
     left = every.where(F.col("rank") < _FIRST)
     while True:
@@ -180,17 +182,7 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
         if left.isEmpty():
             scratch.drop(*[f"pairs-{t}" for t in range(1, turn)])
             return where
-        chosen = left.where(F.col("turn") <= few).select(*[F.col(c).alias(f"p_{c}") for c in (*facts, "component")])
-        shared = F.lit(0)
-        for b in bits:
-            shared = shared + F.bit_count(F.col(b).bitwiseAND(F.col(f"p_{b}")))
-        larger, smaller = F.greatest("n", "p_n"), F.least("n", "p_n")
-        # Shared values take a bit each, but for those that share one within a set.
-        least = p.common_kept(larger, smaller) - F.least("doubled", "p_doubled")
-        near = (smaller * 100 >= larger * p.percent) & (shared >= least)
-        pairs = left.join(chosen, (F.col("value") == F.col("p_value")) & (F.col("component") != F.col("p_component")) & near)
-        a, b = F.struct("class", "node"), F.struct(F.col("p_class").alias("class"), F.col("p_node").alias("node"))
-        pairs = pairs.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+        pairs = _met(left, few, [*facts, "component"], bits, p).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.keep(pairs, f"pairs-{turn}")
@@ -206,6 +198,28 @@ def _linked(lists: DataFrame, sets: DataFrame, p: NearDuplicates, scratch: Scrat
             many *= 8 if turn > 2 else 1
 
 
+def _met(left: DataFrame, few: int, facts: list[str], bits: list[str], p: NearDuplicates) -> DataFrame:
+    """Pairs (a, b) of the lists' pivots, their ``few`` first members, with members of other components that may be near.
+
+    A pair makes a row in the first list in which either is a pivot, not in all that the two share (and a second one at most, if each is a
+    pivot somewhere): members of a list know which rarer ones they are in, and pivots in which of these they are pivots.
+    """
+    before = Window.partitionBy("class").orderBy(F.size("rarer")).rowsBetween(Window.unboundedPreceding, -1)
+    chosen = left.where(F.col("turn") <= few).withColumn("before", F.collect_list("value").over(before))
+    chosen = chosen.select(*[F.col(c).alias(f"p_{c}") for c in (*facts, "turn", "before") if c != "rarer"])
+    shared = F.lit(0)
+    for b in bits:
+        shared = shared + F.bit_count(F.col(b).bitwiseAND(F.col(f"p_{b}")))
+    larger, smaller = F.greatest("n", "p_n"), F.least("n", "p_n")
+    # Shared values take a bit each, but for those that share one within a set.
+    least = p.common_kept(larger, smaller) - F.least("doubled", "p_doubled")
+    near = (smaller * 100 >= larger * p.percent) & (shared >= least)
+    first = (F.col("p_turn") < F.col("turn")) & ~F.arrays_overlap("rarer", "p_before")
+    pairs = left.join(chosen, (F.col("value") == F.col("p_value")) & (F.col("component") != F.col("p_component")) & near & first)
+    a, b = F.struct("class", "node"), F.struct(F.col("p_class").alias("class"), F.col("p_node").alias("node"))
+    return pairs.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearDuplicates) -> DataFrame:
     """The nodes (u, v) of pairs whose whole sets are similar enough."""
     pairs = pairs.select(F.col("a.class").alias("ca"), F.col("a.node").alias("u"), F.col("b.class").alias("cb"), F.col("b.node").alias("v"))

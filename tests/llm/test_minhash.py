@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from rosterlift.llm import minhash as module
 from rosterlift.llm import queries
 from rosterlift.llm._store import Scratch
 from rosterlift.llm._text import chunks, lower, shingle_hashes, span_hashes, words
@@ -64,6 +65,26 @@ def test_edited_copies_chains_and_shared_passages(docs, pivots):
     assert found(near_duplicates(docs(rows), NearDuplicates(shingle=3, pivots=pivots))) == brute(rows, 3)
 
 
+def test_a_pair_makes_a_row_in_one_of_its_lists(docs, monkeypatch):
+    rng = random.Random(7)
+    text, made, met = writing(rng, 200), [], module._met
+
+    def counted(*args):
+        pairs = met(*args)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+    monkeypatch.setattr(module, "_met", counted)
+    rows = []
+    for i in range(80):  # near copies: each two share most of their lists
+        words = list(text)
+        for _ in range(3):
+            words[rng.randrange(200)] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    assert found(near_duplicates(docs(rows), NearDuplicates(shingle=3))) == brute(rows, 3)
+    rows, pairs = map(sum, zip(*made, strict=True))
+    assert pairs > 100 and rows <= 2 * pairs, made
+
+
 def test_many_copies_and_ties(docs):
     rows = [(i, "the same text over and over again") for i in range(300)] + [(1000 + i, f"text number {i}") for i in range(50)]
     assert found(near_duplicates(docs(rows))) == brute(rows, 5)
