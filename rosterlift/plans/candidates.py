@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..context import RunContext
 from ..functions.codes import code_map
 from ..functions.dates import iso
-from ..functions.ids import uuid_from
+from ..functions.ids import compact, expanded, uuid_from
 from ..operators.dedupe import keep_first
 from ..operators.history import effective_status, last_time, merge_stages
 from ..operators.joins import fk_map, lookup_chain
@@ -96,10 +96,18 @@ def build_candidates_from_stages(stages: DataFrame, projects: DataFrame, people:
 
 
 def build_placements(fees: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Fees joined to the candidacy of the same project and person; a placement is as old as its fee."""
+    """Fees joined to the candidacy of the same project and person; a placement is as old as its fee.
+
+    Uuids are exchanged as bytes.
+    """
     held = candidates.select("project_id", F.col("person_id").alias("candidate_id"), F.col("id").alias("_cid"),
-                             F.col("atlas_id").alias("_caid"))
-    return fees.join(held, ["project_id", "candidate_id"]).select(
+                             compact(F.col("atlas_id")).alias("_caid"))
+    ids = ["atlas_id", "atlas_project_id"]
+    fees = fees.select("project_id", "candidate_id", "id", "created_at", *[compact(F.col(c)).alias(c) for c in ids])
+    rows = fees.join(held, ["project_id", "candidate_id"])
+    for c in (*ids, "_caid"):
+        rows = rows.withColumn(c, expanded(F.col(c)))
+    return rows.select(
         F.concat_ws("_", F.lit("placement"), "id").alias("id"), uuid_from("placement", "atlas_id", "_caid").alias("atlas_id"),
         "created_at",
         "project_id", "atlas_project_id", F.col("_cid").alias("candidate_id"),

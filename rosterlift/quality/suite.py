@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..functions.ids import compact as _compact
 from ..functions.text import shorten
 from .checks import FAIL, Check, compile_checks
 from .contracts import CONTRACTS, GLOBAL_RULES, matching_contract, select_tables
@@ -66,13 +67,6 @@ def _lines(row: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     return row.select(F.inline(F.array(*lines)))
 
 
-def _compact(value: Column) -> Column:
-    """The text as bytes, a uuid in lower case as its 16. Texts that differ give bytes that differ: the first tells the two apart."""
-    uuid = value.rlike("\\A[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\\z")
-    packed = F.concat(F.lit(b"u"), F.unhex(F.replace(value, F.lit("-"), F.lit(""))))
-    return F.when(uuid, packed).otherwise(F.concat(F.lit(b"t"), value.cast("binary")))
-
-
 def uniqueness(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """Repeated values of several columns or column pairs, from one scan and one grouping on (check, values).
 

@@ -12,6 +12,14 @@ def test_uuid_shape_and_null(spark):
     assert row.b is None
 
 
+def test_compact_texts_come_back(spark):
+    texts = ["0123abcd-0123-4567-89ab-0123456789ab", "0123ABCD-0123-4567-89ab-0123456789ab", "0123abcd012345678", "u", "", "tü漢", None]
+    df = spark.createDataFrame([(v,) for v in texts], "v string")
+    packed = df.select("v", ids.compact(F.col("v")).alias("b"))
+    assert all(r.v == r.w for r in packed.select("v", ids.expanded(F.col("b")).alias("w")).collect())
+    assert [len(r.b) for r in packed.collect() if r.b is not None] == [17, 37, 18, 2, 1, 7]
+
+
 def test_email_norm(values):
     assert values(contact.email_norm, ["  John.Doe@GMAIL.com ", "<a b@c.com>;", "", None, "\ta@b.c"]) == [
         "john.doe@gmail.com", "ab@c.com", "", None, "a@b.c"]

@@ -81,3 +81,8 @@ def test_numbering_joins_nothing(spark):
 
 def test_contacts_of_projects_are_not_sorted_for_one_per_person(spark):
     assert "Window" not in plan(spark, "e10_contacts_from_projects")
+
+
+def test_placements_exchange_uuids_as_bytes(spark, no_broadcast):
+    before_the_join = plan(spark, "e28_placements").split("hashpartitioning(project_id#", 1)[-1]
+    assert before_the_join.count("unhex(replace(") >= 3
