@@ -258,7 +258,17 @@ def _verified(pairs: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
 
 
 def line_links(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
-    """Links (u, v) between ids of different lines, enough of them to connect all lines within ``edits`` of each other.
+    """Links (u, v) between ids of different lines, enough of them to connect all lines within ``edits`` of each other."""
+    both = _pivoted(lines, rules, scratch)
+    scratch.release()  # the exchanges of all lines and keys
+    links = both.where(F.col("distance") <= rules.edits).select("u", "v")
+    alone = both.where("line IS NOT NULL").select(F.col("u").alias("id"), "line")
+    return _rest(links, alone, both.where("key IS NOT NULL").select("key", "kind", F.col("u").alias("id")), rules, scratch)
+
+
+def _pivoted(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """Pairs (u, v) of every list's pivots with what looks it up, and their ``distance``; what stands behind the pivots of a full list as
+    u = v, with ``key`` and ``kind``, and once with its ``line``.
 
     One query: the lines are exchanged once by id and their keys once by key, and each key's lines are gone through once.
     """
@@ -278,11 +288,7 @@ def line_links(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFram
     behind = (F.size("pivots") == rules.pivots) & ((F.col("kind") == 1) | (F.col("rank") > rules.pivots))
     places = F.array(row(own, own, F.col("key"), F.col("kind")), row(own, own, none, none))
     met = met.select(F.explode(F.concat(pairs, F.when(behind, places).otherwise(F.slice(places, 1, 0)))).alias("r")).select("r.*").distinct()
-    both = scratch.keep(_verified(met, distinct, rules.edits), "links")
-    scratch.release()
-    links = both.where(F.col("distance") <= rules.edits).select("u", "v")
-    alone = both.where("line IS NOT NULL").select(F.col("u").alias("id"), "line")
-    return _rest(links, alone, both.where("key IS NOT NULL").select("key", "kind", F.col("u").alias("id")), rules, scratch)
+    return scratch.keep(_verified(met, distinct, rules.edits), "links")
 
 
 _BAGS = ("etaonihsrdlucm.,", " fpgwybvk0123456", "789xjqz-'\"TAEOSI")  # characters of each number
