@@ -12,9 +12,9 @@ its 2 * edits + 1 cells around the diagonal, each set of differences in the bits
 in a fixed number of word operations. It covers what is left when equal beginnings and ends are cut off; see
 ``with_line_distance`` for what is done where that is long.
 
-A key that many lines list has its first ``pivots`` lines compared with all that look it up. What is left of such lists
-goes on in rounds with four times the pivots, as long as its lines lie in several components: no list emits all its pairs,
-and none is cut short.
+Lines that share a key of up to ``pivots`` lines are paired at once. Longer lists are gone through in rounds: some of a
+list's lines, more in every round, are paired with those of other components that look it up and have nearly the same
+characters, until all its lines lie in one component or have been paired: no list emits all its pairs, and none is cut short.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._graph import components
+from ._graph import components, joined
 from ._store import Scratch
 
 
@@ -228,12 +228,12 @@ def _distinct(lines: DataFrame) -> DataFrame:
 
 
 def _ranked(distinct: DataFrame, edits: int) -> DataFrame:
-    """key, kind, id, classes of the lines of every key that some line is listed under and several have, and a ``rank`` by which those
-    that are listed come first."""
+    """key, kind, id, classes of the lines of every key that some line is listed under and several have, how many ``have`` it, and a ``rank``
+    by which those that are listed come first."""
     rows = line_keys(distinct.withColumn("classes", _classes(F.col("line"))), edits)
     whole = Window.partitionBy("key")
     rows = rows.select("*", F.count(F.lit(1)).over(whole).alias("have"), F.min("kind").over(whole).alias("listed"))
-    rows = rows.where((F.col("have") > 1) & (F.col("listed") == 0)).drop("have", "listed")  # the order costs more: most keys have one line
+    rows = rows.where((F.col("have") > 1) & (F.col("listed") == 0)).drop("listed")  # the order costs more: most keys have one line
     return rows.withColumn("rank", F.row_number().over(_in_key()))
 
 
@@ -257,37 +257,37 @@ def _verified(pairs: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     return with_line_distance(pairs, "u_line", "v_line", edits).select(*kept, F.when(pair, F.col("distance")).alias("distance"), "line")
 
 
-def line_links(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
-    """Links (u, v) between ids of different lines, enough of them to connect all lines within ``edits`` of each other."""
-    both = _pivoted(lines, rules, scratch)
+def line_components(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """``node, component`` of the ids of lines that are connected to others by lines within ``edits`` of each other."""
+    both = _paired(lines, rules, scratch)
     scratch.release()  # the exchanges of all lines and keys
     links = both.where(F.col("distance") <= rules.edits).select("u", "v")
     alone = both.where("line IS NOT NULL").select(F.col("u").alias("id"), "line")
-    return _rest(links, alone, both.where("key IS NOT NULL").select("key", "kind", F.col("u").alias("id")), rules, scratch)
+    return _connected(links, alone, both.where("key IS NOT NULL").select("key", "kind", F.col("u").alias("id")), rules, scratch)
 
 
-def _pivoted(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
-    """Pairs (u, v) of every list's pivots with what looks it up, and their ``distance``; what stands behind the pivots of a full list as
-    u = v, with ``key`` and ``kind``, and once with its ``line``.
+def _paired(lines: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """Pairs (u, v) of short lists' lines with what looks them up, and their ``distance``; what stands in long lists as u = v, with
+    ``key`` and ``kind``, and once with its ``line``.
 
     One query: the lines are exchanged once by id and their keys once by key, and each key's lines are gone through once.
     """
     distinct = _distinct(lines)
-    # Listed lines come first, so every line of a key finds the pivots in front of it.
-    pivot = F.when((F.col("kind") == 0) & (F.col("rank") <= rules.pivots), F.struct("id", "classes"))
+    long = F.col("have") > rules.pivots
+    # Listed lines come first, so every line of a key finds those in front of it.
+    front = F.when((F.col("kind") == 0) & ~long, F.struct("id", "classes"))
     before = _in_key().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = _ranked(distinct, rules.edits).withColumn("pivots", F.collect_list(pivot).over(before))  # at most so many
-    met = ranked.where((F.size("pivots") > 1) | (F.get("pivots", F.lit(0))["id"] != F.col("id")))
-    near = F.filter("pivots", lambda x: (x["id"] != F.col("id")) & _may_be_near(x["classes"], F.col("classes"), rules.edits))
+    ranked = _ranked(distinct, rules.edits).withColumn("front", F.collect_list(front).over(before))  # at most ``pivots``
+    met = ranked.where(long | (F.size("front") > 1) | (F.get("front", F.lit(0))["id"] != F.col("id")))
+    near = F.filter("front", lambda x: (x["id"] != F.col("id")) & _may_be_near(x["classes"], F.col("classes"), rules.edits))
 
     def row(u, v, key, kind):
         return F.struct(u.alias("u"), v.alias("v"), key.cast("long").alias("key"), kind.cast("int").alias("kind"))
     none, own = F.lit(None), F.col("id")
     pairs = F.transform(near, lambda x: row(F.least(x["id"], own), F.greatest(x["id"], own), none, none))
-    # What stands behind the pivots of a full list, for the rounds to come: its place there, and once the line itself.
-    behind = (F.size("pivots") == rules.pivots) & ((F.col("kind") == 1) | (F.col("rank") > rules.pivots))
+    # What stands in a long list, for the rounds to come: its place there, and once the line itself.
     places = F.array(row(own, own, F.col("key"), F.col("kind")), row(own, own, none, none))
-    met = met.select(F.explode(F.concat(pairs, F.when(behind, places).otherwise(F.slice(places, 1, 0)))).alias("r")).select("r.*").distinct()
+    met = met.select(F.explode(F.when(long, places).otherwise(pairs)).alias("r")).select("r.*").distinct()
     return scratch.keep(_verified(met, distinct, rules.edits), "links")
 
 
@@ -295,67 +295,78 @@ _BAGS = ("etaonihsrdlucm.,", " fpgwybvk0123456", "789xjqz-'\"TAEOSI")  # charact
 _BEGINNINGS = (48, 96, 192, 384)  # whose characters of the first number are counted by themselves
 
 
+_CODES = (0, 1, 3, 7, 15, 14, 12, 8)  # of a number modulo 8: one more or less changes one bit
+
+
 def _bags(line: Column) -> list[Column]:
-    """How often each of many characters occurs, in a line and in its beginnings, modulo 16, sixteen in a number: for lines of long
-    lists, which are few."""
-    found = []
+    """How often each of many characters occurs, in a line and in its beginnings, modulo 8, sixteen in a number as ``_CODES``: for lines
+    of long lists, which are few."""
+    codes, found = F.array(*[F.lit(code).cast("long") for code in _CODES]), []
     for text, chars in [(line, c) for c in _BAGS] + [(F.substring(line, 1, n), _BAGS[0]) for n in _BEGINNINGS]:
         total = F.lit(0).cast("long")
         for j, char in enumerate(chars):
             n = F.char_length(text) - F.char_length(F.replace(text, F.lit(char), F.lit("")))
-            total = total.bitwiseOR(F.shiftleft((n % 16).cast("long"), 4 * j))
+            total = total.bitwiseOR(F.shiftleft(F.get(codes, n % 8), 4 * j))
         found.append(total.alias(f"bag{len(found)}"))
     return found
 
 
+def _off(a: Column, b: Column) -> Column:
+    """How many bits of two bags differ: the sum of the differences of their numbers, as far as these are at most 4."""
+    return F.bit_count(a.bitwiseXOR(b))
+
+
 def _bags_near(a: Column, b: Column, edits: int) -> Column:
-    """An edit takes one character away at most, and adds one at most; it also moves one at most out of a beginning, and one into it: as it
-    makes it shorter or longer, never both."""
-    less, more = F.lit(0), F.lit(0)
-    for j in range(16):
-        d = (F.shiftrightunsigned(a, 4 * j).bitwiseAND(15) - F.shiftrightunsigned(b, 4 * j).bitwiseAND(15)).bitwiseAND(15)
-        more = more + F.when(d <= 8, d).otherwise(0)
-        less = less + F.when(d > 8, 16 - d).otherwise(0)
-    return (more <= edits) & (less <= edits)
+    """An edit takes one character away at most, and adds one at most; it also moves one at most out of a beginning, or one into it: as it
+    makes it longer or shorter, never both."""
+    return _off(a, b) <= 2 * edits
 
 
-def _rest(links: DataFrame, texts: DataFrame, behind: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
-    """Goes on with long lists behind their first pivots, until each lies in one component.
+def _connected(links: DataFrame, texts: DataFrame, placed: DataFrame, rules: LineRules, scratch: Scratch) -> DataFrame:
+    """``node, component`` of ``links`` and of those that long lists add, until each list lies in one component or has been gone through.
 
-    ``texts`` has the lines that stand in them. Two members whose characters differ by more than ``edits`` make no row.
+    ``placed`` has a row for each line of each such list, ``texts`` the lines. Two of them whose characters differ by more than ``edits``
+    make no row.
     """
-    if behind.isEmpty():
-        return links
+    if placed.isEmpty():
+        return components(links, scratch, "components")
     bags = [f"bag{i}" for i in range(len(_BAGS) + len(_BEGINNINGS))]
-    behind = scratch.keep(behind.join(texts.select("id", *_bags(F.col("line"))), "id"), "behind", few=True)
-    seekers = behind.select(F.col("id").alias("s_id"), F.col("key").alias("s_key"), *[F.col(c).alias(f"s_{c}") for c in bags]).distinct()
-    left = behind.where("kind = 0").select("key", "id", *bags)
-    many, turn = rules.pivots * 4, 0
-    while not left.isEmpty():
+    placed = scratch.keep(placed.join(texts.select("id", *_bags(F.col("line"))), "id"), "placed", few=True)
+    seekers = placed.select(F.col("id").alias("s_id"), F.col("key").alias("s_key"), *[F.col(c).alias(f"s_{c}") for c in bags]).distinct()
+    left = placed.where("kind = 0").select("key", "id", *bags)
+    # A line's bags count different characters: an edit changes two bits of all of them.
+    off = [_off(F.col(c), F.col(f"s_{c}")) for c in bags[:len(_BAGS)]]
+    near = sum(off[1:], off[0]) <= 2 * rules.edits
+    for c in bags[len(_BAGS):]:
+        near = near & _bags_near(F.col(c), F.col(f"s_{c}"), rules.edits)
+    where, many, turn = None, rules.pivots * 4, 0
+    while turn == 0 or not left.isEmpty():
         turn += 1
-        where = components(links, scratch, f"components-{turn}").withColumnRenamed("node", "at")
-        of = lambda df, i, c: df.join(where, F.col(i) == F.col("at"), "left").withColumn(
-            c, F.coalesce("component", i)).drop(*({"at", "component"} - {c}))
-        left, asking = of(left, "id", "own"), of(seekers, "s_id", "s_own")
-        asking = scratch.keep(asking, f"asking-{turn}", few=True)
-        several = asking.groupBy(F.struct("s_key").alias("k")).agg(F.min("s_own").alias("a"), F.max("s_own").alias("b"))
-        left = left.join(several.where("a < b").select(F.col("k.s_key").alias("key")), "key", "left_semi")
-        # Members of the rarer components first.
-        size = left.groupBy(F.struct("key", "own").alias("k")).agg(F.count(F.lit(1)).alias("size"))
-        left = left.join(size.select("k.*", "size"), ["key", "own"])
-        order = Window.partitionBy("key").orderBy("size", "id")
+        if where is None:  # each line by itself: components are found once, of the links so far and those of this turn
+            left, asking = (df.withColumn(c, F.col(i)) for df, i, c in ((left, "id", "own"), (seekers, "s_id", "s_own")))
+            order = Window.partitionBy("key").orderBy("id")
+        else:
+            at = where.select(F.col("node").alias("at"), "component")
+            left, asking = (df.join(at, F.col(i) == F.col("at"), "left").withColumn(c, F.coalesce("component", i)).drop("at", "component")
+                            for df, i, c in ((left, "id", "own"), (seekers, "s_id", "s_own")))
+            asking = scratch.keep(asking, f"asking-{turn}", few=True)
+            several = asking.groupBy(F.struct("s_key").alias("k")).agg(F.min("s_own").alias("a"), F.max("s_own").alias("b"))
+            left = left.join(several.where("a < b").select(F.col("k.s_key").alias("key")), "key", "left_semi")
+            # Members of the rarer components first.
+            size = left.groupBy(F.struct("key", "own").alias("k")).agg(F.count(F.lit(1)).alias("size"))
+            left = left.join(size.select("k.*", "size"), ["key", "own"])
+            order = Window.partitionBy("key").orderBy("size", "id")
         left = scratch.keep(left.withColumn("turn", F.row_number().over(order)), f"ranked-{turn}", few=True)
-        on = (F.col("key") == F.col("s_key")) & (F.col("own") != F.col("s_own"))
-        for c in bags:
-            on = on & _bags_near(F.col(c), F.col(f"s_{c}"), rules.edits)
+        on = (F.col("key") == F.col("s_key")) & (F.col("own") != F.col("s_own")) & near
         met = left.where(F.col("turn") <= many).join(asking, on).select(F.least("id", "s_id").alias("u"), F.greatest("id", "s_id").alias("v"))
         met = scratch.keep(met.distinct(), f"met-{turn}", few=True)
-        if not met.isEmpty():
-            measured = scratch.keep(_verified(met, texts, rules.edits), f"links-{turn}")
-            links = links.union(measured.where(F.col("distance") <= rules.edits).select("u", "v"))
+        found = scratch.keep(_verified(met, texts, rules.edits), f"links-{turn}").where(F.col("distance") <= rules.edits).select("u", "v")
+        scratch.release()
+        if where is None or not found.isEmpty():
+            where = joined(where, links.union(found) if where is None else found, scratch, f"components-{turn}")
         left = scratch.keep(left.where(F.col("turn") > many).select("key", "id", *bags), f"left-{turn}", few=True)
-        many *= 4
-    return links
+        many *= 8
+    return where
 
 
 def line_classes(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", text_col: str = "text",
@@ -376,7 +387,7 @@ def _classed(docs: DataFrame, rules: LineRules, id_col: str, text_col: str, scra
     own = ["text_key"] if by_text else []
     lines = occurrences(docs, rules.least, id_col, text_col, rules.short, own).where("doc_id IS NOT NULL")
     compared = lines.where(F.char_length("line") >= rules.least) if rules.short else lines
-    where = components(line_links(compared, rules, scratch), scratch, "components")
+    where = line_components(compared, rules, scratch)
     every = lines.select("doc_id", *own, "line_no", F.char_length("line").cast("long").alias("n_chars"), line_key("line").alias("id"))
     every = every.join(where, F.col("id") == F.col("node"), "left")
     every = scratch.keep(every.select("doc_id", *own, "line_no", "n_chars", F.coalesce("component", "id").alias("class")), "lines")

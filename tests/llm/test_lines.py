@@ -111,6 +111,29 @@ def test_variants_of_one_line_are_told_apart_before_they_are_paired(docs, monkey
     assert len(made) > 1 and sum(made[1:]) < 400  # of some 33,000 pairs
 
 
+def test_a_long_list_pairs_no_lines_before_all_their_characters_are_compared(docs, monkeypatch):
+    rng = random.Random(12)
+    letters, common = "oihrsdluvw", "the same beginning of a line that goes on with "
+    lines = [common + "".join(rng.choice(letters) for _ in range(30)) for _ in range(240)]
+    lines += [line[:-1] + "z" for line in lines[:20]]
+    rows = [(i, line) for i, line in enumerate(lines)]
+    made, verified = [], module._verified
+
+    def counted(pairs, distinct, edits):
+        made.append(pairs.where("u <> v").count())
+        return verified(pairs, distinct, edits)
+    monkeypatch.setattr(module, "_verified", counted)
+    assert got(line_classes(docs(rows))) == brute(rows, 2, 20)
+    assert 20 <= sum(made) < 400  # sixteen of them, paired with all, would make some 4,000
+
+
+def test_one_character_more_or_less_changes_one_bit():
+    codes = module._CODES
+    for n, code in enumerate(codes):
+        for m, other in enumerate(codes):
+            assert (code ^ other).bit_count() == min((n - m) % 8, (m - n) % 8)
+
+
 @pytest.mark.parametrize("edits", [1, 2, 4])
 def test_lines_within_the_edits_pass_the_comparison_of_characters(spark, edits):
     rng = random.Random(edits)
